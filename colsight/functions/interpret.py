@@ -11,7 +11,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from colsight.functions.text import let
+from colsight.functions.text import let, sql_text
 
 # --- fixed values: what counts as a number ------------------------------------------
 INT_PATTERN = r"^\s*[+-]?[0-9]+\s*$"
@@ -86,6 +86,15 @@ def interpret_real(c: Column) -> Column:
     return F.when(c.rlike(REAL_PATTERN), F.trim(c).try_cast("double"))
 
 
+def int_sql(ref: str) -> str:
+    """`interpret_int` as SQL text, for the wide aggregations."""
+    return f"CASE WHEN {ref} RLIKE {sql_text(INT_PATTERN)} THEN try_cast(trim({ref}) AS BIGINT) END"
+
+
+def real_sql(ref: str) -> str:
+    return f"CASE WHEN {ref} RLIKE {sql_text(REAL_PATTERN)} THEN try_cast(trim({ref}) AS DOUBLE) END"
+
+
 def _bare(c: Column) -> Column:
     low = F.lower(F.trim(c))
     return F.regexp_replace(F.regexp_replace(low, WEEKDAY, ""), ZONE, "")

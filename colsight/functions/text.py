@@ -21,6 +21,11 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def sql_text(value: str) -> str:
+    """String literal of Spark SQL; a raw one, so that backslashes stay as they are."""
+    return f"r'{value}'" if "'" not in value else "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """Evaluate `value` once and use it several times in `body`, also inside lambdas."""
     return F.element_at(F.transform(F.array(value), body), 1)

@@ -8,11 +8,12 @@ fills a third of a table arrives as one row per map task.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from colsight.functions.text import quoted
+from colsight.functions.text import quoted, sql_text
 
 INTEGER, REAL, DATETIME, TEXT = "INTEGER (LONG)", "REAL", "DATE/TIME", "TEXT"
 KEY = ("dataset", "column_name")
@@ -39,16 +40,15 @@ def profiled_columns(df: DataFrame) -> list[tuple[str, str]]:
 
 def type_dispatch(df: DataFrame, dataset: str) -> DataFrame:
     """(dataset, column_name, spark_type, bucket) from the schema alone; no job."""
-    rows = [
-        F.struct(
-            F.lit(dataset).alias("dataset"),
-            F.lit(f.name).alias("column_name"),
-            F.lit(f.dataType.simpleString()).alias("spark_type"),
-            F.lit(bucket_of(f.dataType)).cast("string").alias("bucket"),
+    rows = []
+    for f in df.schema.fields:
+        bucket = bucket_of(f.dataType)
+        shown = "CAST(NULL AS STRING)" if bucket is None else sql_text(bucket)
+        rows.append(
+            f"struct({sql_text(dataset)} AS dataset, {sql_text(f.name)} AS column_name, "
+            f"{sql_text(f.dataType.simpleString())} AS spark_type, {shown} AS bucket)"
         )
-        for f in df.schema.fields
-    ]
-    return df.sparkSession.range(1).select(F.inline(F.array(*rows)))
+    return df.sparkSession.range(1).selectExpr(f"inline(array({', '.join(rows)}))")
 
 
 def to_cells(df: DataFrame, dataset: str) -> DataFrame:
@@ -56,17 +56,13 @@ def to_cells(df: DataFrame, dataset: str) -> DataFrame:
     columns = profiled_columns(df)
     if not columns:
         raise ValueError(f"{dataset} has no column of a profiled type")
+    as_text = df.selectExpr(*[f"CAST({quoted(n)} AS STRING) AS {quoted(n)}" for n, _ in columns])
+    long = as_text.unpivot([], [quoted(n) for n, _ in columns], "column_name", "val")
     by_bucket: dict[str, list[str]] = {}
     for name, bucket in columns:
-        by_bucket.setdefault(bucket, []).append(name)
-    as_text = df.select([F.col(quoted(n)).cast("string").alias(n) for n, _ in columns])
-    bucket = F.coalesce(
-        *[F.when(F.col("column_name").isin(names), F.lit(b)) for b, names in by_bucket.items()]
-    )
-    long = as_text.unpivot([], [F.col(quoted(n)) for n, _ in columns], "column_name", "val")
-    if len(by_bucket) == 1:
-        bucket = F.lit(next(iter(by_bucket)))
-    return long.select(F.lit(dataset).alias("dataset"), "column_name", bucket.alias("bucket"), "val")
+        by_bucket.setdefault(bucket, []).append(sql_text(name))
+    whens = " ".join(f"WHEN column_name IN ({', '.join(names)}) THEN '{b}'" for b, names in by_bucket.items())
+    return long.selectExpr(f"{sql_text(dataset)} AS dataset", "column_name", f"CASE {whens} END AS bucket", "val")
 
 
 def cells_of(tables: dict[str, DataFrame]) -> DataFrame:
@@ -87,36 +83,42 @@ def column_values(vc: DataFrame) -> DataFrame:
     return vc.select(column_id().alias("column_id"), "val", "count")
 
 
-def wide_to_long(one_row: DataFrame, structs: list[Column]) -> DataFrame:
-    """One row of wide aggregates -> one row per struct."""
-    return one_row.select(F.inline(F.array(*structs)))
-
+def per_column(tables: dict[str, DataFrame], stats: Callable[[str, str], dict[str, str] | list[dict[str, str]]]) -> DataFrame:
+    """One row per column from one aggregation per table.
 
-def cell_counts(tables: dict[str, DataFrame]) -> DataFrame:
-    """(dataset, column_name, non_empty, empty) in one scan per table and no value shuffle."""
+    `stats(reference, bucket)` names the output fields of a column and their aggregate
+    SQL, as one dict or one per row wanted. All of a table's aggregates run in a single
+    scan whose tasks send one row each; the schema unrolls the result into rows.
+    """
     parts = []
     for dataset, df in tables.items():
-        names = [n for n, _ in profiled_columns(df)]
-        wide = df.agg(
-            F.count(F.lit(1)).alias("n"), *[F.count(F.col(quoted(n))).alias(f"c{i}") for i, n in enumerate(names)]
-        )
-        parts.append(
-            wide_to_long(
-                wide,
-                [
-                    F.struct(
-                        F.lit(dataset).alias("dataset"),
-                        F.lit(n).alias("column_name"),
-                        F.col(f"c{i}").alias("non_empty"),
-                        (F.col("n") - F.col(f"c{i}")).alias("empty"),
-                    )
-                    for i, n in enumerate(names)
-                ],
-            )
-        )
+        aggregates: list[str] = []
+        rows: list[str] = []
+        for name, bucket in profiled_columns(df):
+            wanted = stats(quoted(name), bucket)
+            for fields in [wanted] if isinstance(wanted, dict) else wanted:
+                cells = [f"{sql_text(dataset)} AS dataset", f"{sql_text(name)} AS column_name"]
+                for field, sql in fields.items():
+                    aggregates.append(f"{sql} AS a{len(aggregates)}")
+                    cells.append(f"a{len(aggregates) - 1} AS {field}")
+                rows.append(f"struct({', '.join(cells)})")
+        if rows:
+            parts.append(df.selectExpr(*aggregates).selectExpr(f"inline(array({', '.join(rows)}))"))
+    if not parts:
+        raise ValueError("no column to aggregate")
     return reduce(DataFrame.unionByName, parts)
 
 
+def cell_counts(tables: dict[str, DataFrame]) -> DataFrame:
+    """(dataset, column_name, non_empty, empty) in one scan per table and no value shuffle."""
+    return per_column(tables, lambda c, _: {"non_empty": f"count({c})", "empty": f"count_if({c} IS NULL)"})
+
+
+def approx_distinct_counts(tables: dict[str, DataFrame], rsd: float = 0.02) -> DataFrame:
+    """Opt-in sketch for columns too wide to group by value: fixed-size state per column."""
+    return per_column(tables, lambda c, _: {"distinct_values": f"approx_count_distinct({c}, {rsd})"})
+
+
 def distinct_counts(vc: DataFrame) -> DataFrame:
     """Exact distinct values: rows of the value-count table, so no second shuffle of values."""
     return vc.groupBy("dataset", "column_name").agg(
@@ -126,28 +128,6 @@ def distinct_counts(vc: DataFrame) -> DataFrame:
     )
 
 
-def approx_distinct_counts(tables: dict[str, DataFrame], rsd: float = 0.02) -> DataFrame:
-    """Opt-in sketch for columns too wide to group by value: fixed-size state per column."""
-    parts = []
-    for dataset, df in tables.items():
-        names = [n for n, _ in profiled_columns(df)]
-        wide = df.agg(*[F.approx_count_distinct(F.col(quoted(n)), rsd).alias(f"c{i}") for i, n in enumerate(names)])
-        parts.append(
-            wide_to_long(
-                wide,
-                [
-                    F.struct(
-                        F.lit(dataset).alias("dataset"),
-                        F.lit(n).alias("column_name"),
-                        F.col(f"c{i}").alias("distinct_values"),
-                    )
-                    for i, n in enumerate(names)
-                ],
-            )
-        )
-    return reduce(DataFrame.unionByName, parts)
-
-
 def key_candidates(vc: DataFrame, strict: bool = False) -> DataFrame:
     """Columns whose values don't repeat. `strict` counts an empty cell as one more value."""
     counts = distinct_counts(vc)

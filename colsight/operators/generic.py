@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, functions as F
 
-from colsight.functions.interpret import REAL_PATTERN, interpret_int, interpret_real, with_interpretation
-from colsight.functions.text import quoted
-from colsight.operators.cells import DATETIME, INTEGER, KEY, REAL, TEXT, profiled_columns, wide_to_long
+from colsight.functions.interpret import REAL_PATTERN, int_sql, real_sql, with_interpretation
+from colsight.operators.cells import DATETIME, INTEGER, KEY, REAL, TEXT, per_column
 from colsight.operators.ranking import top_per_group, top_rows
 
 COLUMN = list(KEY)
@@ -23,11 +20,12 @@ def frequent_values(vc: DataFrame, k: int = 5) -> DataFrame:
 # --- numbers --------------------------------------------------------------------------
 
 
-def _moments(c: Column, nan_to_zero: bool) -> dict[str, Column]:
-    out = {"max": F.max(c), "min": F.min(c), "mean": F.avg(c), "stddev": F.stddev_samp(c)}
+def _moments(kind: str, ref: str, nan_to_zero: bool) -> dict[str, str]:
+    out = {"max_value": f"max({ref})", "min_value": f"min({ref})", "mean": f"avg({ref})", "stddev": f"stddev_samp({ref})"}
     if nan_to_zero:
-        out = {k: F.coalesce(F.when(~F.isnan(v.cast("double")), v), F.lit(0)) for k, v in out.items()}
-    return {"count": F.count(c), **out}
+        out = {k: f"CASE WHEN isnan(CAST({v} AS DOUBLE)) THEN 0 ELSE coalesce({v}, 0) END" for k, v in out.items()}
+    types = {"max_value": "STRING", "min_value": "STRING", "mean": "DOUBLE", "stddev": "DOUBLE"}
+    return {"type": f"'{kind}'", "count": f"count({ref})", **{k: f"CAST({v} AS {types[k]})" for k, v in out.items()}}
 
 
 def numeric_stats(tables: dict[str, DataFrame], nan_to_zero: bool = False, interpret: bool = True) -> DataFrame:
@@ -36,65 +34,35 @@ def numeric_stats(tables: dict[str, DataFrame], nan_to_zero: bool = False, inter
     One scan per table, all columns in one aggregation, nothing but one row per task is
     shuffled. String columns are read as integers and as reals (`interpret`).
     """
-    parts = []
-    for dataset, df in tables.items():
-        wanted: list[tuple[str, str, Column]] = []
-        for name, bucket in profiled_columns(df):
-            c = F.col(quoted(name))
-            if bucket in (INTEGER, REAL):
-                wanted.append((name, bucket, c))
-            elif bucket == TEXT and interpret:
-                s = c.cast("string")
-                wanted += [(name, INTEGER, interpret_int(s)), (name, REAL, interpret_real(s))]
-        if not wanted:
-            continue
-        aggs = [
-            agg.alias(f"{stat}_{i}")
-            for i, (_, _, c) in enumerate(wanted)
-            for stat, agg in _moments(c, nan_to_zero).items()
-        ]
-        structs = [
-            F.struct(
-                F.lit(dataset).alias("dataset"),
-                F.lit(name).alias("column_name"),
-                F.lit(kind).alias("type"),
-                F.col(f"count_{i}").alias("count"),
-                F.col(f"max_{i}").cast("string").alias("max_value"),
-                F.col(f"min_{i}").cast("string").alias("min_value"),
-                F.col(f"mean_{i}").cast("double").alias("mean"),
-                F.col(f"stddev_{i}").cast("double").alias("stddev"),
-            )
-            for i, (name, kind, _) in enumerate(wanted)
-        ]
-        parts.append(wide_to_long(df.agg(*aggs), structs).where(F.col("count") > 0))
-    if not parts:
-        raise ValueError("no numeric column")
-    return reduce(DataFrame.unionByName, parts)
+
+    def stats(ref: str, bucket: str) -> list[dict[str, str]]:
+        if bucket in (INTEGER, REAL):
+            return [_moments(bucket, ref, nan_to_zero)]
+        if bucket == TEXT and interpret:
+            cell = f"CAST({ref} AS STRING)"
+            return [
+                _moments(INTEGER, f"({int_sql(cell)})", nan_to_zero),
+                _moments(REAL, f"({real_sql(cell)})", nan_to_zero),
+            ]
+        return []
+
+    return per_column(tables, stats).where(F.col("count") > 0)
 
 
 def describe_columns(df: DataFrame, dataset: str) -> DataFrame:
     """(dataset, column_name, count, mean, stddev, min, max) of every profiled column, one pass."""
-    columns = profiled_columns(df)
-    aggs, structs = [], []
-    for i, (name, bucket) in enumerate(columns):
-        c = F.col(quoted(name))
-        number = c.cast("double") if bucket in (INTEGER, REAL) else F.lit(None).cast("double")
-        stats = {
-            "count": F.count(c),
-            "mean": F.avg(number),
-            "stddev": F.stddev_samp(number),
-            "min": F.min(c).cast("string"),
-            "max": F.max(c).cast("string"),
+
+    def stats(ref: str, bucket: str) -> dict[str, str]:
+        number = f"CAST({ref} AS DOUBLE)" if bucket in (INTEGER, REAL) else "CAST(NULL AS DOUBLE)"
+        return {
+            "count": f"count({ref})",
+            "mean": f"avg({number})",
+            "stddev": f"stddev_samp({number})",
+            "min": f"CAST(min({ref}) AS STRING)",
+            "max": f"CAST(max({ref}) AS STRING)",
         }
-        aggs += [a.alias(f"{k}_{i}") for k, a in stats.items()]
-        structs.append(
-            F.struct(
-                F.lit(dataset).alias("dataset"),
-                F.lit(name).alias("column_name"),
-                *[F.col(f"{k}_{i}").alias(k) for k in stats],
-            )
-        )
-    return wide_to_long(df.agg(*aggs), structs)
+
+    return per_column({dataset: df}, stats)
 
 
 def integral_reals(vc: DataFrame) -> DataFrame:
@@ -110,46 +78,33 @@ def integral_reals(vc: DataFrame) -> DataFrame:
 # --- dates ----------------------------------------------------------------------------
 
 
-def _date_rows(vc: DataFrame) -> DataFrame:
-    """Native dates and strings that read as dates, each with its time as `as_ts`."""
-    native = vc.where(F.col("bucket") == DATETIME).withColumn("as_ts", F.col("val").try_cast("timestamp_ntz"))
-    text = with_interpretation(vc.where(F.col("bucket") == TEXT)).where(F.col("kind") == "date")
-    return native.select(*COLUMN, "val", "count", "as_ts").unionByName(text.select(*COLUMN, "val", "count", "as_ts"))
-
-
-def _latest(c: str = "as_ts") -> list[Column]:
-    order = F.struct(F.col(c), F.col("val"))
+def _latest(order: Column) -> list[Column]:
     return [F.max_by("val", order).alias("max_value"), F.min_by("val", order).alias("min_value")]
 
 
-def date_stats(vc: DataFrame) -> DataFrame:
-    """(dataset, column_name, count, max_value, min_value): the original strings of the extremes."""
-    rows = _date_rows(vc).where(F.col("as_ts").isNotNull())
-    return rows.groupBy(*COLUMN).agg(F.sum("count").alias("count"), *_latest())
+def date_stats(vc: DataFrame, level: str = "high") -> DataFrame:
+    """(dataset, column_name, count, max_value, min_value): the original strings of the extremes.
+
+    Native dates and strings that read as dates. The condition sits inside the aggregates:
+    as a filter it would move below the grouping and parse every cell instead of every value.
+    """
+    known = with_kind(vc, level)
+    order = F.when((F.col("kind") == "date") & F.col("as_ts").isNotNull(), F.struct("as_ts", "val"))
+    return (
+        known.groupBy(*COLUMN)
+        .agg(F.sum(F.when(order.isNotNull(), F.col("count"))).alias("count"), *_latest(order))
+        .where(F.col("count") > 0)
+    )
 
 
 def date_range(tables: dict[str, DataFrame]) -> DataFrame:
     """Latest and earliest value of native date columns in one scan without grouping."""
-    parts = []
-    for dataset, df in tables.items():
-        names = [n for n, b in profiled_columns(df) if b == DATETIME]
-        if not names:
-            continue
-        aggs, structs = [], []
-        for i, n in enumerate(names):
-            c = F.col(quoted(n))
-            aggs += [F.count(c).alias(f"count_{i}"), F.max(c).alias(f"max_{i}"), F.min(c).alias(f"min_{i}")]
-            structs.append(
-                F.struct(
-                    F.lit(dataset).alias("dataset"),
-                    F.lit(n).alias("column_name"),
-                    F.col(f"count_{i}").alias("count"),
-                    F.col(f"max_{i}").cast("string").alias("max_value"),
-                    F.col(f"min_{i}").cast("string").alias("min_value"),
-                )
-            )
-        parts.append(wide_to_long(df.agg(*aggs), structs))
-    return reduce(DataFrame.unionByName, parts)
+
+    def stats(ref: str, bucket: str) -> list[dict[str, str]]:
+        extremes = {"max_value": f"CAST(max({ref}) AS STRING)", "min_value": f"CAST(min({ref}) AS STRING)"}
+        return [{"count": f"count({ref})", **extremes}] if bucket == DATETIME else []
+
+    return per_column(tables, stats)
 
 
 # --- texts ----------------------------------------------------------------------------
@@ -179,15 +134,15 @@ def text_average_length(vc: DataFrame) -> DataFrame:
 
 
 def with_kind(vc: DataFrame, level: str = "high") -> DataFrame:
-    """Kind of each value: of its column for native types, of the value itself for strings."""
-    native = (
-        F.when(F.col("bucket") == INTEGER, "int")
-        .when(F.col("bucket") == REAL, "real")
-        .when(F.col("bucket") == DATETIME, "date")
-    )
-    interpreted = with_interpretation(vc, "val", level)
-    return interpreted.withColumn(
-        "kind", F.when(F.col("val").isNull(), F.lit(None)).otherwise(F.coalesce(native, F.col("kind")))
+    """Kind and date of each value: from its column for native types, from the value itself
+    for strings. Adds kind and as_ts."""
+    bucket = F.col("bucket")
+    native = F.when(bucket == INTEGER, "int").when(bucket == REAL, "real").when(bucket == DATETIME, "date")
+    read = with_interpretation(vc.withColumn("_text", F.when(bucket == TEXT, F.col("val"))), "_text", level)
+    return read.select(
+        *vc.columns,
+        F.when(F.col("val").isNotNull(), F.coalesce(native, F.col("kind"))).alias("kind"),
+        F.when(bucket == DATETIME, F.col("val").try_cast("timestamp_ntz")).otherwise(F.col("as_ts")).alias("as_ts"),
     )
 
 

@@ -305,8 +305,9 @@ def detect_shape(vc: DataFrame, detectors: Iterable[str] = ("initials", "color",
 def scaled_thousandths(x: Column, low: Column, high: Column) -> Column:
     """1000 * (x - low) / (high - low), rounded half up in whole numbers; 500 for a constant column."""
     span = high - low
-    # whole-number division is exact where a double would not be
-    exact = F.floor((F.lit(2000) * (x - low) + span).cast("decimal(25,0)") / (F.lit(2) * span).cast("decimal(12,0)"))
+    part, whole = F.lit(2000) * (x - low) + span, F.nullif(F.lit(2) * span, F.lit(0))
+    # part - part % whole is a multiple of whole, so the quotient is a whole number again
+    exact = F.round((part - part % whole) / whole)
     return F.when(span == 0, F.lit(500)).otherwise(exact).cast("bigint")
 
 

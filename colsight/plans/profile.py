@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from colsight.operators import cells, generic
 from colsight.operators.cells import DATETIME, INTEGER, REAL, TEXT
@@ -35,13 +35,12 @@ def _in_order(rows: DataFrame, name: str) -> DataFrame:
     )
 
 
-def _typed(rows: DataFrame, kind: Column | str, **fields: Column) -> DataFrame:
+def _typed(rows: DataFrame, kind: str | None, *fields: str) -> DataFrame:
     """Rows of one profile type in the common layout of TYPE_FIELDS."""
+    present = {"type", "count", *fields}
+    typed = rows.withColumn("type", F.lit(kind)) if kind else rows
     layout = [f.strip().split(" ", 1) for f in TYPE_FIELDS.split(",")]
-    values = {"type": F.lit(kind) if isinstance(kind, str) else kind, "count": F.col("count"), **fields}
-    return rows.select(
-        *KEY, *[values.get(name, F.lit(None)).cast(sql_type).alias(name) for name, sql_type in layout]
-    )
+    return typed.selectExpr(*KEY, *[f"CAST({n if n in present else 'NULL'} AS {t}) AS {n}" for n, t in layout])
 
 
 def column_types(tables: dict[str, DataFrame], kinds: DataFrame, k: int = 5, nan_to_zero: bool = False) -> DataFrame:
@@ -53,7 +52,7 @@ def column_types(tables: dict[str, DataFrame], kinds: DataFrame, k: int = 5, nan
     dates = (
         kinds.where((F.col("kind") == "date") & F.col("as_ts").isNotNull())
         .groupBy(*KEY)
-        .agg(F.sum("count").alias("count"), *generic._latest())
+        .agg(F.sum("count").alias("count"), *generic._latest(F.struct("as_ts", "val")))
     )
     texts = kinds.where((F.col("kind") == "text") & (F.col("bucket") == TEXT))
     filled = texts.where(F.col("val") != "").withColumn("length", F.char_length("val"))
@@ -72,21 +71,9 @@ def column_types(tables: dict[str, DataFrame], kinds: DataFrame, k: int = 5, nan
         .join(_in_order(longest, "longest_values"), KEY, "left")
     )
     return (
-        _typed(numbers, F.col("type"), **{f: F.col(f) for f in ("max_value", "min_value", "mean", "stddev")})
-        .unionByName(_typed(dates, DATETIME, max_value=F.col("max_value"), min_value=F.col("min_value")))
-        .unionByName(
-            _typed(
-                text_rows, TEXT, **{f: F.col(f) for f in ("shortest_values", "longest_values", "average_length")}
-            )
-        )
-    )
-
-
-def _kinds(tables: dict[str, DataFrame]) -> DataFrame:
-    kinds = generic.with_kind(cells.value_counts(tables))
-    native_date = F.when(F.col("bucket") == DATETIME, F.col("val").try_cast("timestamp_ntz"))
-    return kinds.select(
-        *KEY, "bucket", "val", "count", "kind", F.coalesce(native_date, F.col("as_ts")).alias("as_ts")
+        _typed(numbers, None, "max_value", "min_value", "mean", "stddev")
+        .unionByName(_typed(dates, DATETIME, "max_value", "min_value"))
+        .unionByName(_typed(text_rows, TEXT, "shortest_values", "longest_values", "average_length"))
     )
 
 
@@ -99,7 +86,7 @@ def profile_columns(
     counts, once for the numeric moments. `staged` writes the interpreted value counts
     before the four steps that read them; without it each step plans its own grouping.
     """
-    kinds = _kinds(tables)
+    kinds = generic.with_kind(cells.value_counts(tables))
     if staged:
         kinds = stage(kinds)
     type_order = F.array_position(F.array(*[F.lit(t) for t in (INTEGER, REAL, DATETIME, TEXT)]), F.col("type"))
