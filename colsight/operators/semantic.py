@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from colsight import rules as R
-from colsight.functions.text import first_word, soundex_code
+from colsight.functions.text import first_word, soundex_code, sql_text
 from colsight.rules import PatternRule
 
 ENTITY_LABELS = ("GPE", "PERSON", "ORG")
@@ -114,8 +114,8 @@ def weighted_share(vc: DataFrame, rules: Iterable[PatternRule]) -> DataFrame:
 
 def literal_terms(spark: SparkSession, terms: Mapping[str, Iterable[str]], kind: str = "semantic_type") -> DataFrame:
     """(kind, term) from literals: a local relation, so its exact size is known to the optimiser."""
-    rows = [F.struct(F.lit(k).alias(kind), F.lit(t).alias("term")) for k, values in terms.items() for t in values]
-    return spark.range(1).select(F.inline(F.array(*rows)))
+    rows = ", ".join(f"({sql_text(k)}, {sql_text(t)})" for k, values in terms.items() for t in values)
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS t({kind}, term)")
 
 
 def _marks(terms: DataFrame, kind: str, kinds: list[str]) -> DataFrame:
