@@ -50,8 +50,6 @@ def made_vc(spark, sf_dir, corpus):
     return cells.value_counts(tables(spark, sf_dir, corpus))
 
 
-NUMERIC_TYPES = ("TINYINT", "SMALLINT", "INTEGER", "BIGINT", "FLOAT", "DOUBLE")
-
 # --- counts -------------------------------------------------------------------------------
 
 register(

@@ -6,12 +6,11 @@ from pyspark.sql import functions as F
 
 from colsight import rules as R
 from colsight.functions import text as T
-from colsight.operators import cells, evaluate, semantic as S
+from colsight.operators import evaluate, semantic as S
 from colsight.plans import classify as C, profile as P
-from suite.corpus import SEMANTIC, load, pick, register, semantic_values, tables, values_sql
+from suite.corpus import SEMANTIC, load, register, semantic_values, tables, values_sql
 
 VC = f"vc AS MATERIALIZED ({values_sql()})"
-ALL = tuple(SEMANTIC)
 
 # --- patterns ---------------------------------------------------------------------------------
 
