@@ -58,31 +58,18 @@ def clean_name(c: Column) -> Column:
     return F.regexp_replace(F.lower(c), r"[^a-z0-9\s]", " ")
 
 
-def _windows(parts: Column, n: int, sep: str) -> Column:
-    def grams(p: Column) -> Column:
-        cut = F.transform(
-            F.sequence(F.lit(0), F.size(p) - n),
-            lambda i: F.concat_ws(sep, *[F.get(p, i + k) for k in range(n)]),
-        )
-        return F.when(F.size(p) >= n, cut).otherwise(F.array().cast("array<string>"))
-
-    return let(parts, grams)
-
-
 def char_ngrams(c: Column, n: int = 3) -> Column:
-    return _windows(F.split(c, ""), n, "")
-
-
-def _alpha_words(c: Column) -> Column:
-    text = F.trim(F.regexp_replace(c, "[^a-zA-Z]+", " "))
-    return F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(text, " "))
+    """All runs of n characters. The look-ahead takes the gram, the `.` steps one character on."""
+    return F.regexp_extract_all(c, F.lit(f"(?s)(?=(.{{{n}}}))."), F.lit(1))
 
 
 def word_ngrams(c: Column, n: int = 4, sentences: bool = False) -> Column:
-    """Word n-grams over letters only; `sentences` keeps grams inside a sentence."""
-    return sentence_ngrams(c, n) if sentences else _windows(_alpha_words(c), n, " ")
+    """All runs of n words, letters only; with `sentences`, none across a point or line break."""
+    kept = r"a-zA-Z.\n" if sentences else "a-zA-Z"
+    text = F.regexp_replace(c, f"[^{kept}]+", " ")
+    run = f"(?=([a-zA-Z]+(?: [a-zA-Z]+){{{n - 1}}}))[a-zA-Z]+"
+    return F.regexp_extract_all(text, F.lit(run), F.lit(1))
 
 
 def sentence_ngrams(c: Column, n: int = 4) -> Column:
-    """Word n-grams that do not cross a point or a line break."""
-    return F.flatten(F.transform(F.split(c, r"[.\n]"), lambda s: _windows(_alpha_words(s), n, " ")))
+    return word_ngrams(c, n, sentences=True)

@@ -51,27 +51,55 @@ def type_dispatch(df: DataFrame, dataset: str) -> DataFrame:
     return df.sparkSession.range(1).selectExpr(f"inline(array({', '.join(rows)}))")
 
 
-def to_cells(df: DataFrame, dataset: str) -> DataFrame:
-    """(dataset, column_name, bucket, val): every profiled cell as a string, null if empty."""
-    columns = profiled_columns(df)
-    if not columns:
-        raise ValueError(f"{dataset} has no column of a profiled type")
-    as_text = df.selectExpr(*[f"CAST({quoted(n)} AS STRING) AS {quoted(n)}" for n, _ in columns])
-    long = as_text.unpivot([], [quoted(n) for n, _ in columns], "column_name", "val")
-    by_bucket: dict[str, list[str]] = {}
-    for name, bucket in columns:
-        by_bucket.setdefault(bucket, []).append(sql_text(name))
-    whens = " ".join(f"WHEN column_name IN ({', '.join(names)}) THEN '{b}'" for b, names in by_bucket.items())
-    return long.selectExpr(f"{sql_text(dataset)} AS dataset", "column_name", f"CASE {whens} END AS bucket", "val")
+def _numbered_cells(df: DataFrame, first: int) -> DataFrame:
+    """(c, val): every profiled cell as a string, with its column's number as text."""
+    names = [n for n, _ in profiled_columns(df)]
+    numbers = [str(first + i) for i in range(len(names))]
+    as_text = df.selectExpr(*[f"CAST({quoted(n)} AS STRING) AS {quoted(i)}" for i, n in zip(numbers, names)])
+    return as_text.unpivot([], [quoted(i) for i in numbers], "c", "val")
+
+
+def _names(tables: dict[str, DataFrame]) -> list[tuple[str, str, str]]:
+    return [(dataset, name, bucket) for dataset, df in tables.items() for name, bucket in profiled_columns(df)]
+
+
+def _named(numbered: DataFrame, names: list[tuple[str, str, str]]) -> DataFrame:
+    """Replace the column number by (dataset, column_name, bucket), looked up in a constant array."""
+    entries = ", ".join(
+        f"struct({sql_text(d)} AS dataset, {sql_text(n)} AS column_name, {sql_text(b)} AS bucket)" for d, n, b in names
+    )
+    rest = [c for c in numbered.columns if c != "c"]
+    return numbered.selectExpr(f"get(array({entries}), CAST(c AS INT)) AS k", *rest).select("k.*", *rest)
+
+
+def _cells(tables: dict[str, DataFrame]) -> DataFrame:
+    parts, first = [], 0
+    for dataset, df in tables.items():
+        width = len(profiled_columns(df))
+        if not width:
+            raise ValueError(f"{dataset} has no column of a profiled type")
+        parts.append(_numbered_cells(df, first))
+        first += width
+    return reduce(DataFrame.union, parts)
 
 
 def cells_of(tables: dict[str, DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, (to_cells(df, name) for name, df in tables.items()))
+    """(dataset, column_name, bucket, val): every profiled cell as a string, null if empty."""
+    return _named(_cells(tables), _names(tables))
+
+
+def to_cells(df: DataFrame, dataset: str) -> DataFrame:
+    return cells_of({dataset: df})
 
 
 def value_counts(tables: dict[str, DataFrame]) -> DataFrame:
-    """(dataset, column_name, bucket, val, count); empty cells are one row with a null val."""
-    return cells_of(tables).groupBy("dataset", "column_name", "bucket", "val").agg(F.count(F.lit(1)).alias("count"))
+    """(dataset, column_name, bucket, val, count); empty cells are one row with a null val.
+
+    Grouped by the column's number, not by its names, which keeps the shuffled rows short;
+    the names come back by position afterwards.
+    """
+    counted = _cells(tables).groupBy("c", "val").agg(F.count(F.lit(1)).alias("count"))
+    return _named(counted, _names(tables)).select("dataset", "column_name", "bucket", "val", "count")
 
 
 def column_id() -> Column:

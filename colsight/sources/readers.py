@@ -31,16 +31,22 @@ def select_datasets(
     return out if limit is None else out.limit(limit)
 
 
-def read_table(spark: SparkSession, path: str, fmt: str = "tsv", partitions: int | None = None) -> DataFrame:
-    """A typed table: Parquet, or tab-separated text with header and inferred types.
+def spread(df: DataFrame) -> DataFrame:
+    """Shuffle the rows of an input that has fewer splits than the cluster has cores.
 
-    A gzip file is read by one task whatever its size; `partitions` spreads its rows after
-    the read. Prefer Parquet for anything large.
+    A gzip file or a Parquet file with one row group is read by one task whatever its size;
+    without this, everything up to the first shuffle would run in that task. An input with
+    enough splits is left alone, so large tables aren't shuffled. AQE picks the partitions.
     """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.hint("repartition") if df.rdd.getNumPartitions() < cores else df
+
+
+def read_table(spark: SparkSession, path: str, fmt: str = "tsv") -> DataFrame:
+    """A typed table: Parquet, or tab-separated text with header and inferred types."""
     if fmt == "parquet":
-        return spark.read.parquet(path)
-    df = spark.read.csv(path, sep="\t", header=True, inferSchema=True)
-    return df.repartition(partitions) if partitions else df
+        return spread(spark.read.parquet(path))
+    return spread(spark.read.csv(path, sep="\t", header=True, inferSchema=True))
 
 
 # --- value counts ----------------------------------------------------------------------------
