@@ -1,9 +1,9 @@
 """Similar names and texts by their n-grams, without comparing everything with everything.
 
 Exact: an inverted index over each item's *prefix*, its rarest grams. Two items that reach
-the score must share a gram of both prefixes, so common grams never pair items up. Pairs
-that share a prefix gram are dropped at once if what is left of either item from that gram
-on cannot reach the score; the others are scored on their full bags.
+the score must share a gram of both prefixes, so common grams never pair items up. From the
+prefix grams a pair shares follows the most it can still score; only pairs for which that
+is enough are scored on their full bags.
 """
 
 from __future__ import annotations
@@ -37,50 +37,68 @@ def gram_bags(items: DataFrame, grams: Column) -> DataFrame:
 
 
 def _prefixes(bags: DataFrame, metric: str, min_score: float) -> DataFrame:
-    """(item, gram, rest, whole): prefix rows; `rest` is what the item has from this gram on."""
+    """(item, gram, n, left, after, whole): prefix rows of each item, rarest gram first.
+
+    Mass is what a gram can add to a score: n squared for cosine, 1 for jaccard. `whole` is
+    the item's mass, `left` what it has after this gram, `after` what it has after its prefix.
+    """
     frequency = bags.groupBy("gram").agg(F.count(F.lit(1)).alias("df"))
     mass = F.col("n") * F.col("n") if metric == "cosine" else F.lit(1).cast("bigint")
     by_item = Window.partitionBy("item")
     # from the most common gram down, so that the running sum is what follows in rarest-first order
     onward = by_item.orderBy(F.desc("df"), F.desc("gram")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    needed = F.col("whole") * ((min_score * min_score if metric == "cosine" else min_score) - EPSILON)
     ranked = (
         bags.join(frequency, "gram")
         .withColumn("mass", mass)
         .withColumns({"rest": F.sum("mass").over(onward), "whole": F.sum("mass").over(by_item)})
+        .withColumn("left", F.col("rest") - F.col("mass"))
+        .withColumn("after", F.coalesce(F.max(F.when(F.col("rest") < needed, F.col("rest"))).over(by_item), F.lit(0)))
     )
-    needed = min_score * min_score if metric == "cosine" else min_score
     # a gram that only one item has can't pair it with another
-    return ranked.where((F.col("rest") >= F.col("whole") * (needed - EPSILON)) & (F.col("df") > 1)).select(
-        "item", "gram", "rest", "whole"
-    )
+    return ranked.where((F.col("rest") >= needed) & (F.col("df") > 1)).select("item", "gram", "n", "left", "after", "whole")
+
+
+def _size_class(size: Column, min_score: float) -> Column:
+    """Sizes of a pair lie within a factor 1/min_score, so in the same or the next class."""
+    return F.floor(F.log(size.cast("double")) / math.log(1 / min_score) + EPSILON)
 
 
 def _candidates(prefixes: DataFrame, metric: str, min_score: float) -> DataFrame:
-    """(a, b, whole_a, whole_b), a < b, each pair once."""
-    left = prefixes.select(*[F.col(c).alias(f"{c}_a") for c in ("item", "rest", "whole")], "gram")
-    right = prefixes.select(*[F.col(c).alias(f"{c}_b") for c in ("item", "rest", "whole")], "gram")
+    """(a, b, whole_a, whole_b), a < b: pairs whose shared prefix grams leave the score in reach.
+
+    Whichever prefix ends first, all grams the pair shares beyond it come after the last
+    shared prefix gram; so the shared prefix plus the larger of the two possible remainders
+    is never below the true score.
+    """
+    sides = [
+        prefixes.select("gram", *[F.col(c).alias(f"{c}_{x}") for c in ("item", "n", "left", "after", "whole")])
+        for x in "ab"
+    ]
     keys = ["gram"]
-    rest_a, rest_b, whole_a, whole_b = (F.col(c) for c in ("rest_a", "rest_b", "whole_a", "whole_b"))
+    if metric == "jaccard" and min_score < 1:
+        # the class splits the group of a gram that many items share
+        here = _size_class(F.col("whole_b"), min_score)
+        sides[0] = sides[0].withColumn("class", _size_class(F.col("whole_a"), min_score))
+        sides[1] = sides[1].withColumn("class", F.explode(F.sequence(here - 1, here + 1)))
+        keys.append("class")
+    met = sides[0].join(sides[1], keys).where(F.col("item_a") < F.col("item_b"))
     if metric == "jaccard":
-        # sizes of a pair lie within a factor 1/min_score, hence in the same or the next
-        # size class: the class splits the groups of a gram that many items share
-        def size_class(size: Column) -> Column:
-            return F.floor(F.log(size.cast("double")) / math.log(1 / min_score) + EPSILON)
-
-        if min_score < 1:
-            around = F.explode(F.sequence(size_class(whole_b) - 1, size_class(whole_b) + 1))
-            left = left.withColumn("class", size_class(whole_a))
-            right = right.withColumn("class", around)
-            keys.append("class")
-        reach = F.least(rest_a, rest_b) * (1 + min_score) >= (whole_a + whole_b) * (min_score - EPSILON)
-    else:
-        reach = rest_a.cast("double") * rest_b >= whole_a.cast("double") * whole_b * (min_score * min_score - EPSILON)
-    return (
-        left.join(right, keys)
-        .where((F.col("item_a") < F.col("item_b")) & reach)
-        .select(F.col("item_a").alias("a"), F.col("item_b").alias("b"), "whole_a", "whole_b")
-        .distinct()
+        met = met.where(F.least("whole_a", "whole_b") >= F.greatest("whole_a", "whole_b") * (min_score - EPSILON))
+    seen = F.sum(F.col("n_a") * F.col("n_b")) if metric == "cosine" else F.count(F.lit(1))
+    pairs = met.groupBy("item_a", "item_b", "whole_a", "whole_b", "after_a", "after_b").agg(
+        seen.alias("seen"), F.min("left_a").alias("left_a"), F.min("left_b").alias("left_b")
+    )
+    first, second = (
+        (F.least(x, y) if metric == "jaccard" else F.sqrt(x.cast("double") * y))
+        for x, y in ((F.col("after_a"), F.col("left_b")), (F.col("after_b"), F.col("left_a")))
     )
+    most = F.col("seen") + F.greatest(first, second)
+    if metric == "jaccard":
+        reach = most * (1 + min_score) >= (F.col("whole_a") + F.col("whole_b")) * (min_score - EPSILON)
+    else:
+        reach = most >= F.sqrt(F.col("whole_a").cast("double") * F.col("whole_b")) * (min_score - EPSILON)
+    return pairs.where(reach).select(F.col("item_a").alias("a"), F.col("item_b").alias("b"), "whole_a", "whole_b")
 
 
 def similar_pairs(
