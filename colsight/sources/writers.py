@@ -17,10 +17,12 @@ def write_semantic_json(rows: DataFrame, path: str) -> None:
     rows.write.json(path)
 
 
-def write_semantic_document(rows: DataFrame, path: str) -> None:
-    """A single `{"predicted_types": [...]}`. One row per column of the corpus goes through
-    one task, as one document must; use `write_semantic_json` for a corpus beyond that."""
-    rows.agg(F.sort_array(F.collect_list(F.struct(*rows.columns))).alias("predicted_types")).write.json(path)
+def write_semantic_document(rows: DataFrame, path: str, documents: int = 1) -> None:
+    """`{"predicted_types": [...]}` documents. One by default, as a single document must pass
+    through one task; `documents` splits a large corpus over that many tasks and files."""
+    shard = F.pmod(F.xxhash64("column_name"), F.lit(documents)).alias("document")
+    packed = rows.groupBy(shard).agg(F.sort_array(F.collect_list(F.struct(*rows.columns))).alias("predicted_types"))
+    packed.drop("document").write.json(path)
 
 
 def write_predictions(predictions: DataFrame, path: str) -> None:
@@ -44,9 +46,13 @@ def write_terms(terms: DataFrame, path: str, column: str = "term", by: str | Non
         terms.groupBy(by).agg(line).write.partitionBy(by).text(path)
 
 
-def write_clusters(clusters: DataFrame, path: str) -> None:
-    """JSON rows (cluster_id, items)."""
-    clusters.groupBy("cluster_id").agg(F.array_sort(F.collect_list("item")).alias("items")).write.json(path)
+def write_clusters(clusters: DataFrame, path: str, rows_per_array: int = 10_000) -> None:
+    """JSON rows (cluster_id, part, items). A cluster beyond `rows_per_array` items is spread
+    over about as many parts as it needs, so that no task holds a whole large cluster."""
+    sizes = clusters.groupBy("cluster_id").agg(F.count(F.lit(1)).alias("size"))
+    parts = F.ceil(F.col("size") / rows_per_array)
+    numbered = clusters.join(sizes, "cluster_id").withColumn("part", F.pmod(F.xxhash64("item"), parts))
+    numbered.groupBy("cluster_id", "part").agg(F.array_sort(F.collect_list("item")).alias("items")).write.json(path)
 
 
 def write_edges(edges: DataFrame, path: str) -> None:

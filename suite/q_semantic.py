@@ -55,6 +55,7 @@ register(
 )
 register("sem_regex_table", lambda s, d: _share6(S.detect_patterns(semantic_values(s, d), R.PATTERN_TABLE)), _pattern_sql(R.PATTERN_TABLE))
 register("sem_ruleset_v0", lambda s, d: _share6(S.detect_patterns(semantic_values(s, d), R.PATTERN_RULES_V0)), _pattern_sql(R.PATTERN_RULES_V0))
+register("sem_ruleset_v1", lambda s, d: _share6(S.detect_patterns(semantic_values(s, d), R.PATTERN_RULES_V1)), _pattern_sql(R.PATTERN_RULES_V1))
 register(
     "weighted_share",
     lambda s, d: _share6(S.weighted_share(semantic_values(s, d), R.PATTERN_RULES)),
@@ -252,6 +253,12 @@ register(
     f"WITH {VC} " + " UNION ALL ".join(_keyword_sql(k, t) for k, t in THRESHOLDS.items()),
 )
 
+register(
+    "sem_list_v1",
+    lambda s, d: _share6(S.detect_keywords(semantic_values(s, d), S.literal_terms(s, R.KEYWORDS), R.KEYWORD_THRESHOLDS_V1)),
+    f"WITH {VC} " + " UNION ALL ".join(_keyword_sql(k, t) for k, t in R.KEYWORD_THRESHOLDS_V1.items()),
+)
+
 # --- cascade -------------------------------------------------------------------------------------------
 
 

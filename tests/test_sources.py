@@ -100,6 +100,10 @@ def test_list_and_cluster_sinks(spark, tmp_path, rows):
     clusters = spark.createDataFrame([("x", "k"), ("y", "k")], "item string, cluster_id string")
     writers.write_clusters(clusters, str(tmp_path / "c"))
     assert spark.read.json(str(tmp_path / "c")).first()["items"] == ["x", "y"]
+    large = spark.range(500).selectExpr("CAST(id AS STRING) AS item", "'k' AS cluster_id")
+    writers.write_clusters(large, str(tmp_path / "large"), rows_per_array=100)
+    parts = [r["items"] for r in spark.read.json(str(tmp_path / "large")).collect()]
+    assert len(parts) == 5 and sorted(i for p in parts for i in p) == sorted(str(i) for i in range(500))
     weights = spark.createDataFrame([("a.b", "house_number", 3), ("a.c", "city", 4)], "column_id string, label string, weight bigint")
     writers.write_label_json(weights, str(tmp_path / "l"))
     back = {r["column_name"]: r["semantic_type"][0] for r in spark.read.json(str(tmp_path / "l")).collect()}
