@@ -88,9 +88,15 @@ def precision_recall(predictions: DataFrame, labels: DataFrame, alias: Mapping[s
 
 def eval_summary(predictions: DataFrame, scores: DataFrame) -> DataFrame:
     """(columns, typed, precision): columns seen, columns given a type, precision over all types."""
-    overall = scores.agg(F.sum("tp").alias("tp"), F.sum("fp").alias("fp"))
+    zero = F.lit(0).cast("bigint")
+    seen = predictions.agg(
+        F.count(F.lit(1)).alias("columns"), F.count_if(F.size("types") > 0).alias("typed")
+    ).select("columns", "typed", zero.alias("tp"), zero.alias("fp"))
+    hits = scores.agg(F.sum("tp").alias("tp"), F.sum("fp").alias("fp")).select(
+        zero.alias("columns"), zero.alias("typed"), "tp", "fp"
+    )
     return (
-        predictions.agg(F.count(F.lit(1)).alias("columns"), F.count_if(F.size("types") > 0).alias("typed"))
-        .join(F.broadcast(overall))
+        seen.unionByName(hits)
+        .agg(*[F.sum(c).alias(c) for c in ("columns", "typed", "tp", "fp")])
         .select("columns", "typed", F.round(F.try_divide("tp", F.col("tp") + F.col("fp")), 4).alias("precision"))
     )

@@ -1,16 +1,11 @@
-"""Session helpers: defaults for local runs, checkpoint folder, checked broadcast."""
+"""Session helpers: defaults for local runs, checkpoint folder."""
 
 from __future__ import annotations
 
 import os
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
-
-# A side is broadcast by hand only when its row count is known before the job runs
-# (schemas, literal lists) and stays below this. Everything else is left to Catalyst
-# and AQE, which compare measured bytes with the session's broadcast threshold.
-BROADCAST_ROWS = 100_000
+from pyspark.sql import SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "colsight") -> SparkSession:
@@ -29,13 +24,6 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     )
 
 
-def broadcast_if_bounded(df: DataFrame, max_rows: int | None) -> DataFrame:
-    """Broadcast `df` only if the caller can prove it has at most `max_rows` rows."""
-    if max_rows is not None and max_rows <= BROADCAST_ROWS:
-        return F.broadcast(df)
-    return df
-
-
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the folder the session names; make one only for a local master."""
     sc = spark.sparkContext
