@@ -123,7 +123,12 @@ def test_jobs_do_not_grow_with_columns(spark):
         P.profile_columns({"x": df}).collect()
         return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
 
-    assert jobs(12) <= jobs(2) + 1
+    # with AQE every stage is a job of its own, and which empty stages it skips depends on timing
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        assert jobs(12) == jobs(2)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
 def test_only_needed_columns_are_read(spark, tmp_path):
