@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from colsight.llm.common import batch_of, load, map_arrow, runs, stage, texts
+from colsight.llm.common import batch_of, map_arrow, runs, stage, texts
 
 CAPACITY = 2048
 GROUP_PIECES = 60_000  # pieces a packing task holds: memory of a task, not a limit on the input
@@ -27,7 +27,7 @@ FAN_IN = 32
 
 
 class ChunkIds(dict):
-    """White-space-free chunk -> its ids as little-endian bytes, remembered in bounded memory.
+    """Chunk without ASCII white space -> its ids as little-endian bytes, in bounded memory.
 
     Exact for tokenizers that never join text across white space, as `word_bpe_49k` (checked
     by the tests against whole texts).
@@ -39,16 +39,16 @@ class ChunkIds(dict):
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.dtype, self.limit = dtype, limit
 
-    def learn(self, chunks: set[str]) -> None:
+    def learn(self, chunks: set[bytes]) -> None:
         if len(self) + len(chunks) > self.limit:
             self.clear()
         new = [c for c in chunks if c not in self]
-        for chunk, found in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
+        for chunk, found in zip(new, self.tokenizer.encode_batch([c.decode() for c in new], add_special_tokens=False)):
             self[chunk] = np.array(found.ids, self.dtype).tobytes()
 
-    def of(self, texts_: list[str]) -> Iterator[bytes]:
+    def of(self, texts_: list[bytes]) -> Iterator[bytes]:
         """Ids of each text; texts are looked at in blocks so that misses are encoded together."""
-        block: list[list[str]] = []
+        block: list[list[bytes]] = []
         size = 0
         for i, text in enumerate(texts_):
             block.append(text.split())
@@ -82,7 +82,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: in
             if batch is None:
                 return []
             rows: list[tuple] = []
-            ids_of = known.of([t or "" for t in batch.column("text").to_pylist()])
+            ids_of = known.of([t or b"" for t in texts(batch)])
             for doc, ids in zip(batch.column("doc_id").to_pylist(), ids_of):
                 ids += end
                 for i, at in enumerate(range(0, len(ids), 4 * capacity)):

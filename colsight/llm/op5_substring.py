@@ -15,22 +15,19 @@ Documents are ordered by doc_id; repeated rows of one doc_id don't remove each o
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from colsight.llm.common import WordHashes, batch_of, bitmap, grams, has_bit, map_arrow, mix, signed, sliding_min, stage, texts
+from colsight.llm.common import WordHashes, batch_of, grams, has_bit, map_arrow, mix, sliding_min, stage, texts
+from colsight.llm.spans import WINDOW_SCHEMA, Windows, later_windows
+from colsight.llm.spans import digest as digest_without, removed
 
 WINDOW = 50
 CELLS = 1 << 26  # of each of the sketch's two rows; more only save shuffled windows
 SHARD = 1 << 20
-DOC_BITS = 1 << 25
 SALTS = (np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344))  # fixed values
-SECOND = 0xD6E8FEB86659FD93
-HELD = 1_500_000  # windows a task holds at once
+HELD = 6_000_000  # seeds a task holds at once
 
 
 def _seeds(hashes: np.ndarray, window: int) -> np.ndarray:
@@ -74,7 +71,7 @@ def sketch(docs: DataFrame, window: int = WINDOW, cells: int = CELLS) -> DataFra
                 words = text.split() if text else []
                 if len(words) >= window:
                     held.append(np.unique(_seeds(memo.of(words), window)))
-            return flush() if sum(map(len, held)) > 4 * HELD else []
+            return flush() if sum(map(len, held)) > HELD else []
 
         return run
 
@@ -108,46 +105,18 @@ def sketch_bits(docs: DataFrame, window: int = WINDOW, cells: int = CELLS) -> li
     return bits
 
 
-def row_key(text: bytes | None) -> int:
-    """Tells rows of one doc_id with different texts apart."""
-    return xxhash.xxh32_intdigest(text or b"") - (1 << 31)
-
-
-def _first(*keys: np.ndarray) -> np.ndarray:
-    """Whether a row differs from the one before in any key."""
-    new = np.ones(len(keys[0]), bool)
-    new[1:] = np.logical_or.reduce([k[1:] != k[:-1] for k in keys])
-    return new
-
-
 def repeats(docs: DataFrame, window: int = WINDOW, cells: int = CELLS) -> DataFrame:
-    """(doc_id, row_key, starts): starts of a document's windows that also start in one with a
-    smaller doc_id, as little-endian 32-bit numbers. Documents without any are left out."""
-    spark = docs.sparkSession
+    """(doc_id, row_key, starts): the windows of a document that also start in one with a smaller
+    doc_id. Documents without any are left out."""
     docs = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
-    shared = spark.sparkContext.broadcast(sketch_bits(docs, window, cells))
+    shared = docs.sparkSession.sparkContext.broadcast(sketch_bits(docs, window, cells))
 
     def make():
-        memo, bits, held = WordHashes(), shared.value, []
-
-        def flush():
-            if not held:
-                return []
-            doc = np.repeat([h[0] for h in held], [len(h[2]) for h in held])
-            key = np.repeat(np.array([h[1] for h in held], np.int32), [len(h[2]) for h in held])
-            start, one, two = (np.concatenate([h[i] for h in held]) for i in (2, 3, 4))
-            held.clear()
-            order = np.lexsort((doc, two, one))
-            doc, key, start, one, two = (x[order] for x in (doc, key, start, one, two))
-            group = np.cumsum(_first(one, two)) - 1
-            least = doc[_first(one, two)][group]
-            known = doc > least  # a smaller document of this task has the window
-            second = (two << np.uint64(32)) | start.astype(np.uint64)
-            return [batch_of(one=signed(np.where(known, mix(doc.astype(np.uint64) + second), one)), two=signed(second), doc_id=pa.array(doc), row_key=pa.array(key), known=pa.array(known))]
+        memo, bits, found = WordHashes(), shared.value, Windows(window, within=False)
 
         def run(batch):
             if batch is None:
-                return flush()
+                return found.flush()
             out = []
             for doc, text in zip(batch.column("doc_id").to_pylist(), texts(batch)):
                 words = text.split() if text else []
@@ -158,152 +127,20 @@ def repeats(docs: DataFrame, window: int = WINDOW, cells: int = CELLS) -> DataFr
                 again = has_bit(bits[0], _cells(seeds, 0, cells))
                 again &= has_bit(bits[1], _cells(seeds, 1, cells))
                 if again.any():
-                    at = np.flatnonzero(again)
-                    one = mix(grams(hashes, window)[at])
-                    two = mix(grams(hashes, window, SECOND)[at]) >> np.uint64(32)
-                    held.append((doc, row_key(text), at, one, two))
-                if held and sum(len(h[2]) for h in held) > HELD:
-                    out += flush()
+                    out += found.add(doc, text, hashes, np.flatnonzero(again))
             return out
 
         return run
 
-    windows = map_arrow(docs.where(F.col("doc_id").isNotNull()), make, "one bigint, two bigint, doc_id bigint, row_key int, known boolean")
-
-    def settle():
-        last: list = [None, None, None]  # window and its smallest document, across batches
-
-        def run(batch):
-            if batch is None:
-                return []
-            one, two, doc, key, known = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(5))
-            word = two.view(np.uint64) >> np.uint64(32)
-            new = _first(one, word)
-            new |= known
-            same = not known[0] and (one[0], word[0]) == (last[0], last[1])
-            new[1:] |= known[:-1]
-            least = doc[new][np.cumsum(new) - 1]
-            if same:
-                first = int(np.argmax(new[1:])) + 1 if new[1:].any() else len(new)
-                least[:first] = last[2]
-            if not known[-1]:
-                last[:] = [one[-1], word[-1], least[-1]]
-            out = known | (doc > least)
-            if not out.any():
-                return []
-            doc, key, start = doc[out], key[out], (two[out] & 0xFFFFFFFF).astype("<u4")
-            order = np.lexsort((start, key, doc))
-            doc, key, start = doc[order], key[order], start[order]
-            at = np.flatnonzero(_first(doc, key))
-            ends = [*at[1:], len(doc)]
-            return [batch_of(doc_id=pa.array(doc[at]), row_key=pa.array(key[at]), starts=pa.array([start[a:b].tobytes() for a, b in zip(at, ends)], pa.binary()))]
-
-        return run
-
-    ordered = windows.repartition("one").sortWithinPartitions("one", "known", F.shiftrightunsigned("two", 32), "doc_id")
-    parts = map_arrow(ordered, settle, "doc_id bigint, row_key int, starts binary")
-    return parts.groupBy("doc_id", "row_key").agg(F.array_join(F.collect_list(F.base64("starts")), ",").alias("starts"))
-
-
-def _kept(words: list[bytes], coded: str, window: int) -> list[bytes]:
-    import base64
-
-    starts = np.concatenate([np.frombuffer(base64.b64decode(p), "<u4") for p in coded.split(",")])
-    edge = np.zeros(len(words) + 1, np.int32)
-    np.add.at(edge, starts, 1)
-    np.add.at(edge, np.minimum(starts + window, len(words)), -1)
-    gone = np.cumsum(edge[:-1]) > 0
-    return [w for w, g in zip(words, gone) if not g]
-
-
-def _split(docs: DataFrame, window: int, cells: int):
-    """Documents that surely lose nothing, and the others joined to what they lose.
-
-    Which is which is told by a bitmap of fixed size over doc_id; the join settles its errors.
-    """
-    found = stage(repeats(docs, window, cells))
-    shared = docs.sparkSession.sparkContext.broadcast(bitmap(found, F.xxhash64("doc_id"), DOC_BITS))
-
-    def marked(wanted: bool):
-        def make():
-            def run(batch):
-                if batch is None:
-                    return []
-                hit = has_bit(shared.value, batch.column("__place").to_numpy()) == wanted
-                return [batch.filter(pa.array(hit)).drop_columns(["__place"])] if hit.any() else []
-
-            return run
-
-        placed = docs.withColumn("__place", F.pmod(F.xxhash64(F.col("doc_id").cast("bigint")), F.lit(DOC_BITS)))
-        return map_arrow(placed, make, docs.schema)
-
-    return marked(False), marked(True), found
+    windows = map_arrow(docs.where(F.col("doc_id").isNotNull()), make, WINDOW_SCHEMA)
+    return later_windows(windows, within=False)
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, cells: int = CELLS) -> DataFrame:
-    """`docs` with the repeated passages removed from `text`: kept words joined by one space where
-    anything was removed, unchanged elsewhere. Documents left without words go. `n_chars`, if
-    there, follows the text."""
-    clean, hit, found = _split(docs, window, cells)
-    keyed = _with_key(hit)
-    joined = keyed.join(found.select(F.col("doc_id").alias("__doc"), F.col("row_key").alias("__found"), "starts"), (F.col("doc_id").cast("bigint") == F.col("__doc")) & (F.col("__key") == F.col("__found")), "left")
-
-    def make():
-        def run(batch):
-            if batch is None:
-                return []
-            out = []
-            for text, starts in zip(texts(batch), batch.column("starts").to_pylist()):
-                out.append(text if starts is None else b" ".join(_kept(text.split(), starts, window)))
-            changed = pa.array([None if t is None else t.decode() for t in out], pa.string())
-            batch = batch.set_column(batch.schema.get_field_index("text"), "text", changed)
-            whole = pa.array([s is None or bool(t) for s, t in zip(batch.column("starts").to_pylist(), out)])
-            return [batch.filter(whole).select(docs.columns)]
-
-        return run
-
-    cut = map_arrow(joined.select(*docs.columns, "starts"), make, docs.schema)
-    out = clean.unionByName(cut)
-    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
-
-
-def _with_key(docs: DataFrame) -> DataFrame:
-    """Adds `__key`, the row key of the text."""
-
-    def make():
-        def run(batch):
-            if batch is None:
-                return []
-            return [batch.append_column("__key", pa.array([row_key(t) for t in texts(batch)], pa.int32()))]
-
-        return run
-
-    from pyspark.sql.types import IntegerType, StructType
-
-    return map_arrow(docs, make, StructType([*docs.schema.fields]).add("__key", IntegerType()))
+    """`docs` without the words that repeat an earlier document's window; see `removed` in spans."""
+    return removed(docs, stage(repeats(docs, window, cells)), window)
 
 
 def digest(docs: DataFrame, window: int = WINDOW, cells: int = CELLS) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256) of every row."""
-    docs = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
-    clean, hit, found = _split(docs, window, cells)
-
-    def make():
-        def run(batch):
-            if batch is None:
-                return []
-            rows = []
-            coded = batch.column("starts").to_pylist() if "starts" in batch.schema.names else [None] * batch.num_rows
-            for text, starts in zip(texts(batch), coded):
-                words = text.split() if text else []
-                left = words if starts is None else _kept(words, starts, window)
-                rows.append((len(words), len(words) - len(left), hashlib.sha256(b" ".join(left)).hexdigest()))
-            n, gone, sha = zip(*rows)
-            return [batch_of(doc_id=batch.column("doc_id"), n_words=pa.array(n, pa.int64()), n_removed=pa.array(gone, pa.int64()), kept_sha256=pa.array(sha, pa.string()))]
-
-        return run
-
-    schema = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string"
-    names = found.select(F.col("doc_id").alias("__doc"), F.col("row_key").alias("__found"), "starts")
-    joined = _with_key(hit).join(names, (F.col("doc_id") == F.col("__doc")) & (F.col("__key") == F.col("__found")), "left")
-    return map_arrow(clean, make, schema).unionByName(map_arrow(joined.select("doc_id", "text", "starts"), make, schema))
+    return digest_without(docs, stage(repeats(docs, window, cells)), window)
