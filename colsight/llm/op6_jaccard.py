@@ -332,9 +332,14 @@ def linked(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100) -> DataFr
 
 def keep_one(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """`docs` with one document of each group of linked ones: that with the smallest doc_id.
-    Rows without doc_id or without words stay, as they are linked with nothing; a repeated row
-    that stays, stays once."""
-    groups = linked(docs, k, num, den)
+
+    Rows without doc_id or without words are linked with nothing and stay. Repeated rows of one
+    doc_id and text count once.
+    """
+    groups = stage(linked(docs, k, num, den))
+    doc = F.col("doc_id").cast("bigint")
     gone = groups.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("__doc")).distinct()
-    kept = docs.join(gone, F.col("doc_id").cast("bigint") == F.col("__doc"), "left_anti")
-    return kept
+    again = groups.where((F.col("doc_id") == F.col("component_id")) & (F.col("n_shingles") > 0)).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("doc_id").alias("__doc"))
+    kept = docs.join(gone, doc == F.col("__doc"), "left_anti")
+    once = kept.join(again, doc == F.col("__doc"), "left_anti")
+    return once.unionByName(kept.join(again, doc == F.col("__doc"), "left_semi").dropDuplicates(["doc_id", "text"]))

@@ -10,10 +10,13 @@ fails `few_words`. Repeated rows are judged alike; no state is kept between docu
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from colsight.llm.common import WordHashes, grams, map_arrow, mix, texts
 
@@ -55,8 +58,10 @@ def _repeat_words(hashes: np.ndarray) -> int:
     return int(covered.sum())
 
 
-def measure(docs: DataFrame) -> DataFrame:
-    """(doc_id, the measurements) of every whole text."""
+def measure(docs: DataFrame, carried: bool = False) -> DataFrame:
+    """(doc_id, the measurements) of every whole text; `carried` adds them to all columns of `docs`,
+    as `m_<name>`."""
+    names = [f"m_{m}" for m in MEASURES] if carried else list(MEASURES)
 
     def make():
         memo = WordHashes()
@@ -83,11 +88,15 @@ def measure(docs: DataFrame) -> DataFrame:
                 return []
             chars = pc.fill_null(pc.utf8_length(batch.column("text")), 0).to_pylist()
             found = np.array([one(t, c) for t, c in zip(texts(batch), chars)], np.int64)
-            return [pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(found[:, i]) for i in range(len(MEASURES)))], ["doc_id", *MEASURES])]
+            columns = batch.columns if carried else [batch.column("doc_id")]
+            before = batch.schema.names if carried else ["doc_id"]
+            return [pa.RecordBatch.from_arrays([*columns, *(pa.array(found[:, i]) for i in range(len(names)))], [*before, *names])]
 
         return run
 
-    return map_arrow(docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")), make, "doc_id bigint, " + ", ".join(f"{m} bigint" for m in MEASURES))
+    rows = docs if carried else docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
+    schema = StructType([*(rows.schema.fields if carried else rows.schema.fields[:1]), *(StructField(m, LongType()) for m in names)])
+    return map_arrow(rows, make, schema)
 
 
 def ledger(docs: DataFrame, rules: dict[str, str] = RULES) -> DataFrame:
@@ -121,6 +130,15 @@ def ablation(rows: DataFrame, rules) -> DataFrame:
     )
 
 
+def keep(docs: DataFrame, policy: str = "v1") -> DataFrame:
+    """`docs` without what the policy rejects. The measurements travel with their row, so nothing
+    is joined and rows without doc_id are judged too."""
+    passed = F.lit(True)
+    for rule in POLICIES[policy]:
+        passed = passed & ~F.expr(re.sub(r"\b(" + "|".join(MEASURES) + r")\b", r"m_\1", RULES[rule]))
+    return measure(docs, carried=True).where(passed).select(*docs.columns)
+
+
 def quality(docs: DataFrame, policy: str = "v1") -> DataFrame:
     """(doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, failed)."""
     rows = apply_policy(ledger(docs), POLICIES[policy])

@@ -28,7 +28,7 @@ def row_key(text: bytes | None) -> int:
     return xxhash.xxh32_intdigest(text or b"") - (1 << 31)
 
 
-def _first(*keys: np.ndarray) -> np.ndarray:
+def first_rows(*keys: np.ndarray) -> np.ndarray:
     """Whether a row differs from the one before in any key."""
     new = np.ones(len(keys[0]), bool)
     new[1:] = np.logical_or.reduce([k[1:] != k[:-1] for k in keys])
@@ -59,7 +59,7 @@ class Windows:
         self.held, self.size = [], 0
         order = np.lexsort((start, doc, two, one))
         doc, key, start, one, two = (x[order] for x in (doc, key, start, one, two))
-        first = _first(one, two)
+        first = first_rows(one, two)
         known = _later(doc, start, *(x[first][np.cumsum(first) - 1] for x in (doc, start)), self.within)
         second = (two << np.uint64(32)) | start.astype(np.uint64)
         spread = np.where(known, mix(doc.astype(np.uint64) + second), one)
@@ -82,7 +82,7 @@ def later_windows(windows: DataFrame, within: bool) -> DataFrame:
                 return []
             one, two, doc, key, known = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(5))
             word, start = two.view(np.uint64) >> np.uint64(32), (two & 0xFFFFFFFF).astype(np.int64)
-            new = _first(one, word) | known
+            new = first_rows(one, word) | known
             new[1:] |= known[:-1]
             group = np.cumsum(new) - 1
             least_doc, least_start = doc[new][group], start[new][group]
@@ -96,7 +96,7 @@ def later_windows(windows: DataFrame, within: bool) -> DataFrame:
             doc, key, start = doc[out], key[out], start[out].astype("<u4")
             order = np.lexsort((start, key, doc))
             doc, key, start = doc[order], key[order], start[order]
-            at = np.flatnonzero(_first(doc, key))
+            at = np.flatnonzero(first_rows(doc, key))
             coded = [base64.b64encode(start[a:b].tobytes()).decode() for a, b in zip(at, [*at[1:], len(doc)])]
             return [batch_of(doc_id=pa.array(doc[at]), row_key=pa.array(key[at]), starts=pa.array(coded, pa.string()))]
 
