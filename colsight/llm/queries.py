@@ -6,16 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from colsight.llm import op1_decontaminate, op2_packing, op4_suffix, op5_substring, op6_jaccard, op9_quality
+from colsight.llm import op1_decontaminate, op10_binary, op2_packing, op3_tokens, op4_suffix, op5_substring, op6_jaccard, op9_quality
 from colsight.llm.common import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": lambda s, d: op1_decontaminate.search(load(s, d, "documents"), load(s, d, "benchmark")),
     "op2_packing": lambda s, d: op2_packing.pack_documents(load(s, d, "documents")),
+    "op3_tokens": lambda s, d: op3_tokens.count_tokens(load(s, d, "documents")),
     "op4_suffix": lambda s, d: op4_suffix.digest(load(s, d, "documents")),
     "op5_substring": lambda s, d: op5_substring.digest(load(s, d, "documents")),
     "op6_jaccard": lambda s, d: op6_jaccard.linked(load(s, d, "documents")),
     "op9_quality": lambda s, d: op9_quality.quality(load(s, d, "documents")),
+    "op10_binary": lambda s, d: op10_binary.packed_rows(load(s, d, "documents")),
 }
 
 ORACLES: dict[str, str] = {}
