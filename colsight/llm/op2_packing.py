@@ -43,8 +43,10 @@ class ChunkIds(dict):
         if len(self) + len(chunks) > self.limit:
             self.clear()
         new = [c for c in chunks if c not in self]
-        for chunk, found in zip(new, self.tokenizer.encode_batch([c.decode() for c in new], add_special_tokens=False)):
-            self[chunk] = np.array(found.ids, self.dtype).tobytes()
+        for at in range(0, len(new), 4096):  # an encoding is far larger than its ids
+            part = new[at : at + 4096]
+            for chunk, found in zip(part, self.tokenizer.encode_batch_fast([c.decode() for c in part], add_special_tokens=False)):
+                self[chunk] = np.array(found.ids, self.dtype).tobytes()
 
     def of(self, texts_: list[bytes]) -> Iterator[bytes]:
         """Ids of each text; texts are looked at in blocks so that misses are encoded together."""

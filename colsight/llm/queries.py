@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from colsight.llm import op1_decontaminate, op10_binary, op2_packing, op3_tokens, op4_suffix, op5_substring, op6_jaccard, op9_quality
+from colsight.llm import op1_decontaminate, op10_binary, op2_packing, op3_tokens, op4_suffix, op5_substring, op6_jaccard, op7_html, op8_language, op9_quality
 from colsight.llm.common import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -16,6 +16,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_suffix": lambda s, d: op4_suffix.digest(load(s, d, "documents")),
     "op5_substring": lambda s, d: op5_substring.digest(load(s, d, "documents")),
     "op6_jaccard": lambda s, d: op6_jaccard.linked(load(s, d, "documents")),
+    "op7_html": lambda s, d: op7_html.extract(load(s, d, "pages")),
+    "op8_language": lambda s, d: op8_language.identify(load(s, d, "documents")),
     "op9_quality": lambda s, d: op9_quality.quality(load(s, d, "documents")),
     "op10_binary": lambda s, d: op10_binary.packed_rows(load(s, d, "documents")),
 }
