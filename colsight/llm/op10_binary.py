@@ -114,8 +114,8 @@ def packed_rows(docs: DataFrame, tokenizer_path: str | None = None, width: int =
             if batch is None:
                 return flush()
             out = []
-            for doc, ids in zip(batch.column("doc_id").to_pylist(), known.of([t or b"" for t in texts(batch)])):
-                ids += end
+            for doc, text in zip(batch.column("doc_id").to_pylist(), texts(batch)):
+                ids = known.of(text) + end
                 for i, at in enumerate(range(0, len(ids), step * width)):
                     held.append((doc, i, at // step, ids[at : at + step * width]))
                 size += len(ids) // step

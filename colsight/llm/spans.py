@@ -154,6 +154,7 @@ def removed(docs: DataFrame, found: DataFrame, window: int) -> DataFrame:
     anything was removed, unchanged elsewhere. Documents left without words go. `n_chars`, if
     there, follows the text."""
     clean, hit = split(docs, found)
+    columns = docs.columns
 
     def make():
         def run(batch):
@@ -165,7 +166,7 @@ def removed(docs: DataFrame, found: DataFrame, window: int) -> DataFrame:
             changed = pa.array([None if t is None else t.decode() for t in out], pa.string())
             batch = batch.set_column(batch.schema.get_field_index("text"), "text", changed)
             whole = pa.array([s is None or bool(t) for s, t in zip(batch.column("__starts").to_pylist(), out)])
-            return [batch.filter(whole).select(docs.columns)]
+            return [batch.filter(whole).select(columns)]
 
         return run
 
