@@ -28,7 +28,7 @@ def texts(batch: pa.RecordBatch, column: str = "text") -> list[bytes | None]:
 class WordHashes(dict):
     """word -> 64-bit hash, remembered; forgets all when full, so memory stays bounded."""
 
-    def __init__(self, limit: int = 400_000):
+    def __init__(self, limit: int = 150_000):
         self.limit = limit
 
     def __missing__(self, word: bytes) -> int:
@@ -141,18 +141,45 @@ def runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Tabl
         yield pa.Table.from_batches(held)
 
 
-def map_arrow(df: DataFrame, make: Callable[[], Callable], schema: str) -> DataFrame:
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+TEXT_ROWS, NUMBER_ROWS = 256, 100_000
+
+
+def sized(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about `rows`."""
+    held: list[pa.RecordBatch] = []
+    n = 0
+
+    def joined() -> pa.RecordBatch:
+        return held[0] if len(held) == 1 else pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            held.append(batch.slice(at, rows))
+            n += held[-1].num_rows
+            if 2 * n >= rows:
+                yield joined()
+                held, n = [], 0
+    if n:
+        yield joined()
+
+
+def map_arrow(df: DataFrame, make: Callable[[], Callable], schema, rows: int = TEXT_ROWS) -> DataFrame:
     """`make()` runs once a task and gives the function of one batch, called with None at the end.
 
-    The function returns a list of record batches.
+    The function returns a list of record batches. It gets about `rows` rows at a time: few where
+    they hold texts, so that texts, words and results of many rows are never held together. Spark's
+    own batches of 10,000 rows are cut to 1,000 unless the session says otherwise.
     """
+    if df.sparkSession.conf.get(BATCH) == "10000":
+        df.sparkSession.conf.set(BATCH, "1000")
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         run = make()
-        for batch in batches:
-            if batch.num_rows:
-                yield from run(batch)
+        for batch in sized(batches, rows):
+            yield from run(batch)
         yield from run(None)
+        pa.default_memory_pool().release_unused()  # the worker lives on
 
     return df.mapInArrow(task, schema)
 

@@ -44,7 +44,7 @@ class ChunkIds(dict):
     faster; all other chunks go through the whole tokenizer.
     """
 
-    def __init__(self, tokenizer_json: str, dtype: str = "<u4", limit: int = 300_000):
+    def __init__(self, tokenizer_json: str, dtype: str = "<u4", limit: int = 150_000):
         from tokenizers import Tokenizer
 
         spec = json.loads(tokenizer_json)

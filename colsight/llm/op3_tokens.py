@@ -127,7 +127,7 @@ class Automaton:
 class Counts(dict):
     """Chunk without ASCII white space -> (words, tokens) as one number, in bounded memory."""
 
-    def __init__(self, automaton: Automaton, limit: int = 300_000):
+    def __init__(self, automaton: Automaton, limit: int = 200_000):
         self.automaton, self.limit, self.find = automaton, limit, regex.compile(PATTERN).findall
 
     def learn(self, chunks: set[bytes]) -> None:

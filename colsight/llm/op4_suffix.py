@@ -22,12 +22,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from colsight.llm.common import WordHashes, batch_of, grams, map_arrow, mix, signed, stage, texts
+from colsight.llm.common import NUMBER_ROWS, WordHashes, batch_of, grams, map_arrow, mix, signed, stage, texts
 from colsight.llm.spans import WINDOW_SCHEMA, Windows, first_rows, gathered, later_windows, numbers, row_key, split
 from colsight.llm.spans import digest as digest_without, removed
 
 WINDOW, SPREAD, GRAM = 50, 18, 8
-HELD = 1_500_000  # suffixes a task holds at once
+HELD = 1_000_000  # suffixes a task holds at once
 
 
 def minimisers(hashes: np.ndarray, window: int, spread: int, gram: int) -> np.ndarray:
@@ -117,7 +117,7 @@ def matches(rows: DataFrame) -> DataFrame:
         return run
 
     ordered = rows.repartition("key").sortWithinPartitions("key", "known", "doc_id", "at")
-    return gathered(map_arrow(ordered, make, "doc_id bigint, row_key int, starts string"))
+    return gathered(map_arrow(ordered, make, "doc_id bigint, row_key int, starts string", rows=NUMBER_ROWS))
 
 
 def repeats(docs: DataFrame, window: int = WINDOW, spread: int = SPREAD, gram: int = GRAM) -> DataFrame:

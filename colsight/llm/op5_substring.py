@@ -27,7 +27,7 @@ WINDOW = 50
 CELLS = 1 << 26  # of each of the sketch's two rows; more only save shuffled windows
 SHARD = 1 << 20
 SALTS = (np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344))  # fixed values
-HELD = 6_000_000  # seeds a task holds at once
+HELD = 2_000_000  # seeds a task holds at once
 
 
 def _seeds(hashes: np.ndarray, window: int) -> np.ndarray:
@@ -92,7 +92,7 @@ def sketch(docs: DataFrame, window: int = WINDOW, cells: int = CELLS) -> DataFra
         return run
 
     parts = map_arrow(docs.where(F.col("doc_id").isNotNull()).select(F.col("text").cast("string")), make, "shard int, data binary")
-    return map_arrow(parts.repartition(min(2 * shards, 64), "shard"), merge, "shard int, bits binary")
+    return map_arrow(parts.repartition(min(2 * shards, 64), "shard"), merge, "shard int, bits binary", rows=16)
 
 
 def sketch_bits(docs: DataFrame, window: int = WINDOW, cells: int = CELLS) -> list[np.ndarray]:

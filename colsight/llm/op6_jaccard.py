@@ -30,10 +30,10 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from colsight.llm.common import WordHashes, batch_of, bitmap, has_bit, lower_words, map_arrow, mix, runs, shingles, signed, stage, texts
+from colsight.llm.common import NUMBER_ROWS, WordHashes, batch_of, bitmap, has_bit, lower_words, map_arrow, mix, runs, shingles, signed, stage, texts
 from colsight.operators.components import components
 
-CHUNK_SHINGLES = 3_000_000  # shingles of a chunk: memory of a task, not a limit on groups
+CHUNK_SHINGLES = 1_500_000  # shingles of a chunk: memory of a task, not a limit on groups
 DOC_BITS = 1 << 25
 
 
@@ -113,7 +113,7 @@ def document_sets(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
                 if cls in met:
                     rows.append((len(s), cls, None, None))
                     continue
-                if len(met) >= 1_000_000:
+                if len(met) >= 300_000:
                     met.clear()
                 met.add(cls)
                 rows.append((len(s), cls, block_keys(s, bands).view(np.int64), parity_bits(s)))
@@ -159,7 +159,7 @@ def _meeting(rows: DataFrame) -> DataFrame:
 
         return run
 
-    return map_arrow(rows.repartition("key").sortWithinPartitions("key", "cls"), make, "key bigint, cls bigint")
+    return map_arrow(rows.repartition("key").sortWithinPartitions("key", "cls"), make, "key bigint, cls bigint", rows=NUMBER_ROWS)
 
 
 def _folded(bits: list[bytes]) -> np.ndarray:
@@ -208,7 +208,7 @@ def _candidates(rows: DataFrame, num: int, den: int) -> DataFrame:
                 for i, j in _forest(n[a:b], _folded(bits[a:b]), num, den):
                     pair = (int(min(ids[i], ids[j])), int(max(ids[i], ids[j])))
                     if pair not in seen:
-                        if len(seen) > 500_000:
+                        if len(seen) > 100_000:
                             seen.clear()
                         seen.add(pair)
                         found.append(pair)

@@ -75,7 +75,7 @@ def gram_counts(rows: DataFrame) -> DataFrame:
                 chunks = text.split()
                 words.setdefault(lang, Counter()).update(chunks)
                 state["size"] += len(chunks)
-                if state["size"] > 3_000_000:
+                if state["size"] > 1_500_000:
                     out += flush()
                     state["size"] = 0
             return out
@@ -138,7 +138,7 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray]) -> DataFrame:
             """chunk -> (n-grams, votes of every language)."""
 
             def learn(self, chunks: set[bytes]) -> None:
-                if len(self) + len(chunks) > 300_000:
+                if len(self) + len(chunks) > 150_000:
                     self.clear()
                 new = [c for c in chunks if c not in self]
                 grams, ends = [], []

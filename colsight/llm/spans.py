@@ -15,11 +15,11 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import IntegerType, StructType
 
-from colsight.llm.common import batch_of, bitmap, grams, has_bit, map_arrow, mix, signed, stage, texts
+from colsight.llm.common import NUMBER_ROWS, batch_of, bitmap, grams, has_bit, map_arrow, mix, signed, stage, texts
 
 DOC_BITS = 1 << 25
 SECOND = 0xD6E8FEB86659FD93
-HELD = 1_500_000  # windows a task holds at once
+HELD = 700_000  # windows a task holds at once
 WINDOW_SCHEMA = "one bigint, two bigint, doc_id bigint, row_key int, known boolean"
 
 
@@ -103,7 +103,7 @@ def later_windows(windows: DataFrame, within: bool) -> DataFrame:
         return run
 
     ordered = windows.repartition("one").sortWithinPartitions("one", "known", F.shiftrightunsigned("two", 32), "doc_id", "two")
-    return gathered(map_arrow(ordered, make, "doc_id bigint, row_key int, starts string"))
+    return gathered(map_arrow(ordered, make, "doc_id bigint, row_key int, starts string", rows=NUMBER_ROWS))
 
 
 def gathered(parts: DataFrame) -> DataFrame:
