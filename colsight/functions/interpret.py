@@ -11,7 +11,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from colsight.functions.text import let, sql_text
+from colsight.functions.text import let
 
 # --- fixed values: what counts as a number ------------------------------------------
 INT_PATTERN = r"^\s*[+-]?[0-9]+\s*$"
@@ -41,6 +41,8 @@ MONTH_NAME = (
 WEEKDAY = r"^(?:mon|tue|wed|thu|fri|sat|sun)[a-z]{0,6}\.?,? {1,2}"
 ZONE = r" ?(?:z|utc|gmt)$"
 HALF_DAY = r" ?([ap])\.?m\.?$"
+# a zone offset after a time; the time is group 1
+OFFSET = r"(:[0-9]{2}(?:\.[0-9]+)?(?: ?[ap]\.?m\.?)?) ?(?:z|utc|gmt)?([+-])([0-9]{2}):?([0-9]{2})?$"
 
 # --- rewrites to `~year-month-day time`, in order; a rewritten value matches no later one ---
 # A month name has become `<nn>` before. The day comes first only where the first number
@@ -69,9 +71,7 @@ LAYOUTS = (
     (r"^~([0-5][0-9]|6[0-8])-", "~20$1-"),
     (r"^~([0-9]{2})-", "~19$1-"),
 )
-CANONICAL = r"^~[0-9]{4}-[0-9]{1,2}-[0-9]{1,2} ([0-9]{1,2}:[0-9]{2}(:[0-9]{2}(\.[0-9]{1,6})?)?)?$"
-# No accepted layout is longer than this: the gaps above are all bounded.
-LONGEST_DATE = 64
+CANONICAL = r"^~[0-9]{4}-[0-9]{1,2}-[0-9]{1,2} ([0-9]{1,2}:[0-9]{2}(:[0-9]{2}(\.[0-9]+)?)?)?$"
 
 
 def numeric_like(c: Column) -> Column:
@@ -86,18 +86,12 @@ def interpret_real(c: Column) -> Column:
     return F.when(c.rlike(REAL_PATTERN), F.trim(c).try_cast("double"))
 
 
-def int_sql(ref: str) -> str:
-    """`interpret_int` as SQL text, for the wide aggregations."""
-    return f"CASE WHEN {ref} RLIKE {sql_text(INT_PATTERN)} THEN try_cast(trim({ref}) AS BIGINT) END"
+def _low(c: Column) -> Column:
+    return F.regexp_replace(F.regexp_replace(F.lower(F.trim(c)), WEEKDAY, ""), ZONE, "")
 
 
-def real_sql(ref: str) -> str:
-    return f"CASE WHEN {ref} RLIKE {sql_text(REAL_PATTERN)} THEN try_cast(trim({ref}) AS DOUBLE) END"
-
-
-def _bare(c: Column) -> Column:
-    low = F.lower(F.trim(c))
-    return F.regexp_replace(F.regexp_replace(low, WEEKDAY, ""), ZONE, "")
+def _bare(low: Column) -> Column:
+    return F.regexp_replace(low, OFFSET, "$1")
 
 
 def _half_day(bare: Column) -> Column:
@@ -115,7 +109,17 @@ def _iso(bare: Column) -> Column:
 
 
 def _timestamp(iso: Column) -> Column:
-    return F.when(iso.rlike(CANONICAL), F.trim(F.substring(iso, 2, LONGEST_DATE)).try_cast("timestamp_ntz"))
+    """Digits beyond microseconds are cut."""
+    micros = F.regexp_replace(F.regexp_replace(iso, r"(\.[0-9]{6})[0-9]+$", "$1"), "^~", "")
+    return F.when(iso.rlike(CANONICAL), F.trim(micros).try_cast("timestamp_ntz"))
+
+
+def _to_utc(ts: Column, low: Column) -> Column:
+    """A time with an offset, in UTC; null for an offset that no zone has."""
+    sign, hours, minutes = (F.regexp_extract(low, OFFSET, i) for i in (2, 3, 4))
+    shift = F.try_to_number(hours, F.lit("99")) * 60 + F.coalesce(F.try_to_number(minutes, F.lit("99")), F.lit(0))
+    moved = F.when(sign == "-", shift).otherwise(-shift).cast("int")
+    return F.when(sign == "", ts).when((shift <= 18 * 60) & (F.coalesce(F.try_to_number(minutes, F.lit("99")), F.lit(0)) < 60), F.timestamp_add("MINUTE", moved, ts))
 
 
 def _apply_half(ts: Column, half: Column) -> Column:
@@ -130,9 +134,16 @@ def _apply_half(ts: Column, half: Column) -> Column:
 
 
 def parse_datetime(c: Column) -> Column:
-    """Timestamp without zone, or null. Does not check whether the value looks like a date."""
-    bare = F.when(F.char_length(F.trim(c)) <= LONGEST_DATE, _bare(c))
-    return let(bare, lambda b: let(_timestamp(let(b, _iso)), lambda ts: _apply_half(ts, _half_day(b))))
+    """Timestamp without zone, or null; times with an offset are brought to UTC. Does not check
+    whether the value looks like a date."""
+
+    def read(low: Column) -> Column:
+        def of(bare: Column) -> Column:
+            return let(_timestamp(let(bare, _iso)), lambda ts: _apply_half(ts, _half_day(bare)))
+
+        return let(let(_bare(low), of), lambda ts: _to_utc(ts, low))
+
+    return let(_low(c), read)
 
 
 def _occurrences(c: Column, ch: str) -> Column:
@@ -176,13 +187,14 @@ def with_interpretation(df: DataFrame, source: str = "val", level: str = "high")
             {
                 "as_int": interpret_int(c),
                 "as_real": interpret_real(c),
-                "_bare": F.when(date_gate(c, level) & (F.char_length(F.trim(c)) <= LONGEST_DATE), _bare(c)),
+                "_low": F.when(date_gate(c, level), _low(c)),
             }
         )
+        .withColumn("_bare", _bare(F.col("_low")))
         .withColumn("_iso", _iso(F.col("_bare")))
         .withColumn("_ts", _timestamp(F.col("_iso")))
-        .withColumn("as_ts", _apply_half(F.col("_ts"), _half_day(F.col("_bare"))))
-        .drop("_bare", "_iso", "_ts")
+        .withColumn("as_ts", _to_utc(_apply_half(F.col("_ts"), _half_day(F.col("_bare"))), F.col("_low")))
+        .drop("_low", "_bare", "_iso", "_ts")
     )
     kind = (
         F.when(c.isNull(), F.lit(None))

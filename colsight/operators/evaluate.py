@@ -43,11 +43,11 @@ def completeness(vc: DataFrame) -> DataFrame:
 
 
 def labelled_weight(labelled: DataFrame) -> DataFrame:
-    """(column_id, label, weight) from `(column_id, label, val, count)`; blank and NULL values don't count."""
+    """(column_id, label, weight) from `(column_id, labels, val, count)`; blank and NULL values don't
+    count. A column with several labels gives its weight to each."""
     solid = (F.col("val") != "") & (F.col("val") != "NULL")
-    return labelled.groupBy("column_id", "label").agg(
-        F.coalesce(F.sum(F.when(solid, F.col("count"))), F.lit(0)).cast("bigint").alias("weight")
-    )
+    weight = F.coalesce(F.sum(F.when(solid, F.col("count"))), F.lit(0)).cast("bigint").alias("weight")
+    return labelled.groupBy("column_id", "labels").agg(weight).select("column_id", F.explode("labels").alias("label"), "weight")
 
 
 def _one_name(label: str, alias: Mapping[str, str]) -> Column:

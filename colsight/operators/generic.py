@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
-from colsight.functions.interpret import REAL_PATTERN, int_sql, real_sql, with_interpretation
-from colsight.operators.cells import DATETIME, INTEGER, KEY, REAL, TEXT, per_column
+from colsight.functions.interpret import REAL_PATTERN, interpret_int, interpret_real, with_interpretation
+from colsight.functions.text import quoted
+from colsight.operators.cells import DATETIME, INTEGER, KEY, REAL, TEXT, per_column, profiled_columns, value_counts
 from colsight.operators.ranking import top_per_group, top_rows
 
 COLUMN = list(KEY)
@@ -28,25 +31,67 @@ def _moments(kind: str, ref: str, nan_to_zero: bool) -> dict[str, str]:
     return {"type": f"'{kind}'", "count": f"count({ref})", **{k: f"CAST({v} AS {types[k]})" for k, v in out.items()}}
 
 
-def numeric_stats(tables: dict[str, DataFrame], nan_to_zero: bool = False, interpret: bool = True) -> DataFrame:
-    """(dataset, column_name, type, count, max_value, min_value, mean, stddev).
+def native_number_stats(tables: dict[str, DataFrame], nan_to_zero: bool = False) -> DataFrame | None:
+    """Statistics of native number columns: one scan per table without grouping. None without any."""
+    chosen = {t: df.select(*[quoted(n) for n, b in profiled_columns(df) if b in (INTEGER, REAL)]) for t, df in tables.items()}
+    chosen = {t: df for t, df in chosen.items() if df.columns}
+    if not chosen:
+        return None
+    return per_column(chosen, lambda ref, bucket: [_moments(bucket, ref, nan_to_zero)]).where(F.col("count") > 0)
+
 
-    One scan per table, all columns in one aggregation, nothing but one row per task is
-    shuffled. String columns are read as integers and as reals (`interpret`).
+def text_number_stats(values: DataFrame, nan_to_zero: bool = False) -> DataFrame:
+    """Statistics of the integers and reals in string columns, from distinct values with their
+    counts, `as_int` and `as_real`: each value is read once, not each cell.
+
+    The spread is summed around the mean, which takes a second pass over the values and loses
+    nothing to cancellation; the means are one row per column.
     """
+    texts = values.where((F.col("bucket") == TEXT) & (F.col("as_int").isNotNull() | F.col("as_real").isNotNull()))
+    kinds = {"as_int": INTEGER, "as_real": REAL}
 
-    def stats(ref: str, bucket: str) -> list[dict[str, str]]:
-        if bucket in (INTEGER, REAL):
-            return [_moments(bucket, ref, nan_to_zero)]
-        if bucket == TEXT and interpret:
-            cell = f"CAST({ref} AS STRING)"
-            return [
-                _moments(INTEGER, f"({int_sql(cell)})", nan_to_zero),
-                _moments(REAL, f"({real_sql(cell)})", nan_to_zero),
-            ]
-        return []
+    def sums(expr: str, name: str) -> list[Column]:
+        return [F.expr(expr.format(c)).alias(f"{name}_{c}") for c in kinds]
+
+    counted = texts.groupBy(*COLUMN).agg(
+        *sums("CAST(sum(CASE WHEN {0} IS NOT NULL THEN count END) AS BIGINT)", "n"),
+        *sums("sum(CAST({0} AS DOUBLE) * count)", "s"),
+        *sums("CAST(max({0}) AS STRING)", "max"),
+        *sums("CAST(min({0}) AS STRING)", "min"),
+    )
+    means = counted.select(*COLUMN, *[(F.col(f"s_{c}") / F.col(f"n_{c}")).alias(f"mean_{c}") for c in kinds])
+    spread = (
+        texts.join(means, COLUMN)
+        .groupBy(*COLUMN)
+        .agg(*[F.sum(F.col("count") * F.pow(F.col(c) - F.col(f"mean_{c}"), 2)).alias(f"ss_{c}") for c in kinds])
+    )
+    rows = []
+    for c, kind in kinds.items():
+        stddev = f"CASE WHEN n_{c} > 1 THEN sqrt(ss_{c} / (n_{c} - 1)) END"
+        rows.append(
+            f"struct('{kind}' AS type, n_{c} AS count, max_{c} AS max_value, min_{c} AS min_value, "
+            f"s_{c} / n_{c} AS mean, {f'coalesce({stddev}, 0D)' if nan_to_zero else stddev} AS stddev)"
+        )
+    return counted.join(spread, COLUMN).selectExpr(*COLUMN, f"inline(array({', '.join(rows)}))").where(F.col("count") > 0)
+
+
+def numeric_stats(tables: dict[str, DataFrame], nan_to_zero: bool = False, interpret: bool = True) -> DataFrame:
+    """(dataset, column_name, type, count, max_value, min_value, mean, stddev).
 
-    return per_column(tables, stats).where(F.col("count") > 0)
+    Native columns in one scan per table that shuffles one row per task. String columns are
+    read as integers and as reals (`interpret`), each distinct value once.
+    """
+    parts = [native_number_stats(tables, nan_to_zero)]
+    if interpret:
+        texts = {t: df.select(*[quoted(n) for n, b in profiled_columns(df) if b == TEXT]) for t, df in tables.items()}
+        texts = {t: df for t, df in texts.items() if df.columns}
+        if texts:
+            numbers = {"as_int": interpret_int(F.col("val")), "as_real": interpret_real(F.col("val"))}
+            parts.append(text_number_stats(value_counts(texts).withColumns(numbers), nan_to_zero))
+    found = [p for p in parts if p is not None]
+    if not found:
+        raise ValueError("no column to aggregate")
+    return reduce(DataFrame.unionByName, found)
 
 
 def describe_columns(df: DataFrame, dataset: str) -> DataFrame:
@@ -135,7 +180,7 @@ def text_average_length(vc: DataFrame) -> DataFrame:
 
 def with_kind(vc: DataFrame, level: str = "high") -> DataFrame:
     """Kind and date of each value: from its column for native types, from the value itself
-    for strings. Adds kind and as_ts."""
+    for strings. Adds kind, as_ts and, for strings, as_int and as_real."""
     bucket = F.col("bucket")
     native = F.when(bucket == INTEGER, "int").when(bucket == REAL, "real").when(bucket == DATETIME, "date")
     read = with_interpretation(vc.withColumn("_text", F.when(bucket == TEXT, F.col("val"))), "_text", level)
@@ -143,6 +188,8 @@ def with_kind(vc: DataFrame, level: str = "high") -> DataFrame:
         *vc.columns,
         F.when(F.col("val").isNotNull(), F.coalesce(native, F.col("kind"))).alias("kind"),
         F.when(bucket == DATETIME, F.col("val").try_cast("timestamp_ntz")).otherwise(F.col("as_ts")).alias("as_ts"),
+        "as_int",
+        "as_real",
     )
 
 
@@ -160,8 +207,3 @@ def mixed_type_counts(vc: DataFrame, level: str = "high") -> DataFrame:
         weight("text").alias("n_text"),
         weight("unclassified").alias("n_unclassified"),
     )
-
-
-def text_only(vc: DataFrame) -> DataFrame:
-    """Text values of string columns, with the other kinds left out."""
-    return with_interpretation(vc.where(F.col("bucket") == TEXT)).where(F.col("kind") == "text").select(*vc.columns)

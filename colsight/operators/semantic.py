@@ -118,16 +118,24 @@ def literal_terms(spark: SparkSession, terms: Mapping[str, Iterable[str]], kind:
     return spark.sql(f"SELECT * FROM VALUES {rows} AS t({kind}, term)")
 
 
+MASK_BITS = 62
+
+
+def _bit_masks(value: Column, members: list[str]) -> list[Column]:
+    """One bit per member, MASK_BITS to a bigint, set where `value` is that member."""
+    masks = []
+    for first in range(0, len(members), MASK_BITS):
+        mask = F.lit(0).cast("bigint")
+        for i, member in enumerate(members[first : first + MASK_BITS]):
+            mask = F.when(value == member, F.lit(1 << i).cast("bigint")).otherwise(mask)
+        masks.append(mask)
+    return masks
+
+
 def _marks(terms: DataFrame, kind: str, kinds: list[str]) -> DataFrame:
-    """(term, mark): one row per term, one bit per kind it belongs to."""
-    if len(kinds) > 62:
-        raise ValueError("at most 62 lists at a time")
-    bit = reduce(
-        lambda acc, pair: F.when(F.col(kind) == pair[1], F.lit(1 << pair[0]).cast("bigint")).otherwise(acc),
-        enumerate(kinds),
-        F.lit(0).cast("bigint"),
-    )
-    return terms.groupBy("term").agg(F.bit_or(bit).alias("mark"))
+    """(term, mark0, mark1, ...): one row per term, one bit per kind it belongs to."""
+    masks = _bit_masks(F.col(kind), kinds)
+    return terms.groupBy("term").agg(*[F.bit_or(m).alias(f"mark{i}") for i, m in enumerate(masks)])
 
 
 def _marked(vc: DataFrame, terms: DataFrame, kind: str, kinds: list[str]) -> DataFrame:
@@ -138,7 +146,8 @@ def _marked(vc: DataFrame, terms: DataFrame, kind: str, kinds: list[str]) -> Dat
 
 
 def _has(kinds: list[str], kind: str) -> Column:
-    return F.col("mark").bitwiseAND(F.lit(1 << kinds.index(kind)).cast("bigint")) != 0
+    word, bit = divmod(kinds.index(kind), MASK_BITS)
+    return F.col(f"mark{word}").bitwiseAND(F.lit(1 << bit).cast("bigint")) != 0
 
 
 def detect_keywords(vc: DataFrame, keywords: DataFrame, thresholds: Mapping[str, float]) -> DataFrame:
@@ -220,9 +229,11 @@ def make_code(c: Column) -> Column:
 
 
 def code_weights(vc: DataFrame, codes: Mapping[str, str], code: Column | None = None) -> DataFrame:
-    """(column_id, name, weight) per known name, plus an OTHERS row with what is left.
+    """(column_id, rank, name, weight) per known name by weight (ties by name), then an OTHERS row
+    with what is left.
 
-    Only columns in which at least one code occurs; one grouping, one sum per name.
+    Only columns in which at least one code occurs; one grouping, one sum per name, and the
+    order of a column's names is sorted within its row.
     """
     code = soundex_code(F.col("val")) if code is None else code
     names = sorted(set(codes.values()))
@@ -231,18 +242,17 @@ def code_weights(vc: DataFrame, codes: Mapping[str, str], code: Column | None =
         *[weight(F.col("code").isin([c for c, v in codes.items() if v == n])).alias(f"w{i}") for i, n in enumerate(names)],
     )
     known = reduce(lambda a, b: a + b, [F.col(f"w{i}") for i in range(len(names))])
-    entries = [{"name": F.lit(n), "weight": F.col(f"w{i}")} for i, n in enumerate(names)]
-    entries.append({"name": F.lit("OTHERS"), "weight": F.col("total") - known})
-    found = wide.where(known > 0)
-    return _stack(found, entries).where((F.col("weight") > 0) | (F.col("name") == "OTHERS"))
+    entries = F.array(*[F.struct((-F.col(f"w{i}")).alias("order"), F.lit(n).alias("name")) for i, n in enumerate(names)])
+    ranked = F.array_sort(F.filter(entries, lambda e: e["order"] < 0))
+    others = F.struct((known - F.col("total")).alias("order"), F.lit("OTHERS").alias("name"))
+    return wide.where(known > 0).select("column_id", F.posexplode(F.concat(ranked, F.array(others))).alias("rank", "entry")).select(
+        "column_id", (F.col("rank") + 1).alias("rank"), "entry.name", (-F.col("entry.order")).alias("weight")
+    )
 
 
-def _code_mask(code: Column, codes: Iterable[str]) -> Column:
-    """One bit per code, so that the codes present in a column are the or of a bigint."""
-    out = F.lit(0).cast("bigint")
-    for i, c in enumerate(codes):
-        out = F.when(code == c, F.lit(1 << i).cast("bigint")).otherwise(out)
-    return out
+def _codes_present(code: Column, codes: Iterable[str]) -> Column:
+    """How many of the codes a column has: the bits of the or of its values' masks."""
+    return reduce(lambda a, b: a + b, [F.bit_count(F.bit_or(m)) for m in _bit_masks(code, list(codes))])
 
 
 def _shape_measures() -> dict[str, Column]:
@@ -252,10 +262,10 @@ def _shape_measures() -> dict[str, Column]:
         "total": total_weight(),
         "n_values": F.count(F.lit(1)),
         "average_length": F.avg(F.char_length("val")),
-        "colors": F.bit_count(F.bit_or(_code_mask(color, R.COLOR_CODES))),
+        "colors": _codes_present(color, R.COLOR_CODES),
         "w_color": weight(color.isin(list({**R.COLOR_CODES, **R.COLOR_SHORT_CODES}))),
         "w_color_letters": weight(color.rlike(starts_with_letter)),
-        "makes": F.bit_count(F.bit_or(_code_mask(make, R.MAKE_CODES))),
+        "makes": _codes_present(make, R.MAKE_CODES),
         "w_make_letters": weight(make.rlike(starts_with_letter)),
         "boroughs": F.count_if(F.col("val").isin(list(R.BOROUGHS))),
         "w_borough": weight(F.col("val").isin(list(R.BOROUGHS))),

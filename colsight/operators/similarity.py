@@ -1,9 +1,9 @@
 """Similar names and texts by their n-grams, without comparing everything with everything.
 
 Exact: an inverted index over each item's *prefix*, its rarest grams. Two items that reach
-the score must share a gram of both prefixes, so common grams never pair items up. From the
-prefix grams a pair shares follows the most it can still score; only pairs for which that
-is enough are scored on their full bags.
+the score must share a gram of both prefixes, early enough to reach the score with what follows.
+From the prefix grams a pair shares follows the most it can still score; only pairs for which
+that is enough are scored on their full bags.
 """
 
 from __future__ import annotations
@@ -37,26 +37,26 @@ def gram_bags(items: DataFrame, grams: Column) -> DataFrame:
 
 
 def _prefixes(bags: DataFrame, metric: str, min_score: float) -> DataFrame:
-    """(item, gram, n, left, after, whole): prefix rows of each item, rarest gram first.
+    """(item, gram, n, rest, left, whole): prefix rows of each item, rarest gram first.
 
-    Mass is what a gram can add to a score: n squared for cosine, 1 for jaccard. `whole` is
-    the item's mass, `left` what it has after this gram, `after` what it has after its prefix.
+    Mass is what a gram can add to a score: n squared for cosine, 1 for jaccard. `whole` is the
+    item's mass, `rest` what it has from this gram on, `left` what it has after it. A gram of
+    one item pairs nobody: it counts in `whole` and is dropped before the ranking.
     """
-    frequency = bags.groupBy("gram").agg(F.count(F.lit(1)).alias("df"))
     mass = F.col("n") * F.col("n") if metric == "cosine" else F.lit(1).cast("bigint")
-    by_item = Window.partitionBy("item")
+    frequency = bags.groupBy("gram").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    whole = bags.groupBy("item").agg(F.sum(mass).alias("whole"))
     # from the most common gram down, so that the running sum is what follows in rarest-first order
-    onward = by_item.orderBy(F.desc("df"), F.desc("gram")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    onward = Window.partitionBy("item").orderBy(F.desc("df"), F.desc("gram")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     needed = F.col("whole") * ((min_score * min_score if metric == "cosine" else min_score) - EPSILON)
     ranked = (
         bags.join(frequency, "gram")
         .withColumn("mass", mass)
-        .withColumns({"rest": F.sum("mass").over(onward), "whole": F.sum("mass").over(by_item)})
-        .withColumn("left", F.col("rest") - F.col("mass"))
-        .withColumn("after", F.coalesce(F.max(F.when(F.col("rest") < needed, F.col("rest"))).over(by_item), F.lit(0)))
+        .join(whole, "item")
+        .withColumn("rest", F.sum("mass").over(onward))
+        .where(F.col("rest") >= needed)
     )
-    # a gram that only one item has can't pair it with another
-    return ranked.where((F.col("rest") >= needed) & (F.col("df") > 1)).select("item", "gram", "n", "left", "after", "whole")
+    return ranked.select("item", "gram", "n", "rest", (F.col("rest") - F.col("mass")).alias("left"), "whole")
 
 
 def _size_class(size: Column, min_score: float) -> Column:
@@ -67,12 +67,14 @@ def _size_class(size: Column, min_score: float) -> Column:
 def _candidates(prefixes: DataFrame, metric: str, min_score: float) -> DataFrame:
     """(a, b, whole_a, whole_b), a < b: pairs whose shared prefix grams leave the score in reach.
 
-    Whichever prefix ends first, all grams the pair shares beyond it come after the last
-    shared prefix gram; so the shared prefix plus the larger of the two possible remainders
-    is never below the true score.
+    Two items meet at a gram only if it could be the first they share: with nothing shared
+    before, what both have from it on must still reach the score. That shortens the prefixes
+    again, pair by pair, and first of all at the common grams, which come last. The grams that
+    pass are the first ones a pair shares, so what it shares beyond them is bounded by what
+    both have after the last of them.
     """
     sides = [
-        prefixes.select("gram", *[F.col(c).alias(f"{c}_{x}") for c in ("item", "n", "left", "after", "whole")])
+        prefixes.select("gram", *[F.col(c).alias(f"{c}_{x}") for c in ("item", "n", "rest", "left", "whole")])
         for x in "ab"
     ]
     keys = ["gram"]
@@ -82,23 +84,23 @@ def _candidates(prefixes: DataFrame, metric: str, min_score: float) -> DataFrame
         sides[0] = sides[0].withColumn("class", _size_class(F.col("whole_a"), min_score))
         sides[1] = sides[1].withColumn("class", F.explode(F.sequence(here - 1, here + 1)))
         keys.append("class")
-    met = sides[0].join(sides[1], keys).where(F.col("item_a") < F.col("item_b"))
+
+    def bound(x: str) -> Column:
+        a, b = F.col(f"{x}_a"), F.col(f"{x}_b")
+        return F.least(a, b).cast("double") if metric == "jaccard" else F.sqrt(a.cast("double") * b)
+
     if metric == "jaccard":
-        met = met.where(F.least("whole_a", "whole_b") >= F.greatest("whole_a", "whole_b") * (min_score - EPSILON))
+        enough = (F.col("whole_a") + F.col("whole_b")) * ((min_score - EPSILON) / (1 + min_score))
+    else:
+        enough = F.sqrt(F.col("whole_a").cast("double") * F.col("whole_b")) * (min_score - EPSILON)
+    met = sides[0].join(sides[1], keys).where((F.col("item_a") < F.col("item_b")) & (bound("rest") >= enough))
     seen = F.sum(F.col("n_a") * F.col("n_b")) if metric == "cosine" else F.count(F.lit(1))
-    pairs = met.groupBy("item_a", "item_b", "whole_a", "whole_b", "after_a", "after_b").agg(
+    pairs = met.groupBy("item_a", "item_b", "whole_a", "whole_b").agg(
         seen.alias("seen"), F.min("left_a").alias("left_a"), F.min("left_b").alias("left_b")
     )
-    first, second = (
-        (F.least(x, y) if metric == "jaccard" else F.sqrt(x.cast("double") * y))
-        for x, y in ((F.col("after_a"), F.col("left_b")), (F.col("after_b"), F.col("left_a")))
+    return pairs.where(F.col("seen") + bound("left") >= enough).select(
+        F.col("item_a").alias("a"), F.col("item_b").alias("b"), "whole_a", "whole_b"
     )
-    most = F.col("seen") + F.greatest(first, second)
-    if metric == "jaccard":
-        reach = most * (1 + min_score) >= (F.col("whole_a") + F.col("whole_b")) * (min_score - EPSILON)
-    else:
-        reach = most >= F.sqrt(F.col("whole_a").cast("double") * F.col("whole_b")) * (min_score - EPSILON)
-    return pairs.where(reach).select(F.col("item_a").alias("a"), F.col("item_b").alias("b"), "whole_a", "whole_b")
 
 
 def similar_pairs(

@@ -46,9 +46,13 @@ def _typed(rows: DataFrame, kind: str | None, *fields: str) -> DataFrame:
 def column_types(tables: dict[str, DataFrame], kinds: DataFrame, k: int = 5, nan_to_zero: bool = False) -> DataFrame:
     """One row per column and type found in it: the entries of `data_types`.
 
-    `kinds` is the value-count table with the kind and the date of each value.
+    `kinds` is the value-count table with the kind, numbers and date of each value. Only native
+    numbers are read from the tables themselves.
     """
-    numbers = generic.numeric_stats(tables, nan_to_zero)
+    native = generic.native_number_stats(tables, nan_to_zero)
+    numbers = generic.text_number_stats(kinds, nan_to_zero)
+    if native is not None:
+        numbers = native.unionByName(numbers)
     dates = (
         kinds.where((F.col("kind") == "date") & F.col("as_ts").isNotNull())
         .groupBy(*KEY)
@@ -83,7 +87,7 @@ def profile_columns(
     """One row per column: counts, key flag, frequent values, `data_types`.
 
     The tables are scanned twice whatever their number of columns: once for the value
-    counts, once for the numeric moments. `staged` writes the interpreted value counts
+    counts, once for the moments of native numbers. `staged` writes the interpreted value counts
     before the four steps that read them; without it each step plans its own grouping.
     """
     kinds = generic.with_kind(cells.value_counts(tables))

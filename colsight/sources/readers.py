@@ -31,30 +31,30 @@ def select_datasets(
     return out if limit is None else out.limit(limit)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Shuffle the rows of an input that has fewer splits than the cluster has cores.
+def read_table(spark: SparkSession, path: str, fmt: str = "tsv", spread: bool = False) -> DataFrame:
+    """A typed table: Parquet, or tab-separated text with header and inferred types.
 
-    A gzip file or a Parquet file with one row group is read by one task whatever its size;
-    without this, everything up to the first shuffle would run in that task. An input with
-    enough splits is left alone, so large tables aren't shuffled. AQE picks the partitions.
+    A gzip file is one split whatever its size. `spread=True` shuffles its rows over the
+    cluster after the read; no other input needs it.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.hint("repartition") if df.rdd.getNumPartitions() < cores else df
-
-
-def read_table(spark: SparkSession, path: str, fmt: str = "tsv") -> DataFrame:
-    """A typed table: Parquet, or tab-separated text with header and inferred types."""
     if fmt == "parquet":
-        return spread(spark.read.parquet(path))
-    return spread(spark.read.csv(path, sep="\t", header=True, inferSchema=True))
+        df = spark.read.parquet(path)
+    else:
+        df = spark.read.csv(path, sep="\t", header=True, inferSchema=True)
+    return df.hint("repartition") if spread else df
 
 
 # --- value counts ----------------------------------------------------------------------------
 
 
+def file_name() -> Column:
+    """Name of the file a row came from. Spark hands it over percent-encoded; a plus is a plus."""
+    return F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+
+
 def column_id_of(file: Column) -> Column:
     """`<dataset>.<column>` from a file name `<dataset>.<column>.txt[.gz]`."""
-    return F.regexp_replace(F.url_decode(file), r"\.txt(\.gz)?$", "")
+    return F.regexp_replace(file, r"\.txt(\.gz)?$", "")
 
 
 def read_value_counts(spark: SparkSession, path: str) -> DataFrame:
@@ -62,7 +62,7 @@ def read_value_counts(spark: SparkSession, path: str) -> DataFrame:
     raw = (
         spark.read.schema(VALUE_COUNT_SCHEMA)
         .csv(path, sep="\t", quote="")
-        .select(column_id_of(F.col("_metadata.file_name")).alias("column_id"), "val", "count")
+        .select(column_id_of(file_name()).alias("column_id"), "val", "count")
     )
     return repair_value_counts(raw)
 
@@ -74,52 +74,55 @@ def repair_value_counts(raw: DataFrame) -> DataFrame:
 
 
 def read_labelled_column(spark: SparkSession, path: str) -> DataFrame:
-    """(column_id, label, val, count) of hand-labelled value-count files: the row without a
-    count is the label; the id is the first two parts of the file name."""
-    raw = (
-        spark.read.schema(VALUE_COUNT_SCHEMA)
-        .csv(path, sep="\t", quote="")
-        .select(F.col("_metadata.file_name").alias("file"), "val", "count")
-    )
+    """(column_id, labels, val, count) of hand-labelled value-count files; see `split_labelled`."""
+    raw = spark.read.text(path).select(file_name().alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"), "value")
     return split_labelled(raw)
 
 
 def split_labelled(raw: DataFrame) -> DataFrame:
-    """`(file, val, count)` with one label row per file -> `(column_id, label, val, count)`.
+    """`(file, block, line, value)` -> `(column_id, labels, val, count)`.
 
-    One label per file is joined back without a hint: it is broadcast if it measures small.
+    A file's first line holds its labels, separated by commas; the others are `val <tab>
+    count`. The first line is the one with the least (block, line); it is found for each file by
+    a partial minimum and joined back on the file. The id is the file's name without its ending.
     """
-    decoded = raw.withColumn("column_id", F.substring_index(F.url_decode("file"), ".", 2))
-    label = decoded.where(F.col("count").isNull() & F.col("val").isNotNull()).groupBy("column_id").agg(F.min("val").alias("label"))
-    values = decoded.where(F.col("count").isNotNull())
-    return repair_value_counts(values).join(label, "column_id").select("column_id", "label", "val", "count")
+    first = raw.groupBy("file").agg(F.min(F.struct("block", "line", "value")).alias("first"))
+    labels = F.filter(F.transform(F.split("first.value", ","), lambda x: F.trim(F.split_part(x, F.lit("\t"), F.lit(1)))), lambda x: x != "")
+    heads = first.select("file", labels.alias("labels"), F.col("first.block").alias("b"), F.col("first.line").alias("l"))
+    rows = raw.join(heads, "file").where((F.col("block") != F.col("b")) | (F.col("line") != F.col("l")))
+    val, count = F.split_part("value", F.lit("\t"), F.lit(1)), F.split_part("value", F.lit("\t"), F.lit(2))
+    known = F.when(val != "", val)
+    return repair_value_counts(rows.select(column_id_of(F.col("file")).alias("column_id"), "labels", known.alias("val"), count.alias("count")))
 
 
 # --- lists and labels ---------------------------------------------------------------------------
 
 
-def _parts(keep_blanks: bool) -> Column:
-    term = F.regexp_replace(F.col("part"), r"[\"'\[\]]", "")
-    return F.trim(term) if keep_blanks else F.replace(term, F.lit(" "), F.lit(""))
-
+def parse_terms(lines: DataFrame, strict: bool = True) -> DataFrame:
+    """(term) from lines of comma-separated terms; quotes around a term keep its commas, and a
+    quote inside is doubled.
 
-def parse_terms(lines: DataFrame, keep_blanks: bool = True) -> DataFrame:
-    """(term) from lines of comma-separated terms in quotes or brackets.
-
-    `keep_blanks=False` also drops blanks inside terms, as older lists were read.
+    `strict=False` reads lists as older ones were written: brackets, all quotes and all blanks go.
     """
-    parts = lines.select(F.explode(F.split("value", ",")).alias("part"))
-    return parts.select(_parts(keep_blanks).alias("term")).where(F.col("term") != "")
-
-
-def read_keywords(spark: SparkSession, path: str, semantic_type: str, keep_blanks: bool = True) -> DataFrame:
+    if not strict:
+        parts = lines.select(F.explode(F.split("value", ",")).alias("part"))
+        bare = F.replace(F.regexp_replace("part", r"[\"'\[\]]", ""), F.lit(" "), F.lit(""))
+        return parts.select(bare.alias("term")).where(F.col("term") != "")
+    quoted = r'''\s*"((?:[^"]|"")*)"\s*(?:,|$)|([^,]+)(?:,|$)'''
+    fields = lines.select(F.explode(F.regexp_extract_all("value", F.lit(quoted), F.lit(0))).alias("part"))
+    whole = F.trim(F.regexp_replace("part", r",$", ""))
+    inner = F.when(whole.startswith('"') & whole.endswith('"') & (F.length(whole) > 1), F.replace(F.regexp_replace(whole, r'^"|"$', ""), F.lit('""'), F.lit('"'))).otherwise(whole)
+    return fields.select(inner.alias("term")).where(F.col("term") != "")
+
+
+def read_keywords(spark: SparkSession, path: str, semantic_type: str, strict: bool = True) -> DataFrame:
     """(semantic_type, term)."""
-    return parse_terms(spark.read.text(path), keep_blanks).select(F.lit(semantic_type).alias("semantic_type"), "term")
+    return parse_terms(spark.read.text(path), strict).select(F.lit(semantic_type).alias("semantic_type"), "term")
 
 
 def read_name_list(spark: SparkSession, path: str) -> DataFrame:
     """(name) from a bracketed list."""
-    return parse_terms(spark.read.text(path), keep_blanks=False).withColumnRenamed("term", "name")
+    return parse_terms(spark.read.text(path), strict=False).withColumnRenamed("term", "name")
 
 
 def parse_labels(lines: DataFrame) -> DataFrame:

@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from colsight import rules as R
 
+# a CSV writer trims fields unless told not to
+AS_IS = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
 
 def write_profiles(profile: DataFrame, path: str) -> None:
     """One JSON folder per dataset; `dataset` is also kept inside the rows."""
@@ -17,9 +20,10 @@ def write_semantic_json(rows: DataFrame, path: str) -> None:
     rows.write.json(path)
 
 
-def write_semantic_document(rows: DataFrame, path: str, documents: int = 1) -> None:
-    """`{"predicted_types": [...]}` documents. One by default, as a single document must pass
-    through one task; `documents` splits a large corpus over that many tasks and files."""
+def write_semantic_document(rows: DataFrame, path: str, documents: int) -> None:
+    """`{"predicted_types": [...]}` documents, the columns dealt over `documents` of them. One
+    document passes through one task, so ask for one only if its columns fit there; rows without
+    that limit are written by `write_semantic_json`."""
     shard = F.pmod(F.xxhash64("column_name"), F.lit(documents)).alias("document")
     packed = rows.groupBy(shard).agg(F.sort_array(F.collect_list(F.struct(*rows.columns))).alias("predicted_types"))
     packed.drop("document").write.json(path)
@@ -28,36 +32,46 @@ def write_semantic_document(rows: DataFrame, path: str, documents: int = 1) -> N
 def write_predictions(predictions: DataFrame, path: str) -> None:
     """CSV of (filename, pred), types joined with `|`."""
     predictions.select(F.col("column_id").alias("filename"), F.array_join("types", "|").alias("pred")).write.csv(
-        path, header=True
+        path, **AS_IS
     )
 
 
 def write_report(report: DataFrame, path: str) -> None:
     """CSV with one field per report column."""
-    report.write.csv(path, header=True)
+    report.write.csv(path, **AS_IS)
+
+
+def quoted_term(column: str = "term"):
+    """A term in quotes, with quotes inside doubled."""
+    return F.concat(F.lit('"'), F.replace(column, F.lit('"'), F.lit('""')), F.lit('"'))
 
 
 def write_terms(terms: DataFrame, path: str, column: str = "term", by: str | None = None) -> None:
-    """One line of quoted, comma-separated terms; one folder per value of `by` if given."""
-    line = F.concat(F.lit('"'), F.array_join(F.array_sort(F.collect_list(column)), '","'), F.lit('"')).alias("value")
+    """One quoted term a line; one folder per value of `by` if given."""
+    rows = terms.select(*([by] if by else []), quoted_term(column).alias("value"))
+    (rows.write.partitionBy(by) if by else rows.write).text(path)
+
+
+def write_term_line(terms: DataFrame, path: str, column: str = "term", by: str | None = None) -> None:
+    """All terms in one line, as keyword lists are usually kept; one folder per value of `by`.
+    The line passes through one task: for lists of bounded length, such as mined keywords."""
+    line = F.array_join(F.array_sort(F.collect_list(quoted_term(column))), ",").alias("value")
     if by is None:
         terms.agg(line).write.text(path)
     else:
         terms.groupBy(by).agg(line).write.partitionBy(by).text(path)
 
 
-def write_clusters(clusters: DataFrame, path: str, rows_per_array: int = 10_000) -> None:
-    """JSON rows (cluster_id, part, items). A cluster beyond `rows_per_array` items is spread
-    over about as many parts as it needs, so that no task holds a whole large cluster."""
-    sizes = clusters.groupBy("cluster_id").agg(F.count(F.lit(1)).alias("size"))
-    parts = F.ceil(F.col("size") / rows_per_array)
-    numbered = clusters.join(sizes, "cluster_id").withColumn("part", F.pmod(F.xxhash64("item"), parts))
+def write_clusters(clusters: DataFrame, path: str, parts: int = 1) -> None:
+    """JSON rows (cluster_id, part, items): every cluster in `parts` rows, whatever its size, and
+    fewer only if it has fewer items. For clusters beyond a task's memory ask for more parts."""
+    numbered = clusters.withColumn("part", F.pmod(F.xxhash64("item"), F.lit(parts)))
     numbered.groupBy("cluster_id", "part").agg(F.array_sort(F.collect_list("item")).alias("items")).write.json(path)
 
 
 def write_edges(edges: DataFrame, path: str) -> None:
     """The similarity matrix as CSV of its non-zero cells (a, b, score)."""
-    edges.select("a", "b", "score").write.csv(path, header=True)
+    edges.select("a", "b", "score").write.csv(path, **AS_IS)
 
 
 def label_rows(weights: DataFrame) -> DataFrame:

@@ -229,21 +229,18 @@ register(
         zero=True,
     ),
 )
+_DESCRIBED = ("customer", "part", "orders")
 register(
     "describe_column",
-    lambda s, d: cells_union(
-        [
-            generic.describe_columns(load(s, d, n).select(*[c for c in RAW_COLUMNS[n] if c in _KINDS or c in ("p_name", "c_name")]), n)
-            for n in ("customer", "part", "orders")
-        ]
-    ).withColumns({c: F.round(c, 4) for c in ("mean", "stddev")}),
+    lambda s, d: cells_union([generic.describe_columns(load(s, d, n).select(*RAW_COLUMNS[n]), n) for n in _DESCRIBED]).withColumns(
+        {c: F.round(c, 4) for c in ("mean", "stddev")}
+    ),
     " UNION ALL ".join(
         f"SELECT '{t}' AS dataset, '{c}' AS column_name, count({c}) AS count, "
         + (f"round(avg({c}), 4) AS mean, round(stddev_samp({c}), 4) AS stddev, " if c in _KINDS else "CAST(NULL AS DOUBLE) AS mean, CAST(NULL AS DOUBLE) AS stddev, ")
         + f"CAST(min({c}) AS VARCHAR) AS min, CAST(max({c}) AS VARCHAR) AS max FROM {t}"
-        for t in ("customer", "part", "orders")
+        for t in _DESCRIBED
         for c in RAW_COLUMNS[t]
-        if c in _KINDS or c in ("p_name", "c_name")
     ),
 )
 
@@ -255,9 +252,10 @@ def cells_union(parts):
     return out
 
 
-INT_SQL = f"CASE WHEN regexp_matches(val, '{I.INT_PATTERN}') THEN TRY_CAST(trim(val) AS BIGINT) END"
-REAL_SQL = f"CASE WHEN regexp_matches(val, '{I.REAL_PATTERN}') THEN TRY_CAST(trim(val) AS DOUBLE) END"
-NUMERIC_SQL = f"regexp_matches(val, '{I.NUMERIC_PATTERN}')"
+# the SQL below shares no pattern, layout or limit with the library
+INT_SQL = "TRY_CAST(CASE WHEN regexp_full_match(trim(val), '[+-]?\\d+') THEN trim(val) END AS BIGINT)"
+REAL_SQL = "TRY_CAST(CASE WHEN regexp_full_match(lower(trim(val)), '[+-]?(\\d+\\.\\d*|\\.\\d+)(e[+-]?\\d+)?') THEN trim(val) END AS DOUBLE)"
+NUMERIC_SQL = "regexp_full_match(lower(trim(val)), '[+-]?(\\d+|\\d+\\.\\d*|\\.\\d+|\\d+e[+-]?\\d+|\\d+\\.\\d*e[+-]?\\d+|\\.\\d+e[+-]?\\d+|inf|infinity|nan)')"
 register(
     "integral_reals",
     lambda s, d: generic.integral_reals(made_vc(s, d, MESSY)),
@@ -268,36 +266,49 @@ register(
 # --- interpretation ------------------------------------------------------------------------------
 
 
-def _duck_rewrite(expr: str, pattern: str, replacement: str) -> str:
-    for i in range(1, 6):
-        replacement = replacement.replace(f"${i}", f"\\{i}")
-    return f"regexp_replace({expr}, '{pattern}', '{replacement}', 'g')"
+_SHAPES = ("00-00-0000", "0000-00-00", "00-00-00", "00-0000", "0000-00", "00-aaa", "aaa-00")
+_MONTHS = "(jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)"
+_DAYS = (
+    "%m-%d-%y", "%d-%m-%y", "%Y-%m-%d", "%m/%d/%Y", "%d/%m/%Y", "%d %b %Y", "%b %d, %Y", "%b %d %Y", "%d %b, %Y", "%B - %d - %Y  ,", "%Y-%m", "%b %Y",
+)
+_TIMES = ("%H:%M", "%H:%M:%S", "%H:%M:%S.%f", "%I:%M %p", "%I:%M:%S %p", "%I:%M:%S.%f %p")
 
 
 def interpreted_sql(source: str, level: str = "high") -> str:
-    """Rows of `source` with as_int, as_real, as_ts and kind, step by step."""
+    """Rows of `source` with as_int, as_real, as_ts and kind: known formats tried in turn."""
     dashes, colons, slashes = (f"(length(val) - length(replace(val, '{c}', '')))" for c in "-:/")
+    seen = " OR ".join(
+        f"translate(regexp_replace(lower(val), '[0-9]', '0', 'g'), 'bcdefghijklmnopqrstuvwxyz', 'aaaaaaaaaaaaaaaaaaaaaaaaa') LIKE '%{s.replace('-', sep)}%'"
+        for s in _SHAPES
+        for sep in "-/ "
+    )
     gate = {
-        "high": f"regexp_matches(val, '{I.HIGH_GATE}')",
-        "moderate": f"((regexp_matches(lower(val), '{I.MONTH_ANY}') AND {dashes} BETWEEN 1 AND 2) OR {dashes} = 2 OR {colons} BETWEEN 1 AND 2 OR {slashes} = 2)",
+        "high": f"({seen} OR val LIKE '%:%')",
+        "moderate": f"((regexp_matches(lower(val), '{_MONTHS}') AND {dashes} BETWEEN 1 AND 2) OR {dashes} = 2 OR {colons} BETWEEN 1 AND 2 OR {slashes} = 2)",
         "low": "val <> ''",
     }[level]
-    bare = _duck_rewrite(_duck_rewrite("lower(trim(val))", I.WEEKDAY, ""), I.ZONE, "")
-    month = f"regexp_extract(bare, '(^|[^a-z])({I.MONTH_ANY})', 2)"
-    number = f"lpad(CAST((instr('{''.join(I.MONTHS)}', {month}) + 2) // 3 AS VARCHAR), 2, '0')"
-    iso = f"regexp_replace(regexp_replace(bare, '{I.HALF_DAY}', ''), '(^|[^a-z])(?:{I.MONTH_NAME})([^a-z]|$)', '\\1<' || {number} || '>\\2', 'g')"
-    for pattern, replacement in I.LAYOUTS:
-        iso = _duck_rewrite(iso, pattern, replacement)
-    return f"""(SELECT * EXCLUDE (bare, iso, ts, half), CASE WHEN val IS NULL THEN NULL WHEN as_int IS NOT NULL THEN 'int'
+    formats = [*_DAYS, *(f"{d} {t}" for d in _DAYS for t in _TIMES), *(f"{d}  {t}" for d in _DAYS for t in _TIMES)]
+    listed = "[" + ", ".join(f"'{f}'" for f in formats) + "]"
+    zoned = "[" + ", ".join(f"'%Y-%m-%d {t} %z'" for t in _TIMES) + "]"
+    no_year = "['%Y %b-%d', '%Y %d %b', '%Y %b %d', '%Y %H:%M', '%Y %H:%M:%S']"
+    # one spelling: no weekday, no T, am/pm without points, six digits of a second, a blank before the offset, no UTC mark
+    plain = "lower(trim(val))"
+    for pattern, by in (
+        (r"^[a-z]+day[.]?,?\s+", ""),
+        (r"(\d)t(\d)", r"\1 \2"),
+        (r"(\d)th\b", r"\1"),
+        (r"\b([ap])[.]m[.]", r"\1m"),
+        (r"([.]\d{6})\d+", r"\1"),
+        (r"\s*(z|utc|gmt)$", ""),
+        (r"(:\d\d([.]\d+)?( [ap]m)?)([+-]\d\d)$", r"\1 \4:00"),
+        (r"(:\d\d([.]\d+)?( [ap]m)?)([+-]\d\d):?(\d\d)$", r"\1 \4:\5"),
+    ):
+        plain = f"regexp_replace({plain}, '{pattern}', '{by}')"
+    return f"""(SELECT * EXCLUDE (plain), CASE WHEN val IS NULL THEN NULL WHEN as_int IS NOT NULL THEN 'int'
         WHEN as_real IS NOT NULL THEN 'real' WHEN as_ts IS NOT NULL THEN 'date' WHEN {NUMERIC_SQL} THEN 'unclassified' ELSE 'text' END AS kind
-    FROM (SELECT *, CASE WHEN half = '' THEN ts WHEN hour(ts) > 12 OR hour(ts) = 0 THEN NULL
-            WHEN half = 'p' AND hour(ts) < 12 THEN ts + INTERVAL 12 HOUR WHEN half = 'a' AND hour(ts) = 12 THEN ts - INTERVAL 12 HOUR ELSE ts END AS as_ts
-    FROM (SELECT *, CASE WHEN regexp_matches(iso, '{I.CANONICAL}') THEN TRY_CAST(trim(substr(iso, 2)) AS TIMESTAMP) END AS ts,
-            regexp_extract(bare, '{I.HALF_DAY}', 1) AS half
-    FROM (SELECT *, {iso} AS iso
-    FROM (SELECT *, {INT_SQL} AS as_int, {REAL_SQL} AS as_real,
-            CASE WHEN {gate} AND NOT {NUMERIC_SQL} AND length(trim(val)) <= {I.LONGEST_DATE} THEN {bare} END AS bare
-    FROM ({source}))))))"""
+    FROM (SELECT *, coalesce(try_strptime(plain, {listed}), CAST(try_strptime(plain, {zoned}) AS TIMESTAMP), try_strptime('1970 ' || plain, {no_year})) AS as_ts
+    FROM (SELECT *, {INT_SQL} AS as_int, {REAL_SQL} AS as_real, CASE WHEN {gate} AND NOT {NUMERIC_SQL} THEN {plain} END AS plain
+    FROM ({source}))))"""
 
 
 def _interpret(level="high"):

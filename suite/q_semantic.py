@@ -8,6 +8,7 @@ from colsight import rules as R
 from colsight.functions import text as T
 from colsight.operators import evaluate, semantic as S
 from colsight.plans import classify as C, profile as P
+from suite import expected as E
 from suite.corpus import SEMANTIC, load, register, semantic_values, tables, values_sql
 
 VC = f"vc AS MATERIALIZED ({values_sql()})"
@@ -15,17 +16,18 @@ VC = f"vc AS MATERIALIZED ({values_sql()})"
 # --- patterns ---------------------------------------------------------------------------------
 
 
-def _pattern_sql(rules, ignore_case=False) -> str:
+def _sized(kind: str, short: str | None) -> str:
+    return f"CASE WHEN avg_len >= {E.SHORT} THEN '{kind}' ELSE '{short}' END" if short else f"'{kind}'"
+
+
+def _pattern_sql(patterns, ignore_case=False) -> str:
     parts = []
-    for r in rules:
-        pattern = f"(?i){r.pattern}" if ignore_case else r.pattern
-        kind = f"'{r.semantic_type}'"
-        if r.short_type:
-            kind = f"CASE WHEN avg_len >= {r.split_length} THEN '{r.semantic_type}' ELSE '{r.short_type}' END"
+    for kind, (condition, reached, short) in patterns.items():
+        if ignore_case:
+            condition = condition.replace("val,", "upper(val),").replace("val IN", "upper(val) IN")
         parts.append(
-            f"""SELECT column_id, {kind} AS semantic_type, w AS weight, round(w / total, 6) AS share,
-            w / total {'>' if r.strict else '>='} {r.threshold} AS matched FROM (
-            SELECT column_id, CAST(coalesce(sum(n) FILTER (WHERE regexp_matches(val, '{pattern}')), 0) AS BIGINT) AS w,
+            f"""SELECT column_id, {_sized(kind, short)} AS semantic_type, w AS weight, round(w / total, 6) AS share, w / total {reached} AS matched FROM (
+            SELECT column_id, CAST(coalesce(sum(n) FILTER (WHERE {condition}), 0) AS BIGINT) AS w,
             CAST(sum(n) AS BIGINT) AS total, avg(length(val)) AS avg_len FROM vc GROUP BY 1)"""
         )
     return f"WITH {VC} " + " UNION ALL ".join(parts)
@@ -45,25 +47,25 @@ for _name, _type in {
     register(
         _name,
         lambda s, d, rule=_BY_TYPE[_type]: _share6(S.detect_patterns(semantic_values(s, d), [rule])),
-        _pattern_sql([_BY_TYPE[_type]]),
+        _pattern_sql({_type: E.PATTERNS[_type]}),
     )
-register("sem_regex", lambda s, d: _share6(S.detect_patterns(semantic_values(s, d), R.PATTERN_RULES)), _pattern_sql(R.PATTERN_RULES))
+register("sem_regex", lambda s, d: _share6(S.detect_patterns(semantic_values(s, d), R.PATTERN_RULES)), _pattern_sql(E.PATTERNS))
 register(
     "sem_regex_ignore_case",
     lambda s, d: _share6(S.detect_patterns(semantic_values(s, d), R.PATTERN_RULES, ignore_case=True)),
-    _pattern_sql(R.PATTERN_RULES, ignore_case=True),
+    _pattern_sql(E.PATTERNS, ignore_case=True),
 )
-register("sem_regex_table", lambda s, d: _share6(S.detect_patterns(semantic_values(s, d), R.PATTERN_TABLE)), _pattern_sql(R.PATTERN_TABLE))
-register("sem_ruleset_v0", lambda s, d: _share6(S.detect_patterns(semantic_values(s, d), R.PATTERN_RULES_V0)), _pattern_sql(R.PATTERN_RULES_V0))
-register("sem_ruleset_v1", lambda s, d: _share6(S.detect_patterns(semantic_values(s, d), R.PATTERN_RULES_V1)), _pattern_sql(R.PATTERN_RULES_V1))
+register("sem_regex_table", lambda s, d: _share6(S.detect_patterns(semantic_values(s, d), R.PATTERN_TABLE)), _pattern_sql(E.PATTERN_TABLE))
+register("sem_ruleset_v0", lambda s, d: _share6(S.detect_patterns(semantic_values(s, d), R.PATTERN_RULES_V0)), _pattern_sql(E.PATTERNS_V0))
+register("sem_ruleset_v1", lambda s, d: _share6(S.detect_patterns(semantic_values(s, d), R.PATTERN_RULES_V1)), _pattern_sql(E.PATTERNS_V1))
 register(
     "weighted_share",
     lambda s, d: _share6(S.weighted_share(semantic_values(s, d), R.PATTERN_RULES)),
     f"WITH {VC} "
     + " UNION ALL ".join(
-        f"""SELECT column_id, '{r.semantic_type}' AS semantic_type, CAST(coalesce(sum(n) FILTER (WHERE regexp_matches(val, '{r.pattern}')), 0) AS BIGINT) AS weight,
-        CAST(sum(n) AS BIGINT) AS total, round(coalesce(sum(n) FILTER (WHERE regexp_matches(val, '{r.pattern}')), 0) / sum(n), 6) AS share FROM vc GROUP BY 1"""
-        for r in R.PATTERN_RULES
+        f"""SELECT column_id, '{kind}' AS semantic_type, CAST(coalesce(sum(n) FILTER (WHERE {condition}), 0) AS BIGINT) AS weight,
+        CAST(sum(n) AS BIGINT) AS total, round(coalesce(sum(n) FILTER (WHERE {condition}), 0) / sum(n), 6) AS share FROM vc GROUP BY 1"""
+        for kind, (condition, _, _) in E.PATTERNS.items()
     ),
 )
 
@@ -101,11 +103,13 @@ register(
 
 
 def soundex_sql(c: str) -> str:
-    word = f"regexp_replace({c}, '{T.NOT_WORD}', '', 'g')"
-    out = f"regexp_replace(translate(lower({word}), '{T.TRANSLATE_FROM}', '{T.TRANSLATE_TO}'), '[^1-6]', '9', 'g')"
-    for digit in "1234569":
-        out = f"regexp_replace({out}, '{digit}+', '{digit}', 'g')"
-    return f"CASE WHEN {word} = '' THEN '' ELSE rpad(replace(upper(left({word}, 1)), 'ẞ', 'SS') || replace(substr({out}, 2), '9', ''), 4, '0') END"
+    """First letter, then runs of the digits 1 to 6 that stand for letters; 0 marks every other letter."""
+    word = f"regexp_replace({c}, '[^\\p{{L}}\\p{{N}}_]', '', 'g')"
+    out = f"translate(regexp_replace(lower({word}), '[0-9]', '_', 'g'), 'bfpvcgjkqsxzdtlmnr', '111122222222334556')"
+    out = f"regexp_replace({out}, '[^1-6]', '0', 'g')"
+    for digit in range(7):
+        out = f"regexp_replace({out}, '{digit}{{2,}}', '{digit}', 'g')"
+    return f"CASE WHEN {word} = '' THEN '' ELSE rpad(replace(upper(left({word}, 1)), 'ẞ', 'SS') || replace(substr({out}, 2), '0', ''), 4, '0') END"
 
 
 def first_word_sql(c: str, n: int) -> str:
@@ -136,24 +140,29 @@ register(
     lambda s, d: S.weight_by_code(semantic_values(s, d).where(F.col("val").isNotNull())),
     f"WITH {VC} SELECT column_id, {soundex_sql('val')} AS code, CAST(sum(n) AS BIGINT) AS weight FROM vc WHERE val IS NOT NULL GROUP BY 1, 2",
 )
-MAKE_SQL = soundex_sql(first_word_sql("val", R.MAKE_WORD_LENGTH))
+MAKE_SQL = soundex_sql(first_word_sql("val", E.MAKE_LETTERS))
 
 
 def _breakdown_sql(codes, code: str) -> str:
     name = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in codes.items())
     return f"""WITH {VC}, named AS (SELECT column_id, n, CASE {code} {name} END AS name FROM vc),
-    hit AS (SELECT column_id FROM named GROUP BY 1 HAVING count(name) > 0)
-    SELECT column_id, name, CAST(sum(n) AS BIGINT) AS weight FROM named WHERE name IS NOT NULL GROUP BY 1, 2
-    UNION ALL SELECT column_id, 'OTHERS', CAST(coalesce(sum(n) FILTER (WHERE name IS NULL), 0) AS BIGINT) FROM named
+    hit AS (SELECT column_id FROM named GROUP BY 1 HAVING count(name) > 0),
+    known AS (SELECT column_id, name, CAST(sum(n) AS BIGINT) AS weight FROM named WHERE name IS NOT NULL GROUP BY 1, 2)
+    SELECT column_id, CAST(row_number() OVER (PARTITION BY column_id ORDER BY weight DESC, name) AS INTEGER) AS rank, name, weight FROM known
+    UNION ALL SELECT column_id, CAST(count(DISTINCT name) + 1 AS INTEGER), 'OTHERS', CAST(coalesce(sum(n) FILTER (WHERE name IS NULL), 0) AS BIGINT) FROM named
     WHERE column_id IN (SELECT column_id FROM hit) GROUP BY 1"""
 
 
-ALL_COLORS = {**R.COLOR_CODES, **R.COLOR_SHORT_CODES}
-register("color_breakdown", lambda s, d: S.code_weights(semantic_values(s, d), ALL_COLORS), _breakdown_sql(ALL_COLORS, soundex_sql("val")))
+ALL_COLORS = {**E.COLOR_CODES, **E.SHORT_COLORS}
+register(
+    "color_breakdown",
+    lambda s, d: S.code_weights(semantic_values(s, d), {**R.COLOR_CODES, **R.COLOR_SHORT_CODES}),
+    _breakdown_sql(ALL_COLORS, soundex_sql("val")),
+)
 register(
     "make_breakdown",
     lambda s, d: S.code_weights(semantic_values(s, d), R.MAKE_CODES, S.make_code(F.col("val"))),
-    _breakdown_sql(R.MAKE_CODES, MAKE_SQL),
+    _breakdown_sql(E.MAKES, MAKE_SQL),
 )
 
 # --- shapes -------------------------------------------------------------------------------------------
@@ -168,10 +177,10 @@ def _weight(cond: str) -> str:
 
 
 SHAPES = f"""shapes AS (SELECT column_id, CAST(sum(n) AS BIGINT) AS total, count(*) AS n_values, avg(length(val)) AS avg_len,
-    count(DISTINCT code) FILTER (WHERE code IN {_in(R.COLOR_CODES)}) AS colors, {_weight(f'code IN {_in(ALL_COLORS)}')} AS w_color,
+    count(DISTINCT code) FILTER (WHERE code IN {_in(E.COLOR_CODES)}) AS colors, {_weight(f'code IN {_in(ALL_COLORS)}')} AS w_color,
     {_weight("regexp_matches(code, '^[A-Za-z]')")} AS w_color_letters,
-    count(DISTINCT make) FILTER (WHERE make IN {_in(R.MAKE_CODES)}) AS makes, {_weight("regexp_matches(make, '^[A-Za-z]')")} AS w_make_letters,
-    count(*) FILTER (WHERE val IN {_in(R.BOROUGHS)}) AS boroughs, {_weight(f'val IN {_in(R.BOROUGHS)}')} AS w_borough
+    count(DISTINCT make) FILTER (WHERE make IN {_in(E.MAKES)}) AS makes, {_weight("regexp_matches(make, '^[A-Za-z]')")} AS w_make_letters,
+    count(*) FILTER (WHERE val IN {_in(E.BOROUGHS)}) AS boroughs, {_weight(f'val IN {_in(E.BOROUGHS)}')} AS w_borough
     FROM (SELECT *, {soundex_sql('val')} AS code, {MAKE_SQL} AS make FROM vc) GROUP BY 1)"""
 OUTCOMES = {
     "initials": ("avg_len <= 2 AND n_values > 20", "'person_name_initials'", "100.0", "total"),
@@ -202,7 +211,7 @@ ENTITIES = """entities AS (SELECT 'GPE' AS label, n_name AS term FROM nation UNI
 ENTITY_SUMS = """esums AS (SELECT vc.column_id, count(DISTINCT coalesce(val, chr(1))) AS n_values,
     """ + ", ".join(
     f"CAST(coalesce(sum(n) FILTER (WHERE val IN (SELECT term FROM entities WHERE label = '{k}')), 0) AS BIGINT) AS {k.lower()}"
-    for k in S.ENTITY_LABELS
+    for k in E.ENTITIES
 ) + " FROM vc GROUP BY 1)"
 
 
@@ -229,34 +238,35 @@ for _name, _gated in (("sem_city_person", False), ("sem_city_person_gated", True
     )
 
 
-def _keyword_sql(kind: str, threshold: float) -> str:
-    w = _weight(f"val IN {_in(R.KEYWORDS[kind])}")
-    return f"""SELECT column_id, '{kind}' AS semantic_type, w AS weight, round(w / total, 6) AS share, w / total >= {threshold} AS matched
+def _keyword_sql(kind: str, threshold: float | None = None) -> str:
+    members, reached = E.LISTS[kind]
+    w = _weight(f"val IN {_in(members)}")
+    return f"""SELECT column_id, '{kind}' AS semantic_type, w AS weight, round(w / total, 6) AS share, w / total >= {threshold or reached} AS matched
     FROM (SELECT column_id, {w} AS w, CAST(sum(n) AS BIGINT) AS total FROM vc GROUP BY 1)"""
 
 
 THRESHOLDS = {**R.KEYWORD_THRESHOLDS, **R.EXTRA_KEYWORD_THRESHOLDS}
-for _name, _kind in {
+for _name, _list in {
     "subject": "subject_in_school", "business": "business_name", "neighborhood": "neighborhood", "area": "area_of_study",
     "agency": "city_agency", "location": "location_type", "park": "park_playground",
 }.items():
     register(
         f"sem_list_{_name}",
-        lambda s, d, kind=_kind: _share6(
+        lambda s, d, kind=_list: _share6(
             S.detect_keywords(semantic_values(s, d), S.literal_terms(s, {kind: R.KEYWORDS[kind]}), {kind: THRESHOLDS[kind]})
         ),
-        f"WITH {VC} {_keyword_sql(_kind, THRESHOLDS[_kind])}",
+        f"WITH {VC} {_keyword_sql(_list)}",
     )
 register(
     "sem_list",
     lambda s, d: _share6(S.detect_keywords(semantic_values(s, d), S.literal_terms(s, R.KEYWORDS), THRESHOLDS)),
-    f"WITH {VC} " + " UNION ALL ".join(_keyword_sql(k, t) for k, t in THRESHOLDS.items()),
+    f"WITH {VC} " + " UNION ALL ".join(map(_keyword_sql, E.LISTS)),
 )
 
 register(
     "sem_list_v1",
     lambda s, d: _share6(S.detect_keywords(semantic_values(s, d), S.literal_terms(s, R.KEYWORDS), R.KEYWORD_THRESHOLDS_V1)),
-    f"WITH {VC} " + " UNION ALL ".join(_keyword_sql(k, t) for k, t in R.KEYWORD_THRESHOLDS_V1.items()),
+    f"WITH {VC} " + " UNION ALL ".join(_keyword_sql(k, 0.3 if k == "area_of_study" else None) for k in E.CASCADE_LISTS),
 )
 
 # --- cascade -------------------------------------------------------------------------------------------
@@ -269,17 +279,14 @@ def report(s, d, gated=False):
 
 def _cascade_ctes(gated=False) -> str:
     """rep: column_id, count_all, col_length, <detector>_share / _weight, hits [(type, count)], types_count."""
-    pat = [
-        f"{_weight(f'regexp_matches(val, {chr(39)}{r.pattern}{chr(39)})')} AS p{i}" for i, r in enumerate(R.PATTERN_RULES)
-    ]
-    kw = [f"{_weight(f'val IN {_in(R.KEYWORDS[k])}')} AS k{i}" for i, k in enumerate(R.KEYWORD_THRESHOLDS)]
+    pat = [f"{_weight(condition)} AS p{i}" for i, (condition, _, _) in enumerate(E.PATTERNS.values())]
+    kw = [f"{_weight(f'val IN {_in(E.LISTS[k][0])}')} AS k{i}" for i, k in enumerate(E.CASCADE_LISTS)]
     sums = f"sums AS (SELECT column_id, {', '.join(pat + kw)} FROM vc GROUP BY 1)"
     base = f"""base AS (SELECT * FROM shapes JOIN sums USING (column_id) JOIN (SELECT column_id, semantic_type AS e_type, weight AS e_weight, share AS e_share FROM ({_entity_sql(gated)})) USING (column_id))"""
     kinds, shares, weights, order = [], [], [], []
-    for i, r in enumerate(R.PATTERN_RULES):
-        kind = f"'{r.semantic_type}'" if not r.short_type else f"CASE WHEN avg_len >= {r.split_length} THEN '{r.semantic_type}' ELSE '{r.short_type}' END"
-        kinds.append((f"CASE WHEN p{i} / total >= {r.threshold} THEN {kind} END", f"p{i}"))
-        shares.append((r.semantic_type, f"CAST(p{i} / total AS DOUBLE)", f"p{i}"))
+    for i, (name, (_, reached, short)) in enumerate(E.PATTERNS.items()):
+        kinds.append((f"CASE WHEN p{i} / total {reached} THEN {_sized(name, short)} END", f"p{i}"))
+        shares.append((name, f"CAST(p{i} / total AS DOUBLE)", f"p{i}"))
     n_first = " AND ".join(f"({k}) IS NULL" for k, _ in kinds)
     first = ", ".join(f"{{'type': {k}, 'count': {w}}}" for k, w in kinds)
     later = []
@@ -291,9 +298,9 @@ def _cascade_ctes(gated=False) -> str:
     for name, kind in (("city", "city"), ("person", "person_name")):
         shares.append((name, f"CAST(CASE WHEN is_open AND e_type = '{kind}' THEN e_share ELSE 0 END AS DOUBLE)", f"CASE WHEN is_open AND e_type = '{kind}' THEN e_weight ELSE 0 END"))
     later.append(("CASE WHEN is_open THEN e_type END", "e_weight"))
-    for i, (k, t) in enumerate(R.KEYWORD_THRESHOLDS.items()):
+    for i, k in enumerate(E.CASCADE_LISTS):
         shares.append((k, f"CAST(CASE WHEN is_open THEN k{i} / total ELSE 0 END AS DOUBLE)", f"CASE WHEN is_open THEN k{i} ELSE 0 END"))
-        later.append((f"CASE WHEN is_open AND k{i} / total >= {t} THEN '{k}' END", f"k{i}"))
+        later.append((f"CASE WHEN is_open AND k{i} / total >= {E.LISTS[k][1]} THEN '{k}' END", f"k{i}"))
     second = ", ".join(f"{{'type': {k}, 'count': {w}}}" for k, w in later)
     cols = ", ".join(f"{s} AS {n}_share, {w} AS {n}_weight" for n, s, w in shares)
     total = " + ".join(f"({w})" for _, _, w in shares)
@@ -304,10 +311,10 @@ def _cascade_ctes(gated=False) -> str:
 
 
 CASCADE = _cascade_ctes()
-SHARE_NAMES = [r.semantic_type for r in R.PATTERN_RULES] + list(OUTCOMES) + ["city", "person"] + list(R.KEYWORD_THRESHOLDS)
+SHARE_NAMES = [*E.PATTERNS, *OUTCOMES, "city", "person", *E.CASCADE_LISTS]
 _TYPES = "array_to_string(list_transform(hits, lambda h: h.type), '|')"
-_HIT_ROWS = f"""SELECT column_id, CASE WHEN type IN {_in(R.LABEL_TYPES)} THEN '' ELSE type END AS semantic_type,
-    CASE WHEN type IN {_in(R.LABEL_TYPES)} THEN type ELSE '' END AS label, CAST(count AS BIGINT) AS count
+_HIT_ROWS = f"""SELECT column_id, CASE WHEN type IN {_in(E.LABELS)} THEN '' ELSE type END AS semantic_type,
+    CASE WHEN type IN {_in(E.LABELS)} THEN type ELSE '' END AS label, CAST(count AS BIGINT) AS count
     FROM (SELECT column_id, unnest(hits, recursive := true) FROM rep)"""
 register("sem_cascade", lambda s, d: C.predicted_rows(report(s, d)), f"WITH {CASCADE} {_HIT_ROWS}")
 register("sem_cascade_gated", lambda s, d: C.predicted_rows(report(s, d, gated=True)), f"WITH {_cascade_ctes(True)} {_HIT_ROWS}")
@@ -340,11 +347,10 @@ register("types_found", lambda s, d: C.types_found(report(s, d)), f"WITH {CASCAD
 
 
 def _enriched(s, d):
-    people = ("people", "places")
     found = C.predicted_rows(report(s, d)).withColumns(
         {"dataset": F.substring_index("column_id", ".", 1), "column_name": F.expr("substr(column_id, instr(column_id, '.') + 1)")}
     )
-    columns = P.enrich_profile(P.profile_columns(tables(s, d, SEMANTIC, people)), found)
+    columns = P.enrich_profile(P.profile_columns(tables(s, d, SEMANTIC)), found)
     return columns.select(
         "dataset", "column_name", "number_distinct_values", F.inline_outer("semantic_types")
     ).select("dataset", "column_name", "number_distinct_values", "semantic_type", "label", "count")
@@ -353,8 +359,7 @@ def _enriched(s, d):
 register(
     "profile_enrich",
     _enriched,
-    f"""WITH {CASCADE}, hitrows AS ({_HIT_ROWS}), counts AS (SELECT column_id, count(val) AS number_distinct_values FROM vc
-        WHERE column_id LIKE 'people.%' OR column_id LIKE 'places.%' GROUP BY 1)
+    f"""WITH {CASCADE}, hitrows AS ({_HIT_ROWS}), counts AS (SELECT column_id, count(val) AS number_distinct_values FROM vc GROUP BY 1)
     SELECT split_part(column_id, '.', 1) AS dataset, substr(column_id, instr(column_id, '.') + 1) AS column_name, number_distinct_values, semantic_type, label, count
     FROM counts LEFT JOIN hitrows USING (column_id)""",
 )
@@ -385,7 +390,7 @@ def labels(s):
 
 
 _TRUTH_SQL = "truth AS (SELECT DISTINCT column_id, label FROM (VALUES " + ", ".join(
-    f"('{k}', '{R.LABEL_ALIASES.get(x, x)}')" for k, v in TRUTH.items() for x in v.split(",")
+    f"('{k}', '{E.OTHER_NAMES.get(x, x)}')" for k, v in TRUTH.items() for x in v.split(",")
 ) + ") t(column_id, label))"
 _SCORE = f"""WITH {CASCADE}, {_TRUTH_SQL},
     guess AS (SELECT column_id, type AS label FROM (SELECT column_id, unnest(hits, recursive := true) FROM rep) WHERE column_id IN (SELECT column_id FROM truth)),

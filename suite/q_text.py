@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from colsight import rules as R
 from colsight.functions import text as T
-from colsight.operators import components as K, evaluate, mining as M, similarity as Z
+from colsight.operators import components as K, mining as M, similarity as Z
 from colsight.plans import profile as P
 from colsight.sources import readers
 from suite.corpus import load, raw, register, semantic_values
@@ -60,10 +60,15 @@ def _term_lines(s, d):
 
 
 _PART_TERMS = "SELECT unnest([p_name, upper(p_type), p_brand]) AS t FROM part"
-register("keyword_load", lambda s, d: readers.parse_terms(_term_lines(s, d)), f"SELECT t AS term FROM ({_PART_TERMS})")
+_QUOTED = """concat('"', p_name, '", "', replace(upper(p_type), ' ', '""'), '",', p_brand)"""
+register(
+    "keyword_load",
+    lambda s, d: readers.parse_terms(load(s, d, "part").selectExpr(f"{_QUOTED} AS value")),
+    """SELECT unnest([p_name, replace(upper(p_type), ' ', '"'), p_brand]) AS term FROM part""",
+)
 register(
     "name_list",
-    lambda s, d: readers.parse_terms(_term_lines(s, d), keep_blanks=False).withColumnRenamed("term", "name"),
+    lambda s, d: readers.parse_terms(_term_lines(s, d), strict=False).withColumnRenamed("term", "name"),
     f"SELECT replace(t, ' ', '') AS name FROM ({_PART_TERMS})",
 )
 
@@ -83,27 +88,6 @@ register(
 )
 
 
-def _labelled(s, d):
-    """Hand-labelled files: one per market segment, its label in a row without a count."""
-    customers = load(s, d, "customer")
-    name = "concat('ab12-cd34.', c_mktsegment, '.txt.gz')"
-    rows = customers.selectExpr(
-        f"{name} AS file", "CASE c_custkey % 9 WHEN 0 THEN '' WHEN 1 THEN 'NULL' ELSE c_name END AS val", "CAST(c_nationkey AS STRING) AS count"
-    )
-    heads = customers.selectExpr(f"{name} AS file", "lower(c_mktsegment) AS val", "CAST(NULL AS STRING) AS count").distinct()
-    return readers.split_labelled(rows.unionByName(heads))
-
-
-_LABELLED_SQL = """SELECT 'ab12-cd34.' || c_mktsegment AS column_id, lower(c_mktsegment) AS label,
-    CASE c_custkey % 9 WHEN 0 THEN '' WHEN 1 THEN 'NULL' ELSE c_name END AS val, CAST(c_nationkey AS BIGINT) AS count FROM customer"""
-register("labelled_column", _labelled, _LABELLED_SQL)
-register(
-    "labelled_weight",
-    lambda s, d: evaluate.labelled_weight(_labelled(s, d)),
-    f"SELECT column_id, label, CAST(sum(count) FILTER (WHERE val <> '' AND val <> 'NULL') AS BIGINT) AS weight FROM ({_LABELLED_SQL}) GROUP BY 1, 2",
-)
-
-
 def _roundtrip(s, d):
     """Write the profile as JSON, read it back with its schema, and show it flat."""
     import posixpath
@@ -211,26 +195,14 @@ register(
 )
 
 
-def _brand_terms(s, d):
-    return load(s, d, "part").selectExpr("p_type AS semantic_type", "upper(p_name) || '. (' || p_brand || ')' AS term")
-
-
-register(
-    "keyword_regex",
-    lambda s, d: M.keyword_regex(_brand_terms(s, d)),
-    """SELECT semantic_type, string_agg('\\s' || regexp_replace(term, '([.\\\\+*?\\[\\](){}^$|/\\-])', '\\\\\\1', 'g'), '|' ORDER BY term) AS pattern
-    FROM (SELECT DISTINCT p_type AS semantic_type, upper(p_name) || '. (' || p_brand || ')' AS term FROM part) GROUP BY 1""",
-)
-
 # --- frequent word sets -----------------------------------------------------------------------------------
 
 
 def _baskets(s, d):
-    """Part types and flags met in each order."""
+    """(items): part types and flags met in each order; one shuffle besides the join's."""
     lines = load(s, d, "lineitem").join(load(s, d, "part"), F.col("l_partkey") == F.col("p_partkey"))
-    words = F.concat_ws(" ", F.col("p_type"), F.col("l_returnflag"), F.concat(F.lit("line"), F.col("l_linestatus")))
-    values = lines.select("l_orderkey", F.explode(F.split(words, " ")).alias("word")).distinct()
-    return M.word_baskets(values.groupBy("l_orderkey").agg(F.array_join(F.array_sort(F.collect_list("word")), " ").alias("val")))
+    words = F.array(F.col("p_type"), F.col("l_returnflag"), F.concat(F.lit("line"), F.col("l_linestatus")))
+    return lines.groupBy("l_orderkey").agg(F.array_distinct(F.flatten(F.collect_set(words))).alias("items")).select("items")
 
 
 _BASKET_SQL = """b AS (SELECT DISTINCT l_orderkey, unnest([p_type, l_returnflag, 'line' || l_linestatus]) AS w FROM lineitem JOIN part ON l_partkey = p_partkey),
