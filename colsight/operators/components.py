@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from colsight.session import ensure_checkpoint_dir
+from colsight.plans.staging import stage
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -37,17 +37,18 @@ def components(edges: DataFrame, items: DataFrame | None = None, max_rounds: int
     """(item, cluster_id): cluster_id is the smallest item of the group.
 
     `edges(a, b)`; items of `items(item)` without an edge form groups of their own.
-    Each round is checkpointed, which cuts the plan and survives lost executors.
+    Each round is written to the shared folder, which cuts the plan and survives lost executors.
+    Rounds grow with the logarithm of the largest group; a graph that needs more than
+    `max_rounds` ends in an error, nothing is dropped.
     """
-    ensure_checkpoint_dir(edges.sparkSession)
-    current = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).where(F.col("a") != F.col("b")).distinct().checkpoint()
+    current = stage(edges.select(F.col("a").alias("u"), F.col("b").alias("v")).where(F.col("a") != F.col("b")).distinct())
     before = None
     for _ in range(max_rounds):
         after = _fingerprint(current)
         if after == before:
             break
         before = after
-        current = _small_star(_large_star(current)).checkpoint()
+        current = stage(_small_star(_large_star(current)))
     else:
         raise RuntimeError(f"no fixed point after {max_rounds} rounds")
     members = current.select(F.col("u").alias("item"), F.col("v").alias("cluster_id"))

@@ -1,21 +1,44 @@
 """Materialise a DataFrame that several later steps read.
 
-The copy is a Parquet table in the session's checkpoint folder, so it outlives lost
-executors, later steps read only the columns they need, and the optimiser sees its size.
+The copy is a Parquet table in the session's shared folder, so it outlives lost executors, later
+steps read only the columns they need, and the optimiser sees its size. The process that made a
+copy owns it: `release` removes its copies, at the latest when the process ends.
 """
 
 from __future__ import annotations
 
+import atexit
 import posixpath
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
-from colsight.session import ensure_checkpoint_dir
+from colsight.session import shared_folder
+
+_MADE: list[tuple[SparkSession, str]] = []
+
+
+def scratch_folder(spark: SparkSession, kind: str = "staged") -> str:
+    """A new folder's path; it is removed by `release`."""
+    path = posixpath.join(shared_folder(spark), kind, uuid.uuid4().hex)
+    _MADE.append((spark, path))
+    return path
 
 
 def stage(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
-    path = posixpath.join(ensure_checkpoint_dir(spark), "staged", uuid.uuid4().hex)
+    path = scratch_folder(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def release() -> None:
+    """Remove every copy this process has made. DataFrames that read them can't run any more."""
+    while _MADE:
+        spark, path = _MADE.pop()
+        if spark.sparkContext._jsc is not None:  # the session is still there
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+atexit.register(release)

@@ -1,9 +1,8 @@
-"""Session helpers: defaults for local runs, checkpoint folder."""
+"""Session helpers: defaults for local runs, folder for intermediate tables."""
 
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -24,18 +23,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     )
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the folder the session names; make one only for a local master."""
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        sc.setCheckpointDir(configured)
-        return configured
-    if not sc.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="colsight-checkpoint-")
-    sc.setCheckpointDir(folder)
-    return folder
+def shared_folder(spark: SparkSession) -> str:
+    """Folder for intermediate tables: the one `spark.checkpoint.dir` names, else one beside the
+    warehouse's tables. Both are shared by driver and executors; a machine's own temporary
+    folder is never used."""
+    named = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    return named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_colsight"

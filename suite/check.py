@@ -48,6 +48,7 @@ def compare(df, con, sql: str) -> str | None:
 
 
 def main(argv: list[str]) -> int:
+    from colsight.plans.staging import release
     from colsight.session import local_session
     from suite import ORACLES, QUERIES
 
@@ -71,6 +72,7 @@ def main(argv: list[str]) -> int:
                 result = None if df.count() else "no rows"
         except Exception as e:  # report and go on with the next query
             result = f"{type(e).__name__}: {str(e)[:600]}"
+        release()
         took = time.time() - start
         rows = "" if name in ORACLES else " (no SQL)"
         print(f"{'ok  ' if result is None else 'FAIL'} {took:6.2f}s {name}{rows} {'' if result is None else result[:900]}", flush=True)

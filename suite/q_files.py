@@ -5,15 +5,12 @@ Names and terms hold what file names and CSV stumble over: plus, percent, blanks
 
 from __future__ import annotations
 
-import posixpath
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from colsight import rules as R
 from colsight.operators import components as K, evaluate, mining as M
 from colsight.plans import classify as C
-from colsight.session import ensure_checkpoint_dir
+from colsight.plans.staging import scratch_folder
 from colsight.sources import readers, writers
 from suite.corpus import load, register, semantic_values
 from suite.q_semantic import _HIT_ROWS, _TYPES, CASCADE, SHARE_NAMES, VC, report
@@ -21,7 +18,7 @@ from suite.q_text import _CLUSTER_SQL, _NAME_BAG, _clusters, _feeds, _mine_sql,
 
 
 def folder(spark: SparkSession) -> str:
-    return posixpath.join(ensure_checkpoint_dir(spark), "files", uuid.uuid4().hex)
+    return scratch_folder(spark, "files")
 
 
 def named_files(lines: DataFrame, names: list[str]) -> str:

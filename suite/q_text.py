@@ -90,13 +90,10 @@ register(
 
 def _roundtrip(s, d):
     """Write the profile as JSON, read it back with its schema, and show it flat."""
-    import posixpath
-    import uuid
-
-    from colsight.session import ensure_checkpoint_dir
+    from colsight.plans.staging import scratch_folder
     from colsight.sources.writers import write_profiles
 
-    path = posixpath.join(ensure_checkpoint_dir(s), "profiles", uuid.uuid4().hex)
+    path = scratch_folder(s, "profiles")
     write_profiles(P.profile(raw(s, d, ("customer",))), path)
     back = readers.read_profiles(s, path)
     return P.flatten(back.select("dataset", F.inline("columns")))

@@ -164,7 +164,20 @@ def test_precision_and_recall(spark):
     assert (summary["columns"], summary["typed"], summary["precision"]) == (5, 4, round(2 / 3, 4))
 
 
-def test_checkpoint_folder_comes_from_the_session(spark):
-    from colsight.session import ensure_checkpoint_dir
+def test_shared_folder_comes_from_the_session(spark):
+    from colsight.session import shared_folder
 
-    assert ensure_checkpoint_dir(spark) == spark.sparkContext.getCheckpointDir()
+    named = spark.sparkContext.getCheckpointDir() or f"{spark.conf.get('spark.sql.warehouse.dir')}/_colsight"
+    assert shared_folder(spark) == named
+
+
+def test_staged_copies_are_removed_by_their_owner(spark, monkeypatch):
+    from colsight.plans import staging
+
+    monkeypatch.setattr(staging, "_MADE", [])
+    copy = staging.stage(spark.range(5).toDF("item"))
+    (_, path), = staging._MADE
+    files = spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    assert copy.count() == 5 and files.exists(spark._jvm.org.apache.hadoop.fs.Path(path))
+    staging.release()
+    assert not files.exists(spark._jvm.org.apache.hadoop.fs.Path(path))
