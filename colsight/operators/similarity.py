@@ -37,7 +37,7 @@ def gram_bags(items: DataFrame, grams: Column) -> DataFrame:
 
 
 def _prefixes(bags: DataFrame, metric: str, min_score: float) -> DataFrame:
-    """(item, gram, n, rest, left, whole): prefix rows of each item, rarest gram first.
+    """(item, gram, df, n, rest, left, whole): prefix rows of each item, rarest gram first.
 
     Mass is what a gram can add to a score: n squared for cosine, 1 for jaccard. `whole` is the
     item's mass, `rest` what it has from this gram on, `left` what it has after it. A gram of
@@ -56,7 +56,7 @@ def _prefixes(bags: DataFrame, metric: str, min_score: float) -> DataFrame:
         .withColumn("rest", F.sum("mass").over(onward))
         .where(F.col("rest") >= needed)
     )
-    return ranked.select("item", "gram", "n", "rest", (F.col("rest") - F.col("mass")).alias("left"), "whole")
+    return ranked.select("item", "gram", "df", "n", "rest", (F.col("rest") - F.col("mass")).alias("left"), "whole")
 
 
 def _size_class(size: Column, min_score: float) -> Column:
@@ -64,7 +64,7 @@ def _size_class(size: Column, min_score: float) -> Column:
     return F.floor(F.log(size.cast("double")) / math.log(1 / min_score) + EPSILON)
 
 
-def _candidates(prefixes: DataFrame, metric: str, min_score: float) -> DataFrame:
+def _candidates(prefixes: DataFrame, metric: str, min_score: float, salt_rows: int) -> DataFrame:
     """(a, b, whole_a, whole_b), a < b: pairs whose shared prefix grams leave the score in reach.
 
     Two items meet at a gram only if it could be the first they share: with nothing shared
@@ -72,12 +72,17 @@ def _candidates(prefixes: DataFrame, metric: str, min_score: float) -> DataFrame
     again, pair by pair, and first of all at the common grams, which come last. The grams that
     pass are the first ones a pair shares, so what it shares beyond them is bounded by what
     both have after the last of them.
+
+    A gram of many items is dealt over a salt for every `salt_rows` of them: one side by item,
+    the other copied to each, so that no task holds the pairs of a hot gram alone.
     """
+    salts = F.ceil(F.col("df") / salt_rows)
+    side_salts = {"a": F.pmod(F.xxhash64("item"), salts), "b": F.explode(F.sequence(F.lit(0).cast("bigint"), salts - 1))}
     sides = [
-        prefixes.select("gram", *[F.col(c).alias(f"{c}_{x}") for c in ("item", "n", "rest", "left", "whole")])
-        for x in "ab"
+        prefixes.select("gram", salt.alias("salt"), *[F.col(c).alias(f"{c}_{x}") for c in ("item", "n", "rest", "left", "whole")])
+        for x, salt in side_salts.items()
     ]
-    keys = ["gram"]
+    keys = ["gram", "salt"]
     if metric == "jaccard" and min_score < 1:
         # the class splits the group of a gram that many items share
         here = _size_class(F.col("whole_b"), min_score)
@@ -104,7 +109,7 @@ def _candidates(prefixes: DataFrame, metric: str, min_score: float) -> DataFrame
 
 
 def similar_pairs(
-    items: DataFrame, grams: Column, metric: str = "cosine", min_score: float = 0.9, staged: bool = True
+    items: DataFrame, grams: Column, metric: str = "cosine", min_score: float = 0.9, staged: bool = True, salt_rows: int = 1000
 ) -> DataFrame:
     """(a, b, score) with score >= min_score, a < b, for all pairs of `items(item, ...)`.
 
@@ -118,7 +123,7 @@ def similar_pairs(
     bags = gram_bags(items, grams)
     if staged:
         bags = stage(bags)
-    pairs = _candidates(_prefixes(bags, metric, min_score), metric, min_score)
+    pairs = _candidates(_prefixes(bags, metric, min_score), metric, min_score, salt_rows)
     of_a = pairs.join(bags.select(F.col("item").alias("a"), "gram", F.col("n").alias("n_a")), "a")
     shared = of_a.join(bags.select(F.col("item").alias("b"), "gram", F.col("n").alias("n_b")), ["b", "gram"])
     sums = shared.groupBy("a", "b", "whole_a", "whole_b").agg(

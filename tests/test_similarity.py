@@ -48,6 +48,17 @@ def test_hot_gram(spark, metric):
     assert _found(spark, names, metric, 0.8, staged=True) == _brute(names, metric, 0.8)
 
 
+def test_hot_gram_is_spread(spark):
+    """One gram in all items: its pairs come out of many tasks, each pair once."""
+    rows = [(i, "hot", 400, 1, 3, 2, 3) for i in range(400)]
+    prefixes = spark.createDataFrame(rows, "item int, gram string, df bigint, n bigint, rest bigint, left bigint, whole bigint")
+    for metric in ("cosine", "jaccard"):
+        met = Z._candidates(prefixes, metric, 0.5, salt_rows=20)
+        assert met.count() == met.distinct().count() == 400 * 399 // 2
+    joined = prefixes.select("gram", F.pmod(F.xxhash64("item"), F.lit(20)).alias("salt")).repartition(16, "gram", "salt")
+    assert joined.select(F.spark_partition_id()).distinct().count() > 4
+
+
 def test_arguments(spark):
     items = spark.createDataFrame([("a",)], "item string")
     for metric, least in (("other", 0.5), ("cosine", 0.0), ("cosine", 1.5)):
