@@ -356,13 +356,26 @@ def test_languages(spark):
 
 
 def test_many_languages_use_more_masks():
-    languages = [f"l{i}" for i in range(100)]
-    cells = np.zeros((1 << op8.CELL_BITS, 2), np.uint64)
-    f = op8.Filter(languages, cells)
-    h = op8.xxhash.xxh64_intdigest(b"abc", op8.SPARK_SEED)
+    cells = np.zeros((1 << op8.CELL_BITS, 13), np.uint8)
+    gram = np.array([0x0123456789ABCDEF], np.uint64)
     for i in range(op8.HASHES):
-        cells[(h >> (op8.CELL_BITS * i)) & ((1 << op8.CELL_BITS) - 1), 70 // op8.MASK_BITS] |= np.uint64(1 << (70 % op8.MASK_BITS))
-    assert f.masks(["abc"])[0].tolist() == [0, 1 << (70 % op8.MASK_BITS)]
+        cells[(int(gram[0]) >> (op8.CELL_BITS * i)) & ((1 << op8.CELL_BITS) - 1), 70 // op8.MASK_BITS] |= np.uint8(1 << (70 % op8.MASK_BITS))
+    votes = op8.Filter([f"l{i}" for i in range(100)], cells).votes(gram, np.array([0]), 2)
+    assert votes.tolist() == [[1.0, *(float(i == 70) for i in range(100))], [0.0] * 101]
+
+
+def test_grams_by_brute_force():
+    letters = np.unpackbits(op8.letter_table()).astype(bool)
+    some = ["Ab c", None, "", "12", "aß-Ñ日本", " x "]
+    counts, grams = op8.read_grams(some, letters)
+    assert counts.tolist() == [sum(c.isalpha() for c in (t or "").lower()) for t in some]
+    for n, (h, owner) in zip(op8.LENGTHS, grams):
+        want = []
+        for i, t in enumerate(some):
+            for w in "".join(c if c.isalpha() else " " for c in (t or "").lower()).split():
+                want += [(i, f" {w} "[j : j + n]) for j in range(len(w) + 3 - n)]
+        assert sorted(owner.tolist()) == [i for i, _ in sorted(want)]
+        assert len(set(h.tolist())) == len({g for _, g in want})
 
 
 def test_empty_tables(spark):
