@@ -13,7 +13,7 @@ def words(text, lower=False):
 
 
 def kept(docs, window, within):
-    """(doc_id, n_words, n_removed, sha) with a word gone if a window over it starts earlier."""
+    """(doc_id, n_words, n_removed, kept words) with a word gone if a window over it starts earlier."""
     first = {}
     rows = [(d, words(t)) for d, t in docs]
     for d, w in rows:
@@ -30,10 +30,14 @@ def kept(docs, window, within):
             if d is not None and (first[k] < (d, i) if within else first[k][0] < d):
                 gone[i : i + window] = [True] * window
         left = [x for x, g in zip(w, gone) if not g]
-        out.append((d, len(w), len(w) - len(left), sha256(b" ".join(left)).hexdigest()))
+        out.append((d, len(w), len(w) - len(left), b" ".join(left)))
     return out
 
 
+def kept_digests(docs, window, within):
+    return [(d, n, gone, sha256(left).hexdigest()) for d, n, gone, left in kept(docs, window, within)]
+
+
 def shingle_set(text, k):
     w = words(text, True)
     return frozenset(tuple(w[i : i + k]) for i in range(len(w) - k + 1)) if len(w) >= k else frozenset([tuple(w)] if w else [])

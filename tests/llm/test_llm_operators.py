@@ -93,7 +93,7 @@ def test_policies_and_ablation(docs, corpus):
 def test_substring(docs, corpus, cells):
     """A crowded sketch only sends more windows."""
     got = sorted(map(tuple, op5.digest(docs, cells=cells).collect()), key=repr)
-    assert got == sorted(brute.kept(pairs(corpus), 50, False), key=repr)
+    assert got == sorted(brute.kept_digests(pairs(corpus), 50, False), key=repr)
 
 
 def test_substring_texts(docs, corpus):
@@ -106,7 +106,7 @@ def test_substring_texts(docs, corpus):
 
 def test_suffix(docs, corpus):
     got = sorted(map(tuple, op4.digest(docs).collect()), key=repr)
-    assert got == sorted(brute.kept(pairs(corpus), 50, True), key=repr)
+    assert got == sorted(brute.kept_digests(pairs(corpus), 50, True), key=repr)
 
 
 @pytest.mark.parametrize("k,num,den", [(4, 85, 100), (5, 80, 100), (2, 50, 100)])
@@ -378,6 +378,47 @@ def test_grams_by_brute_force():
         assert len(set(h.tolist())) == len({g for _, g in want})
 
 
+def test_pipeline(spark, corpus, tmp_path):
+    """Every stage by plain code, each on what its predecessor kept; then run() as a whole."""
+    import corpus_pipeline
+
+    long = next(t for _, t in pairs(corpus) if t and len(t) > 100_000).split()
+    short = next(t for _, t in pairs(corpus) if t and 150 < len(t.split()) < 250).split()
+    items = [(1, " ".join(long[700:730])), (2, " ".join(short[20:45])), (3, "a b"), (4, None)]
+    spark.createDataFrame(corpus, DOCS).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(items, "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+
+    docs = []
+    for d, t in pairs(corpus):
+        n, _, symbols, dup, again = brute.measures(t)
+        lines = [x for x in (t or "").split("\n") if x.split()]
+        if n >= 50 and 2 * again <= n and 10 * symbols <= n and 2 * dup <= len(lines):
+            docs.append((d, t))
+    want = [docs]
+    groups = brute.components(docs, 5, 80, 100)
+    docs = list(dict.fromkeys(x for x, (d, _, c) in zip(docs, groups) if d is None or d == c))
+    want.append(docs)
+    docs = [(d, left.decode() if gone else t) for (d, t), (_, _, gone, left) in zip(docs, brute.kept(docs, 50, False)) if left or not gone]
+    want.append(docs)
+    bad = {d for d, *_ in brute.contained(docs, items)}
+    docs = [x for x in docs if x[0] not in bad]
+    want.append(docs)
+    assert len({len(w) for w in want}) >= 3 and bad  # the stages do something here
+
+    kept = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for i, (name, function) in enumerate(corpus_pipeline.STAGES[:4]):
+        function(spark, kept, str(tmp_path)).write.parquet(f"{tmp_path}/stage{i}")
+        kept = spark.read.parquet(f"{tmp_path}/stage{i}")
+        assert kept.columns == ["doc_id", "text", "lang", "source", "n_chars"]
+        assert sorted([(r.doc_id, r.text) for r in kept.collect()], key=repr) == sorted(want[i], key=repr), name
+    t, pieces = tokenizer(), []
+    for d, text in docs:
+        ids = t.encode(text, add_special_tokens=False).ids + [0]
+        pieces += [(d, i, at, zlib.crc32(np.array(ids[at : at + 2048], "<u4").tobytes())) for i, at in enumerate(range(0, len(ids), 2048))]
+    rows = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert sorted([(r.doc_id, r.piece, r.start, r.ids_crc32) for r in rows], key=repr) == sorted(pieces, key=repr)
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], DOCS)
     items = spark.createDataFrame([], "item_id bigint, text string")
