@@ -146,3 +146,17 @@ def test_round_trip_of_the_profile(spark, messy, tmp_path):
     assert {r["dataset"]: json.dumps(r.asDict(True), sort_keys=True) for r in back.select(*profile.columns).collect()} == {
         r["dataset"]: json.dumps(r.asDict(True), sort_keys=True) for r in profile.collect()
     }
+
+
+def test_numbers_inside_strings(spark):
+    """Weighted moments of distinct values are those of the cells."""
+    import statistics
+
+    cells = ["1000000001", "1000000002", "1000000002", " 7 ", "1.5", "2.5", "2.5", "x", None, "1e5"]
+    df = spark.createDataFrame([(c,) for c in cells], "v string")
+    got = {r["type"]: r for r in generic.numeric_stats({"t": df}).collect()}
+    ints, reals = [1000000001, 1000000002, 1000000002, 7], [1.5, 2.5, 2.5]
+    for kind, numbers in (("INTEGER (LONG)", ints), ("REAL", reals)):
+        r = got[kind]
+        assert (r["count"], float(r["max_value"]), float(r["min_value"])) == (len(numbers), max(numbers), min(numbers))
+        assert r["mean"] == pytest.approx(statistics.mean(numbers)) and r["stddev"] == pytest.approx(statistics.stdev(numbers))

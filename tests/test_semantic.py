@@ -190,3 +190,18 @@ def test_report_shares_lie_between_0_and_1(column, classify):
     for r in report.collect():
         assert all(0 <= r[c] <= 1 for c in report.columns if c.endswith("_share"))
     assert C.types_found(classify(vc)).first()["n"] == 1
+
+
+def test_more_lists_than_bits_of_a_number(spark, column):
+    lists = {f"kind{i}": [f"term{i}", "shared"] for i in range(130)}
+    values = column("d.c", {"term0": 1, "term61": 2, "term62": 4, "term129": 8, "shared": 16})
+    found = S.detect_keywords(values, S.literal_terms(spark, lists), {k: 0.5 for k in lists}).collect()
+    weights = {r["semantic_type"]: r["weight"] for r in found}
+    assert weights == {k: 16 + {"kind0": 1, "kind61": 2, "kind62": 4, "kind129": 8}.get(k, 0) for k in lists}
+
+
+def test_breakdown_is_ordered_with_the_rest_last(column):
+    got = S.code_weights(column("d.c", {"RED": 1, "WHITE": 5, "BLUE": 5, "other thing": 90}), R.COLOR_CODES).collect()
+    assert [(r["rank"], r["name"], r["weight"]) for r in sorted(got, key=lambda r: r["rank"])] == [
+        (1, "BLUE", 5), (2, "WHITE", 5), (3, "RED", 1), (4, "OTHERS", 90),
+    ]
