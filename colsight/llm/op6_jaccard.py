@@ -7,7 +7,8 @@ and the block keeps the XOR of its shingles (its parity sketch): a differing shi
 most one block, so with m = d + 1 + e blocks at least e + 1 agree, and one that isn't empty
 does if a set has at most e empty blocks (sets with more also send the empty ones).
 
-1. Each distinct set sends its blocks for two bands; blocks seen in two sets meet.
+1. Each distinct set sends its blocks for two bands; blocks seen in two sets meet. Blocks with the
+   same sets count once.
 2. Inside a block a bit sketch (one parity bit a hash position) bounds the difference from below
    by its Hamming distance. The sets that pass are joined by a spanning forest, never all pairs.
 3. The forests' components hold every linked pair. They are cut into chunks of bounded size;
@@ -30,11 +31,12 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from colsight.llm.common import NUMBER_ROWS, WordHashes, batch_of, bitmap, has_bit, lower_words, map_arrow, mix, runs, shingles, signed, stage, texts
+from colsight.llm.common import NUMBER_ROWS, WordHashes, batch_of, bitmap, has_bit, lower_words, map_arrow, mix, runs, shingles, signed, sized, stage, texts
 from colsight.operators.components import components
 
 CHUNK_SHINGLES = 1_500_000  # shingles of a chunk: memory of a task, not a limit on groups
 DOC_BITS = 1 << 25
+LINKS = 400_000  # links a task holds at once
 
 
 class Bands:
@@ -126,40 +128,24 @@ def document_sets(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
 
 
 def _meeting(rows: DataFrame) -> DataFrame:
-    """(key, cls) of blocks that two or more sets have, from rows sorted by (key, cls)."""
+    """(key, cls) of blocks that two or more sets have. The key is a hash of the block's sets: similar
+    sets agree in many blocks, and blocks with the same sets are one from here on."""
 
-    def make():
-        last: list = [None, None, False]  # key, set, whether that row was given out
-
-        def run(batch):
-            if batch is None:
-                return []
-            key, cls = batch.column("key").to_numpy(), batch.column("cls").to_numpy()
+    def task(batches):
+        for table in runs(sized(batches, NUMBER_ROWS), ["key"]):
+            key, cls = table.column("key").to_numpy(), table.column("cls").to_numpy()
             fresh = np.ones(len(key), bool)
             fresh[1:] = (key[1:] != key[:-1]) | (cls[1:] != cls[:-1])
-            if last[0] is not None and key[0] == last[0] and cls[0] == last[1]:
-                fresh[0] = False
             key, cls = key[fresh], cls[fresh]
-            if not len(key):
-                return []
-            out = np.zeros(len(key), bool)
-            same = key[1:] == key[:-1]
-            out[1:] |= same
-            out[:-1] |= same
-            extra = []
-            if last[0] is not None and key[0] == last[0]:
-                out[0] = True
-                if not last[2]:
-                    extra = [(last[0], last[1])]
-            last[:] = [key[-1], cls[-1], bool(out[-1])]
-            key, cls = key[out], cls[out]
-            if extra:
-                key, cls = np.append(key, extra[0][0]), np.append(cls, extra[0][1])
-            return [batch_of(key=pa.array(key), cls=pa.array(cls))] if len(key) else []
-
-        return run
+            at = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+            size = np.diff(np.append(at, len(key)))
+            block = np.add.reduceat(mix(cls.view(np.uint64)), at) + size.astype(np.uint64)
+            met = np.repeat(size > 1, size)
+            if met.any():
+                pairs = np.unique(np.stack([np.repeat(mix(block), size)[met], cls[met].view(np.uint64)]), axis=1)
+                yield batch_of(key=signed(pairs[0]), cls=signed(pairs[1]))
 
-    return map_arrow(rows.repartition("key").sortWithinPartitions("key", "cls"), make, "key bigint, cls bigint", rows=NUMBER_ROWS)
+    return rows.repartition("key").sortWithinPartitions("key", "cls").mapInArrow(task, "key bigint, cls bigint").distinct()
 
 
 def _folded(bits: list[bytes]) -> np.ndarray:
@@ -219,6 +205,34 @@ def _candidates(rows: DataFrame, num: int, den: int) -> DataFrame:
     return rows.repartition("key").sortWithinPartitions("key", "cls").mapInArrow(task, "a bigint, b bigint").distinct()
 
 
+def fewer_links(links: DataFrame) -> DataFrame:
+    """Links with the same components as `links(a, b)`: parts of at most LINKS links are replaced by
+    spanning forests. It saves rounds of the components their dense groups; no part is a component."""
+    links = stage(links)
+    parts = max(1, -(-links.count() // LINKS))
+
+    def task(batches):
+        root: dict[int, int] = {}
+
+        def find(x: int) -> int:
+            while root.setdefault(x, x) != x:
+                root[x] = x = root[root[x]]
+            return x
+
+        for batch in batches:
+            kept = []
+            for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist()):
+                x, y = find(a), find(b)
+                if x != y:
+                    root[max(x, y)] = min(x, y)
+                    kept.append((a, b))
+            if kept:
+                a, b = zip(*kept)
+                yield batch_of(a=pa.array(a, pa.int64()), b=pa.array(b, pa.int64()))
+
+    return links.repartition(parts, "a").mapInArrow(task, "a bigint, b bigint")
+
+
 def exact_links(ids: np.ndarray, sets: list[np.ndarray], num: int, den: int) -> list[tuple[int, int]]:
     """Spanning links of the graph of all pairs with |A & B| / |A | B| >= num / den.
 
@@ -317,10 +331,10 @@ def linked(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100) -> DataFr
     given = found.where(F.col("keys").isNotNull() & F.col("doc_id").isNotNull())
     met = stage(_meeting(given.select(F.explode("keys").alias("key"), "cls")))
     one = given.join(met.select("cls").distinct(), "cls", "left_semi").groupBy("cls").agg(F.first("n_shingles").alias("n_shingles"), F.first("bits").alias("bits"))
-    candidates = components(stage(_candidates(met.join(one, "cls"), num, den))).withColumnRenamed("item", "cls").withColumnRenamed("cluster_id", "cand")
+    candidates = components(fewer_links(_candidates(met.join(one, "cls"), num, den))).withColumnRenamed("item", "cls").withColumnRenamed("cluster_id", "cand")
     least = found.where(F.col("cls").isNotNull() & F.col("doc_id").isNotNull()).groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"))
     members = stage(candidates.join(least, "cls"))
-    groups = components(stage(_verified(docs, members, k, num, den)))
+    groups = components(fewer_links(_verified(docs, members, k, num, den)))
     grouped = members.join(groups.withColumnRenamed("item", "cls"), "cls").select("cls", "cluster_id", "doc_id")
     lowest = grouped.groupBy("cluster_id").agg(F.min("doc_id").alias("component"))
     named = grouped.join(lowest, "cluster_id").select("cls", "component")
