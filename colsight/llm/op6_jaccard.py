@@ -338,7 +338,8 @@ def linked(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100) -> DataFr
     grouped = members.join(groups.withColumnRenamed("item", "cls"), "cls").select("cls", "cluster_id", "doc_id")
     lowest = grouped.groupBy("cluster_id").agg(F.min("doc_id").alias("component"))
     named = grouped.join(lowest, "cluster_id").select("cls", "component")
-    out = least.join(named, "cls", "left").select("cls", F.coalesce("component", "doc_id").alias("component"))
+    # written, so that the join below has nothing but shuffles under it and a class of many copies is split
+    out = stage(least.join(named, "cls", "left").select("cls", F.coalesce("component", "doc_id").alias("component")))
     return found.select("doc_id", "n_shingles", "cls").join(out, "cls", "left").select(
         "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id")
     )
