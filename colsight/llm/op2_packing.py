@@ -44,7 +44,7 @@ class ChunkIds(dict):
     faster; all other chunks go through the whole tokenizer.
     """
 
-    def __init__(self, tokenizer_json: str, dtype: str = "<u4", limit: int = 150_000):
+    def __init__(self, tokenizer_json: str, dtype: str = "<u4", limit: int = 400_000):
         from tokenizers import Tokenizer
 
         spec = json.loads(tokenizer_json)
@@ -54,6 +54,7 @@ class ChunkIds(dict):
         cuts = (spec["pre_tokenizer"] or {}).get("pretokenizers", [{}])
         self.direct = steps == NORMALIZERS and cuts[0].get("pattern") == {"Regex": WORDS} and [c["type"] for c in cuts] == ["Split", "ByteLevel"]
         self.packed = [i.to_bytes(np.dtype(dtype).itemsize, "little") for i in range(self.tokenizer.get_vocab_size())]
+        self.tokenize = self.tokenizer.model.tokenize
         self.find = regex.compile(WORDS).findall
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]  # bytes named by their own character
         rest = [x for x in range(256) if x not in plain]
@@ -69,7 +70,7 @@ class ChunkIds(dict):
                 if len(self.words) >= self.limit:
                     self.words.clear()
                 named = word if word.isascii() else word.encode().decode("latin-1").translate(self.names)
-                ids = self.words[word] = b"".join([self.packed[t.id] for t in self.tokenizer.model.tokenize(named)])
+                ids = self.words[word] = b"".join([self.packed[t.id] for t in self.tokenize(named)])
             out += ids
         return out
 
