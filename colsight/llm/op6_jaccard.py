@@ -97,7 +97,7 @@ def set_key(s: np.ndarray) -> int:
 
 def document_sets(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
     """(doc_id, n_shingles, cls, keys, bits): `cls` names the set; a task gives keys and bits of a
-    set only the first time it meets it."""
+    set only the first time it meets it under a doc_id."""
 
     def make():
         memo, bands, met = WordHashes(), Bands(num, den), set()
@@ -106,13 +106,13 @@ def document_sets(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
             if batch is None:
                 return []
             rows = []
-            for text in texts(batch):
+            for doc, text in zip(batch.column("doc_id").to_pylist(), texts(batch)):
                 s = shingles(memo.of(lower_words(text)), k)
                 if not len(s):
                     rows.append((0, None, None, None))
                     continue
                 cls = set_key(s)
-                if cls in met:
+                if doc is None or cls in met:
                     rows.append((len(s), cls, None, None))
                     continue
                 if len(met) >= 300_000:

@@ -127,6 +127,17 @@ def test_keep_one(docs, corpus):
     assert sorted(r.doc_id for r in op6.keep_one(docs).collect() if r.doc_id is not None) == want
 
 
+def test_rows_without_id_take_no_keys(spark):
+    """The null row comes first in the only partition; its text has a near copy under real doc_ids."""
+    words = vocabulary(random.Random(11), 200)
+    near = [*words[:-1], "changed"]
+    rows = [(None, " ".join(words), "en", "s", 1), (2, " ".join(words), "en", "s", 1), (1, " ".join(near), "en", "s", 1)]
+    table = spark.createDataFrame(rows, DOCS).coalesce(1)
+    got = sorted(map(tuple, op6.linked(table).collect()), key=repr)
+    assert got == sorted(brute.components(pairs(rows), 4, 85, 100), key=repr)
+    assert sorted(r.doc_id for r in op6.keep_one(table).collect() if r.doc_id is not None) == [1]
+
+
 def test_exact_links_by_brute_force():
     rnd = np.random.default_rng(3)
     base = rnd.integers(0, 1 << 62, 80).astype(np.uint64)
