@@ -11,6 +11,9 @@ does if a set has at most e empty blocks (sets with more also send the empty one
    same sets count once.
 2. Inside a block a bit sketch (one parity bit a hash position) bounds the difference from below
    by its Hamming distance. The sets that pass are joined by a spanning forest, never all pairs.
+   A block of more than BLOCK_SETS sets is dealt into parts of about that many, each block in its
+   own way. What the parts leave unconnected meets in pairs of parts: near copies share many
+   blocks and are connected by then, so it is few unless a block's sets aren't near each other.
 3. The forests' components hold every linked pair. They are cut into chunks of bounded size;
    pairs of chunks are verified exactly on the full sets (rarest shingles first), and again only
    spanning links leave the task.
@@ -36,6 +39,7 @@ from colsight.operators.components import components
 
 CHUNK_SHINGLES = 3_000_000  # shingles of a chunk: memory of a task, not a limit on groups
 DOC_BITS = 1 << 25
+BLOCK_SETS = 1000  # sets of a part of a block: memory of a task, not a limit on blocks
 LINKS = 400_000  # links a task holds at once
 
 
@@ -128,8 +132,8 @@ def document_sets(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
 
 
 def _meeting(rows: DataFrame) -> DataFrame:
-    """(key, cls) of blocks that two or more sets have. The key is a hash of the block's sets: similar
-    sets agree in many blocks, and blocks with the same sets are one from here on."""
+    """(key, cls, size) of blocks that two or more sets have. The key is a hash of the block's sets:
+    similar sets agree in many blocks, and blocks with the same sets are one from here on."""
 
     def task(batches):
         for table in runs(sized(batches, NUMBER_ROWS), ["key"]):
@@ -142,10 +146,10 @@ def _meeting(rows: DataFrame) -> DataFrame:
             block = np.add.reduceat(mix(cls.view(np.uint64)), at) + size.astype(np.uint64)
             met = np.repeat(size > 1, size)
             if met.any():
-                pairs = np.unique(np.stack([np.repeat(mix(block), size)[met], cls[met].view(np.uint64)]), axis=1)
-                yield batch_of(key=signed(pairs[0]), cls=signed(pairs[1]))
+                rows = np.unique(np.stack([np.repeat(mix(block), size)[met], cls[met].view(np.uint64), np.repeat(size, size)[met].astype(np.uint64)]), axis=1)
+                yield batch_of(key=signed(rows[0]), cls=signed(rows[1]), size=signed(rows[2]))
 
-    return rows.repartition("key").sortWithinPartitions("key", "cls").mapInArrow(task, "key bigint, cls bigint").distinct()
+    return rows.repartition("key").sortWithinPartitions("key", "cls").mapInArrow(task, "key bigint, cls bigint, size bigint").distinct()
 
 
 def _folded(bits: list[bytes]) -> np.ndarray:
@@ -175,17 +179,19 @@ def _forest(sizes: np.ndarray, sketches: np.ndarray, num: int, den: int) -> list
     return edges
 
 
-def _candidates(rows: DataFrame, num: int, den: int) -> DataFrame:
-    """(a, b): forest links of every block, from (key, cls, n_shingles, bits)."""
+def _forests(rows: DataFrame, num: int, den: int) -> DataFrame:
+    """(a, b): forest links of every (key, x, y), from (key, x, y, cls, n_shingles, bits)."""
 
     def task(batches):
         seen: set[tuple[int, int]] = set()
-        for table in runs(batches, ["key"]):
-            key = table.column("key").to_numpy()
+        for table in runs(batches, ["key", "x", "y"]):
+            names = [table.column(c).to_numpy() for c in ("key", "x", "y")]
             cls, n, bits = table.column("cls").to_numpy(), table.column("n_shingles").to_numpy(), table.column("bits").to_pylist()
-            at = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+            new = np.ones(len(cls), bool)
+            new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in names])
+            at = np.flatnonzero(new)
             found = []
-            for a, b in zip(at, [*at[1:], len(key)]):
+            for a, b in zip(at, [*at[1:], len(cls)]):
                 if b - a < 2:
                     continue
                 ids = cls[a:b]
@@ -202,7 +208,41 @@ def _candidates(rows: DataFrame, num: int, den: int) -> DataFrame:
                 a, b = zip(*found)
                 yield batch_of(a=pa.array(a, pa.int64()), b=pa.array(b, pa.int64()))
 
-    return rows.repartition("key").sortWithinPartitions("key", "cls").mapInArrow(task, "a bigint, b bigint").distinct()
+    return rows.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y", "cls").mapInArrow(task, "a bigint, b bigint").distinct()
+
+
+def _parted(met: DataFrame) -> DataFrame:
+    """(key, x, y, cls): blocks of `met(key, cls, size)` in parts of about BLOCK_SETS sets."""
+    part = F.pmod(F.xxhash64("key", "cls"), F.ceil(F.col("size") / BLOCK_SETS))
+    return met.select("key", part.alias("x"), part.alias("y"), "cls")
+
+
+def _crossing(met: DataFrame, groups: DataFrame) -> DataFrame:
+    """(key, x, y, cls): pairs of parts of the blocks above BLOCK_SETS that hold all pairs of sets in
+    different `groups(item, cluster_id)`. Sets of a block's largest group don't meet each other."""
+    large = met.where(F.col("size") > BLOCK_SETS)
+    named = stage(large.join(groups.withColumnRenamed("item", "cls"), "cls", "left").select("key", "cls", "size", F.coalesce("cluster_id", "cls").alias("grp")))
+    most = named.groupBy("key", "grp").agg(F.count(F.lit(1)).alias("n")).groupBy("key").agg(F.max(F.struct("n", "grp")).alias("most"))
+    most = most.select("key", F.col("most.n").alias("n"), F.col("most.grp").alias("main"))
+    rows = named.join(most, "key").where(F.col("n") < F.col("size"))
+    ours = F.ceil(F.col("n") / BLOCK_SETS)  # parts of the largest group: -1, -2, ...
+    others = F.ceil((F.col("size") - F.col("n")) / BLOCK_SETS)  # parts of the rest: 0, 1, ...
+    place = F.xxhash64("key", "cls")
+    mine = F.when(F.col("grp") == F.col("main"), -1 - F.pmod(place, ours)).otherwise(F.pmod(place, others))
+    first = F.when(F.col("grp") == F.col("main"), F.lit(0).cast("bigint")).otherwise(-ours)
+    met = rows.select("key", "cls", mine.alias("mine"), F.explode(F.sequence(first, others - 1)).alias("other"))
+    return met.select("key", F.least("mine", "other").alias("x"), F.greatest("mine", "other").alias("y"), "cls")
+
+
+def _candidates(met: DataFrame, one: DataFrame, num: int, den: int) -> DataFrame:
+    """(item, cluster_id): groups that hold every linked pair, from `met(key, cls, size)` and
+    `one(cls, n_shingles, bits)`."""
+    links = fewer_links(_forests(_parted(met).join(one, "cls"), num, den))
+    groups = components(links)
+    if met.where(F.col("size") > BLOCK_SETS).isEmpty():
+        return groups
+    across = fewer_links(_forests(_crossing(met, groups).join(one, "cls"), num, den))
+    return components(groups.select(F.col("item").alias("a"), F.col("cluster_id").alias("b")).unionByName(across))
 
 
 def fewer_links(links: DataFrame) -> DataFrame:
@@ -230,7 +270,7 @@ def fewer_links(links: DataFrame) -> DataFrame:
                 a, b = zip(*kept)
                 yield batch_of(a=pa.array(a, pa.int64()), b=pa.array(b, pa.int64()))
 
-    return links.repartition(parts, "a").mapInArrow(task, "a bigint, b bigint")
+    return links.repartition(parts, "a", "b").mapInArrow(task, "a bigint, b bigint")
 
 
 def exact_links(ids: np.ndarray, sets: list[np.ndarray], num: int, den: int) -> list[tuple[int, int]]:
@@ -330,8 +370,8 @@ def linked(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100) -> DataFr
     found = stage(document_sets(docs, k, num, den))
     given = found.where(F.col("keys").isNotNull() & F.col("doc_id").isNotNull())
     met = stage(_meeting(given.select(F.explode("keys").alias("key"), "cls")))
-    one = given.join(met.select("cls").distinct(), "cls", "left_semi").groupBy("cls").agg(F.first("n_shingles").alias("n_shingles"), F.first("bits").alias("bits"))
-    candidates = components(fewer_links(_candidates(met.join(one, "cls"), num, den))).withColumnRenamed("item", "cls").withColumnRenamed("cluster_id", "cand")
+    one = stage(given.join(met.select("cls").distinct(), "cls", "left_semi").groupBy("cls").agg(F.first("n_shingles").alias("n_shingles"), F.first("bits").alias("bits")))
+    candidates = _candidates(met, one, num, den).withColumnRenamed("item", "cls").withColumnRenamed("cluster_id", "cand")
     least = found.where(F.col("cls").isNotNull() & F.col("doc_id").isNotNull()).groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"))
     members = stage(candidates.join(least, "cls"))
     groups = components(fewer_links(_verified(docs, members, k, num, den)))

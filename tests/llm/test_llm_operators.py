@@ -8,6 +8,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 import brute  # noqa: E402
@@ -138,6 +139,30 @@ def test_rows_without_id_take_no_keys(spark):
     assert sorted(r.doc_id for r in op6.keep_one(table).collect() if r.doc_id is not None) == [1]
 
 
+def test_large_blocks_and_stars_are_dealt(spark, monkeypatch):
+    """Families of near copies and a passage in unlike texts: no task's group or part grows with them."""
+    rnd = random.Random(12)
+    names = vocabulary(rnd)
+    base, passage = [rnd.choice(names) for _ in range(120)], [rnd.choice(names) for _ in range(60)]
+    texts = [[*base[:i], "changed", *base[i + 1 :]] for i in range(0, 120, 3)] + [passage + [rnd.choice(names) for _ in range(60)] for _ in range(40)]
+    rows = [(i, " ".join(t), "en", "s", 1) for i, t in enumerate(texts)]
+    want = sorted(brute.components(pairs(rows), 4, 85, 100), key=repr)
+    monkeypatch.setattr(op6, "BLOCK_SETS", 8)
+    sizes, forests = [], op6._forests
+
+    def watched(groups, num, den):
+        sizes.append(groups.groupBy("key", "x", "y").count().agg({"count": "max"}).first()[0])
+        return forests(groups, num, den)
+
+    monkeypatch.setattr(op6, "_forests", watched)
+    assert sorted(map(tuple, op6.linked(spark.createDataFrame(rows, DOCS)).collect()), key=repr) == want
+    assert len(sizes) == 2 and max(x or 0 for x in sizes) <= 4 * 8  # parts by hash: 8 on average, pairs 16
+    monkeypatch.setattr(op6, "LINKS", 100)
+    star = op6.fewer_links(spark.range(1, 1001).selectExpr("0L AS a", "id AS b"))
+    held = [r["count"] for r in star.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(held) == 1000 and max(held) < 300
+
+
 def test_exact_links_by_brute_force():
     rnd = np.random.default_rng(3)
     base = rnd.integers(0, 1 << 62, 80).astype(np.uint64)
