@@ -1,15 +1,11 @@
 """Search of short test items inside long documents.
 
-Containment search with MinHash needs sets of like size, so both sides are partitioned by
-size: items by powers of two of their shingles, documents, for each such class, into
-overlapping segments of twice the class's largest size, so that an item's copy lies whole in
-one. A signature has BINS bins by hash, each holding its smallest hash (one-permutation
-MinHash); one equal bin makes a candidate. The chance to miss a copy with containment 0.8 is
-under 1e-6 for the smallest class and falls with size. Candidates are verified exactly:
-distinct shingles of the item found in the document / distinct shingles of the item.
-
-A document's bins are only computed around shingles that are some item's bin minimum, told by
-a bitmap of fixed size; the signature is the same, the rest could not meet any item.
+A document that holds a share `threshold` of an item's n distinct shingles misses fewer than
+n - ceil(threshold n) + 1 of them, so it has one of any that many. Each item sends its smallest
+so many by hash as keys, whatever its size; documents send those of their shingles that are some
+item's key, told by a bitmap of fixed size. One equal key makes a candidate: none is missed.
+Candidates are verified exactly: distinct shingles of the item found in the document / distinct
+shingles of the item.
 
 Words are ASCII-lower-cased runs of anything but ASCII white space, shingles are five words.
 Items with fewer words are not searched; null or empty texts contain nothing. Repeated items
@@ -18,25 +14,19 @@ are found each; repeated document rows give repeated result rows only once (doc_
 
 from __future__ import annotations
 
+from math import ceil
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from colsight.llm.common import WordHashes, batch_of, bitmap, grams, has_bit, lower_words, map_arrow, mix, signed, stage, texts
 
-SHINGLE, CONTAINMENT, BINS, FILTER_BITS = 5, 0.8, 256, 1 << 25
-
-
-def _size_class(n: int) -> int:
-    return n.bit_length()  # 2^(class-1) <= n < 2^class
+SHINGLE, CONTAINMENT, FILTER_BITS = 5, 0.8, 1 << 25
 
 
-def _key(values: np.ndarray, size_class: int) -> np.ndarray:
-    return mix(values + np.uint64(size_class))
-
-
-def item_signatures(items: DataFrame, k: int = SHINGLE, bins: int = BINS) -> DataFrame:
-    """(item_id, size_class, n, keys array, shingles binary) of items with a shingle."""
+def item_signatures(items: DataFrame, k: int = SHINGLE, threshold: float = CONTAINMENT) -> DataFrame:
+    """(item_id, n, keys array, shingles binary) of items with a shingle."""
 
     def make():
         memo = WordHashes()
@@ -50,39 +40,22 @@ def item_signatures(items: DataFrame, k: int = SHINGLE, bins: int = BINS) -> Dat
                 if len(words) < k:
                     continue
                 s = np.unique(mix(grams(memo.of(words), k)))
-                c = _size_class(len(words) - k + 1)
-                first = np.unique(s % np.uint64(bins), return_index=True)[1]  # s is sorted: the first is the least
-                rows.append((item, c, len(s), _key(s[first], c).view(np.int64), s.astype("<u8").tobytes()))
+                least = max(1, ceil(len(s) * threshold - 1e-6))  # shingles that a document must have
+                rows.append((item, len(s), s[: len(s) - least + 1].view(np.int64), s.astype("<u8").tobytes()))
             if not rows:
                 return []
-            item, c, n, keys, s = zip(*rows)
-            return [batch_of(item_id=pa.array(item, pa.int64()), size_class=pa.array(c, pa.int32()), n=pa.array(n, pa.int64()), keys=pa.array(keys, pa.list_(pa.int64())), shingles=pa.array(s, pa.binary()))]
+            item, n, keys, s = zip(*rows)
+            return [batch_of(item_id=pa.array(item, pa.int64()), n=pa.array(n, pa.int64()), keys=pa.array(keys, pa.list_(pa.int64())), shingles=pa.array(s, pa.binary()))]
 
         return run
 
-    return map_arrow(items.select(F.col("item_id").cast("bigint"), F.col("text").cast("string")), make, "item_id bigint, size_class int, n bigint, keys array<bigint>, shingles binary")
-
-
-def _minima(s: np.ndarray, hits: np.ndarray, width: int, bins: int) -> np.ndarray:
-    """Hits that are the least of their bin in a segment. Segments are `width` shingles long and
-    start every half; only those with a hit are looked at."""
-    half = width // 2
-    found = []
-    for g in np.unique(np.concatenate([hits // half, hits // half - 1])):
-        if g < 0:
-            continue
-        part = np.unique(s[g * half : g * half + width])
-        least = part[np.unique(part % np.uint64(bins), return_index=True)[1]]
-        mine = s[hits[(hits >= g * half) & (hits < g * half + width)]]
-        found.append(mine[np.isin(mine, least)])
-    return np.unique(np.concatenate(found)) if found else np.empty(0, np.uint64)
+    return map_arrow(items.select(F.col("item_id").cast("bigint"), F.col("text").cast("string")), make, "item_id bigint, n bigint, keys array<bigint>, shingles binary")
 
 
-def search(docs: DataFrame, items: DataFrame, k: int = SHINGLE, threshold: float = CONTAINMENT, bins: int = BINS) -> DataFrame:
+def search(docs: DataFrame, items: DataFrame, k: int = SHINGLE, threshold: float = CONTAINMENT) -> DataFrame:
     """(doc_id, item_id, n_shared, n_item, containment) of every item that a document contains."""
     sc = docs.sparkSession.sparkContext
-    items = stage(item_signatures(items, k, bins))
-    classes = [r[0] for r in items.select("size_class").distinct().collect()]  # one for each power of two
+    items = stage(item_signatures(items, k, threshold))
     signed_keys = items.select(F.explode("keys").alias("key"), "item_id", "n", "shingles")
     members = items.select("shingles")
 
@@ -115,12 +88,7 @@ def search(docs: DataFrame, items: DataFrame, k: int = SHINGLE, threshold: float
                 known = np.flatnonzero(has_bit(shingle_bits, at(s)))
                 if not len(known):
                     continue
-                found = []
-                for c in classes:
-                    hits = known[has_bit(keys_bits, at(_key(s[known], c)))]
-                    if len(hits):
-                        found.append(_key(_minima(s, hits, 2 << c, bins), c))
-                keys = np.unique(np.concatenate(found)) if found else np.empty(0, np.uint64)
+                keys = np.unique(s[known[has_bit(keys_bits, at(s[known]))]])
                 if len(keys):
                     rows.append((doc, keys.view(np.int64), np.unique(s[known]).astype("<u8").tobytes()))
             if not rows:

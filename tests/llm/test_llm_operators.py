@@ -192,6 +192,16 @@ def test_search(spark, docs, corpus):
     assert got == brute.contained(pairs(corpus), items) and {i for _, i, _, _ in got} >= {1, 2, 5, 7, 8}
 
 
+def test_search_misses_no_short_or_repetitive_item(spark):
+    rnd = random.Random(13)
+    names = vocabulary(rnd, 3000)
+    items = [(1, " ".join(names[:5])), (2, " ".join(names[5:8] * 120))]
+    rows = [(i, " ".join([*rnd.choices(names, k=8), items[0][1], *rnd.choices(names, k=8), *([items[1][1], *rnd.choices(names, k=700)] if i < 60 else [])])) for i in range(4000)]
+    found = op1.search(spark.createDataFrame(rows, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string"))
+    got = [(r.doc_id, r.item_id) for r in found.collect()]
+    assert sorted(got) == sorted([(i, 1) for i in range(4000)] + [(i, 2) for i in range(60)])
+
+
 def test_search_keeps_the_rest(spark, docs):
     items = spark.createDataFrame([(1, "nothing of this kind is in there")], "item_id bigint, text string")
     assert op1.decontaminate(docs, items).count() == docs.count()
