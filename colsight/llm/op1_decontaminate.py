@@ -53,10 +53,17 @@ def item_signatures(items: DataFrame, k: int = SHINGLE, threshold: float = CONTA
 
 
 def search(docs: DataFrame, items: DataFrame, k: int = SHINGLE, threshold: float = CONTAINMENT) -> DataFrame:
-    """(doc_id, item_id, n_shared, n_item, containment) of every item that a document contains."""
+    """(doc_id, item_id, n_shared, n_item, containment) of every item that a document contains; items
+    without item_id can't be named and give no rows here, though `decontaminate` obeys them."""
+    found = _contained(docs, items, k, threshold).where(F.col("item_id").isNotNull())
+    return found.groupBy("doc_id", "item_id", "n_item").agg(F.max("n_shared").alias("n_shared"), F.max("containment").alias("containment")).select("doc_id", "item_id", "n_shared", "n_item", "containment")
+
+
+def _contained(docs: DataFrame, items: DataFrame, k: int = SHINGLE, threshold: float = CONTAINMENT) -> DataFrame:
+    """`search` with a row for each pair of rows, also of items without item_id."""
     sc = docs.sparkSession.sparkContext
-    items = stage(item_signatures(items, k, threshold))
-    signed_keys = items.select(F.explode("keys").alias("key"), "item_id", "n", "shingles")
+    items = stage(item_signatures(items, k, threshold).withColumn("item_row", F.monotonically_increasing_id()))
+    signed_keys = items.select(F.explode("keys").alias("key"), "item_row")
     members = items.select("shingles")
 
     def explode_shingles():
@@ -100,8 +107,8 @@ def search(docs: DataFrame, items: DataFrame, k: int = SHINGLE, threshold: float
 
     hits = map_arrow(docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")), make, "doc_id bigint, keys array<bigint>, found binary")
     hits = stage(hits.withColumn("row_id", F.monotonically_increasing_id()))
-    pairs = hits.select("row_id", F.explode("keys").alias("key")).join(signed_keys.select("key", "item_id"), "key").select("row_id", "item_id").distinct()
-    both = pairs.join(hits.select("row_id", "doc_id", "found"), "row_id").join(items.select("item_id", "n", "shingles").distinct(), "item_id")
+    pairs = hits.select("row_id", F.explode("keys").alias("key")).join(signed_keys, "key").select("row_id", "item_row").distinct()
+    both = pairs.join(hits.select("row_id", "doc_id", "found"), "row_id").join(items.select("item_row", "item_id", "n", "shingles"), "item_row")
 
     def verify():
         def run(batch):
@@ -115,11 +122,10 @@ def search(docs: DataFrame, items: DataFrame, k: int = SHINGLE, threshold: float
 
         return run
 
-    found = map_arrow(both.select("doc_id", "item_id", "n", "found", "shingles"), verify, "doc_id bigint, item_id bigint, n_shared bigint, n_item bigint, containment double")
-    return found.groupBy("doc_id", "item_id", "n_item").agg(F.max("n_shared").alias("n_shared"), F.max("containment").alias("containment")).select("doc_id", "item_id", "n_shared", "n_item", "containment")
+    return map_arrow(both.select("doc_id", "item_id", "n", "found", "shingles"), verify, "doc_id bigint, item_id bigint, n_shared bigint, n_item bigint, containment double")
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     """`docs` without the documents that contain an item; rows without doc_id stay."""
-    bad = search(docs, items, **options).select(F.col("doc_id").alias("__doc")).distinct()
+    bad = _contained(docs, items, **options).select(F.col("doc_id").alias("__doc")).distinct()
     return docs.join(bad, F.col("doc_id").cast("bigint") == F.col("__doc"), "left_anti")

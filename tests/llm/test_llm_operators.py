@@ -202,6 +202,14 @@ def test_search_misses_no_short_or_repetitive_item(spark):
     assert sorted(got) == sorted([(i, 1) for i in range(4000)] + [(i, 2) for i in range(60)])
 
 
+def test_items_without_id_are_obeyed(spark):
+    rows = [(1, "one two three four five six", "en", "s", 1), (2, "none of that is in here", "en", "s", 1)]
+    items = spark.createDataFrame([(None, "two three four five six")], "item_id bigint, text string")
+    table = spark.createDataFrame(rows, DOCS)
+    assert [r.doc_id for r in op1.decontaminate(table, items).collect()] == [2]
+    assert op1.search(table, items).count() == 0
+
+
 def test_search_keeps_the_rest(spark, docs):
     items = spark.createDataFrame([(1, "nothing of this kind is in there")], "item_id bigint, text string")
     assert op1.decontaminate(docs, items).count() == docs.count()
