@@ -20,6 +20,11 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def text_hash() -> Column:
+    """64-bit hash of the column `text`, which with doc_id names a row."""
+    return F.xxhash64(F.col("text").cast("string"))
+
+
 def texts(batch: pa.RecordBatch, column: str = "text") -> list[bytes | None]:
     """The column's values as UTF-8."""
     return batch.column(column).cast(pa.binary()).to_pylist()

@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from colsight.llm.common import WordHashes, batch_of, bitmap, grams, has_bit, lower_words, map_arrow, mix, signed, stage, texts
+from colsight.llm.common import WordHashes, batch_of, bitmap, grams, has_bit, lower_words, map_arrow, mix, signed, stage, text_hash, texts
 
 SHINGLE, CONTAINMENT, FILTER_BITS = 5, 0.8, 1 << 25
 
@@ -60,7 +60,8 @@ def search(docs: DataFrame, items: DataFrame, k: int = SHINGLE, threshold: float
 
 
 def _contained(docs: DataFrame, items: DataFrame, k: int = SHINGLE, threshold: float = CONTAINMENT) -> DataFrame:
-    """`search` with a row for each pair of rows, also of items without item_id."""
+    """`search` with a row for each pair of rows, also of items without item_id, and the hash of the
+    document's text: rows of one doc_id can differ in it."""
     sc = docs.sparkSession.sparkContext
     items = stage(item_signatures(items, k, threshold).withColumn("item_row", F.monotonically_increasing_id()))
     signed_keys = items.select(F.explode("keys").alias("key"), "item_row")
@@ -87,7 +88,7 @@ def _contained(docs: DataFrame, items: DataFrame, k: int = SHINGLE, threshold: f
             if batch is None:
                 return []
             rows = []
-            for doc, text in zip(batch.column("doc_id").to_pylist(), texts(batch)):
+            for doc, text_hash, text in zip(batch.column("doc_id").to_pylist(), batch.column("text_hash").to_pylist(), texts(batch)):
                 words = lower_words(text)
                 if len(words) < k or doc is None:
                     continue
@@ -97,18 +98,18 @@ def _contained(docs: DataFrame, items: DataFrame, k: int = SHINGLE, threshold: f
                     continue
                 keys = np.unique(s[known[has_bit(keys_bits, at(s[known]))]])
                 if len(keys):
-                    rows.append((doc, keys.view(np.int64), np.unique(s[known]).astype("<u8").tobytes()))
+                    rows.append((doc, text_hash, keys.view(np.int64), np.unique(s[known]).astype("<u8").tobytes()))
             if not rows:
                 return []
-            doc, keys, s = zip(*rows)
-            return [batch_of(doc_id=pa.array(doc, pa.int64()), keys=pa.array(keys, pa.list_(pa.int64())), found=pa.array(s, pa.binary()))]
+            doc, text_hash, keys, s = zip(*rows)
+            return [batch_of(doc_id=pa.array(doc, pa.int64()), text_hash=pa.array(text_hash, pa.int64()), keys=pa.array(keys, pa.list_(pa.int64())), found=pa.array(s, pa.binary()))]
 
         return run
 
-    hits = map_arrow(docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")), make, "doc_id bigint, keys array<bigint>, found binary")
+    hits = map_arrow(docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"), text_hash().alias("text_hash")), make, "doc_id bigint, text_hash bigint, keys array<bigint>, found binary")
     hits = stage(hits.withColumn("row_id", F.monotonically_increasing_id()))
     pairs = hits.select("row_id", F.explode("keys").alias("key")).join(signed_keys, "key").select("row_id", "item_row").distinct()
-    both = pairs.join(hits.select("row_id", "doc_id", "found"), "row_id").join(items.select("item_row", "item_id", "n", "shingles"), "item_row")
+    both = pairs.join(hits.select("row_id", "doc_id", "text_hash", "found"), "row_id").join(items.select("item_row", "item_id", "n", "shingles"), "item_row")
 
     def verify():
         def run(batch):
@@ -118,14 +119,15 @@ def _contained(docs: DataFrame, items: DataFrame, k: int = SHINGLE, threshold: f
             n = batch.column("n").to_numpy()
             part = np.array(shared_n, np.int64) / n
             keep = pa.array(part >= threshold - 1e-12)
-            return [batch_of(doc_id=batch.column("doc_id"), item_id=batch.column("item_id"), n_shared=pa.array(shared_n, pa.int64()), n_item=batch.column("n"), containment=pa.array(part)).filter(keep)]
+            return [batch_of(doc_id=batch.column("doc_id"), text_hash=batch.column("text_hash"), item_id=batch.column("item_id"), n_shared=pa.array(shared_n, pa.int64()), n_item=batch.column("n"), containment=pa.array(part)).filter(keep)]
 
         return run
 
-    return map_arrow(both.select("doc_id", "item_id", "n", "found", "shingles"), verify, "doc_id bigint, item_id bigint, n_shared bigint, n_item bigint, containment double")
+    return map_arrow(both.select("doc_id", "text_hash", "item_id", "n", "found", "shingles"), verify, "doc_id bigint, text_hash bigint, item_id bigint, n_shared bigint, n_item bigint, containment double")
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
-    """`docs` without the documents that contain an item; rows without doc_id stay."""
-    bad = _contained(docs, items, **options).select(F.col("doc_id").alias("__doc")).distinct()
-    return docs.join(bad, F.col("doc_id").cast("bigint") == F.col("__doc"), "left_anti")
+    """`docs` without the rows that contain an item; rows without doc_id stay, and so does another
+    text under the doc_id of one that goes."""
+    bad = _contained(docs, items, **options).select(F.col("doc_id").alias("__doc"), F.col("text_hash").alias("__text")).distinct()
+    return docs.join(bad, (F.col("doc_id").cast("bigint") == F.col("__doc")) & (text_hash() == F.col("__text")), "left_anti")

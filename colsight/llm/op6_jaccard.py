@@ -34,7 +34,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from colsight.llm.common import NUMBER_ROWS, WordHashes, batch_of, bitmap, has_bit, lower_words, map_arrow, mix, runs, shingles, signed, sized, stage, texts
+from colsight.llm.common import NUMBER_ROWS, WordHashes, batch_of, bitmap, has_bit, lower_words, map_arrow, mix, runs, shingles, signed, sized, stage, text_hash, texts
 from colsight.operators.components import components
 
 CHUNK_SHINGLES = 3_000_000  # shingles of a chunk: memory of a task, not a limit on groups
@@ -100,7 +100,7 @@ def set_key(s: np.ndarray) -> int:
 
 
 def document_sets(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """(doc_id, n_shingles, cls, keys, bits): `cls` names the set; a task gives keys and bits of a
+    """(doc_id, text_hash, n_shingles, cls, keys, bits): `cls` names the set; a task gives keys and bits of a
     set only the first time it meets it under a doc_id."""
 
     def make():
@@ -124,11 +124,11 @@ def document_sets(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
                 met.add(cls)
                 rows.append((len(s), cls, block_keys(s, bands).view(np.int64), parity_bits(s)))
             n, cls, keys, bits = zip(*rows)
-            return [batch_of(doc_id=batch.column("doc_id"), n_shingles=pa.array(n, pa.int64()), cls=pa.array(cls, pa.int64()), keys=pa.array(keys, pa.list_(pa.int64())), bits=pa.array(bits, pa.binary()))]
+            return [batch_of(doc_id=batch.column("doc_id"), text_hash=batch.column("text_hash"), n_shingles=pa.array(n, pa.int64()), cls=pa.array(cls, pa.int64()), keys=pa.array(keys, pa.list_(pa.int64())), bits=pa.array(bits, pa.binary()))]
 
         return run
 
-    return map_arrow(docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")), make, "doc_id bigint, n_shingles bigint, cls bigint, keys array<bigint>, bits binary")
+    return map_arrow(docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"), text_hash().alias("text_hash")), make, "doc_id bigint, text_hash bigint, n_shingles bigint, cls bigint, keys array<bigint>, bits binary")
 
 
 def _meeting(rows: DataFrame) -> DataFrame:
@@ -367,6 +367,11 @@ def _verified(docs: DataFrame, members: DataFrame, k: int, num: int, den: int) -
 
 def linked(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row: documents link at Jaccard num / den."""
+    return _linked(docs, k, num, den).drop("text_hash")
+
+
+def _linked(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """`linked` with the hash of the row's text: rows of one doc_id can differ in it."""
     found = stage(document_sets(docs, k, num, den))
     given = found.where(F.col("keys").isNotNull() & F.col("doc_id").isNotNull())
     met = stage(_meeting(given.select(F.explode("keys").alias("key"), "cls")))
@@ -380,8 +385,8 @@ def linked(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100) -> DataFr
     named = grouped.join(lowest, "cluster_id").select("cls", "component")
     # written, so that the join below has nothing but shuffles under it and a class of many copies is split
     out = stage(least.join(named, "cls", "left").select("cls", F.coalesce("component", "doc_id").alias("component")))
-    return found.select("doc_id", "n_shingles", "cls").join(out, "cls", "left").select(
-        "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id")
+    return found.select("doc_id", "text_hash", "n_shingles", "cls").join(out, "cls", "left").select(
+        "doc_id", "text_hash", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id")
     )
 
 
@@ -389,12 +394,12 @@ def keep_one(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> Data
     """`docs` with one document of each group of linked ones: that with the smallest doc_id.
 
     Rows without doc_id or without words are linked with nothing and stay. Repeated rows of one
-    doc_id and text count once.
+    doc_id and text count once; another text under the doc_id of one that goes is judged by itself.
     """
-    groups = stage(linked(docs, k, num, den))
+    groups = stage(_linked(docs, k, num, den))
     doc = F.col("doc_id").cast("bigint")
-    gone = groups.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("__doc")).distinct()
+    gone = groups.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("__doc"), F.col("text_hash").alias("__text")).distinct()
     again = groups.where((F.col("doc_id") == F.col("component_id")) & (F.col("n_shingles") > 0)).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("doc_id").alias("__doc"))
-    kept = docs.join(gone, doc == F.col("__doc"), "left_anti")
+    kept = docs.join(gone, (doc == F.col("__doc")) & (text_hash() == F.col("__text")), "left_anti")
     once = kept.join(again, doc == F.col("__doc"), "left_anti")
     return once.unionByName(kept.join(again, doc == F.col("__doc"), "left_semi").dropDuplicates(["doc_id", "text"]))

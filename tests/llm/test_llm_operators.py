@@ -163,6 +163,15 @@ def test_large_blocks_and_stars_are_dealt(spark, monkeypatch):
     assert sum(held) == 1000 and max(held) < 300
 
 
+def test_two_texts_of_one_id_are_judged_apart(spark):
+    names = vocabulary(random.Random(14))
+    copied, clean = " ".join(names[:80]), " ".join(names[100:180])
+    table = spark.createDataFrame([(1, copied, "en", "s", 1), (5, copied, "en", "s", 1), (5, clean, "en", "s", 1)], DOCS)
+    assert sorted((r.doc_id, r.text) for r in op6.keep_one(table).collect()) == [(1, copied), (5, clean)]
+    items = spark.createDataFrame([(1, " ".join(names[20:40]))], "item_id bigint, text string")
+    assert [(r.doc_id, r.text) for r in op1.decontaminate(table, items).collect()] == [(5, clean)]
+
+
 def test_exact_links_by_brute_force():
     rnd = np.random.default_rng(3)
     base = rnd.integers(0, 1 << 62, 80).astype(np.uint64)
