@@ -142,7 +142,7 @@ class Counts(dict):
                 owner.append(i)
         n = np.bincount(owner, minlength=len(new)) if words else np.zeros(len(new), np.int64)
         tokens = np.bincount(owner, self.automaton.count(words), len(new)).astype(np.int64) if words else n
-        self.update(zip(new, ((n.astype(np.int64) << 40) + tokens).tolist()))
+        self.update(zip(new, ((w << 40) + t for w, t in zip(n.tolist(), tokens.tolist()))))  # Python's integers: any number of words
 
 
 def count_tokens(docs: DataFrame, vocabulary_path: str | None = None) -> DataFrame:
@@ -164,8 +164,8 @@ def count_tokens(docs: DataFrame, vocabulary_path: str | None = None) -> DataFra
                     known.learn(set().union(*block))
                     sums += [sum(map(known.__getitem__, chunks)) for chunks in block]
                     block, size = [], 0
-            sums = np.array(sums, np.int64)
-            return [batch_of(doc_id=batch.column("doc_id"), n_words=pa.array(sums >> 40), n_tokens=pa.array(sums & ((1 << 40) - 1)))]
+            n_words, n_tokens = [x >> 40 for x in sums], [x & ((1 << 40) - 1) for x in sums]
+            return [batch_of(doc_id=batch.column("doc_id"), n_words=pa.array(n_words, pa.int64()), n_tokens=pa.array(n_tokens, pa.int64()))]
 
         return run
 

@@ -307,6 +307,12 @@ def test_token_counts(docs, corpus):
     assert got == sorted(want, key=repr)
 
 
+def test_token_counts_of_very_long_texts(spark):
+    n = (1 << 23) + 5
+    docs = spark.range(1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("a "), n).alias("text"))
+    assert [tuple(r) for r in op3.count_tokens(docs).collect()] == [(0, n, n)]
+
+
 def test_automaton_follows_links():
     a = op3.Automaton.build([tuple(b"abcd"), tuple(b"bc"), tuple(b"bcdx"), (*b"ab", 256 + ord("c"))])
     words = [b"abc", b"abcx", b"abcdbc", b"bcdy", b"a"]  # abc. / a,bc,x. wouldn't be greedy: a b..., see below
