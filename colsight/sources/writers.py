@@ -62,9 +62,15 @@ def write_term_line(terms: DataFrame, path: str, column: str = "term", by: str |
         terms.groupBy(by).agg(line).write.partitionBy(by).text(path)
 
 
+def write_cluster_rows(clusters: DataFrame, path: str) -> None:
+    """JSON rows (cluster_id, item), written where they lie: no cluster meets in a task."""
+    clusters.select("cluster_id", "item").write.json(path)
+
+
 def write_clusters(clusters: DataFrame, path: str, parts: int = 1) -> None:
     """JSON rows (cluster_id, part, items): every cluster in `parts` rows, whatever its size, and
-    fewer only if it has fewer items. For clusters beyond a task's memory ask for more parts."""
+    fewer only if it has fewer items. For clusters beyond a task's memory ask for more parts, or
+    write rows with `write_cluster_rows`."""
     numbered = clusters.withColumn("part", F.pmod(F.xxhash64("item"), F.lit(parts)))
     numbered.groupBy("cluster_id", "part").agg(F.array_sort(F.collect_list("item")).alias("items")).write.json(path)
 

@@ -113,6 +113,14 @@ def test_list_and_cluster_sinks(spark, tmp_path, rows):
     assert (back["a.b"]["label"], back["a.b"]["semantic_type"], back["a.c"]["semantic_type"]) == ("house_number", "", "city")
 
 
+def test_cluster_rows(spark, tmp_path, rows):
+    clusters = spark.range(500, numPartitions=4).selectExpr("CAST(id AS STRING) AS item", "'k' AS cluster_id")
+    writers.write_cluster_rows(clusters, str(tmp_path / "c"))
+    back = spark.read.json(str(tmp_path / "c"))
+    assert rows(back.select("cluster_id", "item")) == rows(clusters.select("cluster_id", "item"))
+    assert len(back.inputFiles()) == 4  # as the clusters lay: one cluster, four tasks
+
+
 def test_regex_round_trip(spark, tmp_path):
     terms = spark.createDataFrame([("a", "C/S"), ("a", "P.E."), ("a", "(X)"), ("a", "")], "semantic_type string, term string")
     patterns = M.keyword_regex(terms)
