@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from colsight.llm import op1_decontaminate, op10_binary, op2_packing, op3_tokens, op4_suffix, op5_substring, op6_jaccard, op7_html, op8_language, op9_quality
+from colsight.llm import op1_decontaminate, op10_binary, op11_alignment, op2_packing, op3_tokens, op4_suffix, op5_substring, op6_jaccard, op7_html, op8_language, op9_quality
 from colsight.llm.common import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -20,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language": lambda s, d: op8_language.identify(load(s, d, "documents")),
     "op9_quality": lambda s, d: op9_quality.quality(load(s, d, "documents")),
     "op10_binary": lambda s, d: op10_binary.packed_rows(load(s, d, "documents")),
+    "op11_alignment": lambda s, d: op11_alignment.align(load(s, d, "documents")),
 }
 
 # --- SQL, apart from the operators' constants ---------------------------------------------------
