@@ -24,6 +24,7 @@ import hashlib
 import os
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +34,7 @@ from colsight.llm.common import batch_of, map_arrow, stage
 from colsight.llm.op3_tokens import byte_names
 
 SEGMENT = 1 << 20  # characters handled at once
-REMEMBERED, LONGEST = 100_000, 64  # chunks kept by a task, and their longest
+REMEMBERED, LONGEST = 300_000, 64  # chunks kept by a task, and their longest
 PAIR_LIMIT = 2_000_000  # pairs sent to every task (17 bytes each); more are joined by a shuffle
 A_SHIFT, TEXT_SHIFT = 20, 44  # a pair is one number: A id, B id; in a batch, the text above them
 CUT = re.compile(r"(?<=[^ ]) (?=\S)")
@@ -83,24 +84,31 @@ class Pair:
             and not model.trainer_spec.treat_whitespace_as_suffix
             and not any("▁" in p.lstrip("▁") for p in pieces)
         )
+        # ids as text with what follows them inside a group, between groups and at a chunk's end
+        self.table = [f"{i}{mark}" for mark in ",|" for i in range(len(self.bytes_a))]
+        self.table += [f"{i}{mark}" for mark in ",;\n" for i in range(len(self.bytes_b))]
 
     def encode(self, chunks: list[str]) -> tuple[list[list[int]], list[list[int]]]:
         """Token ids of chunks that start with the blank B adds by itself."""
-        a = [x.ids for x in self.a.encode_batch(chunks, add_special_tokens=False)]
+        a = [x.ids for x in self.a.encode_batch_fast(chunks, add_special_tokens=False)]
         return a, self.b.encode([c[1:] for c in chunks], num_threads=1)
 
-    def exact(self, chunk: str, a: list[int], b: list[int]) -> bool:
-        whole = chunk.encode()
-        return b"".join(map(self.bytes_a.__getitem__, a)) == whole and b"".join(map(self.bytes_b.__getitem__, b)) == whole
 
+def given_back(chunks: list[str], ids: list[list[int]], tokens: list[bytes], lengths: np.ndarray) -> np.ndarray:
+    """Which chunks are the bytes of their tokens; compared one by one only where some differ."""
+    wanted = [c.encode() for c in chunks]
+    flat = list(chain.from_iterable(ids))
+    ends = np.cumsum([0, *map(len, ids)])
+    size = np.concatenate([[0], np.cumsum(lengths[flat])]) if flat else np.zeros(1, np.int64)
+    same = size[ends[1:]] - size[ends[:-1]] == np.fromiter(map(len, wanted), np.int64, len(wanted))
+    if same.all() and b"".join(map(tokens.__getitem__, flat)) == b"".join(wanted):
+        return same
+    return np.array([b"".join(map(tokens.__getitem__, x)) == w for x, w in zip(ids, wanted)], bool)
 
-def links(len_a: np.ndarray, len_b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Ends shared by both, and the linked places in A and in B with the end of each link."""
-    ends_a, ends_b = np.cumsum(len_a), np.cumsum(len_b)
-    ends = np.union1d(ends_a, ends_b)
-    at_a, at_b = np.searchsorted(ends_a, ends), np.searchsorted(ends_b, ends)
-    shared = (ends_a[at_a] == ends) & (ends_b[at_b] == ends)
-    return ends[shared], at_a, at_b, ends
+
+def flat_ids(ids: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    n = np.fromiter(map(len, ids), np.int64, len(ids))
+    return n, np.fromiter(chain.from_iterable(ids), np.int64, int(n.sum()))
 
 
 class Chunks:
@@ -112,50 +120,51 @@ class Chunks:
 
     def forget(self) -> None:
         self.number: dict[str, int] = {}
-        self.groups: list[str | None] = []  # None: not given back byte by byte
-        self.measures: list[np.ndarray] = []
-        self.pairs: list[np.ndarray] = []
+        self.groups: list[str] = []
+        self.bad = np.empty(0, bool)  # not given back byte by byte
+        self.measures = np.empty((4, 0), np.int64)
+        self.pairs, self.starts = np.empty(0, np.int64), np.empty(0, np.int64)
         self.size = 0
 
     def learn(self, chunks: set[str]) -> None:
         new = [c for c in chunks if c not in self.number]
         if not new:
             return
-        ids_a, ids_b = self.pair.encode(new)
-        # chunks are aligned one after the other as one run of bytes; those that aren't exact get no tokens
-        exact = [self.pair.exact(c, a, b) for c, a, b in zip(new, ids_a, ids_b)]
-        ids_a = [a if e else [] for a, e in zip(ids_a, exact)]
-        ids_b = [b if e else [] for b, e in zip(ids_b, exact)]
-        n_a, n_b = np.array([len(x) for x in ids_a], np.int64), np.array([len(x) for x in ids_b], np.int64)
-        flat_a = np.fromiter((i for x in ids_a for i in x), np.int64, int(n_a.sum()))
-        flat_b = np.fromiter((i for x in ids_b for i in x), np.int64, int(n_b.sum()))
-        n_groups = np.zeros(len(new), np.int64)
-        n_links = np.zeros(len(new), np.int64)
-        pairs = np.empty(0, np.int64)
-        strings: list[str | None] = [None] * len(new)
-        if len(flat_a):
-            shared, at_a, at_b, ends = links(self.pair.len_a[flat_a], self.pair.len_b[flat_b])
-            of_token = np.repeat(np.arange(len(new)), n_a)
-            of_link = of_token[at_a]
-            n_links = np.bincount(of_link, minlength=len(new))
-            pairs = (flat_a[at_a] << A_SHIFT) | flat_b[at_b]
-            closing = np.isin(ends, shared)
-            n_groups = np.bincount(of_link[closing], minlength=len(new))
-            last_a, last_b, whose = (at_a[closing] + 1).tolist(), (at_b[closing] + 1).tolist(), of_link[closing].tolist()
-            text_a, text_b = list(map(str, flat_a.tolist())), list(map(str, flat_b.tolist()))
-            parts: list[list[str]] = [[] for _ in new]
-            i = j = 0
-            for to_a, to_b, k in zip(last_a, last_b, whose):
-                parts[k].append(f"{','.join(text_a[i:to_a])}|{','.join(text_b[j:to_b])}")
-                i, j = to_a, to_b
-            strings = [";".join(p) if e else None for p, e in zip(parts, exact)]
-        at = np.cumsum(n_links) - n_links
+        pair = self.pair
+        ids_a, ids_b = pair.encode(new)
+        exact = given_back(new, ids_a, pair.bytes_a, pair.len_a) & given_back(new, ids_b, pair.bytes_b, pair.len_b)
+        if not exact.all():
+            ids_a, ids_b = ([x if e else [] for x, e in zip(ids, exact)] for ids in (ids_a, ids_b))
+        (n_a, a), (n_b, b) = flat_ids(ids_a), flat_ids(ids_b)
+        # chunks are aligned one after the other as one run of bytes
+        ends_a, ends_b = np.cumsum(pair.len_a[a]), np.cumsum(pair.len_b[b])
+        ends = np.union1d(ends_a, ends_b)  # one link ends at each
+        at_a, at_b = np.searchsorted(ends_a, ends), np.searchsorted(ends_b, ends)
+        closing = (ends_a[at_a] == ends) & (ends_b[at_b] == ends) if len(ends) else np.empty(0, bool)
+        of_a, of_b = np.repeat(np.arange(len(new)), n_a), np.repeat(np.arange(len(new)), n_b)
+        of_link = of_a[at_a]
+        n_groups = np.bincount(of_link[closing], minlength=len(new))
+        n_links = np.bincount(of_link, minlength=len(new))
+        # groups as text: A's ids, then B's, each with the mark that follows it
+        group_a, group_b = np.searchsorted(ends[closing], ends_a), np.searchsorted(ends[closing], ends_b)
+        last_a, last_b, last_of_chunk = (np.diff(x, append=-1) != 0 for x in (group_a, group_b, of_b))
+        width_a, width_b = len(pair.bytes_a), len(pair.bytes_b)
+        codes = np.concatenate([a + width_a * last_a, 2 * width_a + b + width_b * (last_b.astype(np.int64) + last_of_chunk)])
+        order = np.argsort(np.concatenate([2 * group_a, 2 * group_b + 1]), kind="stable")
+        lines = iter("".join(map(pair.table.__getitem__, codes[order].tolist())).split("\n"))
         base = len(self.groups)
         self.number.update(zip(new, range(base, base + len(new))))
-        self.groups += strings
-        self.measures.append(np.stack([n_a, n_b, n_groups, n_links]))
-        self.pairs += [pairs[s : s + n] for s, n in zip(at.tolist(), n_links.tolist())]
-        self.size += sum(len(c) for c in new)
+        self.groups += [next(lines) if n else "" for n in n_a.tolist()]
+        self.bad = np.concatenate([self.bad, ~exact])
+        self.measures = np.concatenate([self.measures, np.stack([n_a, n_b, n_groups, n_links])], axis=1)
+        self.starts = np.concatenate([self.starts, np.cumsum(n_links) - n_links + len(self.pairs)])
+        self.pairs = np.concatenate([self.pairs, (a[at_a] << A_SHIFT) | b[at_b]])
+        self.size += sum(map(len, new))
+
+    def pairs_of(self, numbers: np.ndarray) -> np.ndarray:
+        """The pairs of these chunks, one after the other."""
+        n = self.measures[3][numbers]
+        return self.pairs[np.repeat(self.starts[numbers] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
 
     def tidy(self) -> None:
         """Between texts: start anew when full, and where long chunks have filled it."""
@@ -208,19 +217,16 @@ def _aligned(texts: DataFrame, path_a: str | None, path_b: str | None) -> DataFr
             def flush() -> None:
                 known.tidy()
                 known.learn(set().union(*(c for _, c in block)))
-                if len(known.measures) > 1:
-                    known.measures = [np.concatenate(known.measures, axis=1)]
                 found = []
                 for t, chunks in block:
-                    numbers = list(map(known.number.__getitem__, chunks))
-                    strings = [known.groups[n] for n in numbers]
-                    if None in strings:
+                    numbers = np.fromiter(map(known.number.__getitem__, chunks), np.int64, len(chunks))
+                    if known.bad[numbers].any():
                         bad[t] = True
                         continue
-                    hashes[t].update(((";" if started[t] else "") + ";".join(strings)).encode())
+                    hashes[t].update(((";" if started[t] else "") + ";".join(map(known.groups.__getitem__, numbers.tolist()))).encode())
                     started[t] = True
-                    sums[:, t] += known.measures[0][:, numbers].sum(axis=1)
-                    found.append((t << TEXT_SHIFT) | np.concatenate([known.pairs[n] for n in numbers]))
+                    sums[:, t] += known.measures[:, numbers].sum(axis=1)
+                    found.append((t << TEXT_SHIFT) | known.pairs_of(numbers))
                 if found:
                     k, c = np.unique(np.concatenate(found), return_counts=True)
                     keys.append(k)

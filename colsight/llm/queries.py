@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from colsight.llm import op1_decontaminate, op10_binary, op11_alignment, op2_packing, op3_tokens, op4_suffix, op5_substring, op6_jaccard, op7_html, op8_language, op9_quality
+from colsight.llm import op1_decontaminate, op10_binary, op11_alignment, op12_repair, op13_links, op2_packing, op3_tokens, op4_suffix, op5_substring, op6_jaccard, op7_html, op8_language, op9_quality
 from colsight.llm.common import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -21,6 +21,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality": lambda s, d: op9_quality.quality(load(s, d, "documents")),
     "op10_binary": lambda s, d: op10_binary.packed_rows(load(s, d, "documents")),
     "op11_alignment": lambda s, d: op11_alignment.align(load(s, d, "documents")),
+    "op12_repair": lambda s, d: op12_repair.repair_damaged(load(s, d, "conversations")),
+    "op13_links": lambda s, d: op13_links.judge(load(s, d, "pages")),
 }
 
 # --- SQL, apart from the operators' constants ---------------------------------------------------
@@ -41,6 +43,35 @@ def _kept_sql(earlier: str) -> str:
     SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(kept.t, '')) AS kept_sha256 FROM rows LEFT JOIN kept USING (rid)"""
 
 
+def _links_sql(rounds: int = 30) -> str:
+    """Rules by their texts, then the rounds of both propagations written out, in whole numbers."""
+    host = "translate(regexp_extract({0}, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    hidden = r"(?is)<!--.*?(?:-->|\z)|<script\b.*?(?:</script|\z)|<style\b.*?(?:</style|\z)"
+    href = r"""(?i)<a\s(?:[^<>]*?\s)?href\s*=\s*["'']?\s*((?:[a-z][a-z0-9+.-]*:)?//[^"''<>\s]+)"""
+    rule = " ".join(
+        f"WHEN (host = '{h}' OR host LIKE '%.{h}') AND path LIKE '{p}%' THEN '{v}:{h}{p}'"
+        for v, h, p in (
+            ("allow", "www.example.com", "/en/"), ("block", "example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/"), ("allow", "com", "/"),
+        )
+    )
+    moves = ", ".join(
+        f"m{i + 1} AS MATERIALIZED (SELECT kind, dst AS host, sum(mass // 20 * 17 // degree)::BIGINT AS mass FROM m{i} JOIN roads USING (kind, host) GROUP BY ALL HAVING sum(mass // 20 * 17 // degree) > 0)"
+        for i in range(rounds)
+    )
+    every = " UNION ALL ".join(f"SELECT * FROM m{i}" for i in range(rounds + 1))
+    return f"""WITH place AS (SELECT page_id, {host.format("url")} AS host, regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path, html FROM (SELECT page_id, coalesce(url, '') AS url, html FROM pages)),
+    told AS MATERIALIZED (SELECT *, CASE {rule} END AS r FROM place),
+    share AS MATERIALIZED (SELECT host, 1000000000000 * count(*) FILTER (r LIKE 'allow%') // count(*) AS yes, 1000000000000 * count(*) FILTER (r LIKE 'block%') // count(*) AS no FROM told WHERE host <> '' GROUP BY 1),
+    edge AS MATERIALIZED (SELECT DISTINCT host AS src, {host.format("':' || l")} AS dst FROM (SELECT host, unnest(regexp_extract_all(regexp_replace(html, '{hidden}', ' ', 'g'), '{href}', 1)) AS l FROM place WHERE host <> '')),
+    road AS (SELECT 0 AS kind, src AS host, dst FROM edge WHERE src <> dst AND dst <> '' UNION ALL SELECT 1, dst, src FROM edge WHERE src <> dst AND dst <> ''),
+    roads AS MATERIALIZED (SELECT *, count(*) OVER (PARTITION BY kind, host) AS degree FROM road),
+    m0 AS MATERIALIZED (SELECT 0 AS kind, host, yes AS mass FROM share WHERE yes > 0 UNION ALL SELECT 1, host, no FROM share WHERE no > 0), {moves},
+    total AS (SELECT host, coalesce(sum(mass - mass // 20 * 17) FILTER (kind = 0), 0)::BIGINT AS trust, coalesce(sum(mass - mass // 20 * 17) FILTER (kind = 1), 0)::BIGINT AS distrust FROM ({every}) GROUP BY 1),
+    judged AS (SELECT host, coalesce(trust, 0) AS trust, coalesce(distrust, 0) AS distrust, rest - rest // 20 * 17 AS rest FROM (SELECT host, 1000000000000 - yes - no AS rest FROM share) LEFT JOIN total USING (host))
+    SELECT page_id, host, path, substr(r, 7) AS rule, coalesce(substr(r, 1, 5), CASE WHEN distrust > 0 AND 100 * distrust::HUGEINT >= 50 * (trust + distrust + rest)::HUGEINT THEN 'block' ELSE 'allow' END) AS verdict, trust, distrust
+    FROM told LEFT JOIN judged USING (host)"""
+
+
 ORACLES: dict[str, str] = {
     "op1_decontaminate": f"""WITH d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '{_WORD}') AS w FROM documents),
     b AS (SELECT item_id, regexp_extract_all({_LOWER}, '{_WORD}') AS w FROM benchmark),
@@ -72,4 +103,5 @@ ORACLES: dict[str, str] = {
         word_chars < 3 * n_words AS b4, word_chars > 10 * n_words AS b5, 10 * dots > 3 * n_lines AS b6, 10 * bullets > 9 * n_lines AS b7 FROM f)
     SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, b0 OR b1 AS base_failed, NOT (b0 OR b1 OR b2 OR b3) AS kept,
     CAST(b0::INT + 2 * b1::INT + 4 * b2::INT + 8 * b3::INT + 16 * b4::INT + 32 * b5::INT + 64 * b6::INT + 128 * b7::INT AS BIGINT) AS failed FROM v""",
+    "op13_links": _links_sql(),
 }
