@@ -26,6 +26,11 @@ def sql_text(value: str) -> str:
     return f"r'{value}'" if "'" not in value else "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def file_name() -> Column:
+    """Name of the file a row came from. Spark hands it over percent-encoded; a plus is a plus."""
+    return F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """Evaluate `value` once and use it several times in `body`, also inside lambdas."""
     return F.element_at(F.transform(F.array(value), body), 1)
@@ -73,3 +78,20 @@ def word_ngrams(c: Column, n: int = 4, sentences: bool = False) -> Column:
 
 def sentence_ngrams(c: Column, n: int = 4) -> Column:
     return word_ngrams(c, n, sentences=True)
+
+
+def ascii_escaped(c: Column) -> Column:
+    """Text as printable ASCII: other bytes of its UTF-8 as `\\xhh`, tab, line ends and backslash by
+    their short forms; an apostrophe is escaped where the text holds both kinds of quotes."""
+    pairs = F.regexp_extract_all(F.hex(F.encode(c, "UTF-8")), F.lit(".."), F.lit(0))
+    both = c.contains("'") & c.contains('"')
+
+    def shown(h: Column) -> Column:
+        return (
+            F.when(h == "5C", "\\\\").when(h == "09", "\\t").when(h == "0A", "\\n").when(h == "0D", "\\r")
+            .when((h == "27") & both, "\\'").when(h.between("20", "7E"), F.char(F.conv(h, 16, 10).cast("int")))
+            .otherwise(F.concat(F.lit("\\x"), F.lower(h)))
+        )
+
+    plain = c.rlike(r"^[\x20-\x5B\x5D-\x7E]*$") & ~both
+    return F.when(c.isNull() | plain, c).otherwise(F.array_join(F.transform(pairs, shown), ""))

@@ -42,12 +42,22 @@ def native_number_stats(tables: dict[str, DataFrame], nan_to_zero: bool = False)
 
 def text_number_stats(values: DataFrame, nan_to_zero: bool = False) -> DataFrame:
     """Statistics of the integers and reals in string columns, from distinct values with their
-    counts, `as_int` and `as_real`: each value is read once, not each cell.
+    counts, `as_int` and `as_real`: each value is read once, not each cell."""
+    return _weighted_stats(values.where(F.col("bucket") == TEXT), nan_to_zero)
 
-    The spread is summed around the mean, which takes a second pass over the values and loses
-    nothing to cancellation; the means are one row per column.
-    """
-    texts = values.where((F.col("bucket") == TEXT) & (F.col("as_int").isNotNull() | F.col("as_real").isNotNull()))
+
+def value_number_stats(values: DataFrame, nan_to_zero: bool = False) -> DataFrame:
+    """The same for all columns where only values and counts are at hand: number columns are
+    read by their type, string columns value by value."""
+    whole = F.when(F.col("bucket") == INTEGER, F.col("val").try_cast("decimal(38,0)")).when(F.col("bucket") == TEXT, F.col("as_int").cast("decimal(38,0)"))
+    real = F.when(F.col("bucket") == REAL, F.col("val").try_cast("double")).when(F.col("bucket") == TEXT, F.col("as_real"))
+    return _weighted_stats(values.withColumns({"as_int": whole, "as_real": real}), nan_to_zero)
+
+
+def _weighted_stats(values: DataFrame, nan_to_zero: bool) -> DataFrame:
+    """The spread is summed around the mean, which takes a second pass over the values and loses
+    nothing to cancellation; the means are one row per column."""
+    texts = values.where(F.col("as_int").isNotNull() | F.col("as_real").isNotNull())
     kinds = {"as_int": INTEGER, "as_real": REAL}
 
     def sums(expr: str, name: str) -> list[Column]:

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from colsight.operators import cells, generic
 from colsight.operators.cells import DATETIME, INTEGER, REAL, TEXT
 from colsight.operators.ranking import top_per_group, top_rows
 from colsight.plans.staging import stage
+from colsight.sources.corpus import Corpus
 
 KEY = list(cells.KEY)
 TYPE_FIELDS = (
@@ -43,16 +44,19 @@ def _typed(rows: DataFrame, kind: str | None, *fields: str) -> DataFrame:
     return typed.selectExpr(*KEY, *[f"CAST({n if n in present else 'NULL'} AS {t}) AS {n}" for n, t in layout])
 
 
-def column_types(tables: dict[str, DataFrame], kinds: DataFrame, k: int = 5, nan_to_zero: bool = False) -> DataFrame:
+def column_types(tables: dict[str, DataFrame] | None, kinds: DataFrame, k: int = 5, nan_to_zero: bool = False) -> DataFrame:
     """One row per column and type found in it: the entries of `data_types`.
 
     `kinds` is the value-count table with the kind, numbers and date of each value. Only native
-    numbers are read from the tables themselves.
+    numbers are read from the tables themselves; without tables they are read from the values too.
     """
-    native = generic.native_number_stats(tables, nan_to_zero)
-    numbers = generic.text_number_stats(kinds, nan_to_zero)
-    if native is not None:
-        numbers = native.unionByName(numbers)
+    if tables is None:
+        numbers = generic.value_number_stats(kinds, nan_to_zero)
+    else:
+        numbers = generic.text_number_stats(kinds, nan_to_zero)
+        native = generic.native_number_stats(tables, nan_to_zero)
+        if native is not None:
+            numbers = native.unionByName(numbers)
     dates = (
         kinds.where((F.col("kind") == "date") & F.col("as_ts").isNotNull())
         .groupBy(*KEY)
@@ -91,8 +95,11 @@ def profile_columns(
     before the four steps that read them; without it each step plans its own grouping.
     """
     kinds = generic.with_kind(cells.value_counts(tables))
-    if staged:
-        kinds = stage(kinds)
+    return columns_of_values(stage(kinds) if staged else kinds, tables, k, nan_to_zero)
+
+
+def columns_of_values(kinds: DataFrame, tables: dict[str, DataFrame] | None = None, k: int = 5, nan_to_zero: bool = False) -> DataFrame:
+    """The same from value counts with their kinds, wherever they come from."""
     type_order = F.array_position(F.array(*[F.lit(t) for t in (INTEGER, REAL, DATETIME, TEXT)]), F.col("type"))
     fields = [f.strip().split(" ")[0] for f in TYPE_FIELDS.split(",")]
     entries = (
@@ -137,6 +144,15 @@ def profile(tables: dict[str, DataFrame], k: int = 5, staged: bool = True) -> Da
     return nest(profile_columns(tables, k, staged))
 
 
+def profile_folder(
+    spark: SparkSession, path: str, catalog: DataFrame | None = None, skip: DataFrame | None = None, sep: str = "\t", k: int = 5
+) -> DataFrame:
+    """Profiles of all delimited files under `path`, or of those a catalog names: one scan, and a plan
+    and a number of jobs that don't depend on how many files there are."""
+    values = Corpus(spark, path, catalog, skip, sep).value_counts()
+    return nest(columns_of_values(stage(generic.with_kind(values)), k=k))
+
+
 def flatten(columns: DataFrame) -> DataFrame:
     """One row per column and type, arrays joined with `|`."""
     entry = F.col("entry")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from colsight.functions.text import ascii_escaped, file_name
 from colsight.plans.profile import PROFILE_SCHEMA
 
 VALUE_COUNT_SCHEMA = "val string, count string"
@@ -47,11 +48,6 @@ def read_table(spark: SparkSession, path: str, fmt: str = "tsv", spread: bool =
 # --- value counts ----------------------------------------------------------------------------
 
 
-def file_name() -> Column:
-    """Name of the file a row came from. Spark hands it over percent-encoded; a plus is a plus."""
-    return F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
-
-
 def column_id_of(file: Column) -> Column:
     """`<dataset>.<column>` from a file name `<dataset>.<column>.txt[.gz]`."""
     return F.regexp_replace(file, r"\.txt(\.gz)?$", "")
@@ -67,12 +63,32 @@ def read_value_counts(spark: SparkSession, path: str) -> DataFrame:
     return repair_value_counts(raw)
 
 
-def repair_value_counts(raw: DataFrame) -> DataFrame:
-    """Counts that aren't whole numbers become 0, so that the row stays."""
-    whole = F.when(F.col("count").rlike(r"^\s*[+-]?[0-9]+\s*$"), F.trim("count").try_cast("bigint"))
+def _whole_count() -> Column:
+    return F.when(F.col("count").rlike(r"^\s*[+-]?[0-9]+\s*$"), F.trim("count").try_cast("bigint"))
+
+
+def repair_value_counts(raw: DataFrame, escape: bool = False) -> DataFrame:
+    """Counts that aren't whole numbers become 0, so that the row stays; `escape` brings the values of
+    such rows to ASCII."""
+    whole = _whole_count()
+    if escape:
+        raw = raw.withColumn("val", F.when(whole.isNull(), ascii_escaped(F.col("val"))).otherwise(F.col("val")))
     return raw.withColumn("count", F.coalesce(whole, F.lit(0).cast("bigint")))
 
 
+def value_count_misfits(spark: SparkSession, path: str) -> DataFrame:
+    """(column_id, problem, value): lines of value-count files that aren't a value and its count.
+
+    `short` has no count, `long` more than two fields, `count` a count that isn't a whole number.
+    Read beside `read_value_counts`, which keeps what it can of them.
+    """
+    lines = spark.read.text(path).select(column_id_of(file_name()).alias("column_id"), "value").where("value <> ''")
+    fields = F.split("value", "\t", -1)
+    split = lines.select("column_id", "value", F.size(fields).alias("n"), F.get(fields, F.lit(1)).alias("count"))
+    problem = F.when(F.col("n") < 2, "short").when(F.col("n") > 2, "long").when(_whole_count().isNull(), "count")
+    return split.select("column_id", problem.alias("problem"), "value").where("problem IS NOT NULL")
+
+
 def read_labelled_column(spark: SparkSession, path: str) -> DataFrame:
     """(column_id, labels, val, count) of hand-labelled value-count files; see `split_labelled`."""
     raw = spark.read.text(path).select(file_name().alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"), "value")
