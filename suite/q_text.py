@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from colsight import rules as R
 from colsight.functions import text as T
-from colsight.operators import components as K, mining as M, similarity as Z
+from colsight.operators import components as K, forest as H, mining as M, similarity as Z
 from colsight.plans import profile as P
 from colsight.sources import readers
 from suite.corpus import load, raw, register, semantic_values
@@ -346,6 +346,35 @@ _CLUSTER_SQL = f"""WITH RECURSIVE {_pairs_sql(_NAME_BAG, 'cosine', 0.8)}, both_w
 register("name_clusters", _clusters, f"{_CLUSTER_SQL} SELECT item, cluster_id FROM clusters")
 
 
+# one forest and its cuts; scores are rounded first, so that both engines order equal ones alike
+_LEVELS = (0.8, 0.88, 0.95)
+
+
+def _name_forest(s, d):
+    return H.spanning_forest(_name_edges(s, d).withColumn("score", F.round("score", 6)))
+
+
+_FOREST_SQL = f"""WITH RECURSIVE {_pairs_sql(_NAME_BAG, 'cosine', 0.8)}, e AS MATERIALIZED (SELECT a, b, round(score, 6) AS score, row_number() OVER (ORDER BY round(score, 6) DESC, a, b) AS r FROM edges),
+    near AS MATERIALIZED (SELECT a AS x, b AS y, r FROM e UNION ALL SELECT b, a, r FROM e),
+    walk(r, x) AS (SELECT r, a FROM e UNION SELECT w.r, near.y FROM walk w JOIN near ON near.x = w.x AND near.r < w.r),
+    forest AS MATERIALIZED (SELECT a, b, score FROM e ANTI JOIN walk ON walk.r = e.r AND walk.x = e.b)"""
+register("name_forest", _name_forest, f"{_FOREST_SQL} SELECT a, b, score FROM forest")
+register(
+    "name_cuts",
+    lambda s, d: H.cuts(_name_forest(s, d), names(s, d), _LEVELS),
+    f"""WITH RECURSIVE {_pairs_sql(_NAME_BAG, 'cosine', 0.8)}, levels(level) AS (VALUES (0.8::DOUBLE), (0.88), (0.95)),
+    near AS MATERIALIZED (SELECT a AS x, b AS y, round(score, 6) AS s FROM edges UNION ALL SELECT b, a, round(score, 6) FROM edges),
+    reach(item, level, other) AS (SELECT item, level, item FROM ({NAMES_SQL}), levels UNION SELECT r.item, r.level, near.y FROM reach r JOIN near ON near.x = r.other AND near.s >= r.level)
+    SELECT item, level, min(other) AS cluster_id FROM reach GROUP BY 1, 2""",
+)
+register(
+    "name_inconsistency",
+    lambda s, d: H.inconsistency(_name_forest(s, d)).withColumn("coefficient", F.round("coefficient", 4)),
+    f"""{_FOREST_SQL}, met AS (SELECT p.a, p.b, p.score, 1 - q.score AS h FROM forest p LEFT JOIN forest q ON (p.a IN (q.a, q.b) OR p.b IN (q.a, q.b)) AND (p.a, p.b) <> (q.a, q.b))
+    SELECT a, b, score, count(h) AS neighbours, round(CASE WHEN count(h) > 1 AND round(stddev_samp(h), 9) > 0 THEN (1 - score - avg(h)) / stddev_samp(h) END, 4) AS coefficient FROM met GROUP BY 1, 2, 3""",
+)
+
+
 def _cluster_lists(s, d):
     clusters = _clusters(s, d)
     chosen = clusters.select("cluster_id", F.upper(F.split_part("cluster_id", F.lit(" "), F.lit(1))).alias("semantic_type")).distinct()
