@@ -7,6 +7,7 @@ anchored rewrites and cast once; a value no rewrite fits stays as it is and cast
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -41,6 +42,16 @@ MONTH_NAME = (
 WEEKDAY = r"^(?:mon|tue|wed|thu|fri|sat|sun)[a-z]{0,6}\.?,? {1,2}"
 ZONE = r" ?(?:z|utc|gmt)$"
 HALF_DAY = r" ?([ap])\.?m\.?$"
+# zone names that don't say one offset everywhere: the time is taken as it stands
+ZONE_NAME = r"(:[0-9]{2}(?:\.[0-9]+)?(?: ?[ap]\.?m\.?)?) (?:[ecmp][sd]?t|cest|cet|bst|ist|jst)$"
+# other spellings of a time -> h:m[:s]
+TIMES = (
+    (r"(^|[ ,t])([0-9]{1,2}) ?([ap]\.?m\.?)$", "$1$2:00 $3"),
+    (r"(^|[ ,t])([0-9]{1,2}) ?h ?([0-9]{2}) ?m? ?([0-9]{2}) ?s$", "$1$2:$3:$4"),
+    (r"(^|[ ,t])([0-9]{1,2}) ?h ?([0-9]{2}) ?m?$", "$1$2:$3"),
+    (r"^([0-9]{8}[t ])([0-9]{2})([0-9]{2})([0-9]{2})$", "$1$2:$3:$4"),
+    (r"^([0-9]{8}t)([0-9]{2})([0-9]{2})$", "$1$2:$3"),
+)
 # a zone offset after a time; the time is group 1
 OFFSET = r"(:[0-9]{2}(?:\.[0-9]+)?(?: ?[ap]\.?m\.?)?) ?(?:z|utc|gmt)?([+-])([0-9]{2}):?([0-9]{2})?$"
 
@@ -50,6 +61,7 @@ OFFSET = r"(:[0-9]{2}(?:\.[0-9]+)?(?: ?[ap]\.?m\.?)?) ?(?:z|utc|gmt)?([+-])([0-9
 _REST = r"(?:t| {0,2},? {0,2}| at )([0-9]{1,2}:.*)?$"
 _SEP = r"[-/ .]"
 _GAP = r"[-/ ,.]{0,3}"
+_OF = r"(?:[-/ ,.]{0,3}| of )"
 _ORD = r"(?:st|nd|rd|th)?"
 _YEAR = r"([0-9]{4}|[0-9]{2})"
 _NUM = r"([0-9]{1,2})"
@@ -58,7 +70,9 @@ LAYOUTS = (
     (f"^([0-9]{{4}}){_SEP}{_NUM}{_SEP}{_NUM}{_REST}", "~$1-$2-$3 $4"),
     (f"^(1[3-9]|2[0-9]|3[01]){_SEP}(0?[1-9]|1[0-2]){_SEP}{_YEAR}{_REST}", "~$3-$2-$1 $4"),
     (f"^{_NUM}{_SEP}{_NUM}{_SEP}{_YEAR}{_REST}", "~$3-$1-$2 $4"),
-    (f"^{_NUM}{_ORD}{_GAP}{_MON}{_GAP}{_YEAR}{_REST}", "~$3-$2-$1 $4"),
+    (f"^(?:the )?{_NUM}{_ORD}{_OF}{_MON}{_GAP}{_YEAR}{_REST}", "~$3-$2-$1 $4"),
+    (f"^([0-9]{{4}})([0-9]{{2}})([0-9]{{2}})[t ]([0-9]{{2}}:.*)$", "~$1-$2-$3 $4"),
+    (f"^{_MON}{_GAP}{_NUM}{_ORD},? {{1,2}}([0-9]{{1,2}}:[0-9:.]+) (?:[a-z]{{3,4}} )?([0-9]{{4}})$", "~$4-$1-$2 $3"),
     (f"^{_MON}{_GAP}([0-9]{{4}})$", "~$2-$1-01 "),
     (f"^{_MON}{_GAP}{_NUM}{_ORD}[-/ ,.]{{1,3}}{_YEAR}{_REST}", "~$3-$1-$2 $4"),
     (f"^([0-9]{{4}}){_GAP}{_MON}{_GAP}{_NUM}{_ORD}{_REST}", "~$1-$2-$3 $4"),
@@ -68,9 +82,9 @@ LAYOUTS = (
     (f"^{_MON}{_GAP}{_NUM}{_ORD}$", "~1970-$1-$2 "),
     (f"^{_NUM}{_ORD}{_GAP}{_MON}$", "~1970-$2-$1 "),
     (r"^([0-9]{1,2}:.*)$", "~1970-01-01 $1"),
-    (r"^~([0-5][0-9]|6[0-8])-", "~20$1-"),
-    (r"^~([0-9]{2})-", "~19$1-"),
 )
+# two-digit years, unless a column says otherwise
+CENTURIES = ((r"^~([0-5][0-9]|6[0-8])-", "~20$1-"), (r"^~([0-9]{2})-", "~19$1-"))
 CANONICAL = r"^~[0-9]{4}-[0-9]{1,2}-[0-9]{1,2} ([0-9]{1,2}:[0-9]{2}(:[0-9]{2}(\.[0-9]+)?)?)?$"
 
 
@@ -87,18 +101,19 @@ def interpret_real(c: Column) -> Column:
 
 
 def _low(c: Column) -> Column:
-    return F.regexp_replace(F.regexp_replace(F.lower(F.trim(c)), WEEKDAY, ""), ZONE, "")
+    return F.regexp_replace(F.regexp_replace(F.regexp_replace(F.lower(F.trim(c)), WEEKDAY, ""), ZONE, ""), ZONE_NAME, "$1")
 
 
 def _bare(low: Column) -> Column:
-    return F.regexp_replace(low, OFFSET, "$1")
+    return reduce(lambda acc, rule: F.regexp_replace(acc, rule[0], rule[1]), TIMES, F.regexp_replace(low, OFFSET, "$1"))
 
 
 def _half_day(bare: Column) -> Column:
     return F.regexp_extract(bare, HALF_DAY, 1)
 
 
-def _iso(bare: Column) -> Column:
+def rewritten(bare: Column) -> Column:
+    """`~year-month-day time`, two-digit years as they are."""
     no_half = F.regexp_replace(bare, HALF_DAY, "")
     month = F.regexp_extract(bare, f"(^|[^a-z])({MONTH_ANY})", 2)
     number = F.lpad(((F.instr(F.lit("".join(MONTHS)), month) + 2) / 3).cast("int").cast("string"), 2, "0")
@@ -108,6 +123,14 @@ def _iso(bare: Column) -> Column:
     return reduce(lambda acc, rule: F.regexp_replace(acc, rule[0], rule[1]), LAYOUTS, named)
 
 
+def in_century(raw: Column) -> Column:
+    return reduce(lambda acc, rule: F.regexp_replace(acc, rule[0], rule[1]), CENTURIES, raw)
+
+
+def _iso(bare: Column) -> Column:
+    return in_century(rewritten(bare))
+
+
 def _timestamp(iso: Column) -> Column:
     """Digits beyond microseconds are cut."""
     micros = F.regexp_replace(F.regexp_replace(iso, r"(\.[0-9]{6})[0-9]+$", "$1"), "^~", "")
@@ -173,25 +196,25 @@ def interpret_text(c: Column, level: str = "high") -> Column:
     return F.when(~numeric_like(c) & interpret_datetime(c, level).isNull(), c)
 
 
-def with_interpretation(df: DataFrame, source: str = "val", level: str = "high") -> DataFrame:
+def with_bare(df: DataFrame, source: str = "val", level: str = "high") -> DataFrame:
+    """Adds `_low` and `_bare`: values worth parsing as dates, without and with their times' spelling unified."""
+    c = F.col(source)
+    return df.withColumn("_low", F.when(date_gate(c, level), _low(c))).withColumn("_bare", _bare(F.col("_low")))
+
+
+def with_interpretation(df: DataFrame, source: str = "val", level: str = "high", settle: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Add as_int, as_real, as_ts and kind.
 
     kind is int, real, date, text, or unclassified: a number that is neither a plain
-    integer nor a real with a point (`1e5`, `nan`, integers beyond 64 bits).
+    integer nor a real with a point (`1e5`, `nan`, integers beyond 64 bits). `settle` brings
+    `_bare` to `_iso` where more than the value decides how; see `operators.dates.settled`.
     """
     c = F.col(source)
     # one step per column: each is used more than once further on, so Catalyst keeps the
     # projections apart, evaluates each step once and can compile them all
+    bare = with_bare(df.withColumns({"as_int": interpret_int(c), "as_real": interpret_real(c)}), source, level)
     parsed = (
-        df.withColumns(
-            {
-                "as_int": interpret_int(c),
-                "as_real": interpret_real(c),
-                "_low": F.when(date_gate(c, level), _low(c)),
-            }
-        )
-        .withColumn("_bare", _bare(F.col("_low")))
-        .withColumn("_iso", _iso(F.col("_bare")))
+        (settle(bare) if settle else bare.withColumn("_iso", _iso(F.col("_bare"))))
         .withColumn("_ts", _timestamp(F.col("_iso")))
         .withColumn("as_ts", _to_utc(_apply_half(F.col("_ts"), _half_day(F.col("_bare"))), F.col("_low")))
         .drop("_low", "_bare", "_iso", "_ts")

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from colsight.functions.interpret import REAL_PATTERN, interpret_int, interpret_real, with_interpretation
 from colsight.functions.text import quoted
 from colsight.operators.cells import DATETIME, INTEGER, KEY, REAL, TEXT, per_column, profiled_columns, value_counts
+from colsight.operators.dates import settled
 from colsight.operators.ranking import top_per_group, top_rows
 
 COLUMN = list(KEY)
@@ -188,12 +189,13 @@ def text_average_length(vc: DataFrame) -> DataFrame:
 # --- mixed types ----------------------------------------------------------------------
 
 
-def with_kind(vc: DataFrame, level: str = "high") -> DataFrame:
+def with_kind(vc: DataFrame, level: str = "high", by_column: bool = False) -> DataFrame:
     """Kind and date of each value: from its column for native types, from the value itself
-    for strings. Adds kind, as_ts and, for strings, as_int and as_real."""
+    for strings. Adds kind, as_ts and, for strings, as_int and as_real. With `by_column` the order
+    of day and month and the century are settled per column."""
     bucket = F.col("bucket")
     native = F.when(bucket == INTEGER, "int").when(bucket == REAL, "real").when(bucket == DATETIME, "date")
-    read = with_interpretation(vc.withColumn("_text", F.when(bucket == TEXT, F.col("val"))), "_text", level)
+    read = with_interpretation(vc.withColumn("_text", F.when(bucket == TEXT, F.col("val"))), "_text", level, settled if by_column else None)
     return read.select(
         *vc.columns,
         F.when(F.col("val").isNotNull(), F.coalesce(native, F.col("kind"))).alias("kind"),

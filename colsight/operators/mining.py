@@ -113,3 +113,32 @@ def association_rules(baskets: DataFrame, min_support: float, min_confidence: fl
     """(antecedent, consequent, confidence, lift, support)."""
     rules = _growth(baskets, min_support, min_confidence).associationRules
     return rules.select(F.array_sort("antecedent").alias("antecedent"), "consequent", "confidence", "lift", "support")
+
+
+def apply_rules(baskets: DataFrame, rules: DataFrame) -> DataFrame:
+    """(basket, consequent, confidence): what the rules add to each of `baskets(basket, items)`.
+
+    A rule `(antecedent, consequent, confidence)` holds for a basket that has all of its antecedent;
+    of several rules with one consequent the highest confidence stays, and what the basket already
+    has isn't added. Consequents may be single or, as mined, arrays. Repeated items count once, null
+    items not at all; a rule without antecedent says nothing of a basket and is left out.
+
+    Each rule is posted under the rarest item of its antecedent, so a basket meets only rules whose
+    rarest item it has, each once, and is compared with them where its items lie: one join on
+    the item, one on the basket. Rarest first also keeps common items free of postings.
+    """
+    clean = baskets.select("basket", F.array_distinct(F.filter("items", lambda x: x.isNotNull())).alias("items"))
+    held = clean.select("basket", F.explode("items").alias("item"))
+    said = rules
+    if dict(rules.dtypes)["consequent"].startswith("array"):
+        said = rules.select("antecedent", F.explode("consequent").alias("consequent"), "confidence")
+    said = said.select(F.array_sort(F.array_distinct("antecedent")).alias("antecedent"), "consequent", "confidence").where(F.size("antecedent") > 0)
+    said = said.groupBy("antecedent", "consequent").agg(F.max("confidence").alias("confidence"))
+    frequency = held.groupBy("item").agg(F.count(F.lit(1)).alias("n"))
+    parts = said.select("antecedent").distinct().select("antecedent", F.explode("antecedent").alias("item"))
+    # an item that no basket has is the rarest of all, and its rule meets nobody
+    rarest = parts.join(frequency, "item", "left").groupBy("antecedent").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "item")).alias("r"))
+    posted = said.join(rarest.select("antecedent", F.col("r.item").alias("item")), "antecedent")
+    met = held.join(posted, "item").select("basket", "antecedent", "consequent", "confidence")
+    whole = clean.join(met, "basket").where(F.size(F.array_intersect("antecedent", "items")) == F.size("antecedent"))
+    return whole.where(~F.array_contains("items", F.col("consequent"))).groupBy("basket", "consequent").agg(F.max("confidence").alias("confidence"))

@@ -111,6 +111,7 @@ MESSY: dict[str, tuple[str, dict[str, str]]] = {
             "mixed": "CASE o_orderkey % 13 WHEN 0 THEN CAST(o_orderkey AS STRING) WHEN 1 THEN ' ' || CAST(o_orderkey AS STRING) || ' ' WHEN 2 THEN CAST(o_custkey % 100 AS STRING) || '.5' WHEN 3 THEN '+' || CAST(o_custkey AS STRING) WHEN 4 THEN '1e5' WHEN 5 THEN 'nan' WHEN 6 THEN '1_000' WHEN 7 THEN substr(CAST(o_orderdate AS STRING), 1, 10) WHEN 8 THEN '12 MAIN ST' WHEN 9 THEN 'a:b' WHEN 10 THEN '' WHEN 11 THEN NULL ELSE '-' || CAST(o_custkey % 7 AS STRING) || '.25' END",
             "when": "CASE o_orderkey % 12 WHEN 0 THEN substr(CAST(o_orderdate AS STRING), 1, 10) WHEN 1 THEN substr(CAST(o_orderdate AS STRING), 6, 2) || '/' || substr(CAST(o_orderdate AS STRING), 9, 2) || '/' || substr(CAST(o_orderdate AS STRING), 1, 4) WHEN 2 THEN substr(CAST(o_orderdate AS STRING), 9, 2) || ' Feb ' || substr(CAST(o_orderdate AS STRING), 1, 4) WHEN 3 THEN 'Mar ' || substr(CAST(o_orderdate AS STRING), 9, 2) || ', ' || substr(CAST(o_orderdate AS STRING), 1, 4) || ' 10:30 PM' WHEN 4 THEN substr(CAST(o_orderdate AS STRING), 1, 10) || 'T12:15:01Z' WHEN 5 THEN 'Feb-15' WHEN 6 THEN substr(CAST(o_orderdate AS STRING), 1, 7) WHEN 7 THEN substr(CAST(o_orderdate AS STRING), 6, 2) || '-' || substr(CAST(o_orderdate AS STRING), 9, 2) || '-' || substr(CAST(o_orderdate AS STRING), 3, 2) WHEN 8 THEN '2015-02-30' WHEN 9 THEN '12:0' || CAST(o_orderkey % 10 AS STRING) WHEN 10 THEN 'no date' ELSE substr(CAST(o_orderdate AS STRING), 9, 2) || '/' || substr(CAST(o_orderdate AS STRING), 6, 2) || '/' || substr(CAST(o_orderdate AS STRING), 1, 4) END",
             "zoned": f"CASE o_orderkey % 6 WHEN 0 THEN {_DAY} || 'T12:15:01+00:00' WHEN 1 THEN {_DAY} || 'T12:15:01.1234567Z' WHEN 2 THEN {_DAY} || ' 12:15:01.123456789' WHEN 3 THEN {_DAY} || 'T01:15:01-0530' WHEN 4 THEN 'Wednesday.,  September - 12th - ' || substr({_DAY}, 1, 4) || '  ,  12:34:56.123456 a.m. utc' ELSE {_DAY} || ' 11:59 pm+01' END",
+            "spelled": f"CASE o_orderkey % 6 WHEN 0 THEN 'Thu Sep ' || substr({_DAY}, 9, 2) || ' 10:36:28 ' || substr({_DAY}, 1, 4) WHEN 1 THEN {_DAY} || ' 12:15:01 EST' WHEN 2 THEN replace({_DAY}, '-', '') || 'T121501' WHEN 3 THEN 'May 5th, ' || substr({_DAY}, 1, 4) || ' at 5pm' WHEN 4 THEN '3rd of May ' || substr({_DAY}, 1, 4) ELSE {_DAY} || ' 12h15m' END",
             "plain": "o_orderpriority",
             "odd.name `x`": "CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE CAST(o_custkey AS STRING) END",
             "whole": "CASE WHEN o_orderkey % 3 = 0 THEN CAST(o_custkey AS STRING) || '.0' ELSE CAST(o_totalprice AS STRING) END",
@@ -135,6 +136,22 @@ SPARSE: dict[str, tuple[str, dict[str, str]]] = {
     ),
 }
 
+# dates whose order and century only their column tells: D, M, Y of the order date
+_D, _M, _Y = f"substr({_DAY}, 9, 2)", f"substr({_DAY}, 6, 2)", f"substr({_DAY}, 1, 4)"
+_OLD = f"CAST(CAST({_Y} AS INT) - 50 AS STRING)"
+AMBIGUOUS: dict[str, tuple[str, dict[str, str]]] = {
+    "dated": (
+        "orders",
+        {
+            "day_first": f"{_D} || '/' || {_M} || '/' || {_Y}",
+            "month_first": f"{_M} || '/' || {_D} || '/' || {_Y}",
+            "old_years": f"{_D} || '-' || {_M} || '-' || CASE WHEN o_orderkey % 4 = 0 THEN {_OLD} ELSE substr({_OLD}, 3, 2) END",
+            "no_evidence": f"CASE WHEN CAST({_D} AS INT) <= 12 THEN {_D} || '/' || {_M} || '/' || substr({_Y}, 3, 2) END",
+            "mostly_day_first": f"CASE o_orderkey % 5 WHEN 0 THEN {_M} || '/' || {_D} || '/' || {_Y} WHEN 1 THEN {_DAY} ELSE {_D} || '/' || {_M} || '/' || {_Y} || ' 10:30' END",
+        },
+    ),
+}
+
 Corpus = dict[str, tuple[str, dict[str, str]]]
 
 

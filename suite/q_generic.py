@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from colsight.functions import interpret as I
-from colsight.operators import cells, evaluate, generic
+from colsight.operators import cells, dates, evaluate, generic
 from colsight.plans import profile as P
 from suite.corpus import (
+    AMBIGUOUS,
     MESSY,
     SPARSE,
     cells_sql,
@@ -287,16 +288,18 @@ def interpreted_sql(source: str, level: str = "high") -> str:
         "moderate": f"((regexp_matches(lower(val), '{_MONTHS}') AND {dashes} BETWEEN 1 AND 2) OR {dashes} = 2 OR {colons} BETWEEN 1 AND 2 OR {slashes} = 2)",
         "low": "val <> ''",
     }[level]
-    formats = [*_DAYS, *(f"{d} {t}" for d in _DAYS for t in _TIMES), *(f"{d}  {t}" for d in _DAYS for t in _TIMES)]
+    spelled = ("%b %d %H:%M:%S %Y", "%Y%m%d %H%M%S", "%b %d, %Y at %I%p", "%d of %b %Y", "%Y-%m-%d %Hh%Mm")
+    formats = [*spelled, *_DAYS, *(f"{d} {t}" for d in _DAYS for t in _TIMES), *(f"{d}  {t}" for d in _DAYS for t in _TIMES)]
     listed = "[" + ", ".join(f"'{f}'" for f in formats) + "]"
     zoned = "[" + ", ".join(f"'%Y-%m-%d {t} %z'" for t in _TIMES) + "]"
     no_year = "['%Y %b-%d', '%Y %d %b', '%Y %b %d', '%Y %H:%M', '%Y %H:%M:%S']"
     # one spelling: no weekday, no T, am/pm without points, six digits of a second, a blank before the offset, no UTC mark
     plain = "lower(trim(val))"
     for pattern, by in (
-        (r"^[a-z]+day[.]?,?\s+", ""),
+        (r"^(mon|tue|wed|thu|fri|sat|sun)[a-z]*[.]?,?\s+", ""),
         (r"(\d)t(\d)", r"\1 \2"),
-        (r"(\d)th\b", r"\1"),
+        (r"(\d)(th|rd)\b", r"\1"),
+        (r" est$", ""),
         (r"\b([ap])[.]m[.]", r"\1m"),
         (r"([.]\d{6})\d+", r"\1"),
         (r"\s*(z|utc|gmt)$", ""),
@@ -377,6 +380,29 @@ register(
     GROUP BY 1, 2""",
 )
 
+# --- conventions of a column ----------------------------------------------------------------------
+# month and day as each column means them; the values are distinct but for `mostly_day_first`
+
+_SAID = {
+    "day_first": "strptime(val, '%d/%m/%Y')", "month_first": "strptime(val, '%m/%d/%Y')",
+    "old_years": "try_strptime(substr(val, 1, 6) || '19' || right(val, 2), '%d-%m-%Y')", "no_evidence": "strptime(substr(val, 1, 6) || CASE WHEN right(val, 2) < '69' THEN '20' ELSE '19' END || right(val, 2), '%m/%d/%Y')",
+    "mostly_day_first": "CASE WHEN val LIKE '%-%' THEN strptime(val, '%Y-%m-%d') WHEN CAST(substr(val, 4, 2) AS INT) > 12 THEN strptime(substr(val, 1, 10), '%m/%d/%Y') ELSE strptime(substr(val, 1, 10), '%d/%m/%Y') END + CASE WHEN val LIKE '%:%' THEN INTERVAL 630 MINUTE ELSE INTERVAL 0 HOUR END",
+}
+register(
+    "dates_by_column",
+    lambda s, d: generic.with_kind(made_vc(s, d, AMBIGUOUS), by_column=True).where("val IS NOT NULL").select("column_name", "val", F.col("as_ts").cast("string").alias("as_ts"), "kind"),
+    f"""SELECT *, CASE WHEN as_ts IS NULL THEN 'text' ELSE 'date' END AS kind FROM (
+        SELECT column_name, val, CAST(CASE column_name {' '.join(f"WHEN '{c}' THEN {e}" for c, e in _SAID.items())} END AS VARCHAR) AS as_ts FROM ({vc_sql(AMBIGUOUS)}) WHERE val IS NOT NULL)""",
+)
+_PARTS = "CASE WHEN val LIKE '%-%' AND column_name <> 'old_years' THEN 0 ELSE CAST(substr(val, 1, 2) AS INT) END AS p, CASE WHEN val LIKE '%-%' AND column_name <> 'old_years' THEN 0 ELSE CAST(substr(val, 4, 2) AS INT) END AS q"
+register(
+    "date_conventions",
+    lambda s, d: dates.column_conventions(made_vc(s, d, AMBIGUOUS).where("val IS NOT NULL")).select("column_name", "day_votes", "month_votes", "day_first", "middle_year"),
+    f"""SELECT column_name, CAST(coalesce(sum(n) FILTER (p > 12), 0) AS BIGINT) AS day_votes, CAST(coalesce(sum(n) FILTER (q > 12), 0) AS BIGINT) AS month_votes,
+    coalesce(sum(n) FILTER (p > 12), 0) > coalesce(sum(n) FILTER (q > 12), 0) AS day_first, CAST(round(sum(n * y) / sum(n) FILTER (y IS NOT NULL)) AS INTEGER) AS middle_year
+    FROM (SELECT *, CAST(nullif(regexp_extract(val, '[0-9]{{4}}'), '') AS INT) AS y, {_PARTS} FROM ({vc_sql(AMBIGUOUS)}) WHERE val IS NOT NULL) GROUP BY 1""",
+)
+
 # --- the whole profile -----------------------------------------------------------------------------
 
 

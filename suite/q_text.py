@@ -195,11 +195,15 @@ register(
 # --- frequent word sets -----------------------------------------------------------------------------------
 
 
-def _baskets(s, d):
-    """(items): part types and flags met in each order; one shuffle besides the join's."""
+def _keyed_baskets(s, d):
+    """(basket, items): part types and flags met in each order; one shuffle besides the join's."""
     lines = load(s, d, "lineitem").join(load(s, d, "part"), F.col("l_partkey") == F.col("p_partkey"))
     words = F.array(F.col("p_type"), F.col("l_returnflag"), F.concat(F.lit("line"), F.col("l_linestatus")))
-    return lines.groupBy("l_orderkey").agg(F.array_distinct(F.flatten(F.collect_set(words))).alias("items")).select("items")
+    return lines.groupBy(F.col("l_orderkey").alias("basket")).agg(F.array_distinct(F.flatten(F.collect_set(words))).alias("items"))
+
+
+def _baskets(s, d):
+    return _keyed_baskets(s, d).select("items")
 
 
 _BASKET_SQL = """b AS (SELECT DISTINCT l_orderkey, unnest([p_type, l_returnflag, 'line' || l_linestatus]) AS w FROM lineitem JOIN part ON l_partkey = p_partkey),
@@ -230,6 +234,14 @@ register(
     f"WITH {_BASKET_SQL}, {_RULES_SQL}",
 )
 
+register(
+    "apply_rules",
+    lambda s, d: M.apply_rules(_keyed_baskets(s, d), M.association_rules(_baskets(s, d), 0.3, 0.5)).withColumn("confidence", F.round("confidence", 6)),
+    f"""WITH {_BASKET_SQL}, rules AS MATERIALIZED (SELECT string_split(antecedent, ',') AS ante, consequent, confidence FROM ({_RULES_SQL.replace('ante AS', 'WITH ante AS').replace('>= 0.7', '>= 0.5')})),
+    held AS MATERIALIZED (SELECT l_orderkey AS basket, list(w) AS items FROM b GROUP BY 1)
+    SELECT basket, consequent, max(confidence) AS confidence FROM held, rules WHERE list_has_all(items, ante) AND NOT list_contains(items, consequent) GROUP BY 1, 2""",
+)
+
 # --- names and n-grams --------------------------------------------------------------------------------------
 
 _NAME_SOURCES = (("part", "p_name"), ("part", "p_type"), ("nation", "n_name"), ("region", "r_name"), ("customer", "c_mktsegment"), ("events", "event_type"), ("pages", "url"))
