@@ -206,7 +206,12 @@ def entity_share(vc: DataFrame, entities: DataFrame, gated: bool = False) -> Dat
     wide = _marked(vc, entities, "label", kinds).groupBy("column_id").agg(
         F.count(F.lit(1)).alias("n_values"), *[weight(_has(kinds, k)).alias(f"w_{k}") for k in kinds]
     )
-    out = _entity_outcome(gated, F.col("n_values") <= R.FEW_VALUES)
+    return entity_decision(wide, gated, R.FEW_VALUES)
+
+
+def entity_decision(wide: DataFrame, gated: bool, few_values: int) -> DataFrame:
+    """(column_id, semantic_type, weight, share) from n_values and a weight for each entity label."""
+    out = _entity_outcome(gated, F.col("n_values") <= few_values)
     return wide.select(
         "column_id",
         out["type"].alias("semantic_type"),
