@@ -145,7 +145,7 @@ def profile(tables: dict[str, DataFrame], k: int = 5, staged: bool = True) -> Da
 
 
 def profile_folder(
-    spark: SparkSession, path: str, catalog: DataFrame | None = None, skip: DataFrame | None = None, sep: str = "\t", k: int = 5
+    spark: SparkSession, path: str | list[str], catalog: DataFrame | None = None, skip: DataFrame | None = None, sep: str = "\t", k: int = 5
 ) -> DataFrame:
     """Profiles of all delimited files under `path`, or of those a catalog names: one scan, and a plan
     and a number of jobs that don't depend on how many files there are."""

@@ -35,7 +35,7 @@ TYPES = (
 )
 
 
-def read_lines(spark: SparkSession, path: str) -> DataFrame:
+def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """(dataset, block, line, value): lines that aren't blank, numbered in the order of their file."""
     return spark.read.text(path).select(
         F.regexp_replace(file_name(), ENDING, "").alias("dataset"),
@@ -97,7 +97,7 @@ def headers(lines: DataFrame, sep: str = "\t") -> DataFrame:
 class Corpus:
     """The lines of a folder and, staged, the headers of its files."""
 
-    def __init__(self, spark: SparkSession, path: str, catalog: DataFrame | None = None, skip: DataFrame | None = None, sep: str = "\t"):
+    def __init__(self, spark: SparkSession, path: str | list[str], catalog: DataFrame | None = None, skip: DataFrame | None = None, sep: str = "\t"):
         self.sep = sep
         self.lines = chosen(read_lines(spark, path), catalog, skip)
         self.headers = stage(headers(self.lines, sep))

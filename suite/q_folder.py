@@ -7,11 +7,11 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from colsight.functions.text import quoted
-from colsight.plans import profile as P
+from colsight.plans import batch, merge, profile as P
 from colsight.sources import readers
 from colsight.sources.corpus import Corpus, misfit_counts
 from suite.corpus import MESSY, SPARSE, register, tables
-from suite.q_files import named_files
+from suite.q_files import folder, named_files
 from suite.q_generic import _KINDS, _profile_sql, RAW
 
 
@@ -105,3 +105,56 @@ register(
     r"""SELECT CASE WHEN p_partkey % 6 = 1 THEN '\xc3\xa9 ' || p_name || ' "\''\\' ELSE p_name END AS val,
     CAST(CASE p_partkey % 6 WHEN 0 THEN 0 WHEN 1 THEN 0 WHEN 2 THEN 3 ELSE p_size END AS BIGINT) AS count FROM part""",
 )
+
+# --- batches and merged profiles -----------------------------------------------------------------------
+
+
+def _batch(s, d):
+    """A catalog with a table that is skipped, one that isn't there and one that can't be read, run twice."""
+    root = folder_of(s, d)
+    broken = s.sql("SELECT 'bad.tsv.gz' AS file, '' AS place, 'no gzip' AS value")
+    path = s._jvm.org.apache.hadoop.fs.Path
+    fs = path(root).getFileSystem(s._jsc.hadoopConfiguration())
+    bad = named_files(broken, ["bad.tsv.gz"])
+    fs.rename(path(f"{bad}/bad.tsv.gz"), path(root))
+    catalog = s.sql("SELECT explode(array('customer', 'part', 'messy', 'bad', 'missing', 'sparse', 'part')) AS dataset")
+    skip, out = s.sql("SELECT 'messy' AS dataset"), folder(s)
+    batch.profile_catalog(s, catalog, root, out, skip, size=3)
+    ledger = batch.profile_catalog(s, catalog, root, out, skip, size=3)
+    cells = batch.read_batch(s, out).select("dataset", F.inline("columns")).groupBy("dataset").agg(F.sum("number_non_empty_cells").alias("filled"))
+    return ledger.join(cells, "dataset", "left").select("dataset", "state", F.col("error").isNotNull().alias("has_error"), "filled")
+
+
+_SPARSE_FILLED = " + ".join(f"count({e})" for e in SPARSE["sparse"][1].values())
+register(
+    "batch_ledger",
+    _batch,
+    f"""SELECT 'customer' AS dataset, 'done' AS state, false AS has_error, CAST(5 * count(*) AS BIGINT) AS filled FROM customer UNION ALL SELECT 'part', 'done', false, 6 * count(*) FROM part
+    UNION ALL SELECT 'sparse', 'done', false, {_SPARSE_FILLED} FROM orders UNION ALL SELECT 'bad', 'failed', true, NULL UNION ALL SELECT 'missing', 'failed', true, NULL""",
+)
+
+
+def _halves(s, d):
+    named = {n: s.read.parquet(f"{d}/{n}.parquet").select(*RAW[n][1]) for n in _FILES}
+    return [{n: df.where(f"pmod({df.columns[0]}, 3) {test} 0") for n, df in named.items()} for test in ("=", "<>")]
+
+
+register(
+    "merged_profile",
+    lambda s, d: P.flatten(merge.profile_state(merge.merge_values(*[merge.value_state(h) for h in _halves(s, d)]))),
+    _profile_sql({t: RAW[t] for t in _FILES}, _TYPES),
+)
+_MERGED_COLUMNS = [(t, c) for t in _FILES for c in RAW[t][1]]
+register(
+    "merged_states",
+    lambda s, d: merge.read_columns(merge.merge_columns(*[merge.column_states(h) for h in _halves(s, d)])).select(
+        "dataset", "column_name", "non_empty", "empty", *[F.round(c, 4).alias(c) for c in ("mean", "stddev", "low", "high")], "least", "greatest"
+    ),
+    " UNION ALL ".join(
+        f"SELECT '{t}' AS dataset, '{c}' AS column_name, count({c}) AS non_empty, count(*) - count({c}) AS empty, "
+        + (f"round(avg({c}), 4) AS mean, round(stddev_samp({c}), 4) AS stddev, round(CAST(min({c}) AS DOUBLE), 4) AS low, round(CAST(max({c}) AS DOUBLE), 4) AS high, CAST(NULL AS VARCHAR) AS least, CAST(NULL AS VARCHAR) AS greatest" if c in _KINDS
+           else f"CAST(NULL AS DOUBLE) AS mean, CAST(NULL AS DOUBLE) AS stddev, CAST(NULL AS DOUBLE) AS low, CAST(NULL AS DOUBLE) AS high, CAST(min({c}) AS VARCHAR) AS least, CAST(max({c}) AS VARCHAR) AS greatest")
+        + f" FROM {t}"
+        for t, c in _MERGED_COLUMNS
+    ),
+)

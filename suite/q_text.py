@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from colsight import rules as R
 from colsight.functions import text as T
-from colsight.operators import components as K, forest as H, mining as M, similarity as Z
+from colsight.operators import components as K, forest as H, minindex as X, mining as M, similarity as Z
 from colsight.plans import profile as P
 from colsight.sources import readers
 from suite.corpus import load, raw, register, semantic_values
@@ -325,6 +325,19 @@ for _metric in ("jaccard", "cosine"):
         lambda s, d, m=_metric: Z.similar_pairs(_documents(s, d), T.word_ngrams(F.col("text")), m, 0.5).withColumn("score", F.round("score", 6)),
         f"WITH {_pairs_sql(_DOC_BAG, _metric, 0.5)} SELECT a, b, round(score, 6) AS score FROM edges",
     )
+
+
+def _minhash_recall(s, d):
+    """Pairs of the exact join, whether the index finds nine of ten of them, and how many it finds besides."""
+    docs, grams = _documents(s, d), T.word_ngrams(F.col("text"))
+    found = X.near_pairs(docs, grams, 0.5).select("a", "b", F.lit(1).alias("found"))
+    exact = Z.similar_pairs(docs, grams, "jaccard", 0.5).select("a", "b", F.lit(1).alias("exact"))
+    both = exact.join(found, ["a", "b"], "full")
+    hits = F.count(F.when(F.col("exact").isNotNull() & F.col("found").isNotNull(), 1))
+    return both.agg(F.count("exact").alias("pairs"), (hits >= 0.9 * F.count("exact")).alias("recall_reached"), F.count(F.when(F.col("exact").isNull(), 1)).alias("wrong"))
+
+
+register("minhash_recall", _minhash_recall, f"WITH {_pairs_sql(_DOC_BAG, 'jaccard', 0.5)} SELECT count(*) AS pairs, true AS recall_reached, CAST(0 AS BIGINT) AS wrong FROM edges")
 register(
     "document_copies",
     lambda s, d: Z.representatives(load(s, d, "documents").select(F.col("doc_id").alias("item"), "text"))[1],
