@@ -19,8 +19,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from colsight.llm.common import WordHashes, batch_of, grams, has_bit, map_arrow, mix, sliding_min, stage, texts
-from colsight.llm.spans import WINDOW_SCHEMA, Windows, later_windows
+from colsight.llm.common import WordHashes, batch_of, has_bit, map_arrow, mix, stage, texts
+from colsight.llm.spans import WINDOW_SCHEMA, Windows, later_windows, seeds_of
 from colsight.llm.spans import digest as digest_without, removed
 
 WINDOW = 50
@@ -30,12 +30,6 @@ SALTS = (np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344))  # fixed
 HELD = 2_000_000  # seeds a task holds at once
 
 
-def _seeds(hashes: np.ndarray, window: int) -> np.ndarray:
-    """Seed of every window of a document."""
-    k = max(1, window // 2)
-    return sliding_min(mix(grams(hashes, k)), window - k + 1)
-
-
 def _cells(seeds: np.ndarray, row: int, cells: int) -> np.ndarray:
     return (mix(seeds ^ SALTS[row]) & np.uint64(cells - 1)).astype(np.int64)
 
@@ -70,7 +64,7 @@ def sketch(docs: DataFrame, window: int = WINDOW, cells: int = CELLS) -> DataFra
             for text in texts(batch):
                 words = text.split() if text else []
                 if len(words) >= window:
-                    held.append(np.unique(_seeds(memo.of(words), window)))
+                    held.append(np.unique(seeds_of(memo.of(words), window)))
             return flush() if sum(map(len, held)) > HELD else []
 
         return run
@@ -123,11 +117,11 @@ def repeats(docs: DataFrame, window: int = WINDOW, cells: int = CELLS) -> DataFr
                 if len(words) < window:
                     continue
                 hashes = memo.of(words)
-                seeds = _seeds(hashes, window)
+                seeds = seeds_of(hashes, window)
                 again = has_bit(bits[0], _cells(seeds, 0, cells))
                 again &= has_bit(bits[1], _cells(seeds, 1, cells))
                 if again.any():
-                    out += found.add(doc, text, hashes, np.flatnonzero(again))
+                    out += found.add(doc, text, hashes, np.flatnonzero(again), seeds)
             return out
 
         return run

@@ -1,6 +1,8 @@
 """Windows of words that occur earlier, and what documents keep without them.
 
-Shared by the operators that remove repeated passages. A found window is named by two hashes;
+Shared by the operators that remove repeated passages. A found window is named by half a hash of its seed,
+its smallest half-window gram, and a hash of its words: neighbouring windows mostly share the seed and
+so meet their equals in the same task, one row a passage comes out and not one a window.
 `later_windows` tells which are not the first, `removed` and `digest` apply that to documents.
 """
 
@@ -15,10 +17,10 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import IntegerType, StructType
 
-from colsight.llm.common import NUMBER_ROWS, batch_of, bitmap, grams, has_bit, map_arrow, mix, signed, stage, texts
+from colsight.llm.common import NUMBER_ROWS, batch_of, bitmap, grams, has_bit, map_arrow, mix, signed, sliding_min, stage, texts
 
 DOC_BITS = 1 << 25
-SECOND = 0xD6E8FEB86659FD93
+HALF, HIGH = np.uint64(32), np.uint64(0xFFFFFFFF00000000)
 HELD = 700_000  # windows a task holds at once
 WINDOW_SCHEMA = "one bigint, two bigint, doc_id bigint, row_key int, known boolean"
 
@@ -28,6 +30,12 @@ def row_key(text: bytes | None) -> int:
     return xxhash.xxh32_intdigest(text or b"") - (1 << 31)
 
 
+def seeds_of(hashes: np.ndarray, window: int) -> np.ndarray:
+    """The smallest half-window gram of every window."""
+    k = max(1, window // 2)
+    return sliding_min(mix(grams(hashes, k)), window - k + 1)
+
+
 def first_rows(*keys: np.ndarray) -> np.ndarray:
     """Whether a row differs from the one before in any key."""
     new = np.ones(len(keys[0]), bool)
@@ -42,10 +50,10 @@ class Windows:
     def __init__(self, window: int, within: bool):
         self.window, self.within, self.held, self.size = window, within, [], 0
 
-    def add(self, doc: int, text: bytes, hashes: np.ndarray, starts: np.ndarray) -> list[pa.RecordBatch]:
-        one = mix(grams(hashes, self.window)[starts])
-        two = mix(grams(hashes, self.window, SECOND)[starts]) >> np.uint64(32)
-        self.held.append((doc, row_key(text), starts, one, two))
+    def add(self, doc: int, text: bytes, hashes: np.ndarray, starts: np.ndarray, all_seeds: np.ndarray | None = None) -> list[pa.RecordBatch]:
+        seeds = (seeds_of(hashes, self.window) if all_seeds is None else all_seeds)[starts]
+        whole = mix(grams(hashes, self.window)[starts])
+        self.held.append((doc, row_key(text), starts, (seeds & HIGH) | (whole >> HALF), whole & ~HIGH))
         self.size += len(starts)
         return self.flush() if self.size > HELD else []
 
@@ -61,8 +69,8 @@ class Windows:
         doc, key, start, one, two = (x[order] for x in (doc, key, start, one, two))
         first = first_rows(one, two)
         known = _later(doc, start, *(x[first][np.cumsum(first) - 1] for x in (doc, start)), self.within)
-        second = (two << np.uint64(32)) | start.astype(np.uint64)
-        spread = np.where(known, mix(doc.astype(np.uint64) + second), one)
+        second = (two << HALF) | start.astype(np.uint64)
+        spread = np.where(known, (mix(doc.astype(np.uint64) + (one & HIGH)) & HIGH) | (one & ~HIGH), one)
         return [batch_of(one=signed(spread), two=signed(second), doc_id=pa.array(doc), row_key=pa.array(key), known=pa.array(known))]
 
 
@@ -102,7 +110,7 @@ def later_windows(windows: DataFrame, within: bool) -> DataFrame:
 
         return run
 
-    ordered = windows.repartition("one").sortWithinPartitions("one", "known", F.shiftrightunsigned("two", 32), "doc_id", "two")
+    ordered = windows.repartition(F.shiftright("one", 32).alias("seed")).sortWithinPartitions("one", "known", F.shiftrightunsigned("two", 32), "doc_id", "two")
     return gathered(map_arrow(ordered, make, "doc_id bigint, row_key int, starts string", rows=NUMBER_ROWS))
 
 
