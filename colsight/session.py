@@ -25,7 +25,12 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 def shared_folder(spark: SparkSession) -> str:
     """Folder for intermediate tables: the one `spark.checkpoint.dir` names, else one beside the
-    warehouse's tables. Both are shared by driver and executors; a machine's own temporary
-    folder is never used."""
+    warehouse's tables. On a cluster it has to be shared by driver and executors, so a warehouse on a
+    machine's own disk is refused there; a machine's temporary folder is never used."""
     named = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    return named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_colsight"
+    if named:
+        return named
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    if spark.sparkContext.master.partition("[")[0] != "local" and warehouse.startswith(("file:", "/")):
+        raise ValueError("name a folder that all machines share in spark.checkpoint.dir: the warehouse is a local folder")
+    return f"{warehouse}/_colsight"

@@ -67,10 +67,10 @@ def write_cluster_rows(clusters: DataFrame, path: str) -> None:
     clusters.select("cluster_id", "item").write.json(path)
 
 
-def write_clusters(clusters: DataFrame, path: str, parts: int = 1) -> None:
+def write_clusters(clusters: DataFrame, path: str, parts: int) -> None:
     """JSON rows (cluster_id, part, items): every cluster in `parts` rows, whatever its size, and
-    fewer only if it has fewer items. For clusters beyond a task's memory ask for more parts, or
-    write rows with `write_cluster_rows`."""
+    fewer only if it has fewer items. A part has to fit in a task's memory; `write_cluster_rows`
+    writes rows, which always do."""
     numbered = clusters.withColumn("part", F.pmod(F.xxhash64("item"), F.lit(parts)))
     numbered.groupBy("cluster_id", "part").agg(F.array_sort(F.collect_list("item")).alias("items")).write.json(path)
 

@@ -101,3 +101,15 @@ OTHER_NAMES = {
     "person": "person_name", "school_subject": "subject_in_school", "zip": "zip_code", "phone": "phone_number",
     "agency": "city_agency", "business": "business_name", "parks_playgrounds": "park_playground", "street": "street_name",
 }
+
+# mining: words taken from each column, kinds whose dashes stay, words taken out by hand
+TOP_WORDS = {
+    "area_of_study": 20, "city_agency": 2, "park_playground": 40, "neighborhood": 20, "location_type": 100, "school_name": 20,
+    "subject_in_school": 50, "business_name": 50,
+}
+KEEPS_DASH = ("area_of_study", "park_playground")
+REMOVED_WORDS = {
+    "park_playground": ("-", "school", "academy", "charter", "high", "jhs", "middle", "secondary", "senior", "h", "j", "e", "st"),
+    "neighborhood": ("st", "avenue"), "location_type": ("nyc",), "subject_in_school": ("11", "10", "b", "9", "12"),
+    "business_name": ("nyc", "ny", "engineering", "york", "+"),
+}

@@ -218,7 +218,8 @@ def _cluster_json(s, d):
     path = folder(s)
     writers.write_clusters(_clusters(s, d), path, parts=3)
     back = s.read.schema("cluster_id string, part bigint, items array<string>").json(path)
-    return back.groupBy("cluster_id").agg(F.count(F.lit(1)).alias("rows"), F.sum(F.size("items")).alias("items")).select("cluster_id", F.col("rows").between(1, 3).alias("in_parts"), "items")
+    items = F.array_join(F.array_sort(F.flatten(F.collect_list("items"))), "|")
+    return back.groupBy("cluster_id").agg(F.count(F.lit(1)).between(1, 3).alias("in_parts"), items.alias("items"))
 
 
-register("cluster_json", _cluster_json, f"{_CLUSTER_SQL} SELECT cluster_id, true AS in_parts, count(*) AS items FROM clusters GROUP BY 1")
+register("cluster_json", _cluster_json, f"{_CLUSTER_SQL} SELECT cluster_id, true AS in_parts, string_agg(item, '|' ORDER BY item) AS items FROM clusters GROUP BY 1")

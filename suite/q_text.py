@@ -9,6 +9,7 @@ from colsight.functions import text as T
 from colsight.operators import components as K, forest as H, minindex as X, mining as M, similarity as Z
 from colsight.plans import profile as P
 from colsight.sources import readers
+from suite import expected as E
 from suite.corpus import load, raw, register, semantic_values
 from suite.q_generic import _profile_sql
 from suite.q_semantic import VC
@@ -153,10 +154,10 @@ def _feeds(s):
 
 
 def _mine_sql(weighted: bool) -> str:
-    limit = " ".join(f"WHEN '{k}' THEN {n}" for k, n in R.TOP_WORDS.items())
-    dash = ", ".join(f"'{k}'" for k in R.KEEPS_DASH)
+    limit = " ".join(f"WHEN '{k}' THEN {n}" for k, n in E.TOP_WORDS.items())
+    dash = ", ".join(f"'{k}'" for k in E.KEEPS_DASH)
     stop = ", ".join("'" + w.replace("'", "''") + "'" for w in R.STOP_WORDS)
-    removed = ", ".join(f"('{k}', '{w}')" for k, ws in R.REMOVED_WORDS.items() for w in ws)
+    removed = ", ".join(f"('{k}', '{w}')" for k, ws in E.REMOVED_WORDS.items() for w in ws)
     return f"""WITH {VC}, feeds(column_id, semantic_type) AS (VALUES {_FEED_VALUES}),
     words AS (SELECT semantic_type, column_id, n, unnest(string_split(lower(CASE WHEN semantic_type IN ({dash}) THEN regexp_replace(val, '[$#&,]', '', 'g') ELSE {_CLEAN} END), ' ')) AS word FROM vc JOIN feeds USING (column_id)),
     counted AS (SELECT semantic_type, column_id, word, {'sum(n)' if weighted else 'count(*)'} AS c FROM words WHERE word <> '' GROUP BY 1, 2, 3),

@@ -101,7 +101,7 @@ def test_list_and_cluster_sinks(spark, tmp_path, rows):
     writers.write_term_line(terms.select("term"), str(tmp_path / "all"))
     assert spark.read.text(str(tmp_path / "all")).first()["value"] == '"DOB","NEW YORK","X"'
     clusters = spark.createDataFrame([("x", "k"), ("y", "k")], "item string, cluster_id string")
-    writers.write_clusters(clusters, str(tmp_path / "c"))
+    writers.write_clusters(clusters, str(tmp_path / "c"), parts=1)
     assert spark.read.json(str(tmp_path / "c")).first()["items"] == ["x", "y"]
     large = spark.range(500).selectExpr("CAST(id AS STRING) AS item", "'k' AS cluster_id")
     writers.write_clusters(large, str(tmp_path / "large"), parts=5)
