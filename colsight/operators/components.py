@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from colsight.plans.staging import stage
+from colsight.plans.staging import drop, stage
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -37,7 +37,8 @@ def components(edges: DataFrame, items: DataFrame | None = None, max_rounds: int
     """(item, cluster_id): cluster_id is the smallest item of the group.
 
     `edges(a, b)`; items of `items(item)` without an edge form groups of their own.
-    Each round is written to the shared folder, which cuts the plan and survives lost executors.
+    Each round is written to the shared folder, which cuts the plan and survives lost executors; the
+    round before goes then.
     Rounds grow with the logarithm of the largest group; a graph that needs more than
     `max_rounds` ends in an error, nothing is dropped.
     """
@@ -48,7 +49,8 @@ def components(edges: DataFrame, items: DataFrame | None = None, max_rounds: int
         if after == before:
             break
         before = after
-        current = stage(_small_star(_large_star(current)))
+        last, current = current, stage(_small_star(_large_star(current)))
+        drop(last)
     else:
         raise RuntimeError(f"no fixed point after {max_rounds} rounds")
     members = current.select(F.col("u").alias("item"), F.col("v").alias("cluster_id"))

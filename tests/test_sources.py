@@ -189,3 +189,18 @@ def test_staged_copies_are_removed_by_their_owner(spark, monkeypatch):
     assert copy.count() == 5 and files.exists(spark._jvm.org.apache.hadoop.fs.Path(path))
     staging.release()
     assert not files.exists(spark._jvm.org.apache.hadoop.fs.Path(path))
+
+
+def test_dropped_copies_go_at_once(spark, monkeypatch):
+    from colsight.plans import staging
+
+    monkeypatch.setattr(staging, "_MADE", [])
+    before = spark.conf.get(staging.CLEANUP)
+    kept, gone = staging.stage(spark.range(3)), staging.stage(spark.range(2))
+    (_, there), (_, away) = staging._MADE
+    staging.drop(gone)
+    files = spark._jvm.org.apache.hadoop.fs.Path(away).getFileSystem(spark._jsc.hadoopConfiguration())
+    assert [path for _, path in staging._MADE] == [there]
+    assert kept.count() == 3 and not files.exists(spark._jvm.org.apache.hadoop.fs.Path(away))
+    assert spark.conf.get(staging.CLEANUP) == before
+    staging.release()
