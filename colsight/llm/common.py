@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +21,19 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def names_apart(work: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """For functions that return rows of their first argument with all its columns: while they work, columns
+    but doc_id, text and n_chars have names that clash with nothing, in the result their own again."""
+
+    @wraps(work)
+    def run(docs: DataFrame, *args, **options) -> DataFrame:
+        names = docs.columns
+        own = [n if n in ("doc_id", "text", "n_chars") and names.index(n) == i else f"column_{i}" for i, n in enumerate(names)]
+        return work(docs.toDF(*own), *args, **options).toDF(*names)
+
+    return run
+
+
 def text_hash() -> Column:
     """64-bit hash of the column `text`, which with doc_id names a row."""
     return F.xxhash64(F.col("text").cast("string"))

@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from colsight.llm.common import WordHashes, batch_of, bitmap, grams, has_bit, lower_words, map_arrow, mix, signed, stage, text_hash, texts
+from colsight.llm.common import WordHashes, batch_of, bitmap, grams, has_bit, lower_words, map_arrow, mix, names_apart, signed, stage, text_hash, texts
 
 SHINGLE, CONTAINMENT, FILTER_BITS = 5, 0.8, 1 << 25
 
@@ -126,6 +126,7 @@ def _contained(docs: DataFrame, items: DataFrame, k: int = SHINGLE, threshold: f
     return map_arrow(both.select("doc_id", "text_hash", "item_id", "n", "found", "shingles"), verify, "doc_id bigint, text_hash bigint, item_id bigint, n_shared bigint, n_item bigint, containment double")
 
 
+@names_apart
 def decontaminate(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     """`docs` without the rows that contain an item; rows without doc_id stay, and so does another
     text under the doc_id of one that goes."""

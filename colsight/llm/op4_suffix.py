@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from colsight.llm.common import NUMBER_ROWS, WordHashes, batch_of, grams, map_arrow, mix, signed, stage, texts
+from colsight.llm.common import NUMBER_ROWS, WordHashes, batch_of, grams, map_arrow, mix, names_apart, signed, stage, texts
 from colsight.llm.spans import WINDOW_SCHEMA, Windows, first_rows, gathered, later_windows, numbers, row_key, split
 from colsight.llm.spans import digest as digest_without, removed
 
@@ -149,6 +149,7 @@ def repeats(docs: DataFrame, window: int = WINDOW, spread: int = SPREAD, gram: i
     return later_windows(map_arrow(hit, make, WINDOW_SCHEMA), within=True)
 
 
+@names_apart
 def remove_repeats(docs: DataFrame, **options) -> DataFrame:
     """`docs` without repeated passages; see `removed` in spans."""
     return removed(docs, stage(repeats(docs, **options)), options.get("window", WINDOW))

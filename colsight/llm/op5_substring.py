@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from colsight.llm.common import WordHashes, batch_of, has_bit, map_arrow, mix, stage, texts
+from colsight.llm.common import WordHashes, batch_of, has_bit, map_arrow, mix, names_apart, stage, texts
 from colsight.llm.spans import WINDOW_SCHEMA, Windows, later_windows, seeds_of
 from colsight.llm.spans import digest as digest_without, removed
 
@@ -130,6 +130,7 @@ def repeats(docs: DataFrame, window: int = WINDOW, cells: int = CELLS) -> DataFr
     return later_windows(windows, within=False)
 
 
+@names_apart
 def remove_repeats(docs: DataFrame, window: int = WINDOW, cells: int = CELLS) -> DataFrame:
     """`docs` without the words that repeat an earlier document's window; see `removed` in spans."""
     return removed(docs, stage(repeats(docs, window, cells)), window)

@@ -14,9 +14,10 @@ does if a set has at most e empty blocks (sets with more also send the empty one
    A block of more than BLOCK_SETS sets is dealt into parts of about that many, each block in its
    own way. What the parts leave unconnected meets in pairs of parts: near copies share many
    blocks and are connected by then, so it is few unless a block's sets aren't near each other.
-3. The forests' components hold every linked pair. They are cut into chunks of bounded size;
-   pairs of chunks are verified exactly on the full sets (rarest shingles first), and again only
-   spanning links leave the task.
+3. The forests' components hold every linked pair. They are verified exactly on the full sets, rarest
+   shingles first, and again only spanning links leave the task. Large ones are dealt into chunks of
+   bounded size, by one min-hash and again by another, which connects near copies; then sets that
+   are still unconnected meet in pairs of chunks, so each pair is compared or connected.
 
 Equal sets are one class from the start, whatever their number. Nothing is capped.
 
@@ -34,13 +35,16 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from colsight.llm.common import NUMBER_ROWS, WordHashes, batch_of, bitmap, has_bit, lower_words, map_arrow, mix, runs, shingles, signed, sized, stage, text_hash, texts
+from colsight.llm.common import NUMBER_ROWS, WordHashes, batch_of, bitmap, has_bit, lower_words, map_arrow, mix, names_apart, runs, shingles, signed, sized, stage, text_hash, texts
 from colsight.operators.components import components
+from colsight.plans.staging import drop
 
 CHUNK_SHINGLES = 3_000_000  # shingles of a chunk: memory of a task, not a limit on groups
 DOC_BITS = 1 << 25
 BLOCK_SETS = 1000  # sets of a part of a block: memory of a task, not a limit on blocks
 LINKS = 400_000  # links a task holds at once
+TRIED = 8  # posting lists of a group, and sets of each, that are compared before the rest
+SALTS = (np.uint64(0x452821E638D01377), np.uint64(0xBE5466CF34E90C6C))  # fixed values: one min-hash each
 
 
 class Bands:
@@ -273,11 +277,13 @@ def fewer_links(links: DataFrame) -> DataFrame:
     return links.repartition(parts, "a", "b").mapInArrow(task, "a bigint, b bigint")
 
 
-def exact_links(ids: np.ndarray, sets: list[np.ndarray], num: int, den: int) -> list[tuple[int, int]]:
+def exact_links(ids: np.ndarray, sets: list[np.ndarray], num: int, den: int, known: np.ndarray | None = None) -> list[tuple[int, int]]:
     """Spanning links of the graph of all pairs with |A & B| / |A | B| >= num / den.
 
     Sets in order of size, shingles in order of rarity: two linked sets share one of their
-    rarest n - ceil(n t) + 1. A pair is compared only if not connected already.
+    rarest n - ceil(n t) + 1. A pair is compared only if not connected already, where sets of one
+    `known` group are connected from the start: postings are kept by group, and a few sets of each
+    are tried before the rest of it.
     """
     order = np.argsort([len(s) for s in sets], kind="stable")
     ids, sets = ids[order], [sets[i] for i in order]
@@ -288,39 +294,65 @@ def exact_links(ids: np.ndarray, sets: list[np.ndarray], num: int, den: int) ->
     rank[np.argsort(count, kind="stable")] = np.arange(len(count))
     token = rank[token]
     mark = np.zeros(len(count), bool)
-    posting: dict[int, list[int]] = {}
-    group = np.arange(len(sets))
+    posting: dict[int, dict[int, list[int]]] = {}  # shingle -> group -> sets
+    root = list(range(len(sets)))
+    if known is not None:
+        _, first, label = np.unique(known[order], return_index=True, return_inverse=True)
+        root = first[label].tolist()
     links = []
     shared = np.sort(rank[count > 1])
     lone_below = shared[0] if len(shared) else len(count)  # ranks below: shingles of one set
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = x = root[root[x]]
+        return x
+
+    def compare(y: int, n: int, others: np.ndarray) -> None:
+        others = others[sizes[others] * den >= n * num]
+        for block in np.array_split(others, max(1, int(sizes[others].sum()) // 2_000_000)):
+            if not len(block):
+                continue
+            both = np.add.reduceat(mark[np.concatenate([token[ends[x] - sizes[x] : ends[x]] for x in block])].astype(np.int64), np.concatenate([[0], np.cumsum(sizes[block])[:-1]]))
+            for x in block[den * both >= num * (sizes[block] + n - both)].tolist():
+                a, b = find(x), find(y)
+                if a != b:
+                    links.append((int(ids[x]), int(ids[y])))
+                    root[max(a, b)] = min(a, b)
+
     for y in range(len(sets)):
         mine = np.sort(token[ends[y] - sizes[y] : ends[y]])
         n = len(mine)
         prefix = mine[: n - -(-n * num // den) + 1]
         prefix = prefix[prefix >= lone_below].tolist()
-        near = [posting[t] for t in prefix if t in posting]
+        near: dict[int, list[list[int]]] = {}  # group -> its posting lists
+        for t in prefix:
+            found = posting.get(t)
+            if not found:
+                continue
+            for r in [r for r in found if root[r] != r]:  # groups that have become one
+                less, more = sorted((found.pop(r), found.get(find(r), [])), key=len)
+                more += less
+                found[find(r)] = more
+            for r, members in found.items():
+                if r != find(y):
+                    near.setdefault(r, []).append(members)
         if near:
-            others = np.unique(np.concatenate([np.array(x) for x in near]))
-            others = others[(sizes[others] * den >= n * num) & (group[others] != group[y])]
-            if len(others):
-                mark[mine] = True
-                for block in np.array_split(others, max(1, int(sizes[others].sum()) // 2_000_000)):
-                    if not len(block):
-                        continue
-                    both = np.add.reduceat(mark[np.concatenate([token[ends[x] - sizes[x] : ends[x]] for x in block])].astype(np.int64), np.concatenate([[0], np.cumsum(sizes[block])[:-1]]))
-                    for x in block[den * both >= num * (sizes[block] + n - both)]:
-                        if group[x] != group[y]:
-                            links.append((int(ids[x]), int(ids[y])))
-                            group[group == group[x]] = group[y]
-                mark[mine] = False
+            mark[mine] = True
+            compare(y, n, np.unique([x for lists in near.values() for members in lists[:TRIED] for x in members[-TRIED:]]))
+            rest = [members for r, lists in near.items() if find(r) != find(y) for members in lists]
+            if rest:
+                compare(y, n, np.unique(np.concatenate([np.array(x) for x in rest])))
+            mark[mine] = False
+        own = find(y)
         for t in prefix:
-            posting.setdefault(t, []).append(y)
+            posting.setdefault(t, {}).setdefault(own, []).append(y)
     return links
 
 
-def _verified(docs: DataFrame, members: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """(a, b): exact links, from `members(doc_id, cls, cand, n_shingles)`, one row a set."""
-    total = members.groupBy("cand").agg(F.ceil(F.sum("n_shingles") / CHUNK_SHINGLES).alias("chunks"))
+def _rows_of(docs: DataFrame, members: DataFrame, k: int) -> DataFrame:
+    """(cand, cls, n, s, near) of the sets in `members(doc_id, cls, cand)`: `s` holds the shingles, `near`
+    min-hashes that sets share with the chance of their similarity. Repeated rows repeat."""
     shared = docs.sparkSession.sparkContext.broadcast(bitmap(members, F.xxhash64("doc_id"), DOC_BITS))
 
     def wanted():
@@ -334,35 +366,95 @@ def _verified(docs: DataFrame, members: DataFrame, k: int, num: int, den: int) -
                 return []
             batch = batch.filter(pa.array(hit))
             sets = [shingles(memo.of(lower_words(t)), k) for t in texts(batch)]
-            return [batch_of(doc_id=batch.column("doc_id"), cls=pa.array([set_key(s) for s in sets], pa.int64()), s=pa.array([s.tobytes() for s in sets], pa.binary()))]
+            near = [[int(mix(s ^ salt).min().astype(np.int64)) for salt in SALTS] if len(s) else None for s in sets]
+            return [batch_of(doc_id=batch.column("doc_id"), cls=pa.array([set_key(s) for s in sets], pa.int64()), n=pa.array([len(s) for s in sets], pa.int64()), s=pa.array([s.tobytes() for s in sets], pa.binary()), near=pa.array(near, pa.list_(pa.int64())))]
 
         return run
 
     placed = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).withColumn("place", F.pmod(F.xxhash64("doc_id"), F.lit(DOC_BITS)))
-    sets = map_arrow(placed, wanted, "doc_id bigint, cls bigint, s binary")
-    rows = sets.join(members.join(total, "cand").select("doc_id", "cls", "cand", "chunks"), ["doc_id", "cls"]).dropDuplicates(["cls"])
-    mine = F.pmod(F.xxhash64("cls"), F.col("chunks"))
-    other = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("chunks") - 1))
-    paired = rows.select("cand", "cls", "s", mine.alias("mine"), other.alias("other")).select(
-        "cand", "cls", "s", F.least("mine", "other").alias("x"), F.greatest("mine", "other").alias("y")
-    )
+    sets = map_arrow(placed, wanted, "doc_id bigint, cls bigint, n bigint, s binary, near array<bigint>")
+    return sets.join(members.select("doc_id", "cls", "cand"), ["doc_id", "cls"]).drop("doc_id")
+
+
+def _compared(rows: DataFrame, num: int, den: int) -> DataFrame:
+    """(a, b): exact spanning links inside every (cand, x, y), from (cand, x, y, cls, grp, s)."""
 
     def task(batches):
         for table in runs(batches, ["cand", "x", "y"]):
             names = [table.column(c).to_numpy() for c in ("cand", "x", "y")]
-            cls, s = table.column("cls").to_numpy(), table.column("s").to_pylist()
+            cls, grp, s = table.column("cls").to_numpy(), table.column("grp").to_numpy(), table.column("s").to_pylist()
             new = np.ones(len(cls), bool)
             new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in names])
+            once = new.copy()  # repeated rows have sent their set again
+            once[1:] |= cls[1:] != cls[:-1]
             at = np.flatnonzero(new)
             found = []
             for a, b in zip(at, [*at[1:], len(cls)]):
-                if b - a > 1:
-                    found += exact_links(cls[a:b], [np.frombuffer(x, np.uint64) for x in s[a:b]], num, den)
+                mine = a + np.flatnonzero(once[a:b])
+                if len(mine) > 1:
+                    found += exact_links(cls[mine], [np.frombuffer(s[i], np.uint64) for i in mine], num, den, grp[mine])
             if found:
                 a, b = zip(*found)
                 yield batch_of(a=pa.array(a, pa.int64()), b=pa.array(b, pa.int64()))
 
-    return paired.repartition("cand", "x", "y").sortWithinPartitions("cand", "x", "y").mapInArrow(task, "a bigint, b bigint").distinct()
+    return rows.repartition("cand", "x", "y").sortWithinPartitions("cand", "x", "y", "cls").mapInArrow(task, "a bigint, b bigint")
+
+
+def _dealt(rows: DataFrame, turn: int) -> DataFrame:
+    """(cand, x, y, cls, grp, s): candidate groups in parts of at most about CHUNK_SHINGLES, sets of one
+    min-hash together as far as that allows."""
+    near = F.col("near")[turn]
+    heavy = rows.groupBy("cand", near.alias("hash")).agg(F.sum("n").alias("mine"))
+    total = heavy.groupBy("cand").agg(F.sum("mine").alias("total"))
+    sizes = heavy.join(total, "cand").where(F.col("total") > CHUNK_SHINGLES)
+    half = CHUNK_SHINGLES // 2
+    large = F.col("mine") > half
+    place = F.when(F.col("total").isNull(), F.lit(0)).when(large, F.xxhash64("hash")).otherwise(F.pmod(F.xxhash64("hash"), F.ceil(F.col("total") / half)))
+    part = F.when(large, 1 + F.pmod(F.xxhash64("cls"), F.ceil(F.col("mine") / half))).otherwise(F.lit(0))
+    sizes = sizes.withColumnRenamed("cand", "of")
+    joined = rows.join(sizes, (F.col("cand") == F.col("of")) & (near == F.col("hash")), "left")
+    return joined.select("cand", place.cast("bigint").alias("x"), part.cast("bigint").alias("y"), "cls", F.col("cls").alias("grp"), "s")
+
+
+def _across(rows: DataFrame, groups: DataFrame) -> DataFrame | None:
+    """(cand, x, y, cls, grp, s): pairs of parts that hold all pairs of sets of a candidate group that are
+    in different `groups(item, cluster_id)`; None if there are none. A candidate group's largest group
+    doesn't meet itself, so what travels more than once is mostly what isn't connected yet."""
+    named = rows.join(groups.withColumnRenamed("item", "cls"), "cls", "left").withColumn("grp", F.coalesce("cluster_id", "cls"))
+    each = named.groupBy("cand", "grp").agg(F.sum("n").alias("mine"))
+    most = each.groupBy("cand").agg(F.max(F.struct("mine", "grp")).alias("most"), F.sum("mine").alias("total"))
+    most = stage(most.select("cand", F.col("most.mine").alias("mine"), F.col("most.grp").alias("main"), "total").where("mine < total"))
+    if most.isEmpty():
+        return None
+    ours = F.ceil(F.col("mine") / CHUNK_SHINGLES)  # parts of the largest group: -1, -2, ...
+    others = F.ceil((F.col("total") - F.col("mine")) / CHUNK_SHINGLES)  # parts of the rest: 0, 1, ...
+    place, inside = F.xxhash64("cls"), F.col("grp") == F.col("main")
+    part = F.when(inside, -1 - F.pmod(place, ours)).otherwise(F.pmod(place, others))
+    first = F.when(inside, F.lit(0).cast("bigint")).otherwise(-ours)
+    met = named.join(most, "cand").select("cand", "cls", "grp", "s", part.alias("part"), F.explode(F.sequence(first, others - 1)).alias("other"))
+    return met.select("cand", F.least("part", "other").alias("x"), F.greatest("part", "other").alias("y"), "cls", "grp", "s")
+
+
+def _verified(docs: DataFrame, members: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """(item, cluster_id): sets with an exact link, from `members(doc_id, cls, cand, n_shingles)`, one row a set."""
+    rows = stage(_rows_of(docs, members, k))
+    links = fewer_links(_compared(_dealt(rows, 0), num, den))
+    total = members.groupBy("cand").agg(F.sum("n_shingles").alias("total")).where(F.col("total") > CHUNK_SHINGLES).select("cand")
+    large = stage(rows.join(total, "cand", "left_semi"))
+    groups = components(links)
+    if not large.isEmpty():
+        for turn in range(1, len(SALTS)):
+            links = _linking(groups).unionByName(fewer_links(_compared(_dealt(large, turn), num, den)))
+            groups = components(links)
+        across = _across(large, groups)
+        if across is not None:
+            groups = components(_linking(groups).unionByName(fewer_links(_compared(across, num, den))))
+    drop(rows, large)
+    return groups
+
+
+def _linking(groups: DataFrame) -> DataFrame:
+    return groups.select(F.col("item").alias("a"), F.col("cluster_id").alias("b"))
 
 
 def linked(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100) -> DataFrame:
@@ -376,10 +468,13 @@ def _linked(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
     given = found.where(F.col("keys").isNotNull() & F.col("doc_id").isNotNull())
     met = stage(_meeting(given.select(F.explode("keys").alias("key"), "cls")))
     one = stage(given.join(met.select("cls").distinct(), "cls", "left_semi").groupBy("cls").agg(F.first("n_shingles").alias("n_shingles"), F.first("bits").alias("bits")))
+    sketched, found = found, stage(found.select("doc_id", "text_hash", "n_shingles", "cls"))
+    drop(sketched)
     candidates = _candidates(met, one, num, den).withColumnRenamed("item", "cls").withColumnRenamed("cluster_id", "cand")
     least = found.where(F.col("cls").isNotNull() & F.col("doc_id").isNotNull()).groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"))
     members = stage(candidates.join(least, "cls"))
-    groups = components(fewer_links(_verified(docs, members, k, num, den)))
+    drop(met, one)
+    groups = _verified(docs, members, k, num, den)
     grouped = members.join(groups.withColumnRenamed("item", "cls"), "cls").select("cls", "cluster_id", "doc_id")
     lowest = grouped.groupBy("cluster_id").agg(F.min("doc_id").alias("component"))
     named = grouped.join(lowest, "cluster_id").select("cls", "component")
@@ -390,6 +485,7 @@ def _linked(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
     )
 
 
+@names_apart
 def keep_one(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """`docs` with one document of each group of linked ones: that with the smallest doc_id.
 

@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from colsight.llm.common import WordHashes, grams, map_arrow, mix, texts
+from colsight.llm.common import WordHashes, grams, map_arrow, mix, names_apart, texts
 
 SYMBOLS = b"#*$%&|<>"
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_ellipsis_lines", "n_bullet_lines")
@@ -130,6 +130,7 @@ def ablation(rows: DataFrame, rules) -> DataFrame:
     )
 
 
+@names_apart
 def keep(docs: DataFrame, policy: str = "v1") -> DataFrame:
     """`docs` without what the policy rejects. The measurements travel with their row, so nothing
     is joined and rows without doc_id are judged too."""

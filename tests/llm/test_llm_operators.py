@@ -172,6 +172,31 @@ def test_two_texts_of_one_id_are_judged_apart(spark):
     assert [(r.doc_id, r.text) for r in op1.decontaminate(table, items).collect()] == [(5, clean)]
 
 
+def test_families_larger_than_a_chunk(spark, monkeypatch):
+    """Chains that no single copy links, a star, and a candidate group that isn't one group."""
+    rnd = random.Random(15)
+    names = vocabulary(rnd, 3000)
+    base = [rnd.choice(names) for _ in range(200)]
+    chain = [[f"new{j}" if j < 4 * i else w for j, w in enumerate(base)] for i in range(30)]
+    star = [[*base[100:150], *base[:50], *[f"s{i}"] * (i % 3)] for i in range(40)]
+    rows = [(i, " ".join(t), "en", "s", 1) for i, t in enumerate([*chain, *star, *chain[:5]])]
+    rnd.shuffle(rows)
+    for chunk in (150, 1000):
+        monkeypatch.setattr(op6, "CHUNK_SHINGLES", chunk)
+        got = sorted(map(tuple, op6.linked(spark.createDataFrame(rows, DOCS)).collect()))
+        assert got == sorted(brute.components(pairs(rows), 4, 85, 100))
+
+
+def test_exact_links_with_known_groups():
+    """One family: every set is linked once, and sets of a known group aren't linked again."""
+    rnd = np.random.default_rng(4)
+    base = rnd.integers(0, 1 << 62, 300).astype(np.uint64)
+    sets = [np.unique(np.concatenate([base[rnd.permutation(300)[:285]], rnd.integers(0, 1 << 62, 15).astype(np.uint64)])) for _ in range(3000)]
+    assert len(op6.exact_links(np.arange(3000), sets, 80, 100)) == 2999
+    links = op6.exact_links(np.arange(3000), sets, 80, 100, np.arange(3000) % 2)
+    assert len(links) == 1 and (links[0][0] + links[0][1]) % 2 == 1
+
+
 def test_exact_links_by_brute_force():
     rnd = np.random.default_rng(3)
     base = rnd.integers(0, 1 << 62, 80).astype(np.uint64)
@@ -501,11 +526,14 @@ def test_empty_tables(spark):
 
 def test_clashing_columns(spark, corpus):
     """Columns named as the operators' own are carried or left alone."""
-    names = ["key", "cls", "place", "starts", "one", "two", "n", "grp", "row_id", "n_words", "failed", "kept", "found", "item_id"]
+    internal = ["m_n_words", "__doc", "__text", "__place", "__starts", "__key", "__found", "Text", "column_1"]
+    names = [*internal, "key", "cls", "place", "starts", "one", "two", "n", "grp", "row_id", "n_words", "failed", "kept", "found", "item_id"]
     rows = [(*r, *(["x"] * len(names))) for r in corpus[:30]]
     wide = spark.createDataFrame(rows, DOCS + ", " + ", ".join(f"{n} string" for n in names))
     items = spark.createDataFrame([(1, "a b c d e f", "x")], "item_id bigint, text string, key string")
     for out in (op9.keep(wide), op6.keep_one(wide), op5.remove_repeats(wide), op4.remove_repeats(wide), op1.decontaminate(wide, items)):
         assert out.columns == wide.columns and out.count() > 0
+        assert out.select("__starts", "m_n_words").distinct().collect() == [("x", "x")]
+    wide = wide.toDF(*("other" if c == "Text" else c for c in wide.columns))
     for out in (op2.pack_documents(wide), op3.count_tokens(wide), op4.digest(wide), op6.linked(wide), op8.identify(wide), op10.packed_rows(wide)):
         assert out.count() > 0
