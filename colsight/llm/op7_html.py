@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import html as entities
 import re
-from collections import deque
+from collections import Counter, deque
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -52,10 +52,26 @@ BOILERPLATE_NAMES = frozenset(
     "sponsor sponsored sponsors subscribe subscription tags taboola teaser toolbar topbar tracking widget widgets".split()
 )
 CONTENT_NAMES = frozenset("article content entry main post story text body".split())
+# names that begin so tell what an element has, lacks or is filed under, not what it is
+MODIFIERS = frozenset("no not without with has tag format status".split())
+# these can as well name a subject; they tell something alone or beside a word for a listing or a tool
+SUBJECTS = frozenset("popular related recommended legal social promoted".split())
+LISTINGS = frozenset("article articles bar block box button buttons content icons item items link links list media news note notice page pages post posts reads section stories story text widget".split())
 
 STRONG, ENCLOSED, SMOOTH = 40.0, 6.0, 1.0
 
 
+def telling(parts: list[str]) -> list[str]:
+    """The parts of a class or id that tell what its element is."""
+    if len(parts) < 2:
+        return parts
+    if parts[0] in MODIFIERS:
+        return []
+    if "header" in parts and not CONTENT_NAMES.isdisjoint(parts):  # an article's header holds its title
+        parts = [x for x in parts if x != "header"]
+    return parts if len(parts) == 1 or not LISTINGS.isdisjoint(parts) else [x for x in parts if x not in SUBJECTS]
+
+
 class Element:
     __slots__ = ("tag", "parent", "depth", "evidence", "silent", "link")
 
@@ -76,7 +92,7 @@ class Element:
                 key, value = key.lower(), a or b or c
                 if key in ("class", "id"):
                     for word in value.split():
-                        names.update(x.lower() for x in NAME_PART.findall(word))
+                        names.update(telling([x.lower() for x in NAME_PART.findall(word)]))
                 elif key == "role":
                     role = value.strip().lower()
                 elif bare or key == "hidden" or (key == "aria-hidden" and value == "true") or (key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value)):
@@ -103,6 +119,13 @@ def blocks_of(page: str) -> list[Block]:
     root = Element("#root", None, "")
     at, found = root, []
     parts: list[tuple[str, bool]] = []
+    opened: Counter[str] = Counter()  # tags of the open elements
+
+    def leave(to: Element) -> None:
+        nonlocal at
+        while at is not to:
+            opened[at.tag] -= 1
+            at = at.parent
 
     def end() -> None:
         if parts:
@@ -141,26 +164,26 @@ def blocks_of(page: str) -> list[Block]:
         if tag not in INLINE:
             end()
         if token[1]:  # end tag: ends the nearest open element of its name, if there is one
-            open_ = at
+            open_ = at if opened[tag] else None
             while open_ and open_.tag != tag:
                 if open_.tag in LIMITS and tag in INLINE:  # an inline end tag never ends a block
                     open_ = None
                     break
                 open_ = open_.parent
             if open_ is not None and open_ is not root:
-                at = open_.parent
+                leave(open_.parent)
             continue
         ends = CLOSES.get(tag)
         if ends:
             open_ = at
             while open_ is not root and (open_.tag in ends or open_.tag in INLINE or open_.tag not in LIMITS):
                 if open_.tag in ends:
-                    at = open_.parent
+                    leave(open_.parent)
                 open_ = open_.parent
             if open_ is not root and open_.tag in ends:
-                at = open_.parent
+                leave(open_.parent)
         if tag == "body":  # whatever the head left open
-            at = root
+            leave(root)
         if tag in VOID or token[3].rstrip().endswith("/") and tag not in INLINE | LIMITS:
             continue
         element = Element(tag, at, token[3])
@@ -169,6 +192,7 @@ def blocks_of(page: str) -> list[Block]:
             place = close.end() if close else len(page)
             continue
         at = element
+        opened[tag] += 1
     end()
     return found
 
