@@ -494,8 +494,9 @@ def keep_one(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> Data
     """
     groups = stage(_linked(docs, k, num, den))
     doc = F.col("doc_id").cast("bigint")
-    gone = groups.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("__doc"), F.col("text_hash").alias("__text")).distinct()
-    again = groups.where((F.col("doc_id") == F.col("component_id")) & (F.col("n_shingles") > 0)).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("doc_id").alias("__doc"))
+    # written, so that their sizes are known before the joins: where they are small, no text is shuffled
+    gone = stage(groups.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("__doc"), F.col("text_hash").alias("__text")).distinct())
+    again = stage(groups.where((F.col("doc_id") == F.col("component_id")) & (F.col("n_shingles") > 0)).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("doc_id").alias("__doc")))
     kept = docs.join(gone, (doc == F.col("__doc")) & (text_hash() == F.col("__text")), "left_anti")
     once = kept.join(again, doc == F.col("__doc"), "left_anti")
     return once.unionByName(kept.join(again, doc == F.col("__doc"), "left_semi").dropDuplicates(["doc_id", "text"]))
