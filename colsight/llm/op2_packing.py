@@ -32,6 +32,8 @@ FAN_IN = 32
 
 # fixed values: what a tokenizer must do for chunks of Latin text to go straight to its merges
 NORMALIZERS, WORDS = ("NFC", "Replace", "Lowercase"), r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+ASCII_WORDS = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")  # WORDS in lower-case ASCII without white space
+PRINTED = bytes(range(33, 127))
 LATIN = re.compile(rb"(?:[\x21-\x7e]|\xc3[\x80-\xbf]|[\xc4\xc5](?!\xb0)[\x80-\xbf])+")  # NFC already, lower case letter by letter
 
 
@@ -60,19 +62,31 @@ class ChunkIds(dict):
         rest = [x for x in range(256) if x not in plain]
         self.names = {x: chr(256 + i) for i, x in enumerate(rest)}
 
+    def _word(self, word: bytes) -> bytes:
+        """Ids of a lower-case word, an entry of `words` from now on."""
+        if len(self.words) >= self.limit:
+            self.words.clear()
+        named = word.decode() if word.isascii() else word.decode("latin-1").translate(self.names)
+        packed = self.packed
+        ids = self.words[word] = b"".join([packed[t.id] for t in self.tokenize(named)])
+        return ids
+
     def _ids(self, chunk: bytes) -> bytes:
-        if not self.direct or b"<|" in chunk or not LATIN.fullmatch(chunk):
-            return np.array(self.tokenizer.encode(chunk.decode(), add_special_tokens=False).ids, self.dtype).tobytes()
-        text, out = chunk.decode().lower(), b""
-        for word in [text] if text.isalpha() else self.find(text):
-            ids = self.words.get(word)
-            if ids is None:
-                if len(self.words) >= self.limit:
-                    self.words.clear()
-                named = word if word.isascii() else word.encode().decode("latin-1").translate(self.names)
-                ids = self.words[word] = b"".join([self.packed[t.id] for t in self.tokenize(named)])
-            out += ids
-        return out
+        if self.direct:
+            low = chunk.lower()
+            if low.isalpha():  # ASCII letters only
+                return self.words.get(low) or self._word(low)
+            if b"<|" not in chunk:
+                if not low.translate(None, PRINTED):
+                    words = ASCII_WORDS.findall(low)
+                elif LATIN.fullmatch(chunk):
+                    text = chunk.decode().lower()
+                    words = [w.encode() for w in ([text] if text.isalpha() else self.find(text))]
+                else:
+                    words = None
+                if words is not None:
+                    return b"".join([self.words.get(w) or self._word(w) for w in words])
+        return np.array(self.tokenizer.encode(chunk.decode(), add_special_tokens=False).ids, self.dtype).tobytes()
 
     def __missing__(self, chunk: bytes) -> bytes:
         if len(self) >= self.limit:
