@@ -1,15 +1,17 @@
 """Search of short test items inside long documents.
 
-A document that holds a share `threshold` of an item's n distinct shingles misses fewer than
-n - ceil(threshold n) + 1 of them, so it has one of any that many. Each item sends its smallest
-so many by hash as keys, whatever its size; documents send those of their shingles that are some
-item's key, told by a bitmap of fixed size. One equal key makes a candidate: none is missed.
-Candidates are verified exactly: distinct shingles of the item found in the document / distinct
-shingles of the item.
-
-Words are ASCII-lower-cased runs of anything but ASCII white space, shingles are five words.
-Items with fewer words are not searched; null or empty texts contain nothing. Repeated items
-are found each; repeated document rows give repeated result rows only once (doc_id, item_id).
+Size-partitioned min-hash signatures find candidates, exact shingle containment decides. Items are in classes
+by size, [2^j, 2^(j+1)) distinct shingles. A class fixes the length L of its signatures, the minima of a
+weighted min-hash: shingles that few documents have come first, hashes order the equally rare. A document that
+holds a share `threshold` of an item's n shingles misses at most f = floor((1 - threshold) n) of them and so has
+L - f of any L; L is f + 1 for the largest size of the class, so that at least one must be met, and a candidate
+has to meet L - f. None is missed, and a phrase that many documents share makes candidates only of items that
+consist of little else.
+
+Words are ASCII-lower-cased runs of anything but ASCII white space, shingles are five words; an item of fewer
+words is one shingle of them all, which is looked for among the runs of so many words. Null or empty items are
+in no document, null or empty texts contain nothing. Repeated items are found each; repeated document rows give
+repeated result rows only once (doc_id, item_id).
 """
 
 from __future__ import annotations
@@ -18,15 +20,25 @@ from math import ceil
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from colsight.llm.common import WordHashes, batch_of, bitmap, grams, has_bit, lower_words, map_arrow, mix, names_apart, signed, stage, text_hash, texts
 
 SHINGLE, CONTAINMENT, FILTER_BITS = 5, 0.8, 1 << 25
 
 
-def item_signatures(items: DataFrame, k: int = SHINGLE, threshold: float = CONTAINMENT) -> DataFrame:
-    """(item_id, n, keys array, shingles binary) of items with a shingle."""
+def _must_have(n: int, threshold: float) -> int:
+    return max(1, ceil(n * threshold - 1e-6))
+
+
+def runs_of(hashes: np.ndarray, m: int) -> np.ndarray:
+    """Hash of every `m` consecutive words; runs of different lengths have different hashes."""
+    return mix(grams(hashes, m) + np.uint64(m))
+
+
+def item_shingles(items: DataFrame, k: int = SHINGLE, threshold: float = CONTAINMENT) -> DataFrame:
+    """(item_row, item_id, m, n, least, length, s): a row for each of an item's `n` distinct shingles of `m`
+    words, with the number that a document must have and the length of its class's signatures."""
 
     def make():
         memo = WordHashes()
@@ -34,101 +46,98 @@ def item_signatures(items: DataFrame, k: int = SHINGLE, threshold: float = CONTA
         def run(batch):
             if batch is None:
                 return []
-            rows = []
-            for item, text in zip(batch.column("item_id").to_pylist(), texts(batch)):
+            told, found = [], []
+            for row, item, text in zip(batch.column("item_row").to_pylist(), batch.column("item_id").to_pylist(), texts(batch)):
                 words = lower_words(text)
-                if len(words) < k:
+                if not words:
                     continue
-                s = np.unique(mix(grams(memo.of(words), k)))
-                least = max(1, ceil(len(s) * threshold - 1e-6))  # shingles that a document must have
-                rows.append((item, len(s), s[: len(s) - least + 1].view(np.int64), s.astype("<u8").tobytes()))
-            if not rows:
+                m = min(k, len(words))
+                s = np.unique(runs_of(memo.of(words), m))
+                n, top = len(s), (1 << len(s).bit_length()) - 1
+                told += [(row, item, m, n, _must_have(n, threshold), min(n, top - _must_have(top, threshold) + 1))] * n
+                found.append(s)
+            if not told:
                 return []
-            item, n, keys, s = zip(*rows)
-            return [batch_of(item_id=pa.array(item, pa.int64()), n=pa.array(n, pa.int64()), keys=pa.array(keys, pa.list_(pa.int64())), shingles=pa.array(s, pa.binary()))]
+            columns = dict(zip(("item_row", "item_id", "m", "n", "least", "length"), (pa.array(c, pa.int64()) for c in zip(*told))))
+            return [batch_of(**columns, s=signed(np.concatenate(found)))]
 
         return run
 
-    return map_arrow(items.select(F.col("item_id").cast("bigint"), F.col("text").cast("string")), make, "item_id bigint, n bigint, keys array<bigint>, shingles binary")
+    rows = items.select(F.monotonically_increasing_id().alias("item_row"), F.col("item_id").cast("bigint"), F.col("text").cast("string"))
+    return map_arrow(rows, make, "item_row bigint, item_id bigint, m bigint, n bigint, least bigint, length bigint, s bigint")
 
 
-def search(docs: DataFrame, items: DataFrame, k: int = SHINGLE, threshold: float = CONTAINMENT) -> DataFrame:
-    """(doc_id, item_id, n_shared, n_item, containment) of every item that a document contains; items
-    without item_id can't be named and give no rows here, though `decontaminate` obeys them."""
-    found = _contained(docs, items, k, threshold).where(F.col("item_id").isNotNull())
-    return found.groupBy("doc_id", "item_id", "n_item").agg(F.max("n_shared").alias("n_shared"), F.max("containment").alias("containment")).select("doc_id", "item_id", "n_shared", "n_item", "containment")
+def document_hits(docs: DataFrame, shingles: DataFrame) -> DataFrame:
+    """(row_id, doc_id, text_hash, s): the distinct shingles of every document row that an item has too, told by
+    two bits each in a bitmap of fixed size, so that very few others are among them."""
+    places = F.explode(F.array("s", F.shiftright("s", 32)))
+    lengths = sorted(r["m"] for r in shingles.select("m").distinct().collect())  # at most SHINGLE
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap(shingles.select(places.alias("at")), F.col("at"), FILTER_BITS))
+    low = np.uint64(FILTER_BITS - 1)
 
+    def make():
+        memo, bits = WordHashes(), shared.value
+
+        def known(s: np.ndarray) -> np.ndarray:
+            s = s[has_bit(bits, (s & low).astype(np.int64))]
+            return s[has_bit(bits, (s >> np.uint64(32) & low).astype(np.int64))]
 
-def _contained(docs: DataFrame, items: DataFrame, k: int = SHINGLE, threshold: float = CONTAINMENT) -> DataFrame:
-    """`search` with a row for each pair of rows, also of items without item_id, and the hash of the
-    document's text: rows of one doc_id can differ in it."""
-    sc = docs.sparkSession.sparkContext
-    items = stage(item_signatures(items, k, threshold).withColumn("item_row", F.monotonically_increasing_id()))
-    signed_keys = items.select(F.explode("keys").alias("key"), "item_row")
-    members = items.select("shingles")
-
-    def explode_shingles():
         def run(batch):
             if batch is None:
                 return []
-            return [batch_of(s=signed(np.frombuffer(b"".join(batch.column("shingles").to_pylist()), "<u8").astype(np.uint64)))]
+            at, found = [], []
+            for i, text in enumerate(texts(batch)):
+                hashes = memo.of(lower_words(text))
+                s = np.unique(np.concatenate([known(runs_of(hashes, m)) for m in lengths] or [np.empty(0, np.uint64)]))
+                if len(s):
+                    at.append(np.full(len(s), i))
+                    found.append(s)
+            if not at:
+                return []
+            rows = batch.select(["row_id", "doc_id", "text_hash"]).take(pa.array(np.concatenate(at)))
+            return [batch_of(**dict(zip(rows.schema.names, rows.columns)), s=signed(np.concatenate(found)))]
 
         return run
 
-    shared = sc.broadcast((bitmap(signed_keys, F.col("key"), FILTER_BITS), bitmap(map_arrow(members, explode_shingles, "s bigint"), F.col("s"), FILTER_BITS)))
+    rows = docs.select(F.monotonically_increasing_id().alias("row_id"), F.col("doc_id").cast("bigint"), text_hash().alias("text_hash"), F.col("text").cast("string"))
+    return map_arrow(rows, make, "row_id bigint, doc_id bigint, text_hash bigint, s bigint")
 
-    def at(x: np.ndarray) -> np.ndarray:
-        return (x & np.uint64(FILTER_BITS - 1)).astype(np.int64)  # two's complement: the same as pmod of the signed number
 
-    def make():
-        memo = WordHashes()
-        keys_bits, shingle_bits = shared.value
+def signatures(shingles: DataFrame, hits: DataFrame) -> DataFrame:
+    """Of every item the `length` shingles that come first: by the number of documents, then by hash."""
+    seen = hits.groupBy("s").agg(F.count(F.lit(1)).alias("seen"))
+    order = Window.partitionBy("item_row").orderBy(F.coalesce("seen", F.lit(0)), "s")
+    return shingles.join(seen, "s", "left").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= F.col("length"))
 
-        def run(batch):
-            if batch is None:
-                return []
-            rows = []
-            for doc, text_hash, text in zip(batch.column("doc_id").to_pylist(), batch.column("text_hash").to_pylist(), texts(batch)):
-                words = lower_words(text)
-                if len(words) < k or doc is None:
-                    continue
-                s = mix(grams(memo.of(words), k))
-                known = np.flatnonzero(has_bit(shingle_bits, at(s)))
-                if not len(known):
-                    continue
-                keys = np.unique(s[known[has_bit(keys_bits, at(s[known]))]])
-                if len(keys):
-                    rows.append((doc, text_hash, keys.view(np.int64), np.unique(s[known]).astype("<u8").tobytes()))
-            if not rows:
-                return []
-            doc, text_hash, keys, s = zip(*rows)
-            return [batch_of(doc_id=pa.array(doc, pa.int64()), text_hash=pa.array(text_hash, pa.int64()), keys=pa.array(keys, pa.list_(pa.int64())), found=pa.array(s, pa.binary()))]
 
-        return run
+def candidates(hits: DataFrame, chosen: DataFrame) -> DataFrame:
+    """(row_id, item_row) of documents that meet as much of an item's signature as they must."""
+    met = hits.select("row_id", "s").join(chosen.select("s", "item_row", (F.col("length") - F.col("n") + F.col("least")).alias("need")), "s")
+    return met.groupBy("row_id", "item_row", "need").agg(F.count(F.lit(1)).alias("met")).where(F.col("met") >= F.col("need")).select("row_id", "item_row")
 
-    hits = map_arrow(docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"), text_hash().alias("text_hash")), make, "doc_id bigint, text_hash bigint, keys array<bigint>, found binary")
-    hits = stage(hits.withColumn("row_id", F.monotonically_increasing_id()))
-    pairs = hits.select("row_id", F.explode("keys").alias("key")).join(signed_keys, "key").select("row_id", "item_row").distinct()
-    both = pairs.join(hits.select("row_id", "doc_id", "text_hash", "found"), "row_id").join(items.select("item_row", "item_id", "n", "shingles"), "item_row")
 
-    def verify():
-        def run(batch):
-            if batch is None:
-                return []
-            shared_n = [len(np.intersect1d(np.frombuffer(a, "<u8"), np.frombuffer(b, "<u8"), assume_unique=True)) for a, b in zip(batch.column("found").to_pylist(), batch.column("shingles").to_pylist())]
-            n = batch.column("n").to_numpy()
-            part = np.array(shared_n, np.int64) / n
-            keep = pa.array(part >= threshold - 1e-12)
-            return [batch_of(doc_id=batch.column("doc_id"), text_hash=batch.column("text_hash"), item_id=batch.column("item_id"), n_shared=pa.array(shared_n, pa.int64()), n_item=batch.column("n"), containment=pa.array(part)).filter(keep)]
+def search(docs: DataFrame, items: DataFrame, k: int = SHINGLE, threshold: float = CONTAINMENT) -> DataFrame:
+    """(doc_id, item_id, n_shared, n_item, containment) of every item that a document contains; rows without doc_id
+    and items without item_id can't be named and give no rows here, though `decontaminate` obeys them."""
+    found = _contained(docs, items, k, threshold).where(F.col("item_id").isNotNull() & F.col("doc_id").isNotNull())
+    found = found.groupBy("doc_id", "item_id", "n_item").agg(F.max("n_shared").alias("n_shared"))
+    return found.select("doc_id", "item_id", "n_shared", "n_item", (F.col("n_shared") / F.col("n_item")).alias("containment"))
 
-        return run
 
-    return map_arrow(both.select("doc_id", "text_hash", "item_id", "n", "found", "shingles"), verify, "doc_id bigint, text_hash bigint, item_id bigint, n_shared bigint, n_item bigint, containment double")
+def _contained(docs: DataFrame, items: DataFrame, k: int = SHINGLE, threshold: float = CONTAINMENT) -> DataFrame:
+    """`search` with a row for each pair of rows, also of those without an id, and the hash of the document's
+    text: rows of one doc_id can differ in it."""
+    shingles = stage(item_shingles(items, k, threshold))
+    hits = stage(document_hits(docs, shingles))
+    pairs = candidates(hits, signatures(shingles, hits))
+    wanted = pairs.join(shingles.select("item_row", "item_id", "n", "least", "s"), "item_row")
+    same = wanted.join(hits, ["row_id", "s"]).groupBy("row_id", "item_row", "doc_id", "text_hash", "item_id", F.col("n").alias("n_item"), "least")
+    return same.agg(F.count(F.lit(1)).alias("n_shared")).where(F.col("n_shared") >= F.col("least"))
 
 
 @names_apart
 def decontaminate(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
-    """`docs` without the rows that contain an item; rows without doc_id stay, and so does another
-    text under the doc_id of one that goes."""
+    """`docs` without the rows that contain an item, also those without doc_id; another text under the doc_id of
+    one that goes stays."""
     bad = _contained(docs, items, **options).select(F.col("doc_id").alias("__doc"), F.col("text_hash").alias("__text")).distinct()
-    return docs.join(bad, (F.col("doc_id").cast("bigint") == F.col("__doc")) & (text_hash() == F.col("__text")), "left_anti")
+    return docs.join(bad, F.col("doc_id").cast("bigint").eqNullSafe(F.col("__doc")) & (text_hash() == F.col("__text")), "left_anti")

@@ -75,8 +75,9 @@ def _links_sql(rounds: int = 30) -> str:
 ORACLES: dict[str, str] = {
     "op1_decontaminate": f"""WITH d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '{_WORD}') AS w FROM documents),
     b AS (SELECT item_id, regexp_extract_all({_LOWER}, '{_WORD}') AS w FROM benchmark),
-    ds AS (SELECT DISTINCT doc_id, list_slice(w, i, i + 4) AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM d)),
-    bs AS (SELECT DISTINCT item_id, list_slice(w, i, i + 4) AS g FROM (SELECT item_id, w, unnest(range(1, len(w) - 3)) AS i FROM b)),
+    sizes AS (SELECT DISTINCT least(len(w), 5) AS m FROM b WHERE len(w) > 0),
+    ds AS (SELECT DISTINCT doc_id, list_slice(w, i, i + m - 1) AS g FROM (SELECT doc_id, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM d, sizes)),
+    bs AS (SELECT DISTINCT item_id, list_slice(w, i, i + 4) AS g FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM b WHERE len(w) > 0)),
     size AS (SELECT item_id, count(*) AS n_item FROM bs GROUP BY 1),
     met AS (SELECT doc_id, item_id, count(*) AS n_shared FROM ds JOIN bs USING (g) GROUP BY 1, 2)
     SELECT doc_id, item_id, n_shared, n_item, n_shared / n_item AS containment FROM met JOIN size USING (item_id) WHERE 10 * n_shared >= 8 * n_item""",

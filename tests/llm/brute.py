@@ -66,12 +66,13 @@ def components(docs, k, num, den):
 
 
 def contained(docs, items, k=5, threshold=0.8):
-    """{(doc_id, item_id, n_shared, n_item)}."""
+    """{(doc_id, item_id, n_shared, n_item)}; items of fewer words are one shingle of them all."""
     out = set()
     for d, t in docs:
-        mine = shingle_set(t, k) if len(words(t)) >= k else frozenset()
+        w = words(t, True)
+        mine = {tuple(w[i : i + m]) for m in {min(k, len(words(x))) for _, x in items} for i in range(len(w) - m + 1)}
         for i, text in items:
-            if d is not None and len(words(text)) >= k:
+            if d is not None and words(text):
                 s = shingle_set(text, k)
                 if len(s & mine) >= threshold * len(s) - 1e-12:
                     out.add((d, i, len(s & mine), len(s)))

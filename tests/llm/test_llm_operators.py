@@ -236,6 +236,36 @@ def test_search_misses_no_short_or_repetitive_item(spark):
     assert sorted(got) == sorted([(i, 1) for i in range(4000)] + [(i, 2) for i in range(60)])
 
 
+def test_short_items_are_runs_of_their_words(spark):
+    rows = [(1, "Only\tFour words Here"), (2, "only four words"), (3, "it says only four words here and goes on"), (4, "four"), (5, None), (6, ""), (7, "two two two two")]
+    items = [(1, "only four words here"), (2, "FOUR"), (3, "words here"), (4, "two two"), (5, ""), (6, None), (7, "it says only four words here"), (8, "here words")]
+    found = op1.search(spark.createDataFrame(rows, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string"))
+    got = {(r.doc_id, r.item_id, r.n_shared, r.n_item) for r in found.collect()}
+    assert got == brute.contained(rows, items) and {(1, 1), (3, 1), (4, 2), (7, 4), (3, 7)} <= {x[:2] for x in got}
+
+
+def test_a_shared_phrase_makes_no_candidates(spark):
+    """Every item and every document has the same 15 words; only the copied items are contained."""
+    rnd = random.Random(31)
+    names = vocabulary(rnd, 3000)
+    phrase = names[:15]
+    items = [(i, " ".join([*rnd.choices(names, k=6), *phrase, *rnd.choices(names, k=6)])) for i in range(200)]
+    rows = [(i, " ".join([*rnd.choices(names, k=30), *(items[i][1].split() if i < 20 else phrase), *rnd.choices(names, k=30)])) for i in range(1000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    tests = spark.createDataFrame(items, "item_id bigint, text string")
+    shingles = op1.item_shingles(tests).cache()
+    hits = op1.document_hits(docs, shingles).cache()
+    assert op1.candidates(hits, op1.signatures(shingles, hits)).count() < 100  # of 200,000
+    assert {(r.doc_id, r.item_id) for r in op1.search(docs, tests).collect()} == {(i, i) for i in range(20)}
+    assert brute.contained(rows[:40], items) == {(r.doc_id, r.item_id, r.n_shared, r.n_item) for r in op1.search(docs.where("doc_id < 40"), tests).collect()}
+
+
+def test_contaminated_rows_without_id_go(spark):
+    table = spark.createDataFrame([(None, "one two three four five six", "en", "s", 1), (None, "none of that is in here", "en", "s", 1)], DOCS)
+    items = spark.createDataFrame([(1, "two three four five six")], "item_id bigint, text string")
+    assert [r.text for r in op1.decontaminate(table, items).collect()] == ["none of that is in here"]
+
+
 def test_items_without_id_are_obeyed(spark):
     rows = [(1, "one two three four five six", "en", "s", 1), (2, "none of that is in here", "en", "s", 1)]
     items = spark.createDataFrame([(None, "two three four five six")], "item_id bigint, text string")
@@ -494,8 +524,8 @@ def test_pipeline(spark, corpus, tmp_path):
     want.append(docs)
     docs = [(d, left.decode() if gone else t) for (d, t), (_, _, gone, left) in zip(docs, brute.kept(docs, 50, False)) if left or not gone]
     want.append(docs)
-    bad = {d for d, *_ in brute.contained(docs, items)}
-    docs = [x for x in docs if x[0] not in bad]
+    bad = {x for x in docs if brute.contained([(0, x[1])], items)}  # also rows without doc_id
+    docs = [x for x in docs if x not in bad]
     want.append(docs)
     assert len({len(w) for w in want}) >= 3 and bad  # the stages do something here
 
