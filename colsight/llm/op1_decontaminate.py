@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from colsight.llm.common import WordHashes, batch_of, bitmap, grams, has_bit, lower_words, map_arrow, mix, names_apart, signed, stage, text_hash, texts
+from colsight.llm.common import WordHashes, batch_of, bitmap, grams, has_bit, lower_words, map_arrow, mix, names_apart, set_apart, signed, stage, text_hash, texts
 
 SHINGLE, CONTAINMENT, FILTER_BITS = 5, 0.8, 1 << 25
 
@@ -139,5 +139,7 @@ def _contained(docs: DataFrame, items: DataFrame, k: int = SHINGLE, threshold: f
 def decontaminate(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     """`docs` without the rows that contain an item, also those without doc_id; another text under the doc_id of
     one that goes stays."""
-    bad = _contained(docs, items, **options).select(F.col("doc_id").alias("__doc"), F.col("text_hash").alias("__text")).distinct()
-    return docs.join(bad, F.col("doc_id").cast("bigint").eqNullSafe(F.col("__doc")) & (text_hash() == F.col("__text")), "left_anti")
+    bad = stage(_contained(docs, items, **options).select(F.col("doc_id").alias("__doc"), F.col("text_hash").alias("__text")).distinct())
+    clean, rest = set_apart(docs, bad)
+    rest = rest.join(bad, F.col("doc_id").cast("bigint").eqNullSafe(F.col("__doc")) & (text_hash() == F.col("__text")), "left_anti")
+    return clean.unionByName(rest)

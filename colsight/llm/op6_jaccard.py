@@ -35,7 +35,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from colsight.llm.common import NUMBER_ROWS, WordHashes, batch_of, bitmap, has_bit, lower_words, map_arrow, mix, names_apart, runs, shingles, signed, sized, stage, text_hash, texts
+from colsight.llm.common import NUMBER_ROWS, WordHashes, batch_of, bitmap, has_bit, lower_words, map_arrow, mix, names_apart, runs, set_apart, shingles, signed, sized, stage, text_hash, texts
 from colsight.operators.components import components
 from colsight.plans.staging import drop
 
@@ -494,9 +494,11 @@ def keep_one(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> Data
     """
     groups = stage(_linked(docs, k, num, den))
     doc = F.col("doc_id").cast("bigint")
-    # written, so that their sizes are known before the joins: where they are small, no text is shuffled
-    gone = stage(groups.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("__doc"), F.col("text_hash").alias("__text")).distinct())
+    pair = (F.col("doc_id").alias("__doc"), F.col("text_hash").alias("__text"))
+    gone = stage(groups.where(F.col("doc_id") != F.col("component_id")).select(*pair).distinct())
     again = stage(groups.where((F.col("doc_id") == F.col("component_id")) & (F.col("n_shingles") > 0)).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("doc_id").alias("__doc")))
+    repeated = groups.select(*pair).join(again, "__doc", "left_semi")
+    single, docs = set_apart(docs, gone.unionByName(repeated))
     kept = docs.join(gone, (doc == F.col("__doc")) & (text_hash() == F.col("__text")), "left_anti")
     once = kept.join(again, doc == F.col("__doc"), "left_anti")
-    return once.unionByName(kept.join(again, doc == F.col("__doc"), "left_semi").dropDuplicates(["doc_id", "text"]))
+    return single.unionByName(once).unionByName(kept.join(again, doc == F.col("__doc"), "left_semi").dropDuplicates(["doc_id", "text"]))

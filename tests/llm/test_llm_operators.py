@@ -15,7 +15,7 @@ import brute  # noqa: E402
 
 from colsight.llm import (  # noqa: E402
     op1_decontaminate as op1, op2_packing as op2, op3_tokens as op3, op4_suffix as op4, op5_substring as op5, op6_jaccard as op6,
-    op7_html as op7, op8_language as op8, op9_quality as op9, op10_binary as op10,
+    common, op7_html as op7, op8_language as op8, op9_quality as op9, op10_binary as op10,
 )
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
@@ -567,3 +567,17 @@ def test_clashing_columns(spark, corpus):
     wide = wide.toDF(*("other" if c == "Text" else c for c in wide.columns))
     for out in (op2.pack_documents(wide), op3.count_tokens(wide), op4.digest(wide), op6.linked(wide), op8.identify(wide), op10.packed_rows(wide)):
         assert out.count() > 0
+
+
+def test_rows_set_apart(spark):
+    """No named row is kept apart, most others are; nulls in both columns, a bitmap of one row and a full one."""
+    rows = [(i if i % 50 else None, f"text {i % 700}" if i % 70 else None) for i in range(2000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    named = docs.where("coalesce(doc_id, 0) % 10 = 0").select(F.col("doc_id").alias("__doc"), F.xxhash64("text").alias("__text"))
+    want = {r for r in rows if (r[0] or 0) % 10 == 0}
+    for bits, low in ((1 << 25, 1700), (1 << 15, 1600), (1 << 4, 0)):
+        single, rest = common.set_apart(docs, named, bits)
+        a, b = [tuple(r) for r in single.collect()], [tuple(r) for r in rest.collect()]
+        assert sorted(a + b, key=repr) == sorted(rows, key=repr) and want <= set(b) and not want & set(a) and len(a) >= low
+    single, rest = common.set_apart(docs, named.limit(0))
+    assert single.count() == 2000 and rest.count() == 0
