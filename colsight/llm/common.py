@@ -126,24 +126,19 @@ def bitmap(keys: DataFrame, key: Column, bits: int) -> np.ndarray:
     return out
 
 
-def set_apart(docs: DataFrame, named: DataFrame, bits: int = 1 << 25) -> tuple[DataFrame, DataFrame]:
+def set_apart(docs: DataFrame, named: DataFrame, bits: int = 1 << 24) -> tuple[DataFrame, DataFrame]:
     """`docs` in two: rows that `named(__doc, __text)` surely doesn't hold by doc_id and `text_hash`, and the rest, which
     are those it holds and few others, so that a join with it need not shuffle all texts. What is broadcast
-    is a bitmap of at most bits / 32768 rows of 4096 bytes, whatever the input; when full, it keeps nothing apart."""
+    is a bitmap of at most bits / 64 numbers, whatever the input; when full, it keeps nothing apart."""
 
     def place(doc: Column, text: Column) -> Column:
-        return F.pmod(F.xxhash64(doc.cast("bigint"), text), F.lit(bits)) + 1
+        return F.pmod(F.xxhash64(doc.cast("bigint"), text), F.lit(bits))
 
-    marks = (
-        named.select(place(F.col("__doc"), F.col("__text")).alias("at"))
-        .groupBy(F.bitmap_bucket_number("at").alias("__bucket"))
-        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("__bytes"))
-    )
+    named = named.select(place(F.col("__doc"), F.col("__text")).alias("at"))
+    marks = named.groupBy(F.shiftright("at", 6).alias("__word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(at % 64 as int))")).alias("__bits"))
     at = place(F.col("doc_id"), text_hash())
-    position = F.bitmap_bit_position(at)
-    byte = F.conv(F.hex(F.substring("__bytes", (position / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    marked = docs.join(F.broadcast(stage(marks)), F.bitmap_bucket_number(at) == F.col("__bucket"), "left")
-    hit = F.coalesce(F.getbit(byte, (position % 8).cast("int")), F.lit(0)) == 1
+    marked = docs.join(F.broadcast(stage(marks)), F.shiftright(at, 6) == F.col("__word"), "left")
+    hit = F.coalesce(F.getbit("__bits", (at % 64).cast("int")), F.lit(0)) == 1
     return marked.where(~hit).select(docs.columns), marked.where(hit).select(docs.columns)
 
 

@@ -575,7 +575,7 @@ def test_rows_set_apart(spark):
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
     named = docs.where("coalesce(doc_id, 0) % 10 = 0").select(F.col("doc_id").alias("__doc"), F.xxhash64("text").alias("__text"))
     want = {r for r in rows if (r[0] or 0) % 10 == 0}
-    for bits, low in ((1 << 25, 1700), (1 << 15, 1600), (1 << 4, 0)):
+    for bits, low in ((1 << 24, 1700), (1 << 15, 1600), (1 << 4, 0)):
         single, rest = common.set_apart(docs, named, bits)
         a, b = [tuple(r) for r in single.collect()], [tuple(r) for r in rest.collect()]
         assert sorted(a + b, key=repr) == sorted(rows, key=repr) and want <= set(b) and not want & set(a) and len(a) >= low
