@@ -48,6 +48,36 @@ def test_hot_gram(spark, metric):
     assert _found(spark, names, metric, 0.8, staged=True) == _brute(names, metric, 0.8)
 
 
+@pytest.mark.parametrize("metric", ["cosine", "jaccard"])
+def test_pairs_are_scored_in_their_row(spark, metric):
+    """Bags are not dealt out gram by gram for the pairs, and items that are texts are not shuffled as keys."""
+    items = spark.createDataFrame([(f"name {i} of {'many ' * 20}",) for i in range(60)], "item string")
+    pairs = Z.similar_pairs(items, char_ngrams(F.col("item")), metric, 0.8)
+    assert pairs.count() > 0
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert "gram" not in plan and "hashpartitioning(item" not in plan
+
+
+@pytest.mark.parametrize("few", [0, 2, 100])
+def test_repeated_grams(spark, monkeypatch, few):
+    """Products of counts, looked up or met by sorting."""
+    monkeypatch.setattr(Z, "FEW_REPEATS", few)
+    texts = ["ab" * 9, "ab" * 5 + "cab", "abc" * 4, "abcabcx", "aaaa", "aaaaaaaaab", "xyz", "bca" * 3 + "aaaa"]
+    assert _found(spark, texts, "cosine", 0.1, staged=True) == _brute(texts, "cosine", 0.1)
+
+
+@pytest.mark.parametrize("staged", [True, False])
+def test_items_of_several_rows(spark, staged):
+    """Rows of one item are one bag; rows without an item pair nobody."""
+    rows = [(1, "abcdef"), (1, "abcxyz"), (2, "abcdef"), (3, "abcxyz"), (3, "abcdef"), (None, "abcdef"), (4, None), (5, "ab")]
+    items = spark.createDataFrame(rows, "item bigint, text string")
+    found = Z.similar_pairs(items, char_ngrams(F.col("text")), "cosine", 0.5, staged=staged).collect()
+    bags = {1: _bag("abcdef") + _bag("abcxyz"), 2: _bag("abcdef"), 3: _bag("abcdef") + _bag("abcxyz")}
+    norm = {k: math.sqrt(sum(v * v for v in b.values())) for k, b in bags.items()}
+    wanted = {(a, b): sum(bags[a][g] * bags[b][g] for g in bags[a]) / norm[a] / norm[b] for a, b in ((1, 2), (1, 3), (2, 3))}
+    assert {(r.a, r.b): round(r.score, 9) for r in found} == {k: round(v, 9) for k, v in wanted.items()}
+
+
 def test_hot_gram_is_spread(spark):
     """One gram in all items: its pairs come out of many tasks, each pair once."""
     rows = [(i, "hot", 400, 1, 3, 2, 3) for i in range(400)]
