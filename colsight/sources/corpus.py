@@ -6,6 +6,9 @@ depends on how many files there are or how they differ. Types come from the dist
 says which types it rules out, and a column has the first type that none of its values rules out. That
 is one small aggregation over value counts in place of another pass over the files.
 
+A table too large for one file may be a folder that is named as its file would be and holds files `part-<number>...`
+in the order of their names, the header in the first.
+
 A line is a record. Fields may be quoted; inside quotes a backslash or a second quote escapes a
 quote. An empty field is an empty cell, a quoted empty one an empty text. Missing fields at a
 line's end are empty cells and surplus ones are left out; `misfits` has these lines, and those
@@ -36,9 +39,14 @@ TYPES = (
 
 
 def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """(dataset, block, line, value): lines that aren't blank, numbered in the order of their file."""
+    """(dataset, part, block, line, value): lines that aren't blank, numbered in the order of their file. `part` is
+    the file's name if its folder is the table, else empty."""
+    place = F.split(F.col("_metadata.file_path"), "/")
+    folder = F.url_decode(F.replace(F.get(place, F.size(place) - 2), F.lit("+"), F.lit("%2B")))
+    is_part = file_name().rlike("^part-[0-9]") & folder.rlike(ENDING)
     return spark.read.text(path).select(
-        F.regexp_replace(file_name(), ENDING, "").alias("dataset"),
+        F.regexp_replace(F.when(is_part, folder).otherwise(file_name()), ENDING, "").alias("dataset"),
+        F.when(is_part, file_name()).otherwise("").alias("part"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("line"),
         "value",
@@ -89,8 +97,8 @@ def headers(lines: DataFrame, sep: str = "\t") -> DataFrame:
 
     Found by minima of numbers, combined on the map side; only the lines themselves are then looked up.
     """
-    per_block = lines.groupBy("dataset", "block").agg(F.min("line").alias("line"))
-    first = per_block.groupBy("dataset").agg(F.min_by("line", "block").alias("line"))
+    per_block = lines.groupBy("dataset", "part", "block").agg(F.min("line").alias("line"))
+    first = per_block.groupBy("dataset").agg(F.min_by("line", F.struct("part", "block")).alias("line"))
     return lines.join(first, ["dataset", "line"], "left_semi").select("dataset", F.col("line").alias("first"), _names(_fields(F.col("value"), sep)).alias("names"))
 
 

@@ -11,7 +11,7 @@ from colsight.plans import batch, merge, profile as P
 from colsight.sources import readers
 from colsight.sources.corpus import Corpus, misfit_counts
 from suite.corpus import MESSY, SPARSE, register, tables
-from suite.q_files import folder, named_files
+from suite.q_files import folder, named_files, table_folders
 from suite.q_generic import _KINDS, _profile_sql, RAW
 
 
@@ -35,7 +35,7 @@ def folder_of(s: SparkSession, d: str, extra: DataFrame | None = None) -> str:
     named |= {**tables(s, d, MESSY), **tables(s, d, SPARSE)}
     lines = reduce(DataFrame.unionByName, [lines_of(n, df) for n, df in named.items()])
     names = [f"{n}.tsv" for n in named]
-    return named_files(lines if extra is None else lines.unionByName(extra), names)
+    return table_folders(lines if extra is None else lines.unionByName(extra), names)
 
 
 _FILES = ("customer", "part", "orders")
@@ -51,7 +51,7 @@ _TYPES = {
 
 
 def _folder_profile(s, d):
-    return P.flatten(P.profile_folder(s, folder_of(s, d)).select("dataset", F.inline("columns")))
+    return P.flatten(P.profile_folder(s, f"{folder_of(s, d)}/*").select("dataset", F.inline("columns")))
 
 
 register("folder_profile", _folder_profile, _profile_sql(_CORPUS, _TYPES))
@@ -67,7 +67,8 @@ def _folder_misfits(s, d):
     value = value.replace(f"{row} || '\"\\t'", "concat_ws('\\t', o_orderkey, o_custkey, '\"open')")
     rows = orders.selectExpr("'damaged.tsv' AS file", "'1' AS place", f"{value} AS value")
     head = s.sql("SELECT * FROM VALUES ('damaged.tsv', '0', 'a\\tb\\tc'), ('whole.tsv', '0', 'x\\ty'), ('whole.tsv', '1', '1\\t'), ('none.tsv', '0', 'only a header') AS t(file, place, value)")
-    return misfit_counts(Corpus(s, named_files(head.unionByName(rows), ["damaged.tsv", "whole.tsv", "none.tsv"])))
+    root = table_folders(head.unionByName(rows), ["damaged.tsv", "whole.tsv", "none.tsv"])
+    return misfit_counts(Corpus(s, f"{root}/*"))
 
 
 register(

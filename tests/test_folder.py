@@ -68,6 +68,33 @@ def test_fields_headers_and_misfits(spark, rows, tmp_path):
     release()
 
 
+def test_table_in_parts(spark, rows, tmp_path):
+    """A folder named as a table's file is one table, its header in the first part; other files of such names are not."""
+    folder = tmp_path / "parts"
+    folder.mkdir()
+    write(folder / "a+b.tsv", "part-0", ["x\ty"])
+    write(folder / "a+b.tsv", "part-00000-z", ["1\tone", "2\ttwo"])
+    write(folder / "a+b.tsv", "part-00001-z", ["3\tthree"])
+    write(folder, "whole.tsv", ["x\ty", "4\tfour"])
+    write(folder / "plain.tsv", "other.tsv", ["x", "5"])
+    cells = C.Corpus(spark, f"{folder}/*").cells().groupBy("dataset", "place").agg(F.sort_array(F.collect_list("val")).alias("vals"))
+    assert rows(cells) == sorted(
+        [("a+b", 0, ["1", "2", "3"]), ("a+b", 1, ["one", "three", "two"]), ("other", 0, ["5"]), ("whole", 0, ["4"]), ("whole", 1, ["four"])], key=repr
+    )
+    release()
+
+
+def test_written_tables_are_not_sorted_in_one_task(spark, tmp_path):
+    from suite.q_files import table_folders
+
+    lines = spark.range(4000).repartition(8).selectExpr("'t.tsv' AS file", "'1' AS place", "concat(id, '\t', id % 7) AS value")
+    head = spark.sql("SELECT 't.tsv' AS file, '0' AS place, 'id\trest' AS value")
+    corpus = C.Corpus(spark, table_folders(lines.unionByName(head), ["t.tsv"]) + "/*")
+    assert corpus.lines.select("part").distinct().count() == 9
+    assert corpus.records().count() == 4000 and corpus.headers.first()["names"] == ["id", "rest"]
+    release()
+
+
 def test_catalog_and_skip_list(spark, rows, tmp_path):
     path = made_folder(tmp_path / "chosen", 6)
     catalog = spark.createDataFrame([("t0001",), ("t0002",), ("t0003",), ("none",)], "dataset string")
