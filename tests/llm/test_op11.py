@@ -5,6 +5,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from colsight.llm import op11_alignment as op11
@@ -136,6 +137,15 @@ def test_whole_texts_without_cuts(spark, rows, plain, monkeypatch):
     assert rows(op11.align(spark.createDataFrame(data, "doc_id bigint, text string"))) == plain(data)
 
 
+def test_room_doubles():
+    """What is held isn't copied for every block."""
+    held, rooms = op11.put(np.empty((2, 0), np.int64), 0, np.zeros((2, 3), np.int64)), set()
+    for at in range(3, 1000):
+        held = op11.put(held, at, np.full((2, 1), at))
+        rooms.add(held.shape[-1])
+    assert held[1, 3:1000].tolist() == list(range(3, 1000)) and len(rooms) < 12
+
+
 def test_empty_and_clashing_columns(spark, rows):
     empty = spark.createDataFrame([], "doc_id bigint, text string")
     assert rows(op11.align(empty)) == []
