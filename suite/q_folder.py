@@ -26,7 +26,7 @@ def lines_of(name: str, df: DataFrame) -> DataFrame:
     """(file, place, value): a table's header and rows as lines."""
     head = "\t".join(df.columns)
     rows = df.select(F.concat_ws("\t", *[field(F.col(quoted(c))) for c in df.columns]).alias("value")).where("value <> ''")
-    named = rows.select(F.lit(f"{name}.tsv").alias("file"), F.concat(F.lit("1"), "value").alias("place"), "value")
+    named = rows.select(F.lit(f"{name}.tsv").alias("file"), F.lit("1").alias("place"), "value")
     return df.sparkSession.sql(f"SELECT '{name}.tsv' AS file, '0' AS place, r'{head}' AS value").unionByName(named)
 
 
