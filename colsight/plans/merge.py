@@ -24,7 +24,7 @@ RAW = [*KEY, "val"]
 
 def value_state(tables: dict[str, DataFrame]) -> DataFrame:
     """(dataset, column_name, val, count) of tables as they are."""
-    return value_counts(tables).groupBy(*RAW).agg(F.sum("count").alias("count"))
+    return value_counts(tables).select(*RAW, "count")  # one row a column and value already
 
 
 def merge_values(*states: DataFrame) -> DataFrame:
@@ -36,11 +36,18 @@ def merge_values(*states: DataFrame) -> DataFrame:
 
 def profile_state(state: DataFrame, k: int = 5) -> DataFrame:
     """One row per column from a value state; types by what the values rule out."""
-    state = stage(state)
-    typed = C.column_types(state.withColumnRenamed("column_name", "place")).withColumnRenamed("place", "column_name")
+    return columns_of_values(stage(generic.with_kind(typed_values(stage(state)))), k=k)
+
+
+def typed_values(state: DataFrame) -> DataFrame:
+    """(dataset, column_name, bucket, val, count) of a staged value state, values as their column's type writes them.
+
+    A join over the columns' names leaves a column's rows in one task, where they would be grouped as well;
+    so the types are staged, which shows their size, and the rows are dealt by value before they are grouped.
+    """
+    typed = stage(C.column_types(state.withColumnRenamed("column_name", "place")).withColumnRenamed("place", "column_name"))
     read = state.join(typed, list(KEY)).select(*KEY, "bucket", C.as_type(F.col("type")).alias("val"), "count")
-    values = read.groupBy(*KEY, "bucket", "val").agg(F.sum("count").alias("count"))
-    return columns_of_values(stage(generic.with_kind(values)), k=k)
+    return read.repartition(*KEY, "val").groupBy(*KEY, "bucket", "val").agg(F.sum("count").alias("count"))
 
 
 # --- small state ---------------------------------------------------------------------------------------

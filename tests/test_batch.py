@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from colsight.functions.text import split_words
 from colsight.operators import minindex as X, similarity as Z
 from colsight.plans import batch, merge, profile as P
-from colsight.plans.staging import release
+from colsight.plans.staging import release, stage
 
 
 def files(tmp_path, names):
@@ -58,6 +58,20 @@ def test_merged_profile_is_the_profile_of_all_rows(spark, rows):
     release()
 
 
+def test_values_of_one_column_are_typed_in_many_tasks(spark):
+    state = stage(spark.range(4000).selectExpr("'t' AS dataset", "'c' AS column_name", "CAST(id AS STRING) AS val", "id + 1 AS count"))
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sizes = [r["count"] for r in merge.typed_values(state).groupBy(F.spark_partition_id()).count().collect()]
+        doubled = merge.typed_values(stage(state.withColumn("val", F.concat("val", F.lit(".0"))).unionByName(state.withColumn("val", F.concat("val", F.lit(".00"))))))
+        assert doubled.agg(F.count("val"), F.count_distinct("val"), F.sum("count")).first()[:] == (4000, 4000, 4000 * 4001)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    assert sum(sizes) == 4000 and max(sizes) < 2000
+    release()
+
+
 def test_merged_states(spark):
     rnd = random.Random(8)
     values = [rnd.gauss(1e6, 3) if rnd.random() < 0.9 else None for _ in range(3000)]
