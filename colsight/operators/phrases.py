@@ -7,7 +7,8 @@ from the left, each phrase starts behind the one before.
 
 `term_matches` posts each pattern under one n-gram that any match must contain, the one found in the
 fewest values. A value meets the patterns of the n-grams it holds and only then are they run, so the work
-follows the meetings, not values times patterns.
+follows the meetings, not values times patterns. N-grams are counted on the map side; a value is sent only under
+those that a bitmap of fixed size, of the n-grams with a pattern, doesn't clear.
 """
 
 from __future__ import annotations
@@ -21,6 +22,8 @@ from colsight.operators import semantic as S
 from colsight.plans.staging import stage
 from colsight.rules import FEW_VALUES
 
+MARKS = 1 << 18  # bits of that bitmap, 64 to a row
+
 # --- phrases -----------------------------------------------------------------------------------------
 
 
@@ -105,8 +108,8 @@ def term_matches(values: DataFrame, patterns: DataFrame, n: int = 3) -> DataFram
     `patterns(kind, pattern, literal)`: a Java pattern and a text that every match of it contains,
     not empty. Literals of fewer than n characters are posted under themselves.
     """
-    known = patterns.where("literal <> ''").distinct()
-    texts = values.select("val").where("val <> ''").distinct()
+    known = stage(patterns.where("literal <> ''").distinct())
+    texts = stage(values.select("val").where("val <> ''").distinct())
     lengths = [r["k"] for r in known.select(F.least(F.length("literal"), F.lit(n)).alias("k")).distinct().collect()]  # at most n numbers
 
     def grams(c: str) -> Column:
@@ -115,14 +118,22 @@ def term_matches(values: DataFrame, patterns: DataFrame, n: int = 3) -> DataFram
     held = texts.select("val", F.explode(grams("val")).alias("gram"))
     parts = known.select("literal").distinct().select("literal", F.explode(grams("literal")).alias("gram"))
     parts = parts.where(F.length("gram") == F.least(F.length("literal"), F.lit(n)))
-    frequency = held.join(parts.select("gram").distinct(), "gram", "left_semi").groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
+    frequency = stage(held.groupBy("gram").agg(F.count(F.lit(1)).alias("n")))
     # a gram that no value holds is the rarest; its pattern meets nobody
     rarest = parts.join(frequency, "gram", "left").groupBy("literal").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram")).alias("r"))
-    posted = known.join(rarest.select("literal", F.col("r.gram").alias("gram")), "literal")
-    met = held.join(posted, "gram").where(F.contains("val", "literal") & F.expr("val RLIKE pattern"))
+    posted = stage(known.join(rarest.select("literal", F.col("r.gram").alias("gram")), "literal"))
+    met = sent_grams(held, posted).join(posted, "gram").where(F.contains("val", "literal") & F.expr("val RLIKE pattern"))
     return met.select("val", "kind").distinct()
 
 
+def sent_grams(held: DataFrame, posted: DataFrame) -> DataFrame:
+    """Rows of `held(val, gram)` but those whose gram `posted(gram)` surely doesn't have; some of those may stay."""
+    at = F.pmod(F.xxhash64("gram"), F.lit(MARKS))
+    marks = posted.select(at.alias("at")).groupBy(F.shiftright("at", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, CAST(at % 64 AS INT))")).alias("bits"))
+    marked = held.join(stage(marks), F.shiftright(at, 6) == F.col("word"))
+    return marked.where(F.getbit("bits", (at % 64).cast("int")) == 1).select("val", "gram")
+
+
 def detect_terms(vc: DataFrame, keywords: DataFrame) -> DataFrame:
     """(column_id, semantic_type, weight, share): the weight of values with a term of a list after white space."""
     found = term_matches(vc, keyword_patterns(keywords)).withColumnsRenamed({"val": "term_val", "kind": "semantic_type"})

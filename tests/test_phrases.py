@@ -61,6 +61,16 @@ def test_terms_equal_the_alternation(spark, rows):
     assert X.term_matches(spark.createDataFrame([("a b",)], "val string"), patterns.limit(0)).count() == 0
 
 
+def test_only_grams_with_a_pattern_are_sent(spark, rows):
+    held = spark.createDataFrame([(f"v{i}", f"{i:03d}") for i in range(1000)], "val string, gram string")
+    posted = spark.createDataFrame([("007",), ("500",), ("500",), ("zzz",)], "gram string")
+    sent = rows(X.sent_grams(held, posted))
+    assert {("v7", "007"), ("v500", "500")} <= set(sent) and len(sent) < 20
+    assert X.sent_grams(held, posted.limit(0)).count() == 0
+    assert X.sent_grams(held, held).count() == 1000
+    release()
+
+
 def test_time_is_nearly_flat_in_the_terms(spark):
     values = spark.range(20_000).select(F.concat(F.lit("sold to TERM"), F.col("id").cast("string"), F.lit(" here")).alias("val"))
     took = {}
