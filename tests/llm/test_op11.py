@@ -137,6 +137,14 @@ def test_whole_texts_without_cuts(spark, rows, plain, monkeypatch):
     assert rows(op11.align(spark.createDataFrame(data, "doc_id bigint, text string"))) == plain(data)
 
 
+def test_sorted_ends_are_merged():
+    rnd = random.Random(3)
+    for n, m in ((0, 0), (0, 5), (7, 0), (400, 300)):
+        x, y = (np.array(sorted(rnd.choices(range(1, 500), k=k)), np.int64) for k in (n, m))
+        out = op11.merged(x, y)
+        assert out.dtype == np.int64 and out.tolist() == sorted({*x.tolist(), *y.tolist()})
+
+
 def test_room_doubles():
     """What is held isn't copied for every block."""
     held, rooms = op11.put(np.empty((2, 0), np.int64), 0, np.zeros((2, 3), np.int64)), set()
