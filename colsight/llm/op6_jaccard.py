@@ -1,14 +1,15 @@
 """Exact n-gram Jaccard self-join by parity sketches, and the groups of linked documents.
 
 Two sets of a and b shingles with Jaccard similarity t or more differ in at most
-(a + b)(1 - t)/(1 + t) shingles. Sizes fall into bands a factor 1/t wide, so that partners are
-in one band or in neighbouring ones. For each band every shingle is hashed to one of m blocks
+(a + b)(1 - t)/(1 + t) shingles. Sizes fall into bands, and a pair meets in the band of its
+smaller set: a set goes to its own band and, if a partner can be that small, to the one below.
+For each band every shingle is hashed to one of m blocks
 and the block keeps the XOR of its shingles (its parity sketch): a differing shingle spoils at
 most one block, so with m = d + 1 + e blocks at least e + 1 agree, and one that isn't empty
 does if a set has at most e empty blocks (sets with more also send the empty ones).
 
-1. Each distinct set sends its blocks for two bands; blocks seen in two sets meet. Blocks with the
-   same sets count once.
+1. Each distinct set sends its blocks, which are shuffled from where they are computed and never
+   stored; blocks seen in two sets meet. Blocks with the same sets count once.
 2. Inside a block a bit sketch (one parity bit a hash position) bounds the difference from below
    by its Hamming distance. The sets that pass are joined by a spanning forest, never all pairs.
    A block of more than BLOCK_SETS sets is dealt into parts of about that many, each block in its
@@ -48,7 +49,8 @@ SALTS = (np.uint64(0x452821E638D01377), np.uint64(0xBE5466CF34E90C6C))  # fixed
 
 
 class Bands:
-    """Size bands: band i holds sizes low[i]..high[i], high = low / t."""
+    """Size bands: band i holds sizes high[i - 1] + 1 to high[i], high[i] = high[i - 1] / t. Wider ones would take fewer
+    keys, but their small sets more blocks than they need, of so few shingles that unlike sets meet."""
 
     def __init__(self, num: int, den: int):
         self.num, self.den = num, den
@@ -56,17 +58,24 @@ class Bands:
 
     def of(self, size: int) -> int:
         while self.high[-1] < size:
-            self.high.append(max(self.high[-1] + 1, (self.high[-1] + 1) * self.den // self.num))
+            self.high.append(max(self.high[-1] + 1, self.high[-1] * self.den // self.num))
         return bisect_left(self.high, size)
 
+    def met(self, size: int) -> list[int]:
+        """Bands of the sets that are no larger than one of `size` and can link with it."""
+        own = self.of(size)
+        below = own
+        while below and self.high[below - 1] * self.den >= size * self.num:
+            below -= 1
+        return list(range(below, own + 1))
+
     def differing(self, sizes: int) -> int:
         """Most differing shingles of linked sets with `sizes` shingles together."""
         return sizes * (self.den - self.num) // (self.den + self.num)
 
     def blocks(self, band: int) -> tuple[int, int]:
-        """(blocks, empty blocks that need not be sent) for pairs whose larger set is in `band`."""
-        self.of(self.high[min(band, len(self.high) - 1)] + 1)
-        d = self.differing(2 * self.high[band])
+        """(blocks, empty blocks that need not be sent) for pairs whose smaller set is in `band`."""
+        d = self.differing(self.high[band] + self.high[band] * self.den // self.num)
         if not d:
             return 0, 0  # sets this small link only if equal
         spare = 2 + d // 64
@@ -74,22 +83,21 @@ class Bands:
 
 
 def block_keys(s: np.ndarray, bands: Bands) -> np.ndarray:
-    """One key for each block of a set, for its own band and the next."""
-    band = bands.of(len(s))
+    """One key for each block of a set, for every band that it meets. Keys have 48 bits, which compress better than
+    64: blocks that meet by chance cost a comparison of sketches and change no result."""
     out = []
-    for tag in (band, band + 1):
-        bands.of(bands.high[min(tag, len(bands.high) - 1)] + 1)
-        m, spare = bands.blocks(tag)
+    for band in bands.met(len(s)):
+        m, spare = bands.blocks(band)
         if not m:
             continue
         at = ((s >> np.uint64(32)) * np.uint64(m) >> np.uint64(32)).astype(np.int64)
         parity = np.zeros(m, np.uint64)
         np.bitwise_xor.at(parity, at, s)
-        name = np.arange(m, dtype=np.uint64) + (np.uint64(tag) << np.uint64(32))
+        name = np.arange(m, dtype=np.uint64) + (np.uint64(band) << np.uint64(32))
         sent = parity != 0
         if m - sent.sum() > spare:
             sent[:] = True
-        out.append(mix(parity[sent] ^ mix(name[sent])))
+        out.append(mix(parity[sent] ^ mix(name[sent])) >> np.uint64(16))
     return np.concatenate(out) if out else np.empty(0, np.uint64)
 
 
@@ -103,12 +111,24 @@ def set_key(s: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63)
 
 
-def document_sets(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """(doc_id, text_hash, n_shingles, cls, keys, bits): `cls` names the set; a task gives keys and bits of a
-    set only the first time it meets it under a doc_id."""
+class Met(set):
+    """Sets that a task has met; forgets all when full, so memory stays bounded."""
+
+    def first(self, cls: int) -> bool:
+        if cls in self:
+            return False
+        if len(self) >= 300_000:
+            self.clear()
+        self.add(cls)
+        return True
+
+
+def document_sets(docs: DataFrame, k: int) -> DataFrame:
+    """(doc_id, text_hash, n_shingles, cls, bits): `cls` names the set; a task gives bits of a set only the
+    first time it meets it under a doc_id."""
 
     def make():
-        memo, bands, met = WordHashes(), Bands(num, den), set()
+        memo, met = WordHashes(), Met()
 
         def run(batch):
             if batch is None:
@@ -116,23 +136,38 @@ def document_sets(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
             rows = []
             for doc, text in zip(batch.column("doc_id").to_pylist(), texts(batch)):
                 s = shingles(memo.of(lower_words(text)), k)
-                if not len(s):
-                    rows.append((0, None, None, None))
-                    continue
-                cls = set_key(s)
-                if doc is None or cls in met:
-                    rows.append((len(s), cls, None, None))
-                    continue
-                if len(met) >= 300_000:
-                    met.clear()
-                met.add(cls)
-                rows.append((len(s), cls, block_keys(s, bands).view(np.int64), parity_bits(s)))
-            n, cls, keys, bits = zip(*rows)
-            return [batch_of(doc_id=batch.column("doc_id"), text_hash=batch.column("text_hash"), n_shingles=pa.array(n, pa.int64()), cls=pa.array(cls, pa.int64()), keys=pa.array(keys, pa.list_(pa.int64())), bits=pa.array(bits, pa.binary()))]
+                cls = set_key(s) if len(s) else None
+                rows.append((len(s), cls, parity_bits(s) if len(s) and doc is not None and met.first(cls) else None))
+            n, cls, bits = zip(*rows)
+            return [batch_of(doc_id=batch.column("doc_id"), text_hash=batch.column("text_hash"), n_shingles=pa.array(n, pa.int64()), cls=pa.array(cls, pa.int64()), bits=pa.array(bits, pa.binary()))]
+
+        return run
+
+    return map_arrow(docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"), text_hash().alias("text_hash")), make, "doc_id bigint, text_hash bigint, n_shingles bigint, cls bigint, bits binary")
+
+
+def document_blocks(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """(key, cls): the blocks of the sets of rows with doc_id; a task gives those of a set the first time it meets it."""
+
+    def make():
+        memo, bands, met = WordHashes(), Bands(num, den), Met()
+
+        def run(batch):
+            if batch is None:
+                return []
+            names, keys = [], []
+            for text in texts(batch):
+                s = shingles(memo.of(lower_words(text)), k)
+                if len(s) and met.first(cls := set_key(s)):
+                    names.append(cls)
+                    keys.append(block_keys(s, bands))
+            if not names:
+                return []
+            return [batch_of(key=signed(np.concatenate(keys)), cls=pa.array(np.repeat(np.array(names, np.int64), [len(x) for x in keys])))]
 
         return run
 
-    return map_arrow(docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"), text_hash().alias("text_hash")), make, "doc_id bigint, text_hash bigint, n_shingles bigint, cls bigint, keys array<bigint>, bits binary")
+    return map_arrow(docs.where(F.col("doc_id").isNotNull()).select(F.col("text").cast("string")), make, "key bigint, cls bigint")
 
 
 def _meeting(rows: DataFrame) -> DataFrame:
@@ -406,7 +441,8 @@ def _dealt(rows: DataFrame, turn: int) -> DataFrame:
     near = F.col("near")[turn]
     heavy = rows.groupBy("cand", near.alias("hash")).agg(F.sum("n").alias("mine"))
     total = heavy.groupBy("cand").agg(F.sum("mine").alias("total"))
-    sizes = heavy.join(total, "cand").where(F.col("total") > CHUNK_SHINGLES)
+    # staged: few rows, if any, and a join that knows it shuffles no sets
+    sizes = stage(heavy.join(total.where(F.col("total") > CHUNK_SHINGLES), "cand"))
     half = CHUNK_SHINGLES // 2
     large = F.col("mine") > half
     place = F.when(F.col("total").isNull(), F.lit(0)).when(large, F.xxhash64("hash")).otherwise(F.pmod(F.xxhash64("hash"), F.ceil(F.col("total") / half)))
@@ -464,12 +500,9 @@ def linked(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100) -> DataFr
 
 def _linked(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
     """`linked` with the hash of the row's text: rows of one doc_id can differ in it."""
-    found = stage(document_sets(docs, k, num, den))
-    given = found.where(F.col("keys").isNotNull() & F.col("doc_id").isNotNull())
-    met = stage(_meeting(given.select(F.explode("keys").alias("key"), "cls")))
-    one = stage(given.join(met.select("cls").distinct(), "cls", "left_semi").groupBy("cls").agg(F.first("n_shingles").alias("n_shingles"), F.first("bits").alias("bits")))
-    sketched, found = found, stage(found.select("doc_id", "text_hash", "n_shingles", "cls"))
-    drop(sketched)
+    found = stage(document_sets(docs, k))
+    met = stage(_meeting(document_blocks(docs, k, num, den)))
+    one = stage(found.where(F.col("bits").isNotNull()).join(met.select("cls").distinct(), "cls", "left_semi").groupBy("cls").agg(F.first("n_shingles").alias("n_shingles"), F.first("bits").alias("bits")))
     candidates = _candidates(met, one, num, den).withColumnRenamed("item", "cls").withColumnRenamed("cluster_id", "cand")
     least = found.where(F.col("cls").isNotNull() & F.col("doc_id").isNotNull()).groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"))
     members = stage(candidates.join(least, "cls"))

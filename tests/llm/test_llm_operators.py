@@ -187,6 +187,42 @@ def test_families_larger_than_a_chunk(spark, monkeypatch):
         assert got == sorted(brute.components(pairs(rows), 4, 85, 100))
 
 
+@pytest.mark.parametrize("num,den", [(80, 100), (85, 100), (50, 100)])
+def test_linked_sets_share_a_block(num, den):
+    """Pairs at the threshold, of equal size and as unequal as they can be, meet in one band at least."""
+    rnd = np.random.default_rng(5)
+    bands = op6.Bands(num, den)
+    for n in [*range(2, 60), 100, 301, 640, 2000]:
+        for more in {0, n * (den - num) // num // 2, n * (den - num) // num}:  # shingles that only the larger one has
+            both = -(-num * (2 * n + more) // (num + den))  # fewest that are enough
+            if both > n:
+                continue
+            s = rnd.integers(0, 1 << 63, 2 * n + more - both).astype(np.uint64) * np.uint64(2)
+            a, b = np.unique(s[:n]), np.unique(s[n - both :])
+            assert len(b) == n + more and den * both >= num * (2 * n + more - both)
+            keys = [op6.block_keys(x, bands) for x in (a, b)]
+            equal = len(np.intersect1d(a, b)) == len(a) == len(b)
+            assert equal or len(np.intersect1d(*keys)), (n, more)
+
+
+def test_blocks_are_few_and_never_stored(spark, docs, monkeypatch):
+    """About half a key a shingle, of 48 bits; they go from where they are computed to where they meet."""
+    bands, rnd = op6.Bands(80, 100), np.random.default_rng(6)
+    sets = [np.unique(rnd.integers(0, 1 << 63, n).astype(np.uint64)) for n in range(100, 1500, 10)]
+    keys = [op6.block_keys(s, bands) for s in sets]
+    assert sum(map(len, keys)) < 0.54 * sum(map(len, sets)) and max(k.max() for k in keys) < 1 << 48
+    staged, stage = [], op6.stage
+
+    def watched(df):
+        staged.append((df.columns, dict(df.dtypes)))
+        return stage(df)
+
+    monkeypatch.setattr(op6, "stage", watched)
+    op6.linked(docs, 5, 80, 100).collect()
+    assert staged and not any("keys" in names for names, _ in staged)
+    assert not any(t == "array<bigint>" for names, types in staged for c, t in types.items() if c != "near")
+
+
 def test_exact_links_with_known_groups():
     """One family: every set is linked once, and sets of a known group aren't linked again."""
     rnd = np.random.default_rng(4)
