@@ -5,24 +5,26 @@ a hash of its parent and its word. All places of a value walk the trie together,
 only places still on a path of the trie go on. Of the phrases found at a place the longest counts;
 from the left, each phrase starts behind the one before.
 
-`term_matches` posts each pattern under one n-gram that any match must contain, the one found in the
-fewest values. A value meets the patterns of the n-grams it holds and only then are they run, so the work
-follows the meetings, not values times patterns. N-grams are counted on the map side; a value is sent only under
-those that a bitmap of fixed size, of the n-grams with a pattern, doesn't clear.
+`term_matches` posts each pattern under one run of characters that any match must contain: the whole literal where
+there are few lengths of literals, else a long part of it, the one that fewest literals have. A value meets the patterns
+of the runs it holds and only then are they run. Runs of three characters wouldn't do: there are so few of them that
+the meetings grow with values times patterns. A value is sent only under runs that two bitmaps of bounded size, of the
+runs with a pattern, don't clear.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from colsight.functions.text import NOT_WORD, char_ngrams
+from colsight.functions.text import NOT_WORD
 from colsight.operators import semantic as S
 from colsight.plans.staging import stage
 from colsight.rules import FEW_VALUES
 
-MARKS = 1 << 18  # bits of that bitmap, 64 to a row
+MARKS = 1 << 18  # least bits of such a bitmap, 64 to a row
+MOST_MARKS = 1 << 26
 
 # --- phrases -----------------------------------------------------------------------------------------
 
@@ -102,35 +104,53 @@ def keyword_patterns(keywords: DataFrame) -> DataFrame:
     return keywords.where("term <> ''").distinct().select(F.col("semantic_type").alias("kind"), F.concat(F.lit(r"\s"), escaped).alias("pattern"), F.col("term").alias("literal"))
 
 
-def term_matches(values: DataFrame, patterns: DataFrame, n: int = 3) -> DataFrame:
+def term_matches(values: DataFrame, patterns: DataFrame, n: int = 8) -> DataFrame:
     """(val, kind): kinds of which a pattern is found in a distinct `val` of `values`.
 
     `patterns(kind, pattern, literal)`: a Java pattern and a text that every match of it contains,
-    not empty. Literals of fewer than n characters are posted under themselves.
+    not empty. Grams are of at most n lengths; with no more lengths of literals, each is posted under itself.
     """
     known = stage(patterns.where("literal <> ''").distinct())
-    texts = stage(values.select("val").where("val <> ''").distinct())
-    lengths = [r["k"] for r in known.select(F.least(F.length("literal"), F.lit(n)).alias("k")).distinct().collect()]  # at most n numbers
-
-    def grams(c: str) -> Column:
-        return F.array_distinct(F.concat(*[char_ngrams(F.col(c), k) for k in sorted(lengths)]) if lengths else F.array().cast("array<string>"))
-
-    held = texts.select("val", F.explode(grams("val")).alias("gram"))
-    parts = known.select("literal").distinct().select("literal", F.explode(grams("literal")).alias("gram"))
-    parts = parts.where(F.length("gram") == F.least(F.length("literal"), F.lit(n)))
-    frequency = stage(held.groupBy("gram").agg(F.count(F.lit(1)).alias("n")))
-    # a gram that no value holds is the rarest; its pattern meets nobody
-    rarest = parts.join(frequency, "gram", "left").groupBy("literal").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram")).alias("r"))
-    posted = stage(known.join(rarest.select("literal", F.col("r.gram").alias("gram")), "literal"))
-    met = sent_grams(held, posted).join(posted, "gram").where(F.contains("val", "literal") & F.expr("val RLIKE pattern"))
+    texts = values.select("val").where("val <> ''").distinct()
+    lengths = _gram_lengths([r["k"] for r in known.select(F.length("literal").alias("k")).distinct().collect()], n)  # a number for each length of a term
+    if not lengths:
+        return known.select(F.col("literal").alias("val"), "kind")  # no row
+    held = texts.select("val", F.explode(F.array_distinct(F.concat(*[_substrings("val", F.lit(k)) for k in lengths]))).alias("gram"))
+    # the longest of the lengths that a literal has; a literal of such a length is its own only gram
+    own = F.array_max(F.filter(F.array(*[F.lit(k) for k in lengths]), lambda k: k <= F.length("literal")))
+    parts = known.select("literal").distinct().withColumn("gram", F.explode(F.array_distinct(_substrings("literal", own))))
+    shared = F.count(F.lit(1)).over(Window.partitionBy("gram"))
+    whole = F.col("gram") == F.col("literal")
+    rarest = parts.where(~whole).withColumn("n", shared).groupBy("literal").agg(F.min(F.struct("n", "gram")).alias("r")).select("literal", F.col("r.gram").alias("gram"))
+    posted = stage(known.join(rarest.unionByName(parts.where(whole)), "literal"))
+    n_marks, wanted = MARKS, min(16 * posted.count(), MOST_MARKS)
+    while n_marks < wanted:
+        n_marks *= 2
+    sent = held
+    for seed in (0, 1):
+        sent = sent_grams(sent, posted, n_marks, seed)
+    met = sent.join(posted, "gram").where(F.contains("val", "literal") & F.expr("val RLIKE pattern"))
     return met.select("val", "kind").distinct()
 
 
-def sent_grams(held: DataFrame, posted: DataFrame) -> DataFrame:
+def _gram_lengths(lengths: list[int], n: int) -> list[int]:
+    """At most `n` of the lengths of all terms, spread over them, the least among them."""
+    ordered = sorted(lengths)
+    few = min(n, len(ordered))
+    return [ordered[i * len(ordered) // few] for i in range(few)]
+
+
+def _substrings(c: str, k: Column) -> Column:
+    """All runs of k characters."""
+    runs = F.transform(F.sequence(F.lit(1), F.length(c) - k + 1), lambda i: F.substring(F.col(c), i, k))
+    return F.when(F.length(c) >= k, runs).otherwise(F.array().cast("array<string>"))
+
+
+def sent_grams(held: DataFrame, posted: DataFrame, n_marks: int = MARKS, seed: int = 0) -> DataFrame:
     """Rows of `held(val, gram)` but those whose gram `posted(gram)` surely doesn't have; some of those may stay."""
-    at = F.pmod(F.xxhash64("gram"), F.lit(MARKS))
+    at = F.pmod(F.xxhash64("gram", F.lit(seed)), F.lit(n_marks))
     marks = posted.select(at.alias("at")).groupBy(F.shiftright("at", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, CAST(at % 64 AS INT))")).alias("bits"))
-    marked = held.join(stage(marks), F.shiftright(at, 6) == F.col("word"))
+    marked = held.join(F.broadcast(stage(marks)), F.shiftright(at, 6) == F.col("word"))
     return marked.where(F.getbit("bits", (at % 64).cast("int")) == 1).select("val", "gram")
 
 

@@ -4,6 +4,7 @@ import random
 import re
 import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from colsight.operators import phrases as X
@@ -80,3 +81,28 @@ def test_time_is_nearly_flat_in_the_terms(spark):
         X.term_matches(values, X.keyword_patterns(keywords)).count()
         took[n] = time.time() - start
     assert took[10_000] < 4 * took[500] + 2  # twenty times the terms
+
+
+def test_a_value_meets_few_terms(spark, monkeypatch):
+    """Numbered names share all their runs of three digits; a value is sent to its own name's pattern and hardly any else's."""
+    keywords = spark.range(3000).select(F.lit("k").alias("semantic_type"), F.format_string("Name#%09d", F.col("id") * 7919).alias("term"))
+    values = spark.range(3000).select(F.format_string("sold to Name#%09d", F.col("id") * 7919).alias("val"))
+    sent, plain = [], X.sent_grams
+    monkeypatch.setattr(X, "sent_grams", lambda *a: sent.append(plain(*a)) or sent[-1])
+    assert X.term_matches(values, X.keyword_patterns(keywords)).count() == 3000
+    posted = keywords.select(F.col("term").alias("gram"))
+    assert sent[-1].count() < 4000 and sent[-1].join(posted, "gram").count() == 3000
+    release()
+
+
+@pytest.mark.parametrize("n", [1, 2, 8])
+def test_terms_of_many_lengths(spark, rows, n):
+    """Terms are posted under themselves or a part of them."""
+    rnd = random.Random(7)
+    keywords = [("k", "".join(rnd.choice("ab") for _ in range(rnd.randint(1, 14)))) for _ in range(40)]
+    values = list({"".join(rnd.choice("ab ") for _ in range(rnd.randint(1, 30))) for _ in range(200)} | {"\U0001f600 a", "é b\U0001f600"})
+    want = [(v, "k") for v in values if any(re.search(r"\s" + t, v) for _, t in keywords)]
+    patterns = X.keyword_patterns(spark.createDataFrame(keywords, "semantic_type string, term string"))
+    assert rows(X.term_matches(spark.createDataFrame([(v,) for v in values], "val string"), patterns, n)) == sorted(want, key=repr)
+    assert X._gram_lengths([5, 1, 9, 3, 7], 2) == [1, 5] and X._gram_lengths([4, 2], 8) == [2, 4]
+    release()
