@@ -99,7 +99,8 @@ def headers(lines: DataFrame, sep: str = "\t") -> DataFrame:
     """
     per_block = lines.groupBy("dataset", "part", "block").agg(F.min("line").alias("line"))
     first = per_block.groupBy("dataset").agg(F.min_by("line", F.struct("part", "block")).alias("line"))
-    return lines.join(first, ["dataset", "line"], "left_semi").select("dataset", F.col("line").alias("first"), _names(_fields(F.col("value"), sep)).alias("names"))
+    # one number a table, so that no line is shuffled
+    return lines.join(F.broadcast(first), ["dataset", "line"], "left_semi").select("dataset", F.col("line").alias("first"), _names(_fields(F.col("value"), sep)).alias("names"))
 
 
 class Corpus:

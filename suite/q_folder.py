@@ -19,13 +19,15 @@ def field(column) -> F.Column:
     """A cell as a file holds it: empty for null, quoted if empty text or if it holds a quote or tab."""
     text = column.cast("string")
     escaped = F.concat(F.lit('"'), F.regexp_replace(text, r'(["\\])', r"\\$1"), F.lit('"'))
-    return F.when(text.isNull(), "").when((text == "") | text.rlike('["\t]'), escaped).otherwise(text)
+    return F.when(text.isNull(), "").when((text == "") | text.contains('"') | text.contains("\t"), escaped).otherwise(text)
 
 
 def lines_of(name: str, df: DataFrame) -> DataFrame:
     """(file, place, value): a table's header and rows as lines."""
     head = "\t".join(df.columns)
-    rows = df.select(F.concat_ws("\t", *[field(F.col(quoted(c))) for c in df.columns]).alias("value")).where("value <> ''")
+    rows = df.select(F.concat_ws("\t", *[field(F.col(quoted(c))) for c in df.columns]).alias("value"))
+    if len(df.columns) == 1:  # others have a tab; asking would make each line twice
+        rows = rows.where("value <> ''")
     named = rows.select(F.lit(f"{name}.tsv").alias("file"), F.lit("1").alias("place"), "value")
     return df.sparkSession.sql(f"SELECT '{name}.tsv' AS file, '0' AS place, r'{head}' AS value").unionByName(named)
 

@@ -120,3 +120,30 @@ def test_ascii(spark):
     texts = ["plain", "é", "tab\t\n\r\\", "it's", 'say "it\'s"', 'say "x"', "\x00\x7f😀", "", None, "~ "]
     df = spark.createDataFrame([(t,) for t in texts], "val string").select("val", ascii_escaped(F.col("val")).alias("e"))
     assert {r.val: r.e for r in df.collect()} == {t: None if t is None else repr(t.encode())[2:-1] for t in texts}
+
+
+def test_lines_are_made_once(spark, rows):
+    """A table's lines aren't made a second time to see whether they are empty; only those of one column can be."""
+    from suite.q_folder import lines_of
+
+    two = spark.createDataFrame([("a", None), (None, None), ('say "x"', "t\tb"), ("", "é")], "x string, y string")
+    plan = lines_of("two", two)._jdf.queryExecution().optimizedPlan().toString()
+    assert not any("Filter" in line and "concat_ws" in line for line in plan.split("\n"))
+    assert [r[2] for r in rows(lines_of("two", two).where("place = '1'"))] == sorted(["a\t", "\t", '"say \\"x\\""\t"t\tb"', '""\té'], key=repr)
+    one = spark.createDataFrame([("a",), (None,), ("",)], "x string")
+    assert [r[2] for r in rows(lines_of("one", one).where("place = '1'"))] == ['""', "a"]
+
+
+def test_header_lines_are_found_without_shuffling_lines(spark):
+    """Whatever size Spark takes the numbers of first lines for."""
+    lines = spark.range(100).selectExpr("concat('t', id % 4) AS dataset", "'' AS part", "0L AS block", "id AS line", "concat('h', id, '\tx') AS value")
+    found = C.headers(lines)
+    assert {(r.dataset, r.first, tuple(r.names)) for r in found.collect()} == {(f"t{i}", i, (f"h{i}", "x")) for i in range(4)}
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, "-1")
+    try:
+        plan = C.headers(lines)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(limit, before)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
