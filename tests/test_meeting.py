@@ -62,3 +62,13 @@ def test_documents_are_not_joined_to_their_pairs(spark, rows):
     found = {(r.a, r.b): round(r.score, 9) for r in I.near_pairs(items, grams, 0.5).collect()}
     assert found.items() <= {(a, b): s for a, b, s in want}.items() and len(found) > 0.9 * len(want)
     release()
+
+
+def test_grams_are_made_once(spark, rows):
+    """They aren't made below the joins to see which items have any; items without are left out all the same."""
+    items = spark.createDataFrame([(1, "abcabc"), (2, "ab"), (3, None), (4, ""), (None, "abc"), (5, "xyz"), (5, "xyz")], "item bigint, text string")
+    bags = Z.packed_bags(items, char_ngrams(F.col("text")))
+    assert rows(bags.select("item", F.array_sort("counts"))) == [(1, [1, 1, 2]), (5, [2])]
+    plan = bags._jdf.queryExecution().optimizedPlan().toString()
+    assert not any("Filter" in line and "regexp_extract_all" in line for line in plan.split("\n"))
+    release()
